@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import simhash
+from venuegrid.llm import recompress, simhash
 from venuegrid.llm.common import table
 
 QUERIES: dict = {}
@@ -22,3 +22,9 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash over 4-word shingles, links at 4 or fewer differing bits, components by smallest doc_id."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of each document once repeated windows of 50 words go from all but their first document."""
+    return recompress.repeats(table(spark, sf_dir, "documents"), window=50)
