@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import recompress, simhash
+from venuegrid.llm import packing, recompress, simhash
 from venuegrid.llm.common import table
 
 QUERIES: dict = {}
@@ -28,3 +29,9 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of each document once repeated windows of 50 words go from all but their first document."""
     return recompress.repeats(table(spark, sf_dir, "documents"), window=50)
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2, length=4096).drop("ids")
