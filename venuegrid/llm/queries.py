@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import packing, recompress, simhash
+from venuegrid.llm import packing, recompress, sharding, simhash
 from venuegrid.llm.common import table
 
 QUERIES: dict = {}
@@ -35,3 +35,9 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2, length=4096).drop("ids")
+
+
+@query
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near-equal bytes, equal texts together."""
+    return sharding.shard(table(spark, sf_dir, "documents"), 24)
