@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import packing, recompress, sharding, simhash
+from venuegrid.llm import packing, recompress, rules, sharding, simhash
 from venuegrid.llm.common import table
 
 QUERIES: dict = {}
@@ -41,3 +41,9 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near-equal bytes, equal texts together."""
     return sharding.shard(table(spark, sf_dir, "documents"), 24)
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and distances from the language references for all documents."""
+    return rules.judge(table(spark, sf_dir, "documents"))
