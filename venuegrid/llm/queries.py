@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import packing, recompress, rules, sharding, simhash
+from venuegrid.llm import packing, quality, recompress, rules, sharding, simhash
 from venuegrid.llm.common import table
 
 QUERIES: dict = {}
@@ -47,3 +47,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and distances from the language references for all documents."""
     return rules.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text, learned from labels that are not held out."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return quality.classify(table(spark, sf_dir, "documents"), labels, threshold=0.3)

@@ -16,9 +16,9 @@ from venuegrid.llm.common import keep
 SPACES = "[ \\t-\\r]+"
 WINDOW = 8
 #: Fewest words for which a histogram of character classes, or of common words, is judged.
-CHAR_WORDS, COMMON_WORDS = 30, 100
+CHAR_WORDS, COMMON_WORDS = 40, 100
 #: Greatest distances from the language reference.
-CHAR_FAR, COMMON_FAR = 0.30, 0.42
+CHAR_FAR, COMMON_FAR = 0.30, 0.25
 #: Character classes counted by pattern; letters outside A-Z and all else are what is left.
 CLASSES = ["[A-Z]", "[0-9]", "[.,;:!?'\"()-]", "[#*$%&|<>]"]
 # Very common words of four languages.
@@ -99,7 +99,8 @@ def _shares(counts: str, least: int) -> Column:
 def _distance(p: str, q: str) -> Column:
     part = lambda a, b: F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
     terms = F.zip_with(p, q, lambda a, b: (part(a, b) + part(b, a)) / 2)
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)))
+    total = F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
+    return F.when(total > 0, F.sqrt(total)).when(total.isNotNull(), 0.0)
 
 
 def judge(docs: DataFrame, char_far: float = CHAR_FAR, common_far: float = COMMON_FAR) -> DataFrame:
