@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import packing, quality, recompress, rules, sharding, simhash
+from venuegrid.llm import packing, quality, recompress, rules, sharding, simhash, urls
 from venuegrid.llm.common import table
 
 QUERIES: dict = {}
@@ -54,3 +54,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every whole text, learned from labels that are not held out."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return quality.classify(table(spark, sf_dir, "documents"), labels, threshold=0.3)
+
+
+URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url by rule, else by character language models."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
