@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import packing, quality, recompress, rules, sharding, simhash, urls
+from venuegrid.llm import packing, quality, recompress, rules, sharding, simhash, topk, urls
 from venuegrid.llm.common import table
 
 QUERIES: dict = {}
@@ -63,3 +63,20 @@ URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url by rule, else by character language models."""
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products for every embedding whose vec_id is divisible by 20."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+ORACLE["op1_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS c FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, o.vec_id, CAST(list_inner_product(CAST(q.c AS DOUBLE[]), CAST(o.c AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v o ON q.vec_id <> o.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
