@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import packing, quality, recompress, rules, sharding, simhash, topk, urls
+from venuegrid.llm import licences, packing, quality, recompress, rules, sharding, simhash, topk, urls
 from venuegrid.llm.common import table
 
 QUERIES: dict = {}
@@ -80,3 +80,9 @@ s AS (
   FROM v q JOIN v o ON q.vec_id <> o.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+@query
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical digest, whole-text licence and licence notices of every document."""
+    return licences.scan(table(spark, sf_dir, "documents"))
