@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import licences, packing, quality, recompress, rules, sharding, simhash, topk, urls
+from venuegrid.llm import licences, packing, pieces, quality, recompress, rules, sharding, simhash, topk, urls
 from venuegrid.llm.common import table
 
 QUERIES: dict = {}
@@ -86,3 +86,9 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical digest, whole-text licence and licence notices of every document."""
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text and whether they decode to it."""
+    return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
