@@ -26,7 +26,7 @@ OPEN = 32
 #: Partitions whose leftovers are merged together; a merging task holds at most MERGED * OPEN windows.
 MERGED = 16
 #: Distinct words whose ids a task remembers before it starts anew.
-VOCABULARY = 500_000
+VOCABULARY = 1_000_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -34,9 +34,11 @@ class WordTokens:
     """Token ids of texts through a table of ids by word.
 
     The tokenizer must treat white-space-separated words independently, as one does that drops white space
-    before it splits; then a text's ids are its words' ids in turn.
+    before it splits; then a text's ids are its words' ids in turn. New words are encoded TOGETHER at a time.
     """
 
+    TOGETHER = 2000
+
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
@@ -44,24 +46,33 @@ class WordTokens:
         self.forget()
 
     def forget(self) -> None:
-        self.numbers, self.flat, self.cut = Numbers(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.numbers, self.flat, self.cut, self.used = Numbers(), np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64), 0
 
     def _learn(self) -> None:
         new = self.numbers.names[len(self.cut) - 1 :]
-        if new:
-            found = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
-            self.flat = np.concatenate([self.flat, *(np.array(x, np.uint32) for x in found)])
-            self.cut = np.concatenate([self.cut, self.cut[-1] + np.cumsum([len(x) for x in found])])
+        counts = []
+        for at in range(0, len(new), self.TOGETHER):
+            words = [w.decode() for w in new[at : at + self.TOGETHER]]
+            found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+            ids, n = np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
+            if self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])
+            self.flat[self.used : self.used + len(ids)] = ids
+            self.used += len(ids)
+            counts.append(n)
+        if counts:
+            self.cut = np.concatenate([self.cut, self.cut[-1] + np.cumsum(np.concatenate(counts))])
 
     def ids(self, texts: list[bytes | None], end: int) -> Iterator[np.ndarray]:
         """The ids of each text, with ``end`` after the last."""
         if len(self.numbers) > VOCABULARY:
             self.forget()
         numbers = self.numbers
-        each = [np.fromiter((numbers[w] for w in words), np.int64, len(words)) for words in map(words_of, texts)]
+        each = [np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)) for words in map(words_of, texts)]
         self._learn()
         for at in each:
-            a, n = self.cut[at], self.cut[at + 1] - self.cut[at]
+            a = self.cut[at]
+            n = self.cut[at + 1] - a
             total = int(n.sum())
             out = np.empty(total + 1, np.uint32)
             out[:total] = self.flat[np.repeat(a - (np.cumsum(n) - n), n) + np.arange(total)]
