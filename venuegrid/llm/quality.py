@@ -180,3 +180,20 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
     model = learn(docs, labels.where(~held_out()))
     scored = score(docs, model)
     return scored.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of docs whose score reaches the threshold, with all columns; see ``classify``."""
+    model = learn(docs, labels.where(~held_out()))
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        terms = Terms(model.terms)
+        for batch, texts in text_batches(batches):
+            words, counts = zip(*terms.counts(texts), strict=True)
+            yield batch.filter(pa.array(model.score(model.embed(np.stack(counts), np.concatenate(words))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -123,3 +123,11 @@ def judge(docs: DataFrame, char_far: float = CHAR_FAR, common_far: float = COMMO
     return far.withColumn("kept", ~F.col("base_failed") & ~odd).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "common_distance"
     )
+
+
+def keep_sound(docs: DataFrame) -> DataFrame:
+    """The rows of docs that ``judge`` keeps, with all columns. Rows of equal id, lang and text share a verdict."""
+    uid = F.xxhash64("doc_id", "lang", "text")
+    named = docs.select(uid.alias("doc_id"), "lang", "text")
+    kept = judge(named).where("kept").select(F.col("doc_id").alias("__uid")).distinct()
+    return docs.withColumn("__uid", uid).join(kept, "__uid", "left_semi").drop("__uid")

@@ -262,3 +262,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col:
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     member = rooted.join(ids, "root").select("fp", "component_id")
     return marked.join(member, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6) -> DataFrame:
+    """One row of docs for each group of near-duplicates, with all columns: that of the smallest doc_id.
+
+    Of several rows with that id one stays. Rows without an id stay: nothing says which of them came first.
+    """
+    marked = near_duplicates(docs.where("doc_id IS NOT NULL"), shingle, radius)
+    firsts = marked.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
+    stay = docs.join(keep(firsts, "firsts"), F.col("doc_id") == F.col("__id")).drop("__id").dropDuplicates(["doc_id"])
+    return stay.unionByName(docs.where("doc_id IS NULL"))
