@@ -6,49 +6,48 @@ from pyspark.sql import functions as F
 from venuegrid.functions import hours
 
 
-def parse(spark, text):
-    return spark.range(1).select(hours.parse_osm(F.lit(text)).alias("s")).first()["s"]
+def values(spark, f, given):
+    """f applied to each text, in one query."""
+    rows = spark.createDataFrame(list(enumerate(given)), "i int, t string").select("i", f(F.col("t")).alias("x")).collect()
+    return [r.x for r in sorted(rows)]
+
+
+def parse(spark, *texts):
+    return values(spark, hours.parse_osm, texts)
 
 
 def slots(day):
     return [f"{s['debut']}-{s['fin']}" for s in day["creneaux"]]
 
 
-@pytest.mark.parametrize(
-    ("text", "open_days"),
-    [
-        ("Mo-Fr 09:00-17:00; Sa 10:00-14:00", {0: ["09:00-17:00"], 1: ["09:00-17:00"], 2: ["09:00-17:00"], 3: ["09:00-17:00"], 4: ["09:00-17:00"], 5: ["10:00-14:00"]}),
-        ("Sa-Mo 09:00-10:00", {5: ["09:00-10:00"], 6: ["09:00-10:00"], 0: ["09:00-10:00"]}),
-        ("We 11:30-13:30, 16:30-19:40", {2: ["11:30-13:30"]}),
-        ("Mo, Tu 10:00-12:00", {1: ["10:00-12:00"]}),
-        ("Mo 09:00-12:00, 2025 Jul 05-2025 Aug 31 Mo 10:00-18:00", {}),
-        ("Mo 08:00-10:00,14:00-15:00; Mo 20:00-21:00", {0: ["08:00-10:00", "14:00-15:00", "20:00-21:00"]}),
-        ("Mo 08:00-10:00; Mo off", {}),
-        ("", {}),
-        (None, {}),
-    ],
-)
-def test_parse_week(spark, text, open_days):
-    week = parse(spark, text)["week"]
-    assert {k: slots(d) for k, d in enumerate(week) if d["ouvert"]} == open_days
-
-
-def test_parse_closed_days_and_trailing_comma(spark):
-    week = parse(spark, "Mo-Fr 09:00-17:00, Su off")["week"]
-    assert week[6]["source_found"] and not week[6]["ouvert"] and not week[5]["source_found"]
-    assert [d["ouvert"] for d in week] == [True] * 5 + [False] * 2
-    both = parse(spark, "Mo-Fr 09:00-17:00; Sa-Su closed")["week"]
-    assert [d["source_found"] for d in both] == [True] * 7
+WEEKS = [
+    ("Mo-Fr 09:00-17:00; Sa 10:00-14:00", {0: ["09:00-17:00"], 1: ["09:00-17:00"], 2: ["09:00-17:00"], 3: ["09:00-17:00"], 4: ["09:00-17:00"], 5: ["10:00-14:00"]}),
+    ("Sa-Mo 09:00-10:00", {5: ["09:00-10:00"], 6: ["09:00-10:00"], 0: ["09:00-10:00"]}),
+    ("We 11:30-13:30, 16:30-19:40", {2: ["11:30-13:30"]}),
+    ("Mo, Tu 10:00-12:00", {1: ["10:00-12:00"]}),
+    ("Mo 09:00-12:00, 2025 Jul 05-2025 Aug 31 Mo 10:00-18:00", {}),
+    ("Mo 08:00-10:00,14:00-15:00; Mo 20:00-21:00", {0: ["08:00-10:00", "14:00-15:00", "20:00-21:00"]}),
+    ("Mo 08:00-10:00; Mo off", {}),
+    ("", {}),
+    (None, {}),
+]
+
+
+def test_parse_week(spark):
+    for (text, open_days), s in zip(WEEKS, parse(spark, *(t for t, _ in WEEKS)), strict=True):
+        assert {k: slots(d) for k, d in enumerate(s["week"]) if d["ouvert"]} == open_days, text
 
 
-def test_parse_special(spark):
-    s = parse(spark, "2024 Dec 25 closed")
-    assert [(x["date"], x["status"]) for x in s["special"]] == [("2024-12-25", "ferme")]
-    assert parse(spark, "closed")["closed"] and not parse(spark, "Mo off")["closed"]
-    ph = parse(spark, "Mo-Fr 08:00-18:00; PH off")
+def test_parse_closed_and_special(spark):
+    comma, both, dated, closed, off, ph, ph_open, nth = parse(spark, "Mo-Fr 09:00-17:00, Su off", "Mo-Fr 09:00-17:00; Sa-Su closed", "2024 Dec 25 closed", "closed", "Mo off", "Mo-Fr 08:00-18:00; PH off", "PH open", "Mo[1,3] 10:00-12:00")
+    week = comma["week"]
+    assert week[6]["source_found"] and not week[6]["ouvert"] and not week[5]["source_found"]
+    assert [d["ouvert"] for d in week] == [True] * 5 + [False] * 2
+    assert [d["source_found"] for d in both["week"]] == [True] * 7
+    assert [(x["date"], x["status"]) for x in dated["special"]] == [("2024-12-25", "ferme")]
+    assert closed["closed"] and not off["closed"]
     assert ph["ph_found"] and ph["ph_mode"] == "ferme" and slots(ph["week"][0]) == ["08:00-18:00"]
-    assert parse(spark, "PH open")["ph_mode"] == "ouvert"
-    assert parse(spark, "Mo[1,3] 10:00-12:00")["week"][0]["creneaux"][0]["occurence"] == [1, 3]
+    assert ph_open["ph_mode"] == "ouvert" and nth["week"][0]["creneaux"][0]["occurence"] == [1, 3]
 
 
 @pytest.mark.parametrize(("days", "said"), [([0, 1, 2], "Mo-We"), ([0, 2, 4], "Mo,We,Fr"), ([0, 1, 3, 4], "Mo-Tu,Th-Fr"), ([], ""), ([6, 0, 6], "Mo,Su")])
@@ -56,36 +55,42 @@ def test_compress(spark, days, said):
     assert spark.range(1).select(hours.compress_days(F.array(*map(F.lit, days)).cast("array<int>"))).first()[0] == said
 
 
-@pytest.mark.parametrize(
-    ("text", "printed"),
-    [("Mo-Tu 09:00-12:00; We off", "Mo-Tu 09:00-12:00; We off"), ("Mo[1,3] 10:00-12:00", "Mo[1,3] 10:00-12:00"), ("Mo-Su off", "off"), ("", None), ("Mo-Fr 08:00-12:00,14:00-18:00; Sa 08:00-12:00", "Mo-Sa 08:00-12:00; Mo-Fr 14:00-18:00")],
-)
-def test_print(spark, text, printed):
-    assert spark.range(1).select(hours.print_week(hours.parse_osm(F.lit(text))["week"])).first()[0] == printed
+PRINTED = {
+    "Mo-Tu 09:00-12:00; We off": "Mo-Tu 09:00-12:00; We off",
+    "Mo[1,3] 10:00-12:00": "Mo[1,3] 10:00-12:00",
+    "Mo-Su off": "off",
+    "": None,
+    "Mo-Fr 08:00-12:00,14:00-18:00; Sa 08:00-12:00": "Mo-Sa 08:00-12:00; Mo-Fr 14:00-18:00",
+}
 
 
-@pytest.mark.parametrize(("text", "said"), [("25 decembre 2023", "2023 Dec 25"), ("1er janvier 2024", "2024 Jan 01"), ("2024-03-15", "2024 Mar 15"), ("invalid date", None)])
-def test_dates(spark, text, said):
-    assert spark.range(1).select(hours.print_date(F.lit(text))).first()[0] == said
+def test_print(spark):
+    assert values(spark, lambda t: hours.print_week(hours.parse_osm(t)["week"]), PRINTED) == list(PRINTED.values())
 
 
-@pytest.mark.parametrize(("text", "valid"), [("09:00", True), ("9:00", False), ("25:00", False), ("23:59", True)])
-def test_times(spark, text, valid):
-    assert spark.range(1).select(hours.valid_time(F.lit(text))).first()[0] is valid
+def test_dates_and_times(spark):
+    assert values(spark, hours.print_date, ["25 decembre 2023", "1er janvier 2024", "2024-03-15", "invalid date"]) == ["2023 Dec 25", "2024 Jan 01", "2024 Mar 15", None]
+    assert values(spark, hours.valid_time, ["09:00", "9:00", "25:00", "23:59"]) == [True, False, False, True]
 
 
 def test_compare(spark):
-    def both(a, b):
-        return tuple(spark.range(1).select(hours.compare(hours.parse_osm(F.lit(a)), hours.parse_osm(F.lit(b))).alias("c")).first()["c"])
-
-    assert both("Mo 09:00-12:00", "Mo 09:00-12:00") == (True, hours.SAME)
-    assert both("Mo 09:00-12:00; Tu 08:00-09:00", "Mo 09:00-12:00,14:00-18:00; Tu 08:00-09:00") == (False, "HORS_VACANCES_SCOLAIRES: lundi: créneaux: ajoutés: 14:00-18:00")
-    assert both("Mo 09:00-12:00; Tu 08:00-09:00", "Mo off; Tu 08:00-09:00")[1] == "HORS_VACANCES_SCOLAIRES: lundi: ouvert → fermé | créneaux: supprimés: 09:00-12:00"
-    assert both("closed", "Mo off") == (True, hours.SAME)
-    assert both("closed", "Mo 09:00-12:00")[1].startswith(hours.ATTENTION_1)
-    assert both("Mo 09:00-12:00", "Mo 09:00-12:00; 2025 Dec 25 closed")[1] == f"{hours.SPECIAL}: 2025-12-25: ajouté ()"
-
-
-@pytest.mark.parametrize(("text", "n"), [("", 0), ("lundi: ouvert → fermé | créneaux: supprimés: 09:00-12:00", 2), ("a\nb", 2), ("ajoutés: 1-2, 3-4 | supprimés: 5-6", 3)])
-def test_atomic(spark, text, n):
-    assert spark.range(1).select(hours.atomic_differences(F.lit(text))).first()[0] == n
+    pairs = [
+        ("Mo 09:00-12:00", "Mo 09:00-12:00"),
+        ("Mo 09:00-12:00; Tu 08:00-09:00", "Mo 09:00-12:00,14:00-18:00; Tu 08:00-09:00"),
+        ("Mo 09:00-12:00; Tu 08:00-09:00", "Mo off; Tu 08:00-09:00"),
+        ("closed", "Mo off"),
+        ("closed", "Mo 09:00-12:00"),
+        ("Mo 09:00-12:00", "Mo 09:00-12:00; 2025 Dec 25 closed"),
+    ]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    got = [r.c for r in sorted(df.select("i", hours.compare(hours.parse_osm(F.col("a")), hours.parse_osm(F.col("b"))).alias("c")).collect())]
+    assert tuple(got[0]) == tuple(got[3]) == (True, hours.SAME)
+    assert tuple(got[1]) == (False, "HORS_VACANCES_SCOLAIRES: lundi: créneaux: ajoutés: 14:00-18:00")
+    assert got[2]["differences"] == "HORS_VACANCES_SCOLAIRES: lundi: ouvert → fermé | créneaux: supprimés: 09:00-12:00"
+    assert got[4]["differences"].startswith(hours.ATTENTION_1)
+    assert got[5]["differences"] == f"{hours.SPECIAL}: 2025-12-25: ajouté ()"
+
+
+def test_atomic(spark):
+    given = ["", "lundi: ouvert → fermé | créneaux: supprimés: 09:00-12:00", "a\nb", "ajoutés: 1-2, 3-4 | supprimés: 5-6"]
+    assert values(spark, hours.atomic_differences, given) == [0, 2, 2, 3]

@@ -100,7 +100,7 @@ def parse_osm(text: Column) -> Column:
     dated = F.filter(rules, lambda r: ~r.startswith("PH") & r.rlike(_DATE) & ~r.rlike(_DATE + r"\s*-"))
     segments = F.filter(F.transform(F.flatten(F.transform(weekly, _segments)), _segment), lambda s: s.isNotNull())
 
-    def day(k: int, parts: Column) -> Column:
+    def day(k: Column, parts: Column) -> Column:
         none = F.struct(F.lit(False).alias("source_found"), F.lit(False).alias("ouvert"), _no_slots().alias("creneaux"))
 
         def step(acc: Column, s: Column) -> Column:
@@ -113,7 +113,7 @@ def parse_osm(text: Column) -> Column:
     last = F.try_element_at(ph, F.lit(-1))
     return F.struct(
         closed.alias("closed"),
-        let(segments, lambda parts: F.array(*(day(k, parts) for k in range(7)))).alias("week"),
+        let(segments, lambda parts: F.transform(F.array(*map(F.lit, range(7))), lambda k: day(k, parts))).alias("week"),
         (F.size(ph) > 0).alias("ph_found"),
         F.when(F.lower(last).contains("open"), "ouvert").otherwise("ferme").alias("ph_mode"),
         F.filter(F.transform(dated, _special), lambda s: s.isNotNull()).alias("special"),
@@ -209,14 +209,14 @@ def day_diff(a: Column, b: Column) -> Column:
     is_open = lambda d: F.coalesce(d["ouvert"], F.lit(False))
     texts = lambda d: F.coalesce(F.transform(d["creneaux"], slot_text), F.array().cast("array<string>"))
     word = lambda d: F.when(is_open(d), "ouvert").otherwise("fermé")
-    slots = slot_diff(texts(a), texts(b))
-    return F.concat_ws(" | ", F.when(is_open(a) != is_open(b), F.concat(word(a), F.lit(" → "), word(b))), F.when(slots != "", F.concat(F.lit("créneaux: "), slots)))
+    slots = F.concat(F.lit("créneaux: "), F.nullif(let(F.struct(texts(a).alias("a"), texts(b).alias("b")), lambda t: slot_diff(t["a"], t["b"])), F.lit("")))
+    return F.concat_ws(" | ", F.when(is_open(a) != is_open(b), F.concat(word(a), F.lit(" → "), word(b))), slots)
 
 
 def week_diff(a: Column, b: Column) -> Column:
     """Changes of a week as ``jour: change`` joined by `` | ``."""
-    each = [F.concat(F.lit(f"{j}: "), F.nullif(day_diff(a[k], b[k]), F.lit(""))) for k, j in enumerate(JOURS)]
-    return F.concat_ws(" | ", *each)
+    days = F.zip_with(F.arrays_zip(a.alias("a"), b.alias("b")), F.array(*map(F.lit, JOURS)), lambda d, j: F.concat(j, F.lit(": "), F.nullif(day_diff(d["a"], d["b"]), F.lit(""))))
+    return F.array_join(days, " | ")
 
 
 def special_diff(a: Column, b: Column) -> Column:
@@ -230,15 +230,22 @@ def compare(a: Column, b: Column) -> Column:
     """identical and differences of two schedules from ``parse_osm``: special dates first, then the week."""
     shut = lambda s: s["closed"] | (~F.exists(s["week"], lambda d: d["ouvert"] | (F.size(d["creneaux"]) > 0)) & (F.size(s["special"]) == 0))
     dates = lambda s: F.map_from_entries(F.transform(_last_wins(s["special"]), lambda x: F.struct(x["date"], x["status"])))
-    special, week = special_diff(dates(a), dates(b)), week_diff(a["week"], b["week"])
-    found = F.concat_ws(
-        "\n",
-        F.when(shut(a) & ~shut(b), ATTENTION_1).when(~shut(a) & shut(b), ATTENTION_2),
-        F.when(special != "", F.concat(F.lit(f"{SPECIAL}: "), special)),
-        F.when(week != "", F.concat(F.lit("HORS_VACANCES_SCOLAIRES: "), week)),
-    )
-    same = (shut(a) & shut(b)) | (found == "")
-    return F.struct(same.alias("identical"), F.when(same, SAME).otherwise(found).alias("differences"))
+    seen = lambda s: F.struct(shut(s).alias("shut"), dates(s).alias("dates"), s["week"].alias("week"))
+
+    def found(p: Column) -> Column:
+        x, y = p["a"], p["b"]
+        labelled = lambda label, text: F.concat(F.lit(label), F.nullif(text, F.lit("")))
+        return F.when(x["shut"] & y["shut"], "").otherwise(
+            F.concat_ws(
+                "\n",
+                F.when(x["shut"] & ~y["shut"], ATTENTION_1).when(~x["shut"] & y["shut"], ATTENTION_2),
+                labelled(f"{SPECIAL}: ", special_diff(x["dates"], y["dates"])),
+                labelled("HORS_VACANCES_SCOLAIRES: ", week_diff(x["week"], y["week"])),
+            )
+        )
+
+    text = let(F.struct(let(a, seen).alias("a"), let(b, seen).alias("b")), found)
+    return let(text, lambda t: F.struct((t == "").alias("identical"), F.when(t == "", SAME).otherwise(t).alias("differences")))
 
 
 def _last_wins(special: Column) -> Column:

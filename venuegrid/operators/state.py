@@ -51,7 +51,8 @@ def with_venue(results: DataFrame, venues: DataFrame) -> DataFrame:
 
 def missing_step() -> Column:
     """The first step an incomplete result lacks: url, llm or osm; null if complete."""
-    return F.when(F.col("statut_url") != "ok", "url").when(F.col("llm_horaires_json") == "", "llm").when(F.col("llm_horaires_osm") == "", "osm")
+    ok, json, osm = F.col("statut_url") == "ok", F.col("llm_horaires_json"), F.col("llm_horaires_osm")
+    return F.when(~ok, "url").when(ok & (json == ""), "llm").when(ok & (json != "") & (osm == ""), "osm")
 
 
 def reassign(results: DataFrame, execution: Column) -> DataFrame:
