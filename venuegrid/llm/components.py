@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuegrid.llm.common import keep
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Label every node that has an edge with the smallest node it can reach.
+def classes(edges: DataFrame) -> DataFrame:
+    """One row per node that has an edge: ``node`` and ``root``, a node that all of its component share.
 
-    edges: columns ``a`` and ``b`` (long). Null ends and self-loops are ignored; repeated edges count once.
-    Returns one row per node: ``node``, ``root``. An empty edge table gives an empty result.
+    edges: columns ``a`` and ``b`` (long). Null ends and self-loops are ignored; repeated edges count once. An
+    empty edge table gives an empty result.
 
-    Each round points every node at the smallest of itself and its neighbours and redraws the edges between
-    those targets. Only local minima stay, at most half of the nodes that still have an edge, so the number of
-    rounds is logarithmic. The per-node minimum is combined before its shuffle and the redrawing joins are
-    plain inner joins, which adaptive execution splits when a hub is large. Every round is written to the
-    shared folder, so lineage stays short and lost executors cost one round at most.
+    Each round ranks nodes by a hash of their own, points every node at the best ranked of itself and its
+    neighbours, and redraws the edges between those targets. As ranks are random, about half of the nodes stay in
+    each round whatever the shape of the graph, long paths included, so the number of rounds is logarithmic. The
+    best neighbour is combined before its shuffle and the redrawing joins are plain inner joins, which adaptive
+    execution splits when a hub is large. Every round is written to the shared folder, so lineage stays short.
     """
     live = keep(_simple(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))), "edges")
-    steps = []
+    steps: list[DataFrame] = []
     while not live.isEmpty():
         both = live.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
-        step = both.groupBy(F.col("e.a").alias("node")).agg(F.min("e.b").alias("near"))
-        step = keep(step.select("node", F.least("node", "near").alias("root")), "step")
+        near = both.groupBy(F.col("e.a").alias("node")).agg(F.min(_ranked(F.col("e.b"), len(steps))).alias("near"))
+        step = keep(near.select("node", F.least("near", _ranked(F.col("node"), len(steps)))["node"].alias("root")), "step")
         steps.append(step)
         at_a = step.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         at_b = step.select(F.col("node").alias("b"), F.col("root").alias("rb"))
@@ -39,5 +39,16 @@ def components(edges: DataFrame) -> DataFrame:
     return found
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """As ``classes``, with the smallest node of the component as ``root``."""
+    found = keep(classes(edges), "classes")
+    least = keep(found.groupBy("root").agg(F.min("node").alias("least")), "least")
+    return found.join(least, "root").select("node", F.col("least").alias("root"))
+
+
+def _ranked(node: Column, turn: int) -> Column:
+    return F.struct(F.xxhash64(node, F.lit(turn)).alias("rank"), node.alias("node"))
+
+
 def _simple(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()

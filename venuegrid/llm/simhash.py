@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venuegrid.llm.common import keep, text_batches, words_of
-from venuegrid.llm.components import components
+from venuegrid.llm.components import classes
 
 BITS = 64
 #: Distinct fingerprints that steer the layout (those with the smallest hashes).
@@ -73,7 +73,7 @@ def plan(sample: np.ndarray, total: int, radius: int) -> list[tuple[list[int], i
     best: tuple[float, list[tuple[list[int], int]]] | None = None
     for parts in range(2, min(radius + 1, 8) + 1):
         groups = _correlated(bits, parts)
-        cost = [[_cost(bits, g, t, total) for t in range(-1, radius + 1)] for g in groups]
+        cost = [_costs(bits, g, radius, total) for g in groups]
         found = _allocate(cost, radius + 1)
         if best is None or found[0] < best[0]:
             best = found[0], [(g, t) for g, t in zip(groups, found[1], strict=True) if t >= 0]
@@ -102,19 +102,23 @@ def _correlated(bits: np.ndarray, parts: int) -> list[list[int]]:
     return groups
 
 
-def _cost(bits: np.ndarray, group: list[int], t: int, total: int) -> float:
-    """Signature rows plus estimated candidate pairs of one partition at threshold t."""
-    if t < 0:
-        return 0.0
-    rows = sum(comb(len(group), k) for k in range(min(t, len(group)) + 1)) + (t > 0)
-    chance = sum(comb(len(group), k) for k in range(min(t, len(group)) + 1)) / 2.0 ** len(group)
-    if len(bits) > 1:
+def _costs(bits: np.ndarray, group: list[int], most: int, total: int) -> list[float]:
+    """Signature rows plus estimated candidate pairs of one partition at thresholds -1 to ``most``."""
+    share = np.zeros(len(group) + 1)
+    n = len(bits)
+    if n > 1:
         x = bits[:, group].astype(np.float32)
         ones = x.sum(axis=1)
-        far = ones[:, None] + ones[None, :] - 2 * (x @ x.T)
-        n = len(bits)
-        chance = max(chance, float((np.count_nonzero(far <= t + 0.5) - n) / (n * (n - 1))))
-    return total * rows * ROW_COST + total * total / 2 * chance
+        far = (ones[:, None] + ones[None, :] - 2 * (x @ x.T)).round().astype(np.int64).ravel()
+        pairs = np.bincount(far, minlength=len(share))
+        pairs[0] -= n
+        share = pairs / (n * (n - 1))
+    costs = [0.0]
+    for t in range(most + 1):
+        values = sum(comb(len(group), k) for k in range(min(t, len(group)) + 1))
+        chance = max(values / 2.0 ** len(group), float(share[: t + 1].sum()))
+        costs.append(total * (values + (t > 0)) * ROW_COST + total * total / 2 * chance)
+    return costs
 
 
 def _allocate(cost: list[list[float]], units: int) -> tuple[float, list[int]]:
@@ -257,10 +261,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col:
     """
     marked = keep(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     least = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = keep(components(links(least.select("fp"), radius)), "roots")
+    roots = keep(classes(links(least.select("fp"), radius)), "roots")
     rooted = least.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = rooted.join(ids, "root").select("fp", "component_id")
+    rooted = keep(rooted, "rooted")
+    ids = keep(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
+    member = keep(rooted.join(ids, "root").select("fp", "component_id"), "members")
     return marked.join(member, "fp").select("doc_id", "fp", "component_id")
 
 

@@ -127,4 +127,4 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], rejected_terms: list[s
     tenth = F.least(F.greatest(F.floor(F.col("score") * 10), F.lit(-BINS // 2)), F.lit(BINS // 2))
     bins = scored.where(F.col("host") != "").groupBy(tenth.alias("bin")).agg(F.count_if(~rejected), F.count_if(rejected)).collect()  # BINS rows at most
     cut = threshold([tuple(b) for b in bins])
-    return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("score") >= cut, "block").otherwise("allow")).alias("verdict"), "score")
+    return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when((F.col("host") != "") & (F.col("score") >= cut), "block").otherwise("allow")).alias("verdict"), "score")
