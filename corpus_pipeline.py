@@ -39,7 +39,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 tokens, with their token ids."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end=2, length=4096, ids=True)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end=2, length=4096, ids=True, fold=True)
 
 
 STAGES = [

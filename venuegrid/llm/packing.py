@@ -30,38 +30,70 @@ VOCABULARY = 1_000_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+class Ragged:
+    """Growing rows of ids of unequal length in one array."""
+
+    def __init__(self) -> None:
+        self.flat, self.cut, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64), 0
+
+    def __len__(self) -> int:
+        return len(self.cut) - 1
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.cut = np.concatenate([self.cut, self.cut[-1] + np.cumsum(counts)])
+
+    def gather(self, at: np.ndarray, each: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of rows ``at`` in turn, and how many every ``each`` of them have."""
+        a = self.cut[at]
+        n = self.cut[at + 1] - a
+        total = int(n.sum())
+        return self.flat[np.repeat(a - (np.cumsum(n) - n), n) + np.arange(total)], n.reshape(-1, each).sum(axis=1)
+
+
 class WordTokens:
     """Token ids of texts through a table of ids by word.
 
     The tokenizer must treat white-space-separated words independently, as one does that drops white space
-    before it splits; then a text's ids are its words' ids in turn. New words are encoded TOGETHER at a time.
+    before it splits; then a text's ids are its words' ids in turn. New words are encoded TOGETHER at a time. With
+    ``fold`` it must also lower-case, and split letters and digits from other characters: then ASCII words share
+    the ids of their lower-cased core and of the punctuation after it.
     """
 
     TOGETHER = 2000
+    PUNCTUATION = b".,;:!?#$%&*|"
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, fold: bool = False) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.fold = Tokenizer.from_file(path), fold
         self.forget()
 
     def forget(self) -> None:
-        self.numbers, self.flat, self.cut, self.used = Numbers(), np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64), 0
+        self.numbers, self.words = Numbers(), Ragged()
+        self.cores, self.parts = Numbers(), Ragged()
+
+    def _split(self, word: bytes) -> tuple[bytes, bytes]:
+        if self.fold and word.isascii() and b"<|" not in word:
+            low = word.lower()
+            core = low.rstrip(self.PUNCTUATION)
+            if core[-1:].isalnum():
+                return core, low[len(core) :]
+        return word, b""
 
     def _learn(self) -> None:
-        new = self.numbers.names[len(self.cut) - 1 :]
-        counts = []
+        split = [self._split(w) for w in self.numbers.names[len(self.words) :]]
+        both = np.array([(self.cores[a], self.cores[b]) for a, b in split], np.int64).ravel()
+        new = [w.decode() for w in self.cores.names[len(self.parts) :]]
         for at in range(0, len(new), self.TOGETHER):
-            words = [w.decode() for w in new[at : at + self.TOGETHER]]
+            words = new[at : at + self.TOGETHER]
             found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-            ids, n = np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            counts.append(n)
-        if counts:
-            self.cut = np.concatenate([self.cut, self.cut[-1] + np.cumsum(np.concatenate(counts))])
+            self.parts.add(np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(words)))
+        if len(both):
+            self.words.add(*self.parts.gather(both, 2))
 
     def ids(self, texts: list[bytes | None], end: int) -> Iterator[np.ndarray]:
         """The ids of each text, with ``end`` after the last."""
@@ -71,13 +103,8 @@ class WordTokens:
         each = [np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)) for words in map(words_of, texts)]
         self._learn()
         for at in each:
-            a = self.cut[at]
-            n = self.cut[at + 1] - a
-            total = int(n.sum())
-            out = np.empty(total + 1, np.uint32)
-            out[:total] = self.flat[np.repeat(a - (np.cumsum(n) - n), n) + np.arange(total)]
-            out[total] = end
-            yield out
+            out, _ = self.words.gather(at)
+            yield np.append(out, np.uint32(end))
 
 
 class Windows:
@@ -128,9 +155,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
 
-def _online(path: str, end: int, length: int, most: int, ids: bool):
+def _online(path: str, fold: bool, end: int, length: int, most: int, ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, count, rows, tokens = TaskContext.get().partitionId(), 0, [], WordTokens(path)
+        part, count, rows, tokens = TaskContext.get().partitionId(), 0, [], WordTokens(path, fold)
 
         def emit(pieces: list) -> None:
             nonlocal count
@@ -186,17 +213,17 @@ def _merge(length: int, ids: bool):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, end: int = 2, length: int = 4096, open_windows: int = OPEN, ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end: int = 2, length: int = 4096, open_windows: int = OPEN, ids: bool = False, fold: bool = False) -> DataFrame:
     """Pack every row's tokens, then ``end``, into sequences of at most ``length`` (a power of two) tokens.
 
     Reads ``doc_id`` and ``text``; null text counts as empty and packs as the end token alone; repeated rows and
     repeated or null ids are packed row by row; other columns are not read; an empty table gives an empty result.
     Returns per piece doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, with ``ids``, the
     token ids as little-endian unsigned 32-bit numbers (else null). Every sequence is full, or has a power of two
-    of tokens, so none needs padding.
+    of tokens, so none needs padding. For ``fold`` see WordTokens.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    packed = keep(rows.mapInArrow(_online(tokenizer, end, length, open_windows, ids), PIECE), "packed")
+    packed = keep(rows.mapInArrow(_online(tokenizer, fold, end, length, open_windows, ids), PIECE), "packed")
     group = F.floor((-1 - F.col("sequence_id")) / MERGED).cast("long")
     merged = packed.where("sequence_id < 0").groupBy(group.alias("group")).applyInPandas(_merge(length, ids), PIECE)
     return packed.where("sequence_id >= 0").unionByName(merged)

@@ -34,7 +34,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2, length=4096).drop("ids")
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2, length=4096, fold=True).drop("ids")
 
 
 @query

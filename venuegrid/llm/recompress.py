@@ -214,16 +214,17 @@ def _find(docs: DataFrame, window: int, want_text: bool) -> tuple[DataFrame, Dat
     rows = docs.select(F.xxhash64("doc_id", "text").alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     digests = keep(rows.mapInArrow(_digests(window), "uid long, doc_id long, n_words long, w1 long, w2 long, sha string, keys array<long>"), "digests")
     long = digests.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
-    firsts = long.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"))
+    # small sides are written first: a join of two plain shuffles can be split where one key is hot
+    firsts = keep(long.groupBy("w1", "w2").agg(F.min("doc_id").alias("first")), "firsts")
     copy = (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= window)
     seen = digests.join(firsts, ["w1", "w2"], "left").withColumn("copy", F.coalesce(copy, F.lit(False)))
     seen = keep(seen.select("uid", "doc_id", "n_words", "sha", "copy", F.when(~F.col("copy") & F.col("doc_id").isNotNull(), F.col("keys")).alias("keys")), "texts")
     keys = seen.select("uid", "doc_id", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key")
+    shared = keep(keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key"), "shared")
     marked = keys.join(shared, "key").groupBy("uid").agg(F.collect_set("key").alias("shared"))
     texts = keep(rows.join(marked, "uid"), "candidates")
     windows = keep(texts.mapInArrow(_windows(window), "uid long, doc_id long, pos int, h1 long, h2 long"), "windows")
-    lows = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
+    lows = keep(windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1", "h2", "lo"), "lows")
     hits = windows.join(lows, ["h1", "h2"]).where("doc_id > lo").groupBy("uid").agg(F.collect_set("pos").alias("at"))
     changed = texts.select("uid", "text").join(hits, "uid").mapInArrow(_kept(window, want_text), "uid long, removed long, kept_sha string, kept string")
     return seen.drop("keys"), changed.dropDuplicates(["uid"])
