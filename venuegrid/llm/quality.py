@@ -71,6 +71,14 @@ class Terms:
                 yield np.array([len(ids)]), np.bincount(all_terms.astype(np.int64), minlength=len(self.chosen) + 1)[:-1]
 
 
+def weighted(counts: np.ndarray, words: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Turns a float32 matrix of term counts, in place, into weighted terms."""
+    counts /= np.maximum(words, 1).astype(np.float32)[:, None]
+    np.sqrt(counts, out=counts)
+    counts *= idf
+    return counts
+
+
 @dataclass
 class Model:
     """What is learned: sorted term hashes, their weights, the projection, labelled unit vectors and labels."""
@@ -82,8 +90,11 @@ class Model:
     labels: np.ndarray
 
     def embed(self, counts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        x = np.sqrt(counts / np.maximum(words, 1)[:, None]) * self.idf
-        y = (x @ self.axes).astype(np.float32)
+        return self.place(weighted(counts.astype(np.float32), words, self.idf))
+
+    def place(self, x: np.ndarray) -> np.ndarray:
+        """Unit vectors, in the latent-semantic space, of rows of weighted terms."""
+        y = x @ self.axes
         norm = np.linalg.norm(y, axis=1, keepdims=True)
         return np.divide(y, norm, out=np.zeros_like(y), where=norm > 0)
 
@@ -133,9 +144,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     idf = np.log1p(len(sample) / (1.0 + (dense > 0).sum(axis=0))).astype(np.float32)
     model = Model(terms, idf, np.zeros((len(terms), 0), np.float32), np.zeros((0, 0), np.float32), sample["label"].to_numpy(np.float64))
     words = sample["words"].to_numpy()
-    x = np.sqrt(dense / np.maximum(words, 1)[:, None]) * idf
-    model.axes = _axes(x.astype(np.float32), min(RANK, *x.shape))
-    model.vectors = model.embed(dense, words)
+    del sample
+    x = weighted(dense, words, idf)
+    model.axes = _axes(x, min(RANK, *x.shape))
+    model.vectors = model.place(x)
     return model
 
 
