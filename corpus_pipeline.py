@@ -28,8 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: 5-word shingles, fingerprints at most 6 of 64 bits apart."""
-    return simhash.keep_one(docs, shingle=5, radius=6)
+    """One document of each near-duplicate group: 5-word shingles, Jaccard similarity of 0.8 or more."""
+    return simhash.keep_one(docs, shingle=5, radius=8, alike=0.8)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

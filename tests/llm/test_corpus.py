@@ -176,6 +176,37 @@ def test_keep_one(docs, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def test_keep_one_at_a_similarity(spark, monkeypatch):
+    """Copies of a Jaccard of 0.8 to 0.85 go, also in clusters of several chunks; other texts stay."""
+    monkeypatch.setattr(simhash, "TEXTS", 4)
+    rng = random.Random(11)
+    prose = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    made, pairs = [], 40
+    for k in range(pairs):
+        base = prose(204)
+        other = list(base)
+        for at in (9, 59, 109, 159):  # each changes five of 200 shingles: 180 of 220 stay
+            other[at] = prose(1)[0]
+        made += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    base = prose(204)
+    for k in range(12):  # one large group whose copies are only like the first
+        other = list(base)
+        other[7 + 15 * k] = "x"
+        made.append((1000 + k, " ".join(other)))
+    made += [(2000 + k, " ".join(prose(100))) for k in range(10)]
+    sets = {i: set(simhash.shingles(t.encode(), 5).tolist()) for i, t in made}
+    assert all(0.8 <= len(sets[2 * k] & sets[2 * k + 1]) / len(sets[2 * k] | sets[2 * k + 1]) < 0.85 for k in range(pairs))
+    left = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert {2 * k for k in range(pairs)} | {1000} | {2000 + k for k in range(10)} <= left
+    assert len(left) - (pairs + 11) <= 2
+
+
+def test_verified_drops_false_candidates(spark):
+    rows = [(1, 1, "a b c d e f g h"), (1, 2, "A b c d e f g h"), (1, 3, "a b c d e f x y"), (2, 4, "a b c d e f g h")]
+    got = simhash.verified(spark.createDataFrame(rows, "root long, key long, text string"), 5, 0.8).collect()
+    assert [{r.a, r.b} for r in got] == [{1, 2}]
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3), (300, 200)] + [(1000, k) for k in range(1001, 1060)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
