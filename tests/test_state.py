@@ -60,6 +60,19 @@ def test_errors(spark):
     assert spark.range(1).select(twice).first()[0] == "[10:11:12] URL: boom"
 
 
+def test_keys_of_many_partitions(spark):
+    """More rows than range boundaries are sampled from, in several partitions: no key twice, no gap, in order."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        rows = spark.range(200_000).select(F.xxhash64("id").alias("v"))
+        got = state.number_from(rows, 100, ["v"], "k").toPandas().sort_values("v")["k"].tolist()
+    finally:
+        spark.conf.set(name, before)
+    assert got == list(range(101, 200_101))
+
+
 def test_status(spark):
     df = spark.createDataFrame(
         [(False, "erreur", 0, "", ""), (True, "ok", 200, "", ""), (None, "ok", 404, "x", "x"), (None, "ok", 200, "Erreur", "x"), (None, "ok", 200, "x", "x")],

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from venuegrid.sources.tables import kept
+
 ID = "id_resultats_extraction"
 
 
@@ -86,9 +88,12 @@ def apply_delta(results: DataFrame, delta: DataFrame, columns: list[str], key: s
 def number_from(rows: DataFrame, start: int, order: list[str], name: str) -> DataFrame:
     """Gapless surrogate keys after ``start``, by a stated order.
 
-    Rows are range-partitioned by the order; each partition's count gives the next one's first number.
+    Rows are range-partitioned by the order; each partition's count gives the next one's first number. They are
+    written once with their partition and place: range boundaries come from a sample that every evaluation draws
+    anew, so counts and keys have to come from the same rows.
     """
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"__p": F.spark_partition_id(), "__m": F.monotonically_increasing_id()})
+    dealt = kept(dealt, "numbered")
     counts = dealt.groupBy("__p").agg(F.count("*").alias("n"), F.min("__m").alias("__m0")).orderBy("__p").collect()  # a row per partition
     firsts, total = [], start
     for r in counts:

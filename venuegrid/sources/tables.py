@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from venuegrid.schema import TABLES
 
 
+def kept(rows: DataFrame, what: str) -> DataFrame:
+    """rows written as Parquet to the folder that driver and executors share, and reread."""
+    spark = rows.sparkSession
+    if not (shared := spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="venuegrid-"))
+        shared = spark.sparkContext.getCheckpointDir()
+    path = f"{shared}/{what}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 class Store:
     """Tables below a root; each write is a new snapshot, and a one-row pointer names the current one."""
 
