@@ -321,6 +321,20 @@ def test_rules(docs, rows, none):
     assert Counter(r.doc_id for r in rules.keep_sound(docs).collect()) == kept
 
 
+def test_rules_judge_short_documents(spark):
+    """Of 40 to 99 words: gibberish and another script go, prose of the language stays."""
+    rng = random.Random(8)
+    made_up = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    word = lambda: rng.choice(rules.COMMON["en"]) if rng.random() < 0.4 else made_up()
+    made = [(k, " ".join(word() for _ in range(40 + 3 * (k % 20) if k % 2 else 150))) for k in range(200)]
+    made += [(1000 + k, " ".join(made_up() for _ in range(40 + 3 * k))) for k in range(20)]
+    made += [(2000, " ".join("".join(rng.choice("абвгдежзик") for _ in range(6)) for _ in range(60)))]
+    got = {r.doc_id: r for r in rules.judge(spark.createDataFrame([(i, t, "en") for i, t in made], "doc_id long, text string, lang string")).collect()}
+    assert not any(got[1000 + k].kept for k in range(20))
+    assert got[2000].char_distance > rules.CHAR_FAR and not got[2000].kept
+    assert sum(not got[k].kept for k in range(200)) <= 4
+
+
 def test_distance(spark):
     df = spark.createDataFrame([([1.0, 0.0], [0.0, 1.0]), ([0.5, 0.5], [0.5, 0.5]), (None, [1.0, 0.0])], "p array<double>, q array<double>")
     assert [r[0] for r in df.select(rules._distance("p", "q")).collect()] == [1.0, 0.0, None]

@@ -8,6 +8,8 @@ that language that pass the base rules.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +18,13 @@ from venuegrid.llm.common import keep
 SPACES = "[ \\t-\\r]+"
 WINDOW = 8
 #: Fewest words for which a histogram of character classes, or of common words, is judged.
-CHAR_WORDS, COMMON_WORDS = 40, 100
-#: Greatest distances from the language reference.
-CHAR_FAR, COMMON_FAR = 0.30, 0.25
-#: Character classes counted by pattern; letters outside A-Z and all else are what is left.
-CLASSES = ["[A-Z]", "[0-9]", "[.,;:!?'\"()-]", "[#*$%&|<>]"]
+CHAR_WORDS, COMMON_WORDS = 40, 40
+#: Greatest distances from the language reference; for common words that of FULL words or more.
+CHAR_FAR, COMMON_FAR, FULL = 0.30, 0.25, 100
+#: Character classes counted by pattern; a-z and all else in ASCII are what is left. Symbols are SYMBOLS, and
+#: the classes from WIDE on (accented Latin letters, then other scripts and signs) lie outside ASCII.
+CLASSES = ["[A-Z]", "[0-9]", "[.,;:!?'\"()-]", "[#*$%&|<>]", "[\u00C0-\u024F]", "[^\\x00-\\x7F\u00C0-\u024F]"]
+SYMBOLS, WIDE = 3, 4
 # Very common words of four languages.
 COMMON = {
     "en": ["the", "of", "and", "to", "in", "a", "is", "that", "for", "it"],
@@ -61,6 +65,12 @@ def _one_of(words: list[str]):
     return lambda w: F.lower(w).isin(words)
 
 
+def _seen(i: int, pattern: str) -> Column:
+    """Characters of one class; a text of as many bytes as characters is ASCII and has none of the wide ones."""
+    found = F.regexp_count("__t", F.lit(pattern))
+    return found if i < WIDE else F.when(F.octet_length("__t") > F.char_length("__t"), found).otherwise(0)
+
+
 def _counts(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), text.alias("__t"))
@@ -78,14 +88,14 @@ def _counts(docs: DataFrame) -> DataFrame:
     seen = F.transform(listed, lambda w: F.size(F.filter("__c", lambda c: c == w)).cast("double"))
     word_chars = F.char_length(F.array_join("__w", ""))
     rows = rows.select(
-        "doc_id", "lang", F.size("__w").cast("long").alias("n_words"), word_chars.cast("long").alias("word_chars"), *(F.regexp_count("__t", F.lit(p)).cast("long").alias(f"__k{i}") for i, p in enumerate(CLASSES)),
+        "doc_id", "lang", F.size("__w").cast("long").alias("n_words"), word_chars.cast("long").alias("word_chars"), *(_seen(i, p).cast("long").alias(f"__k{i}") for i, p in enumerate(CLASSES)),
         (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"), _repeat_words().alias("n_repeat_words"), F.char_length("__t").alias("__chars"), seen.alias("__seen"), F.size("__c").alias("__common"),
     )
     other = F.col("word_chars") - sum((F.col(f"__k{i}") for i in range(len(CLASSES))), F.lit(0))
     chars = F.array(*(F.col(f"__k{i}").cast("double") for i in range(len(CLASSES))), other.cast("double"))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return rows.select(
-        "doc_id", "lang", "n_words", "word_chars", F.col(f"__k{len(CLASSES) - 1}").alias("n_symbols"), "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        "doc_id", "lang", "n_words", "word_chars", F.col(f"__k{SYMBOLS}").alias("n_symbols"), "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         chars.alias("chars"), F.concat("__seen", F.array((F.col("n_words") - F.col("__common")).cast("double"))).alias("common"),
     )
 
@@ -103,11 +113,22 @@ def _distance(p: str, q: str) -> Column:
     return F.when(total > 0, F.sqrt(total)).when(total.isNotNull(), 0.0)
 
 
+def _limit(far: float) -> Column:
+    """The greatest common-word distance by length: under FULL words it grows as sampling alone parts a histogram more.
+
+    The divergence of n draws over k classes from their source is (k - 1) / (8 n ln 2) bits on average. Divergences
+    add, so what a document has on average beyond one of FULL words joins the square of the limit.
+    """
+    free = len(COMMON["en"]) / (8 * log(2))
+    return F.sqrt(F.lit(far * far) + F.greatest(F.lit(0.0), F.lit(free) / F.col("n_words") - F.lit(free / FULL)))
+
+
 def judge(docs: DataFrame, char_far: float = CHAR_FAR, common_far: float = COMMON_FAR) -> DataFrame:
     """One row per row of docs (columns doc_id, lang, text): the base counts, both distances and ``kept``.
 
     Words are ``[^\\x20\\x09-\\x0D]+``. ``base_failed``: under 20 words, or over 30 % of the words inside repeated
-    8-word windows. ``kept``: base rules passed and no judged distance over its limit; a distance is null, and
+    8-word windows. ``kept``: base rules passed and no judged distance over its limit (that of common words
+    grows under FULL words, see ``_limit``); a distance is null, and
     not judged, under the minimum length or without a reference. Null and empty texts have no words and fail.
     A null lang is a language of its own, without common words. Repeated rows each get their row; other columns
     are not read; an empty table gives an empty result.
@@ -119,7 +140,7 @@ def judge(docs: DataFrame, char_far: float = CHAR_FAR, common_far: float = COMMO
     means = [F.array(*(F.avg(F.col(c)[i]) for i in range(n))).alias(f"of_{c}") for c, n in zip(("chars", "common"), width, strict=True)]
     references = sound.groupBy("lang").agg(*means)
     far = shares.join(references, "lang", "left").withColumns({"char_distance": _distance("chars", "of_chars"), "common_distance": _distance("common", "of_common")})
-    odd = (F.coalesce("char_distance", F.lit(0.0)) > char_far) | (F.coalesce("common_distance", F.lit(0.0)) > common_far)
+    odd = (F.coalesce("char_distance", F.lit(0.0)) > char_far) | (F.coalesce("common_distance", F.lit(0.0)) > _limit(common_far))
     return far.withColumn("kept", ~F.col("base_failed") & ~odd).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "common_distance"
     )
