@@ -400,6 +400,13 @@ def test_urls(spark):
     assert urls.judge(df.where("false"), said).count() == 0
 
 
+def test_urls_score_the_query(spark):
+    made = [(k, f"https://www.casino-pills.net/{k}") for k in range(30)] + [(100 + k, f"https://blog.quiet-river.net/{k}") for k in range(60)]
+    made += [(500, "http://x.org/"), (501, "http://x.org/?to=casino-pills"), (502, "http://x.org/#casino-pills")]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(made, "page_id long, url string"), []).collect()}
+    assert (got[501].host, got[501].path) == ("x.org", "/") and min(got[501].score, got[502].score) > got[500].score
+
+
 def test_log_ratios():
     counts = [(False, 33, 10), (False, 34, 1), (True, 33, 1), (True, 35, 10)]
     ratios = urls.log_ratios(counts)

@@ -52,9 +52,9 @@ def rule_of(rules: list[tuple[str, str]], host: Column, path: Column) -> tuple[C
     return rule, verdict
 
 
-def _grams(host: Column, path: Column) -> Column:
+def _grams(rest: Column) -> Column:
     """The number of every character's trigram; digits count as one character."""
-    letters = F.regexp_replace(F.lower(F.concat(host, path)), "[0-9]", "0")
+    letters = F.regexp_replace(F.lower(rest), "[0-9]", "0")
     codes = F.transform(F.filter(F.split(letters, ""), lambda c: c != ""), lambda c: F.position(c, F.lit(ALPHABET)))
     padded = F.concat(F.array(F.lit(0), F.lit(0)), codes)
     return F.transform(F.slice(padded, 3, F.size(padded)), lambda c, i: F.element_at(padded, i + 1) * SIZE**2 + F.element_at(padded, i + 2) * SIZE + c)
@@ -105,6 +105,7 @@ def threshold(bins: list[tuple[int, int, int]]) -> float:
 def judge(pages: DataFrame, rules: list[tuple[str, str]], rejected_terms: list[str] = REJECTED_TERMS) -> DataFrame:
     """One row per row of pages (columns page_id, url): host, path, rule, verdict and score.
 
+    The models see all that follows ``://``, query and fragment included; rules see host and path only.
     Every URL teaches one of the models: the rejected one if a part of its host, cut at dots and hyphens, is one
     of ``rejected_terms``, else the accepted one. A URL under a rule gets the rule's verdict. Any other is
     blocked if its score exceeds the calibrated threshold; with only one kind of URL none is. Null urls, urls
@@ -112,9 +113,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], rejected_terms: list[s
     otherwise. Repeated rows each get their row; an empty table gives an empty result.
     """
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), _after_scheme(url).alias("__rest"))
     rejected = F.arrays_overlap(F.split("host", "[.-]"), F.array(*map(F.lit, rejected_terms)))
-    grams = rows.select(rejected.alias("rejected"), F.explode(_grams(F.col("host"), F.col("path"))).alias("gram"))
+    grams = rows.select(rejected.alias("rejected"), F.explode(_grams(F.col("__rest"))).alias("gram"))
     counts = [tuple(r) for r in grams.groupBy("rejected", "gram").agg(F.count("*")).collect()]  # 2 * SIZE**3 rows at most
     both = {r for r, _, _ in counts} == {False, True}
     rule, verdict = rule_of(rules, F.col("host"), F.col("path"))
@@ -122,7 +123,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], rejected_terms: list[s
         return rows.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.lit("allow")).alias("verdict"), F.lit(0.0).alias("score"))
     table = F.split(F.lit(" ".join(f"{x:.5f}" for x in log_ratios(counts))), " ").cast("array<double>")
     total = lambda g: F.aggregate(g, F.lit(0.0), lambda s, k: s + F.element_at(table, k + 1))
-    scored = rows.withColumn("__g", _grams(F.col("host"), F.col("path")))
+    scored = rows.withColumn("__g", _grams(F.col("__rest")))
     scored = scored.withColumn("score", F.when(F.size("__g") > 0, total("__g") / F.size("__g")).otherwise(0.0)).drop("__g")
     tenth = F.least(F.greatest(F.floor(F.col("score") * 10), F.lit(-BINS // 2)), F.lit(BINS // 2))
     bins = scored.where(F.col("host") != "").groupBy(tenth.alias("bin")).agg(F.count_if(~rejected), F.count_if(rejected)).collect()  # BINS rows at most
