@@ -421,3 +421,11 @@ def test_licences(spark, none):
     got = sorted((r.doc_id, r.license, tuple(r.notices)) for r in licences.scan(df).collect() if r.license or r.notices)
     assert got == [(1, "MIT", ()), (1, "MIT", ()), (2, None, ("CC-BY-4.0", "MIT"))]
     assert licences.scan(df).count() == 6 and licences.scan(df.where("false")).count() == 0
+
+
+def test_licences_of_the_caller_and_by_digest(spark):
+    df = spark.createDataFrame([(1, "x\n// Dedicated to the public domain!"), (2, "Organisation, programme")], "doc_id long, text string")
+    got = {r.doc_id: r.notices for r in licences.scan(df, notices={"PD": ["Dedicated to the public domain."], "O": ["organization program"]}).collect()}
+    assert got == {1: ["PD"], 2: ["O"]}
+    found = {r.license for r in licences.known(spark).collect()}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "MPL-2.0", "CC0-1.0", "MIT"} <= found

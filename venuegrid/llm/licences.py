@@ -7,6 +7,8 @@ the digests of the known licence texts; every line's form is likewise looked up
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,19 @@ Permission is granted to anyone to use this software for any purpose, including
 
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
 }
+#: Canonical digests of whole texts too long to hold here.
+DIGESTS = {
+    "Apache-2.0": "6074c3536c43b739207170b87d1681477d0f07374ed3d862ba461334cce848e3",
+    "CC0-1.0": "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
+    "GPL-1.0": "ec8a6b7d70e9f225b63d3962ed5b4721373f5535d7b967a06722b0d621f6892a",
+    "GPL-2.0": "331b500eb3c5ee796906547305df82fff4a35b3aa03c1d3ea84d32078292b2e6",
+    "GPL-3.0": "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68",
+    "LGPL-2.0": "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908",
+    "LGPL-2.1": "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891",
+    "LGPL-3.0": "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    "MPL-1.1": "3f0343dd4f3b064be36e0c6584737c9b7bb5c322721694563f9009e088ce96d1",
+    "MPL-2.0": "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a",
+}
 NOTICES = {
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "This project is licensed under the MIT License."],
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Released under the Apache License, Version 2.0.", 'Licensed under the Apache License, Version 2.0 (the "License");'],
@@ -78,9 +93,20 @@ def canonical(text: Column) -> Column:
 
 
 def known(spark, texts: dict[str, str] = TEXTS) -> DataFrame:
-    """Digests of known texts: ``digest``, ``license``; the smallest name where two forms agree."""
+    """Digests of known texts and DIGESTS: ``digest``, ``license``; the smallest name where two forms agree."""
     rows = spark.createDataFrame(list(texts.items()), "license string, text string")
-    return rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+    whole = rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license")
+    return whole.unionByName(spark.createDataFrame(list(DIGESTS.items()), "license string, digest string")).groupBy("digest").agg(F.min("license").alias("license"))
+
+
+def _hints(forms: list[str]) -> str:
+    """A pattern that every line with one of these canonical forms matches: a word of licences, or one of the form's own.
+
+    Words that another spelling can stand for are no hint; a form without any other word lets all lines through.
+    """
+    usual, respelled = r"licen[cs]e|\bcc\b|cc0", {w for meant in SPELLINGS.values() for w in meant.split()}
+    found = {max([w for w in f.split() if w not in respelled], key=len, default="") for f in forms if not re.search(usual, f)}
+    return "" if "" in found else "|".join([usual, *sorted(found)])
 
 
 def scan(docs: DataFrame, texts: dict[str, str] = TEXTS, notices: dict[str, list[str]] = NOTICES) -> DataFrame:
@@ -92,12 +118,13 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEXTS, notices: dict[str, list
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lower = F.lower(text)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lower.alias("__lower"))
-    # a notice speaks of a licence by one of these words; other lines are not brought to canonical form
-    lines = F.filter(F.split("__lower", "\n"), lambda x: x.rlike("licen[cs]e|\\bcc\\b|cc0"))
-    forms = F.transform(lines, _tidy)
     spark = docs.sparkSession
     pairs = spark.createDataFrame([(n, t) for n, ts in notices.items() for t in ts], "name string, text string")
     said = {r[0]: r[1] for r in pairs.select(_tidy(F.lower("text")), "name").collect()}
+    # other lines are not brought to canonical form
+    hints = _hints(list(said))
+    lines = F.filter(F.split("__lower", "\n"), lambda x: x.rlike(hints))
+    forms = F.transform(lines, _tidy)
     named = F.create_map(*(F.lit(x) for pair in said.items() for x in pair)) if said else F.create_map()
     found = F.array_sort(F.array_distinct(F.filter(F.transform(forms, lambda f: named[f]), lambda x: x.isNotNull())))
     none = F.array().cast("array<string>")
