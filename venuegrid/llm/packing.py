@@ -59,17 +59,23 @@ class WordTokens:
 
     The tokenizer must treat white-space-separated words independently, as one does that drops white space
     before it splits; then a text's ids are its words' ids in turn. New words are encoded TOGETHER at a time. With
-    ``fold`` it must also lower-case, and split letters and digits from other characters: then ASCII words share
-    the ids of their lower-cased core and of the punctuation after it.
+    ``fold`` it must also lower-case, split letters and digits from other characters, and end the last piece of
+    each run of letters in WORD_END: then words share the ids of their lower-cased core and of the punctuation
+    after it, and cores of letters alone are encoded as one running text, whose words WORD_END tells apart.
     """
 
     TOGETHER = 2000
     PUNCTUATION = b".,;:!?#$%&*|"
+    WORD_END = "</w>"
 
     def __init__(self, path: str, fold: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.fold = Tokenizer.from_file(path), fold
+        if fold:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            for piece, i in self.tokenizer.get_vocab().items():
+                self.ends[i] = piece.endswith(self.WORD_END)
         self.forget()
 
     def forget(self) -> None:
@@ -77,21 +83,41 @@ class WordTokens:
         self.cores, self.parts = Numbers(), Ragged()
 
     def _split(self, word: bytes) -> tuple[bytes, bytes]:
-        if self.fold and word.isascii() and b"<|" not in word:
-            low = word.lower()
-            core = low.rstrip(self.PUNCTUATION)
-            if core[-1:].isalnum():
-                return core, low[len(core) :]
+        core = word.rstrip(self.PUNCTUATION)
+        if len(core) == len(word) or b"<|" in word:
+            return word, b""
+        last = core[-2:]  # an ASCII letter or digit, or a Latin letter of two bytes that stays a letter in lower case
+        if last[-1:].isalnum() or (b"\xc3\x80" <= last < b"\xc9\x80" and last not in (b"\xc3\x97", b"\xc3\xb7", b"\xc4\xb0")):
+            return core, word[len(core) :]
         return word, b""
 
+    def _plain(self, core: str) -> bool:
+        """Whether a core is one run of Latin letters, also when lower-cased."""
+        return core.isalpha() and (core.isascii() or (max(core) < "\u0250" and "\u0130" not in core))
+
+    def _encode(self, words: list[str]) -> None:
+        """The ids of words, in their order."""
+        plain = np.array([self.fold and self._plain(w) for w in words], bool)
+        counts, flat = np.zeros(len(words), np.int64), [np.zeros(0, np.uint32), np.zeros(0, np.uint32)]
+        if plain.any():
+            (found,) = self.tokenizer.encode_batch_fast([" ".join(w for w, p in zip(words, plain, strict=True) if p)], add_special_tokens=False)
+            flat[1] = np.array(found.ids, np.uint32)
+            counts[plain] = np.diff(np.flatnonzero(self.ends[flat[1]]), prepend=-1)
+        if not plain.all():
+            found = self.tokenizer.encode([w for w, p in zip(words, plain, strict=True) if not p], is_pretokenized=True, add_special_tokens=False)
+            flat[0] = np.array(found.ids, np.uint32)
+            counts[~plain] = np.bincount(np.array(found.word_ids, np.int64), minlength=int((~plain).sum()))
+        out, of = np.zeros(int(counts.sum()), np.uint32), np.repeat(plain, counts)
+        out[~of], out[of] = flat
+        self.parts.add(out, counts)
+
     def _learn(self) -> None:
-        split = [self._split(w) for w in self.numbers.names[len(self.words) :]]
+        names = self.numbers.names[len(self.words) :]
+        split = map(self._split, names) if self.fold else ((w, b"") for w in names)
         both = np.array([(self.cores[a], self.cores[b]) for a, b in split], np.int64).ravel()
         new = [w.decode() for w in self.cores.names[len(self.parts) :]]
         for at in range(0, len(new), self.TOGETHER):
-            words = new[at : at + self.TOGETHER]
-            found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-            self.parts.add(np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(words)))
+            self._encode(new[at : at + self.TOGETHER])
         if len(both):
             self.words.add(*self.parts.gather(both, 2))
 
@@ -100,7 +126,8 @@ class WordTokens:
         if len(self.numbers) > VOCABULARY:
             self.forget()
         numbers = self.numbers
-        each = [np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)) for words in map(words_of, texts)]
+        low = (t.lower() if self.fold and t and b"<|" not in t else t for t in texts)  # special tokens keep their case
+        each = [np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)) for words in map(words_of, low)]
         self._learn()
         for at in each:
             out, _ = self.words.gather(at)
