@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuegrid.llm.common import Numbers, keep, text_batches, words_of
+from venuegrid.llm.common import Numbers, Ragged, keep, text_batches, words_of
 
 #: Open windows in a partition.
 OPEN = 32
@@ -30,30 +30,6 @@ VOCABULARY = 1_000_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-class Ragged:
-    """Growing rows of ids of unequal length in one array."""
-
-    def __init__(self) -> None:
-        self.flat, self.cut, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64), 0
-
-    def __len__(self) -> int:
-        return len(self.cut) - 1
-
-    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.cut = np.concatenate([self.cut, self.cut[-1] + np.cumsum(counts)])
-
-    def gather(self, at: np.ndarray, each: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of rows ``at`` in turn, and how many every ``each`` of them have."""
-        a = self.cut[at]
-        n = self.cut[at + 1] - a
-        total = int(n.sum())
-        return self.flat[np.repeat(a - (np.cumsum(n) - n), n) + np.arange(total)], n.reshape(-1, each).sum(axis=1)
-
-
 class WordTokens:
     """Token ids of texts through a table of ids by word.
 
