@@ -1,69 +1,142 @@
 """Sharding of indivisible groups by best-fit-decreasing bin packing.
 
-Groups over a small share of a shard are packed one by one, largest first, each into the bin with the least
-remaining capacity that holds it; the bins stay sorted by remaining capacity. Groups below that share are first
-pooled by hash into POOLS clumps per shard, so the packing sees a bounded number of items however many groups
-there are: clumps are summed by Spark, and only clump sums and the few large groups reach the driver.
+Groups of equal text stay whole. They are packed largest first, each into the bin with the least remaining capacity
+that still holds it, found in a balanced tree of the bins by remaining capacity. Best fit puts groups of one size
+into the same bin until it is too full for the next, so it needs only how many groups of each size there are: Spark
+counts them, the packing runs over (size, count) pairs, and the groups of a size are then dealt to the bins by their
+number within that size. n groups of different sizes hold n * n / 2 bytes or more together, so the pairs are few.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from venuegrid.llm.common import keep
 
-#: Clumps of small groups for each shard; a group over 1/POOLS of a shard's mean size is packed by itself.
-POOLS = 64
 #: Rows that one slot-numbering unit is meant to hold.
 UNIT = 20_000
 
 
-def best_fit(items: list[tuple[int, object]], capacity: int, bins: int | None = None) -> dict[object, int] | None:
-    """Best-fit-decreasing: the bin of every item, by item name; None if more than ``bins`` bins would be needed.
-
-    Ties are broken by item name and then by the lower bin. Items above the capacity get a bin of their own.
+class Rooms:
+    """Bins ordered by (remaining capacity, bin) in a treap whose priorities are a mix of the key, so it stays balanced."""
+
+    def __init__(self) -> None:
+        self.root: list | None = None  # [key, priority, left, right]
+
+    @staticmethod
+    def _priority(key: tuple[int, int]) -> int:
+        return ((key[0] * 0x9E3779B1 + key[1] + 1) * 0x85EBCA6B) & 0xFFFFFFFF
+
+    def _split(self, node: list | None, key: tuple[int, int]) -> tuple[list | None, list | None]:
+        """Nodes under ``key``, and the others."""
+        if node is None:
+            return None, None
+        if node[0] < key:
+            node[3], right = self._split(node[3], key)
+            return node, right
+        left, node[2] = self._split(node[2], key)
+        return left, node
+
+    def _join(self, a: list | None, b: list | None) -> list | None:
+        if a is None or b is None:
+            return a or b
+        if a[1] >= b[1]:
+            a[3] = self._join(a[3], b)
+            return a
+        b[2] = self._join(a, b[2])
+        return b
+
+    def add(self, room: int, name: int) -> None:
+        key = room, name
+        left, right = self._split(self.root, key)
+        self.root = self._join(self._join(left, [key, self._priority(key), None, None]), right)
+
+    def tightest(self, size: int) -> tuple[int, int] | None:
+        """The least (room, bin) with room for ``size``, taken out; None if no bin has."""
+        node, best = self.root, None
+        while node is not None:
+            if node[0][0] >= size:
+                best, node = node[0], node[2]
+            else:
+                node = node[3]
+        if best is not None:
+            left, right = self._split(self.root, best)
+            _, right = self._split(right, (best[0], best[1] + 1))
+            self.root = self._join(left, right)
+        return best
+
+
+def best_fit(sizes: list[tuple[int, int]], capacity: int, bins: int | None = None) -> list[tuple[int, int, int]] | None:
+    """Best-fit-decreasing of ``sizes``, pairs (size, how many groups): (size, groups, bin) in the order of placing.
+
+    Of equally tight bins the lowest is taken. Groups above the capacity get a bin each. None if more than ``bins``
+    bins would be needed.
     """
-    room: list[tuple[int, int]] = []  # (remaining capacity, bin) in order
-    placed, used = {}, 0
-    for size, name in sorted(items, key=lambda x: (-x[0], x[1])):
-        k = bisect_left(room, (size, -1))
-        if k < len(room):
-            left, at = room.pop(k)
-        else:
-            left, at, used = max(capacity, size), used, used + 1
-            if bins is not None and used > bins:
-                return None
-        placed[name] = at
-        insort(room, (left - size, at))
+    rooms, used, placed = Rooms(), 0, []
+    for size, n in sorted(sizes, reverse=True):
+        while n:
+            found = rooms.tightest(size)
+            if found is None:
+                used += 1
+                if bins is not None and used > bins:
+                    return None
+                found = max(capacity, size), used - 1
+            room, name = found
+            take = min(n, room // size) if size else n
+            placed.append((size, take, name))
+            n -= take
+            rooms.add(room - take * size, name)
     return placed
 
 
-def even_bins(items: list[tuple[int, object]], bins: int) -> dict[object, int]:
-    """Items in exactly up to ``bins`` bins of near-equal size.
+def even_bins(sizes: list[tuple[int, int]], bins: int) -> list[tuple[int, int, int]]:
+    """``sizes`` in at most ``bins`` bins of near-equal size, as (size, groups, bin).
 
-    An item above the mean of what is left takes a bin alone; the rest is packed by best-fit-decreasing at the
-    smallest capacity (to 1/1024 of the mean) that needs no more than the bins left.
+    A group above the mean of what is left takes a bin alone; the rest is packed by best-fit-decreasing at the
+    smallest capacity (to 1/1024 of the mean) found to need no more than the bins left.
     """
-    items = sorted(items, key=lambda x: (-x[0], x[1]))
-    placed, total = {}, sum(s for s, _ in items)
-    while items and bins - len(placed) > 1 and items[0][0] * (bins - len(placed)) > total:
-        size, name = items.pop(0)
-        placed[name] = len(placed)
-        total -= size
-    own, left = len(placed), bins - len(placed)
-    low, high = -(-total // left), max(total, 1)
+    left, placed, total, own = dict(sizes), [], sum(s * n for s, n in sizes), 0
+    while left and bins - own > 1 and (size := max(left)) * (bins - own) > total:
+        placed.append((size, 1, own))
+        own, total = own + 1, total - size
+        left[size] -= 1
+        if not left[size]:
+            del left[size]
+    rest = list(left.items())
+    low, high = -(-total // (bins - own)), max(total, 1)
     step = max(1, low // 1024)
-    found = best_fit(items, high, left)
-    while high - low > step:
-        at = (low + high) // 2
-        tried = best_fit(items, at, left)
-        low, high, found = (at, high, found) if tried is None else (low, at, tried)
-    tried = best_fit(items, low, left)
-    return placed | {k: v + own for k, v in (tried or found or {}).items()}
+    found = best_fit(rest, low, bins - own)
+    if found is None:
+        over = low + step  # the capacity needed is seldom far above the mean
+        while over < high and (found := best_fit(rest, over, bins - own)) is None:
+            low, over = over, low + 2 * (over - low)
+        high = min(over, high)
+        found = found or best_fit(rest, high, bins - own)
+        while high - low > step:
+            at = (low + high) // 2
+            tried = best_fit(rest, at, bins - own)
+            low, high, found = (at, high, found) if tried is None else (low, at, tried)
+    return placed + [(s, n, b + own) for s, n, b in found or []]
+
+
+def numbered(rows: DataFrame, within: list[str], order: list[str], name: str) -> DataFrame:
+    """rows with ``name``: gapless numbers from 0 for rows of equal ``within``; rows should be a written table.
+
+    Rows are cut by a hash of ``order`` into units of about equal row count (UNIT at most). The unit sizes give each
+    unit its first number, and the rows are numbered by ``order`` inside their unit, so no task holds all rows of one
+    ``within``. ``order`` has to tell rows apart if many are to be equal in it.
+    """
+    units = rows.groupBy(*within).agg(F.count("*").alias("__rows"))
+    total = rows.count()
+    each = min(UNIT, max(UNIT // 40, total // 512))
+    many = keep(units.where(F.col("__rows") > each).select(*within, F.ceil(F.col("__rows") / each).alias("__units")), "units")
+    cut = rows.join(many, within, "left").withColumn("__unit", F.pmod(F.xxhash64(*order), F.coalesce("__units", F.lit(1))).cast("int"))
+    before = Window.partitionBy(*within).orderBy("__unit").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = cut.groupBy(*within, "__unit").agg(F.count("*").alias("n")).select(*within, "__unit", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
+    place = F.row_number().over(Window.partitionBy(*within, "__unit").orderBy(*order))
+    placed = cut.withColumn("__place", place).join(firsts, [*within, "__unit"])
+    return placed.withColumn(name, (F.col("__first") + F.col("__place") - 1).cast("long")).drop("__units", "__unit", "__place", "__first")
 
 
 def assign(rows: DataFrame, group: Column, size: Column, shards: int) -> DataFrame:
@@ -73,35 +146,16 @@ def assign(rows: DataFrame, group: Column, size: Column, shards: int) -> DataFra
     shard's fair share gets a shard to itself and the others share what is left.
     """
     marked = rows.withColumn("__group", group).withColumn("__size", size)
-    sizes = keep(marked.groupBy("__group").agg(F.sum("__size").alias("n")), "groups")
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    clump = F.pmod("__group", F.lit(POOLS * shards)).cast("int")
-    floor = max(1, total // (POOLS * shards))
-    large = {r[0]: r[1] for r in sizes.where(F.col("n") > floor).collect()}  # at most POOLS * shards rows
-    small = {r[0]: r[1] for r in sizes.where(F.col("n") <= floor).groupBy(clump.alias("c")).agg(F.sum("n")).collect()}
-    bins = even_bins([(n, ("clump", c)) for c, n in small.items()] + [(n, ("group", g)) for g, n in large.items()], shards)
-    spark = rows.sparkSession
-    own = spark.createDataFrame([(g, bins["group", g]) for g in large], T.StructType([T.StructField("__group", T.LongType()), T.StructField("__own", T.IntegerType())]))
-    pool = spark.createDataFrame([(c, bins["clump", c]) for c in small], T.StructType([T.StructField("__clump", T.IntegerType()), T.StructField("__pool", T.IntegerType())]))
-    found = marked.withColumn("__clump", clump).join(F.broadcast(own), "__group", "left").join(F.broadcast(pool), "__clump", "left")
-    return found.withColumn("shard", F.coalesce("__own", "__pool")).drop("__group", "__size", "__clump", "__own", "__pool")
-
-
-def number(rows: DataFrame, order: list[str]) -> DataFrame:
-    """rows with ``slot``: gapless from 0 within each shard.
-
-    Every shard is cut by hash into units of about equal row count (UNIT at most); unit sizes give each unit its
-    first slot, and the rows are numbered by ``order`` inside their unit, so no task holds a whole shard.
-    """
-    counts = {r[0]: r[1] for r in rows.groupBy("shard").agg(F.count("*")).collect()}  # a row per shard
-    each = min(UNIT, max(UNIT // 40, sum(counts.values()) // 512))
-    units = F.element_at(F.array(*(F.lit(-(-counts.get(s, 0) // each) or 1) for s in range(max(counts, default=0) + 1))), F.col("shard") + 1)
-    cut = rows.withColumn("__unit", F.pmod(F.xxhash64(*order), units).cast("int"))
-    before = Window.partitionBy("shard").orderBy("__unit").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = cut.groupBy("shard", "__unit").agg(F.count("*").alias("n")).select("shard", "__unit", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
-    within = F.row_number().over(Window.partitionBy("shard", "__unit").orderBy(*order))
-    numbered = cut.withColumn("__within", within).join(firsts, ["shard", "__unit"])
-    return numbered.withColumn("slot", (F.col("__first") + F.col("__within") - 1).cast("long")).drop("__unit", "__within", "__first")
+    groups = keep(marked.groupBy("__group").agg(F.sum("__size").alias("__n")), "groups")
+    counts = [(r[0], r[1]) for r in groups.groupBy("__n").agg(F.count("*")).collect()]  # a row per distinct size
+    upto: dict[int, list[tuple[int, int]]] = {}  # by size: groups up to which number go to which bin
+    for n, count, at in even_bins(counts, shards):
+        cuts = upto.setdefault(n, [])
+        cuts.append(((cuts[-1][0] if cuts else 0) + count, at))
+    bins = rows.sparkSession.createDataFrame(list(upto.items()), "__n long, __bins array<struct<upto: long, at: int>>")
+    dealt = numbered(groups, ["__n"], ["__group"], "__number").join(bins, "__n")
+    first = F.filter("__bins", lambda b: b["upto"] > F.col("__number"))[0]["at"]
+    return marked.join(dealt.select("__group", first.alias("shard")), "__group").drop("__group", "__size")
 
 
 def shard(docs: DataFrame, shards: int) -> DataFrame:
@@ -113,6 +167,8 @@ def shard(docs: DataFrame, shards: int) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + F.lit(8)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("group"))
-    dealt = keep(assign(keep(rows, "sizes"), F.col("group"), F.col("size"), shards), "dealt")
-    slotted = number(dealt, ["doc_id", "group", "size"])
+    # the number of a row tells equal rows apart; it is written, so it stays the same
+    rows = keep(rows.withColumn("__row", F.monotonically_increasing_id()), "sizes")
+    dealt = keep(assign(rows, F.col("group"), F.col("size"), shards), "dealt")
+    slotted = numbered(dealt, ["shard"], ["doc_id", "__row"], "slot")
     return slotted.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
