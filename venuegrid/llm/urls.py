@@ -1,10 +1,15 @@
 """URL filtering by host and path rules and by a ratio of character language models, with DataFrame functions only.
 
-Two interpolated Markov models over URL characters (contexts of two, one and no characters, blended by
-Witten-Bell weights, so well-seen contexts count more) are fitted to rejected and to accepted URLs. A URL that no
-rule decides is blocked when its log-likelihood difference per character exceeds a threshold calibrated on the
-same labelled URLs. The alphabet has a fixed size, so the trigram counts and the table of log ratios are bounded
-however many URLs there are; the table goes into the plan as one literal and scoring needs no shuffle.
+URLs that a rule decides are the labelled ones: rejected where the rule blocks, accepted where it allows; a caller
+may label them otherwise. Two variable-order Markov models over the characters of whole URLs are fitted to them.
+A context is used in its full length of up to ORDER characters where it is common enough, else it backs off to a
+shorter one; every context's distribution is blended with the shorter one's by Witten-Bell weights. URLs that no
+rule decides are blocked when their log-likelihood difference per character reaches a threshold: the least, 0 or more,
+that next to no accepted URL reaches of those that the models were not fitted to.
+
+The contexts kept are the states of an automaton, so a URL is scored by one walk over its characters. A context
+needs a CONTEXTS-th part of its model's characters to be kept, so there are at most CONTEXTS of each length and
+class, however many URLs there are; the automaton goes into the plan as two literals, and scoring needs no shuffle.
 """
 
 from __future__ import annotations
@@ -12,16 +17,21 @@ from __future__ import annotations
 from collections import defaultdict
 from math import log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0./-_"
-SIZE = len(ALPHABET) + 1  # 0 stands for any other character and for the start
+from venuegrid.llm.common import keep
+
+#: Characters told apart; digits count as one character, 0 stands for any other and for what is before the start.
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0./-_:?=&#%+~@"
+SIZE = len(ALPHABET) + 1
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Host terms whose URLs teach the rejected model.
-REJECTED_TERMS = ["ads", "adult", "adults", "bet", "bets", "casino", "cheap", "pills", "poker", "porn", "spam", "viagra", "warez", "xxx"]
-#: Bins of a tenth of a nat in which the threshold is calibrated.
-BINS = 400
+#: Longest contexts, and the inverse of the share of its model's characters that a context needs.
+ORDER, CONTEXTS = 4, 400
+#: One in so many labelled URLs calibrates the threshold and teaches no model.
+HELD_OUT = 5
+#: Bins of a hundredth of a nat in which the threshold is calibrated, and the share of accepted URLs it may block.
+BINS, WRONG = 2000, 0.01
 
 
 def _after_scheme(url: Column) -> Column:
@@ -52,80 +62,133 @@ def rule_of(rules: list[tuple[str, str]], host: Column, path: Column) -> tuple[C
     return rule, verdict
 
 
-def _grams(rest: Column) -> Column:
-    """The number of every character's trigram; digits count as one character."""
-    letters = F.regexp_replace(F.lower(rest), "[0-9]", "0")
-    codes = F.transform(F.filter(F.split(letters, ""), lambda c: c != ""), lambda c: F.position(c, F.lit(ALPHABET)))
-    padded = F.concat(F.array(F.lit(0), F.lit(0)), codes)
-    return F.transform(F.slice(padded, 3, F.size(padded)), lambda c, i: F.element_at(padded, i + 1) * SIZE**2 + F.element_at(padded, i + 2) * SIZE + c)
-
-
-def log_ratios(counts: list[tuple[bool, int, int]]) -> list[float]:
-    """log p(rejected) - log p(accepted) of every trigram, from (rejected, trigram, count) rows."""
-    tables = []
-    for kind in (False, True):
-        by = [defaultdict(lambda: defaultdict(int)) for _ in range(3)]
-        for rejected, gram, n in counts:
-            if rejected == kind:
-                ab, c = divmod(gram, SIZE)
-                for order, context in ((0, 0), (1, ab % SIZE), (2, ab)):
-                    by[order][context][c] += n
-        p: dict[int, dict[int, list[float]]] = {-1: {0: [1 / SIZE] * SIZE}}
-        for order in range(3):
-            p[order] = {}
-            for context, seen in by[order].items():
-                lower = p[order - 1].get(context % SIZE if order == 2 else 0, p[-1][0])
-                total, kinds = sum(seen.values()), len(seen)
-                p[order][context] = [(seen.get(c, 0) + kinds * lower[c]) / (total + kinds) for c in range(SIZE)]
-        none = p[0].get(0, p[-1][0])
-        tables.append([p[2].get(ab) or p[1].get(ab % SIZE) or none for ab in range(SIZE * SIZE)])
-    return [log(r) - log(a) for rejected, accepted in zip(tables[1], tables[0], strict=True) for r, a in zip(rejected, accepted, strict=True)]
-
-
-def threshold(bins: list[tuple[int, int, int]]) -> float:
-    """The score over which to block: the cut with the greatest share of rejected above less accepted above.
-
-    bins: (bin of a tenth, accepted, rejected). Of equal cuts the middle of the run is taken.
+def _codes(url: Column) -> Column:
+    """Every character's number in ALPHABET from 1, or 0."""
+    numbers = [0] * 128
+    for i, c in enumerate(ALPHABET, 1):
+        numbers[ord(c)] = numbers[ord(c.upper())] = i
+    for c in "0123456789":
+        numbers[ord(c)] = numbers[ord("0")]
+    table = F.array(*map(F.lit, [*numbers, 0]))
+    return F.transform(F.split(url, "(?!^)(?!$)"), lambda c: F.element_at(table, F.least(F.ascii(c), F.lit(128)) + 1))
+
+
+def _grams(codes: str) -> Column:
+    """The number of every character together with the ORDER before it."""
+    padded = F.concat(F.array(*[F.lit(0)] * ORDER), codes)
+    return F.transform(codes, lambda c, i: sum((F.element_at(padded, i + k + 1) * F.lit(SIZE ** (ORDER - k)) for k in range(ORDER)), c.cast("long")))
+
+
+Counts = dict[tuple[int, ...], dict[int, int]]
+
+
+def _counts(grams: DataFrame) -> tuple[Counts, Counts]:
+    """Per class (accepted, rejected), how often each character follows each context that is common enough.
+
+    grams: ``rejected``, ``gram``, ``n``. At most CONTEXTS contexts of each length and class, so a bounded number of
+    rows, come to the driver.
+    """
+    found: tuple[Counts, Counts] = ({}, {})
+    least = {r: -(-n // CONTEXTS) for r, n in grams.groupBy("rejected").agg(F.sum("n")).collect()}
+    enough = F.when(F.col("rejected"), least.get(True, 0)).otherwise(least.get(False, 0))
+    same = Window.partitionBy("rejected", "context")  # SIZE rows at most
+    for order in range(ORDER + 1):
+        by = grams.groupBy("rejected", (F.col("gram") % SIZE ** (order + 1)).alias("gram")).agg(F.sum("n").alias("n"))
+        by = by.withColumn("context", F.floor(F.col("gram") / SIZE)).withColumn("of", F.sum("n").over(same))
+        for rejected, gram, n in by.where(F.col("of") >= enough).select("rejected", "gram", "n").collect():
+            number, after = divmod(gram, SIZE)
+            context = tuple(number // SIZE ** (order - 1 - k) % SIZE for k in range(order))
+            found[rejected].setdefault(context, {})[after] = n
+    return found
+
+
+def probability(counts: Counts, context: tuple[int, ...]) -> list[float]:
+    """Witten-Bell: of every character after a context, blended with that after the context less its first character."""
+    lower = probability(counts, context[1:]) if context else [1 / SIZE] * SIZE
+    seen = counts.get(context)
+    if not seen:
+        return lower
+    total, kinds = sum(seen.values()), len(seen)
+    return [(seen.get(c, 0) + kinds * lower[c]) / (total + kinds) for c in range(SIZE)]
+
+
+def automaton(accepted: Counts, rejected: Counts) -> tuple[list[int], list[float]]:
+    """(next state, log p(rejected) - log p(accepted)) by state * SIZE + character; the walk starts in state 0."""
+    kept = {()} | set(accepted) | set(rejected)
+    kept = {c for c in kept if all(c[:k] in kept for k in range(len(c)))}  # a context is walked into through its beginnings
+    states = [(), *sorted(kept - {()}, key=lambda c: (len(c), c))]
+    number = {c: i for i, c in enumerate(states)}
+    start = max((tuple([0] * k) for k in range(ORDER + 1) if tuple([0] * k) in number), key=len)
+    order = [start, *(c for c in states if c != start)]
+    number = {c: i for i, c in enumerate(order)}
+    after, ratio = [], []
+    for context in order:
+        p, q = probability(rejected, context), probability(accepted, context)
+        ratio += [log(a) - log(b) for a, b in zip(p, q, strict=True)]
+        for c in range(SIZE):
+            now = (*context, c)[-ORDER:]
+            while now not in number:
+                now = now[1:]
+            after.append(number[now])
+    return after, ratio
+
+
+def _score(after: list[int], ratio: list[float], codes: str) -> Column:
+    """The mean log ratio per character; 0 for no characters."""
+    step = F.split(F.lit(" ".join(map(str, after))), " ").cast("array<int>")
+    gain = F.split(F.lit(" ".join(f"{x:.5f}" for x in ratio)), " ").cast("array<double>")
+
+    def walk(acc: Column, c: Column) -> Column:
+        at = acc["state"] * SIZE + c + 1
+        return F.struct(F.element_at(step, at).alias("state"), (acc["sum"] + F.element_at(gain, at)).alias("sum"))
+
+    begin = F.struct(F.lit(0).alias("state"), F.lit(0.0).alias("sum"))
+    return F.when(F.size(codes) > 0, F.aggregate(codes, begin, walk, lambda acc: acc["sum"]) / F.size(codes)).otherwise(0.0)
+
+
+def threshold(bins: list[tuple[int, int]], share: float = WRONG) -> float:
+    """The least score from which to block, 0 or more, so that at most ``share`` of the accepted URLs are blocked.
+
+    bins: (bin of a hundredth, accepted) of held-out URLs; the topmost bin is open above.
     """
-    accepted, rejected = max(1, sum(b[1] for b in bins)), max(1, sum(b[2] for b in bins))
-    by = {b: (a / accepted, r / rejected) for b, a, r in bins}
-    above_a = above_r = 0.0
-    best: tuple[float, list[int]] = (-1.0, [])
-    for cut in range(max(by, default=0), min(by, default=0) - 2, -1):  # block bins over the cut
-        gain = above_r - above_a
-        if gain > best[0] + 1e-12:
-            best = gain, [cut]
-        elif abs(gain - best[0]) <= 1e-12 and best[1][-1] == cut + 1:
-            best[1].append(cut)
-        a, r = by.get(cut, (0.0, 0.0))
-        above_a, above_r = above_a + a, above_r + r
-    return (best[1][len(best[1]) // 2] + 1) / 10
-
-
-def judge(pages: DataFrame, rules: list[tuple[str, str]], rejected_terms: list[str] = REJECTED_TERMS) -> DataFrame:
+    room, cut = share * sum(n for _, n in bins), 0
+    for b, n in sorted(bins, reverse=True):
+        room -= n
+        if room < 0:
+            cut = b + 1
+            break
+    return max(cut, 0) / 100
+
+
+def judge(pages: DataFrame, rules: list[tuple[str, str]], label: Column | None = None) -> DataFrame:
     """One row per row of pages (columns page_id, url): host, path, rule, verdict and score.
 
-    The models see all that follows ``://``, query and fragment included; rules see host and path only.
-    Every URL teaches one of the models: the rejected one if a part of its host, cut at dots and hyphens, is one
-    of ``rejected_terms``, else the accepted one. A URL under a rule gets the rule's verdict. Any other is
-    blocked if its score exceeds the calibrated threshold; with only one kind of URL none is. Null urls, urls
-    without ``://`` and empty ones have an empty host and path, score 0 and are allowed unless a rule says
-    otherwise. Repeated rows each get their row; an empty table gives an empty result.
+    The models see whole URLs, scheme, query and fragment included; rules see host and path only. ``label``, over the
+    columns url, host and path, says ``block`` or ``allow`` of the URLs that teach the models (null: none); by default
+    it is what the rules say. Each distinct URL teaches once; one in HELD_OUT calibrates instead.
+
+    A URL under a rule gets the rule's verdict. Any other is blocked if its score reaches the calibrated threshold;
+    without labelled URLs of both kinds none is. Null urls, urls without ``://`` and empty ones have an empty host and
+    path and are allowed unless a rule says otherwise. Repeated rows each get their row; very long urls are scored
+    whole; an empty table gives an empty result.
     """
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), _after_scheme(url).alias("__rest"))
-    rejected = F.arrays_overlap(F.split("host", "[.-]"), F.array(*map(F.lit, rejected_terms)))
-    grams = rows.select(rejected.alias("rejected"), F.explode(_grams(F.col("__rest"))).alias("gram"))
-    counts = [tuple(r) for r in grams.groupBy("rejected", "gram").agg(F.count("*")).collect()]  # 2 * SIZE**3 rows at most
-    both = {r for r, _, _ in counts} == {False, True}
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"), _codes(url).alias("codes"))
     rule, verdict = rule_of(rules, F.col("host"), F.col("path"))
-    if not both:
-        return rows.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.lit("allow")).alias("verdict"), F.lit(0.0).alias("score"))
-    table = F.split(F.lit(" ".join(f"{x:.5f}" for x in log_ratios(counts))), " ").cast("array<double>")
-    total = lambda g: F.aggregate(g, F.lit(0.0), lambda s, k: s + F.element_at(table, k + 1))
-    scored = rows.withColumn("__g", _grams(F.col("__rest")))
-    scored = scored.withColumn("score", F.when(F.size("__g") > 0, total("__g") / F.size("__g")).otherwise(0.0)).drop("__g")
-    tenth = F.least(F.greatest(F.floor(F.col("score") * 10), F.lit(-BINS // 2)), F.lit(BINS // 2))
-    bins = scored.where(F.col("host") != "").groupBy(tenth.alias("bin")).agg(F.count_if(~rejected), F.count_if(rejected)).collect()  # BINS rows at most
+    rows = rows.withColumns({"rule": rule, "said": verdict}).withColumn("label", F.col("said") if label is None else label)
+    # the characters' numbers are written, since counting and scoring both need them
+    rows = keep(rows.select("page_id", "host", "path", "rule", "said", "label", F.when(F.col("url") != "", F.col("codes")).otherwise(F.array().cast("array<int>")).alias("codes"), F.xxhash64("url").alias("h")), "urls")
+    taught = rows.where(F.col("label").isin("block", "allow")).groupBy("h").agg(F.min_by("codes", "label").alias("codes"), (F.max("label") == "block").alias("rejected"))
+    teaching = F.pmod("h", F.lit(HELD_OUT)) > 0
+    grams = taught.where(teaching).select("rejected", F.explode(_grams("codes")).alias("gram"))
+    accepted, rejected = _counts(keep(grams.groupBy("rejected", "gram").agg(F.count("*").alias("n")), "grams"))
+    if not accepted or not rejected:
+        return rows.select("page_id", "host", "path", "rule", F.coalesce("said", F.lit("allow")).alias("verdict"), F.lit(0.0).alias("score"))
+    walk = automaton(accepted, rejected)
+    scored = keep(rows.withColumn("score", _score(*walk, "codes")).drop("codes"), "scored")
+    hundredth = F.least(F.greatest(F.floor(F.col("score") * 100), F.lit(-BINS // 2)), F.lit(BINS // 2))
+    held = scored.where((F.col("label") == "allow") & ~teaching).groupBy("h").agg(F.first("score").alias("score"))
+    bins = held.groupBy(hundredth.alias("bin")).agg(F.count("*")).collect()  # BINS rows at most
     cut = threshold([tuple(b) for b in bins])
-    return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when((F.col("host") != "") & (F.col("score") >= cut), "block").otherwise("allow")).alias("verdict"), "score")
+    own = F.when((F.col("host") != "") & (F.col("score") >= cut), "block").otherwise("allow")
+    return scored.select("page_id", "host", "path", "rule", F.coalesce("said", own).alias("verdict"), "score")
