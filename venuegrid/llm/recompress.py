@@ -10,8 +10,9 @@ place, in every other copy of that window, whatever surrounds it.
 A window stands under the smallest key among the interior symbols of the highest level at which it has any (key:
 hash of level and dependence span); a window without any, such as one inside a long run, stands under the hash of
 its own words. The choice is a function of the window's words alone, so equal windows always meet. Whole equal
-texts are the top symbol: only their first document goes on. Keys seen in two documents reveal candidates, which a
-128-bit hash of the whole window then verifies.
+texts (by SHA-256) are the top symbol: only their first document goes on. Keys seen in two documents reveal
+candidates, which four polynomial hashes of the whole window, modulo primes and in bases of their own, then verify:
+names only have to agree on equal words, but two different windows must not pass for one.
 """
 
 from __future__ import annotations
@@ -34,45 +35,76 @@ VOCABULARY = 500_000
 FAR = 1 << 60
 BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+#: Primes under 2**31 and bases of the verifying hashes; products of two residues fit a signed 64-bit number.
+PRIMES = [2147483647, 2147483629, 2147483587, 2147483579]
+BASES = [1103515245, 1812433253, 1664525013, 1597334677]
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
 class Powers:
-    """Powers of the polynomial's base and of its inverse modulo 2**64, grown as needed."""
+    """Powers of the polynomials' bases and of their inverses, modulo 2**64 and modulo PRIMES, grown as needed."""
 
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
+        self.prime = [(np.ones(1, np.int64), np.ones(1, np.int64)) for _ in PRIMES]
 
     def reach(self, n: int) -> None:
         if n > len(self.up):
             size = max(n, 2 * len(self.up))
             self.up, self.down = (np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(size - 1, b, np.uint64)))) for b in (BASE, INVERSE))
 
+    def modulo(self, which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        prime, held = PRIMES[which], self.prime[which]
+        if n > len(held[0]):
+            bases = BASES[which], pow(BASES[which], -1, prime)
+            grown = []
+            for x, base in zip(held, bases, strict=True):
+                while len(x) < n:
+                    x = np.concatenate([x, x * pow(base, len(x), prime) % prime])
+                grown.append(x)
+            self.prime[which] = held = (grown[0], grown[1])
+        return held
+
+
+class Known:
+    """The words a task has met, by number, with 128 bits of hash."""
+
+    def __init__(self) -> None:
+        self.numbers, self.hashes = Numbers(), np.zeros((0, 2), np.uint64)
+
+    def learn(self) -> None:
+        new = self.numbers.names[len(self.hashes) :]
+        if new:
+            self.hashes = np.concatenate([self.hashes, np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, new)), np.uint64).reshape(-1, 2)])
+
 
 class Words:
     """The words of a slice of texts, as hashes in one array, with content hashes of any span."""
 
-    def __init__(self, known: tuple[Numbers, list[np.ndarray]], powers: Powers, texts: list[list[bytes]]) -> None:
-        numbers, hashes = known
+    def __init__(self, known: Known, powers: Powers, texts: list[list[bytes]]) -> None:
+        numbers = known.numbers
         counts = [len(w) for w in texts]
         self.start = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
         ids = np.fromiter((numbers[w] for words in texts for w in words), np.int64, int(self.start[-1]))
-        if len(numbers.names) > len(hashes[0]):
-            new = np.fromiter(map(xxhash.xxh64_intdigest, numbers.names[len(hashes[0]) :]), np.uint64, len(numbers.names) - len(hashes[0]))
-            hashes[0] = np.concatenate((hashes[0], new))
-        self.word = hashes[0][ids]
+        known.learn()
+        self.word = known.hashes[ids]
         powers.reach(len(ids) + 1)
-        self.up, self.down = powers.up, powers.down
-        self.sums = [np.concatenate(([np.uint64(0)], np.cumsum(h * self.up[: len(h)], dtype=np.uint64))) for h in (self.word, mix(self.word + np.uint64(0x51ED270B)))]
-
-    def span(self, a: np.ndarray, b: np.ndarray, which: int = 0) -> np.ndarray:
-        """Content hash of words a..b-1; equal spans at any two places have equal hashes."""
-        p = self.sums[which]
-        return mix((p[b] - p[a]) * self.down[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        self.powers, self.down = powers, powers.down
+        self.sums = np.concatenate(([np.uint64(0)], np.cumsum(self.word[:, 0] * powers.up[: len(ids)], dtype=np.uint64)))
 
+    def span(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """A name for words a..b-1; equal spans at any two places have equal names."""
+        return mix((self.sums[b] - self.sums[a]) * self.down[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
-def fresh() -> tuple[Numbers, list[np.ndarray]]:
-    return Numbers(), [np.zeros(0, np.uint64)]
+    def verify(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two 62-bit hashes of words a..b-1, each of two residues; different spans have different ones."""
+        out = []
+        for which, prime in enumerate(PRIMES):
+            up, down = self.powers.modulo(which, len(self.word) + 1)
+            terms = (self.word[:, which // 2] % np.uint64(prime)).astype(np.int64) * up[: len(self.word)] % prime
+            sums = np.concatenate(([0], np.cumsum(terms)))  # under 2**31 terms of 31 bits each
+            out.append((sums[b] - sums[a]) % prime * down[a] % prime)
+        return out[0] << 31 | out[1], out[2] << 31 | out[3]
 
 
 def levels(words: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -136,10 +168,10 @@ def _least(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]], Words]]:
-    known, powers = fresh(), Powers()
+    known, powers = Known(), Powers()
     for batch, texts in text_batches(batches):
-        if len(known[0]) > VOCABULARY:
-            known = fresh()
+        if len(known.numbers) > VOCABULARY:
+            known = Known()
         split = [words_of(t) for t in texts]
         yield batch, split, Words(known, powers, split)
 
@@ -152,14 +184,12 @@ def _digests(window: int):
             new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
             doc, key = doc[new], key[new].view(np.int64)
             cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
-            a, b = words.start[:-1], words.start[1:]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("uid"), batch.column("doc_id"), pa.array(np.diff(words.start)),
-                    pa.array(words.span(a, b).view(np.int64)), pa.array(words.span(a, b, 1).view(np.int64)),
                     pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in split]), pa.ListArray.from_arrays(pa.array(cuts), pa.array(key)),
                 ],
-                names=["uid", "doc_id", "n_words", "w1", "w2", "sha", "keys"],
+                names=["uid", "doc_id", "n_words", "sha", "keys"],
             )
 
     return run
@@ -177,10 +207,11 @@ def _windows(window: int):
             for k in range(0, len(at), 1 << 16):
                 some, ds = at[k : k + (1 << 16)], d[k : k + (1 << 16)]
                 a = first[some]
+                h1, h2 = words.verify(a, a + window)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("uid").take(pa.array(ds)), batch.column("doc_id").take(pa.array(ds)), pa.array((a - words.start[ds]).astype(np.int32)),
-                        pa.array(words.span(a, a + window).view(np.int64)), pa.array(words.span(a, a + window, 1).view(np.int64)),
+                        pa.array(h1), pa.array(h2),
                     ],
                     names=["uid", "doc_id", "pos", "h1", "h2"],
                 )
@@ -202,32 +233,36 @@ def _kept(window: int, want_text: bool):
                 joined = b" ".join(w for w, s in zip(words, stays.tolist(), strict=True) if s)
                 rows.append((len(words) - int(stays.sum()), hashlib.sha256(joined).hexdigest(), joined.decode() if want_text else None))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("uid"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.string())],
-                names=["uid", "removed", "kept_sha", "kept"],
+                [batch.column("uid"), batch.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.string())],
+                names=["uid", "doc_id", "removed", "kept_sha", "kept"],
             )
 
     return run
 
 
+#: What names a row: its doc_id, and a hash of its text should several rows have that id.
+ROW = ["doc_id", "uid"]
+
+
 def _find(docs: DataFrame, window: int, want_text: bool) -> tuple[DataFrame, DataFrame]:
-    """(all, changed): a row per row of docs with its copy flag; a row per text that lost some words, by uid."""
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    digests = keep(rows.mapInArrow(_digests(window), "uid long, doc_id long, n_words long, w1 long, w2 long, sha string, keys array<long>"), "digests")
+    """(all, changed): a row per row of docs with its copy flag; a row per text that lost some words, by ROW."""
+    rows = docs.select(F.xxhash64("text").alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    digests = keep(rows.mapInArrow(_digests(window), "uid long, doc_id long, n_words long, sha string, keys array<long>"), "digests")
     long = digests.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
     # small sides are written first: a join of two plain shuffles can be split where one key is hot
-    firsts = keep(long.groupBy("w1", "w2").agg(F.min("doc_id").alias("first")), "firsts")
+    firsts = keep(long.groupBy("sha").agg(F.min("doc_id").alias("first")), "firsts")
     copy = (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= window)
-    seen = digests.join(firsts, ["w1", "w2"], "left").withColumn("copy", F.coalesce(copy, F.lit(False)))
-    seen = keep(seen.select("uid", "doc_id", "n_words", "sha", "copy", F.when(~F.col("copy") & F.col("doc_id").isNotNull(), F.col("keys")).alias("keys")), "texts")
-    keys = seen.select("uid", "doc_id", F.explode("keys").alias("key"))
+    seen = digests.join(firsts, "sha", "left").withColumn("copy", F.coalesce(copy, F.lit(False)))
+    seen = keep(seen.select(*ROW, "n_words", "sha", "copy", F.when(~F.col("copy") & F.col("doc_id").isNotNull(), F.col("keys")).alias("keys")), "texts")
+    keys = seen.select(*ROW, F.explode("keys").alias("key"))
     shared = keep(keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key"), "shared")
-    marked = keys.join(shared, "key").groupBy("uid").agg(F.collect_set("key").alias("shared"))
-    texts = keep(rows.join(marked, "uid"), "candidates")
+    marked = keys.join(shared, "key").groupBy(*ROW).agg(F.collect_set("key").alias("shared"))
+    texts = keep(rows.join(marked, ROW), "candidates")
     windows = keep(texts.mapInArrow(_windows(window), "uid long, doc_id long, pos int, h1 long, h2 long"), "windows")
     lows = keep(windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1", "h2", "lo"), "lows")
-    hits = windows.join(lows, ["h1", "h2"]).where("doc_id > lo").groupBy("uid").agg(F.collect_set("pos").alias("at"))
-    changed = texts.select("uid", "text").join(hits, "uid").mapInArrow(_kept(window, want_text), "uid long, removed long, kept_sha string, kept string")
-    return seen.drop("keys"), changed.dropDuplicates(["uid"])
+    hits = windows.join(lows, ["h1", "h2"]).where("doc_id > lo").groupBy(*ROW).agg(F.collect_set("pos").alias("at"))
+    changed = texts.select(*ROW, "text").join(hits, ROW).mapInArrow(_kept(window, want_text), "uid long, doc_id long, removed long, kept_sha string, kept string")
+    return seen.drop("keys"), changed.dropDuplicates(ROW)
 
 
 def repeats(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -241,7 +276,7 @@ def repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     seen, changed = _find(docs, window, False)
     none = F.col("removed").isNull()
-    return seen.join(changed, "uid", "left").select(
+    return seen.join(changed, ROW, "left").select(
         "doc_id",
         "n_words",
         F.when(F.col("copy"), F.col("n_words")).when(none, F.lit(0)).otherwise(F.col("removed")).cast("long").alias("n_removed"),
@@ -256,7 +291,7 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     null included, stays as it is. See ``repeats`` for what counts as repeated.
     """
     seen, changed = _find(docs, window, True)
-    edits = seen.where("copy").select("uid", F.lit("").alias("new")).union(changed.select("uid", F.col("kept").alias("new"))).dropDuplicates(["uid"])
-    edits = edits.select(F.col("uid").alias("__uid"), F.col("new").alias("__new"))
-    joined = docs.withColumn("__uid", F.xxhash64("doc_id", "text")).join(edits, "__uid", "left")
+    edits = seen.where("copy").select(*ROW, F.lit("").alias("new")).union(changed.select(*ROW, F.col("kept").alias("new"))).dropDuplicates(ROW)
+    edits = edits.select(F.col("doc_id").alias("__id"), F.col("uid").alias("__uid"), F.col("new").alias("__new"))
+    joined = docs.join(edits, (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__uid")), "left")
     return joined.withColumn("text", F.coalesce("__new", "text")).select(*docs.columns)
