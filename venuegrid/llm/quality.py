@@ -109,13 +109,15 @@ class Model:
         return np.round(np.divide(vote, total, out=np.full(len(total), self.labels.mean()), where=total > 1e-9), 6)
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Fit on at most LABELLED rows of labels (doc_id, label 0 or 1); None without a usable row.
+def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, most_terms: int = TERMS) -> Model | None:
+    """Fit on at most ``labelled`` rows of labels (doc_id, label 0 or 1); None without a usable row.
 
-    Null ids and labels are left out; an id labelled or present more than once counts once.
+    ``labelled`` bounds the sample that is learned from, those with the smallest hashes of their ids; ``most_terms``
+    how many terms, those in most of its documents, a vector has. Null ids and labels are left out; an id labelled or
+    present more than once counts once.
     """
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
@@ -130,17 +132,19 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     found = rows.join(F.broadcast(chosen.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))), "doc_id")
     bags = found.mapInArrow(run, "doc_id long, label int, terms array<long>, counts array<long>, words long")
     bags = keep(bags.groupBy("doc_id").agg(F.min(F.struct("label", "words", "terms", "counts")).alias("b")).select("doc_id", "b.*"), "bags")
-    top = bags.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).where("df > 1").orderBy(F.desc("df"), "term").limit(TERMS).toPandas()
-    sample = bags.orderBy("doc_id").select("label", "words", "terms", "counts").toPandas()  # LABELLED rows at most
-    if not len(sample) or not len(top):
+    top = bags.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).where("df > 1").orderBy(F.desc("df"), "term").limit(most_terms).toPandas()
+    if not len(top):
         return None
     terms = np.sort(top["term"].to_numpy(np.int64).view(np.uint64))
+    chosen = bags.sparkSession.createDataFrame(list(enumerate(terms.view(np.int64).tolist())), "at int, term long")
+    each = bags.select("doc_id", F.explode(F.arrays_zip("terms", "counts")).alias("t")).select("doc_id", F.col("t.terms").alias("term"), F.col("t.counts").alias("n"))
+    each = each.join(F.broadcast(chosen), "term").groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("seen"))
+    # ``labelled`` rows of at most ``most_terms`` counts, however long the texts
+    sample = bags.select("doc_id", "label", "words").join(each, "doc_id", "left").select("doc_id", "label", "words", F.col("seen.at").alias("at"), F.col("seen.n").alias("n")).orderBy("doc_id").toPandas()
     dense = np.zeros((len(sample), len(terms)), np.float32)
-    for i, (t, c) in enumerate(zip(sample["terms"], sample["counts"], strict=True)):
-        t = np.asarray(t, np.int64).view(np.uint64)
-        at = np.minimum(np.searchsorted(terms, t), len(terms) - 1)
-        ok = terms[at] == t
-        dense[i, at[ok]] = np.asarray(c)[ok]
+    for i, (at, n) in enumerate(zip(sample["at"], sample["n"], strict=True)):
+        if at is not None:
+            dense[i, np.asarray(at, np.int64)] = np.asarray(n)
     idf = np.log1p(len(sample) / (1.0 + (dense > 0).sum(axis=0))).astype(np.float32)
     model = Model(terms, idf, np.zeros((len(terms), 0), np.float32), np.zeros((0, 0), np.float32), sample["label"].to_numpy(np.float64))
     words = sample["words"].to_numpy()
@@ -183,20 +187,21 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, labelled: int = LABELLED, most_terms: int = TERMS) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score (0 to 1, higher: label 1 likelier), predicted.
 
-    labels: doc_id, label. Only rows whose id is not held out are learned from. Repeated rows each get their row;
-    null texts score as empty ones; without labels every score is 0.5; an empty table gives an empty result.
+    labels: doc_id, label. Only rows whose id is not held out are learned from, at most ``labelled`` of them (see
+    ``learn``). Repeated rows each get their row; null texts score as empty ones; without labels every score is 0.5;
+    an empty table gives an empty result.
     """
-    model = learn(docs, labels.where(~held_out()))
+    model = learn(docs, labels.where(~held_out()), labelled, most_terms)
     scored = score(docs, model)
     return scored.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, labelled: int = LABELLED, most_terms: int = TERMS) -> DataFrame:
     """The rows of docs whose score reaches the threshold, with all columns; see ``classify``."""
-    model = learn(docs, labels.where(~held_out()))
+    model = learn(docs, labels.where(~held_out()), labelled, most_terms)
     if model is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
