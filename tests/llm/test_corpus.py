@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from venuegrid.llm import components, licences, packing, pieces, quality, recompress, rules, sharding, simhash, topk, urls
+from venuegrid.llm import components, licences, packing, pieces, quality, recompress, rules, simhash, topk
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, uid int, key string, score string, shard string, `group` string, label string"
@@ -89,6 +89,18 @@ def test_repeats(spark, docs, rows, none):
     assert recompress.remove_repeats(none).count() == 0
 
 
+def test_texts_that_polynomials_modulo_two_to_the_64_confuse(spark):
+    """Thue-Morse sequences of two words and their opposites are different texts, whatever the base."""
+    turn = [k.bit_count() % 2 for k in range(1024)]
+    head = " ".join(f"head{k}" for k in range(30))
+    rows = [(1, head + " " + " ".join("ab"[x] * 2 for x in turn)), (2, head + " " + " ".join("ba"[x] * 2 for x in turn))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for window in (50, 1024):
+        got = sorted(tuple(r) for r in recompress.repeats(docs, window).collect())
+        assert got == sorted(w[:4] for w in brute_repeats(rows, window))
+    assert {r[0]: r[2] for r in recompress.repeats(docs).collect()} == {1: 0, 2: 1024}
+
+
 def test_recompression_reveals_every_shared_window():
     rng = random.Random(9)
     for letters, n in ((2, 400), (3, 300), (40, 300)):
@@ -96,7 +108,7 @@ def test_recompression_reveals_every_shared_window():
         for _ in range(15):
             start, size = rng.randrange(n - 120), rng.randint(50, 110)
             b = [b"w%d" % rng.randrange(letters) for _ in range(rng.randrange(30))] + a[start : start + size] + [b"w%d" % rng.randrange(letters) for _ in range(30)]
-            words = recompress.Words(recompress.fresh(), recompress.Powers(), [a, b])
+            words = recompress.Words(recompress.Known(), recompress.Powers(), [a, b])
             doc, first, key = recompress.window_keys(words, 50)
             by = defaultdict(set)
             for d, f, k in zip(doc.tolist(), first.tolist(), key.tolist(), strict=True):
@@ -168,45 +180,6 @@ def test_plan_spends_the_radius():
         assert len(bits) == len(set(bits))
 
 
-def test_keep_one(docs, none):
-    left = simhash.keep_one(docs)
-    assert left.columns == docs.columns
-    ids = [r.doc_id for r in left.select("doc_id").collect()]
-    assert len(ids) == len(set(ids)) and {0, 6} <= set(ids) and not {1, 2, 7, 8, 900, 901} & set(ids)
-    assert simhash.keep_one(none).count() == 0
-
-
-def test_keep_one_at_a_similarity(spark, monkeypatch):
-    """Copies of a Jaccard of 0.8 to 0.85 go, also in clusters of several chunks; other texts stay."""
-    monkeypatch.setattr(simhash, "TEXTS", 4)
-    rng = random.Random(11)
-    prose = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
-    made, pairs = [], 40
-    for k in range(pairs):
-        base = prose(204)
-        other = list(base)
-        for at in (9, 59, 109, 159):  # each changes five of 200 shingles: 180 of 220 stay
-            other[at] = prose(1)[0]
-        made += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
-    base = prose(204)
-    for k in range(12):  # one large group whose copies are only like the first
-        other = list(base)
-        other[7 + 15 * k] = "x"
-        made.append((1000 + k, " ".join(other)))
-    made += [(2000 + k, " ".join(prose(100))) for k in range(10)]
-    sets = {i: set(simhash.shingles(t.encode(), 5).tolist()) for i, t in made}
-    assert all(0.8 <= len(sets[2 * k] & sets[2 * k + 1]) / len(sets[2 * k] | sets[2 * k + 1]) < 0.85 for k in range(pairs))
-    left = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(made, "doc_id long, text string")).collect()}
-    assert {2 * k for k in range(pairs)} | {1000} | {2000 + k for k in range(10)} <= left
-    assert len(left) - (pairs + 11) <= 2
-
-
-def test_verified_drops_false_candidates(spark):
-    rows = [(1, 1, "a b c d e f g h"), (1, 2, "A b c d e f g h"), (1, 3, "a b c d e f x y"), (2, 4, "a b c d e f g h")]
-    got = simhash.verified(spark.createDataFrame(rows, "root long, key long, text string"), 5, 0.8).collect()
-    assert [{r.a, r.b} for r in got] == [{1, 2}]
-
-
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3), (300, 200)] + [(1000, k) for k in range(1001, 1060)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -269,34 +242,6 @@ def test_unigram_viterbi():
         assert abs(sum(vocabulary[p][1] for p in parts) - best(word)) < 1e-9
 
 
-# -- op7 -------------------------------------------------------------------------------------------------------
-
-
-def test_sharding(docs, rows, none):
-    got = sharding.shard(docs, 5).collect()
-    assert sorted((r.doc_id, r["size"], r.text_crc32) for r in got) == sorted((r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in rows)
-    by, groups = defaultdict(list), defaultdict(set)
-    for r in got:
-        by[r.shard].append(r.slot)
-        groups[r["size"], r.text_crc32].add(r.shard)
-    assert all(sorted(s) == list(range(len(s))) for s in by.values()) and set(by) <= set(range(5))
-    assert all(len(s) == 1 for s in groups.values())
-    assert sharding.shard(none, 5).count() == 0
-
-
-def test_best_fit():
-    assert sharding.best_fit([(5, "a"), (4, "b"), (3, "c"), (2, "d")], 7) == {"a": 0, "b": 1, "c": 1, "d": 0}
-    assert sharding.best_fit([(5, "a"), (4, "b")], 7, bins=1) is None
-    rng = random.Random(1)
-    items = [(rng.randint(1, 100), k) for k in range(800)]
-    sums = Counter()
-    for name, at in sharding.even_bins(items, 10).items():
-        sums[at] += dict((k, s) for s, k in items)[name]
-    assert len(sums) == 10 and max(sums.values()) <= 1.01 * sum(sums.values()) / 10
-    big = sharding.even_bins([(1000, "x"), *items[:50]], 4)
-    assert list(big.values()).count(big["x"]) == 1
-
-
 # -- op9 -------------------------------------------------------------------------------------------------------
 
 
@@ -379,39 +324,7 @@ def test_topk(spark):
     assert topk.search(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
-# -- op6, op10 -------------------------------------------------------------------------------------------------
-
-
-def test_urls(spark):
-    said = [("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "org/es/")]
-    made = [
-        (1, "http://A.Example.com/en/7?q#x"), (2, "https://example.com/en/8"), (3, "https://xcom/en/8"), (4, None), (5, "nothing"), (6, "x://Shop.ORG/es/1#en"), (7, "http://h?x/y"), (8, "http://"), (9, ""), (1, "http://A.Example.com/en/7?q#x"),
-        *((100 + k, f"https://www.casino-win.net/fr/{k}") for k in range(30)), *((200 + k, f"https://blog.quiet-river.net/fr/{k}") for k in range(60)),
-    ]
-    df = spark.createDataFrame([(i, u, "h", "p") for i, u in made], "page_id long, url string, host string, html string")
-    got = defaultdict(list)
-    for r in urls.judge(df, said).collect():
-        got[r.page_id].append((r.host, r.path, r.rule, r.verdict))
-    assert got[1] == [("a.example.com", "/en/7", "example.com/en/7", "allow")] * 2
-    assert got[2] == [("example.com", "/en/8", "com/en/", "block")] and got[3][0][:3] == ("xcom", "/en/8", None)
-    assert got[4] == got[5] == got[9] == [("", "", None, "allow")] and got[8][0][:2] == ("", "")
-    assert got[6] == [("shop.org", "/es/1", "org/es/", "block")] and got[7][0][:2] == ("h", "")
-    assert all(got[100 + k][0][3] == "block" for k in range(30)) and all(got[200 + k][0][3] == "allow" for k in range(60))
-    assert urls.judge(df.where("false"), said).count() == 0
-
-
-def test_urls_score_the_query(spark):
-    made = [(k, f"https://www.casino-pills.net/{k}") for k in range(30)] + [(100 + k, f"https://blog.quiet-river.net/{k}") for k in range(60)]
-    made += [(500, "http://x.org/"), (501, "http://x.org/?to=casino-pills"), (502, "http://x.org/#casino-pills")]
-    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(made, "page_id long, url string"), []).collect()}
-    assert (got[501].host, got[501].path) == ("x.org", "/") and min(got[501].score, got[502].score) > got[500].score
-
-
-def test_log_ratios():
-    counts = [(False, 33, 10), (False, 34, 1), (True, 33, 1), (True, 35, 10)]
-    ratios = urls.log_ratios(counts)
-    assert len(ratios) == urls.SIZE**3 and ratios[35] > 1 > -1 > ratios[33]
-    assert urls.threshold([(0, 90, 1), (1, 10, 2), (2, 0, 97)]) in (0.1, 0.2)
+# -- op10 -------------------------------------------------------------------------------------------------
 
 
 def test_licences(spark, none):

@@ -24,6 +24,8 @@ def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; one of our own only where the session names none."""
     found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="venuegrid-"))
         found = spark.sparkContext.getCheckpointDir()
     return found

@@ -20,20 +20,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuegrid.llm.common import keep, mix, text_batches, words_of
+from venuegrid.llm.common import keep, text_batches, words_of
 from venuegrid.llm.components import classes
 
 BITS = 64
 #: Distinct fingerprints that steer the layout (those with the smallest hashes).
 SAMPLE = 2048
 #: Rows of one signature handled together; larger signatures are cut into pairs of chunks of this size.
-CHUNK = 1024
+CHUNK = 16384
+#: Signatures of up to so many rows are compared side by side, larger ones each from link to link, so many rows at once.
+FEW, BLOCK = 64, 64
 #: Cost of one shuffled signature row, counted in verified pairs.
 ROW_COST = 300.0
-#: Independent fingerprints of ``copies``. Two sets of a Jaccard of 0.8 lie within 8 bits by one of 8 with probability 0.97.
-SEEDS = 8
-#: Texts of one cluster compared together; larger clusters are cut into pairs of chunks of this size.
-TEXTS = 128
 SEED = 42
 
 
@@ -147,7 +145,7 @@ def _pick(fp: np.ndarray, group: list[int]) -> np.ndarray:
     return out
 
 
-def _signatures(layout: list[tuple[list[int], int]], seeded: bool = False):
+def _signatures(layout: list[tuple[list[int], int]], also: list[str]):
     flips = [[sum(1 << k for k in c) for n in range(t + 1) for c in combinations(range(len(g)), n)] for g, t in layout]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,9 +160,10 @@ def _signatures(layout: list[tuple[list[int], int]], seeded: bool = False):
                         again = np.repeat(fp, len(masks))
                         n = len(sig)
                         made = {"part": np.full(n, p, np.int32), "sig": sig.view(np.int64), "fp": again.view(np.int64), "role": np.full(n, role, np.int32)}
-                        if seeded:  # every seed has partitions of its own
+                        if also:  # every seed has partitions of its own
                             made["part"] += np.repeat(part.column("seed").to_numpy() * len(layout), len(masks)).astype(np.int32)
-                            made["node"] = np.repeat(part.column("node").to_numpy(), len(masks))
+                        for name in also:
+                            made[name] = np.repeat(part.column(name).to_numpy(), len(masks))
                         yield pa.RecordBatch.from_arrays([pa.array(x) for x in made.values()], names=list(made))
 
     return run
@@ -173,25 +172,66 @@ def _signatures(layout: list[tuple[list[int], int]], seeded: bool = False):
 # -- probing --------------------------------------------------------------------------------------------------
 
 
-def _verify(radius: int, probing: list[bool], node: str = "fp"):
+def _near(t: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, radius: int, far: int | None) -> np.ndarray:
+    """Whether rows a and b (index arrays that broadcast) are different and close enough to be linked."""
+    fp = t["fp"].view(np.uint64)
+    apart = np.bitwise_count(fp[a] ^ fp[b])
+    ok = (apart <= radius) & (apart > 0)
+    if far is None or not ok.any():
+        return ok
+    one, two = t["e1"].view(np.uint64), t["e2"].view(np.uint64)
+    return ok & (np.bitwise_count(one[a] ^ one[b]).astype(int) + np.bitwise_count(two[a] ^ two[b]) <= far)
+
+
+def _spread(t: dict[str, np.ndarray], rows: np.ndarray, near) -> tuple[np.ndarray, np.ndarray]:
+    """Links that span the groups of one signature: group by group, from the rows reached to those not reached yet.
+
+    Rows of one large group of near copies are reached from its first few, so they never meet in all their pairs.
+    """
+    us, vs, reached = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros(0, np.int64)
+    left = rows[np.unique(t["fp"][rows], return_index=True)[1]]
+    while len(left):
+        if len(reached):
+            block, reached = reached[:BLOCK], reached[BLOCK:]
+        else:
+            some = left[:BLOCK]
+            meets = near(some[:, None], left[None, :]).any(axis=1)
+            k = int(meets.argmax()) if meets.any() else len(some)  # the rows before k meet none that is left
+            block, left = some[k : k + 1], left[k + 1 :] if k < len(some) else left[k:]
+            if not len(block):
+                continue
+        hit = near(block[:, None], left[None, :])
+        new = hit.any(axis=0)
+        us.append(block[hit[:, new].argmax(axis=0)])
+        vs.append(left[new])
+        reached, left = np.concatenate([reached, left[new]]), left[~new]
+    return np.concatenate(us), np.concatenate(vs)
+
+
+def _verify(radius: int, probing: list[bool], far: int | None = None):
     """Runs of equal (part, sig, i, j) come sorted; yields a spanning forest of each batch's verified links."""
-    probed = np.array(probing)
+    probed, node = np.array(probing), "fp" if far is None else "node"
 
     def links(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        fp, n = t["fp"].view(np.uint64), len(t["fp"])
-        us, vs = [], []
-        for shift in range(1, n):
-            same = t["run"][shift:] == t["run"][:-shift]
-            if not same.any():
+        near = lambda a, b: _near(t, a, b, radius, far)
+        begins = np.flatnonzero(np.concatenate(([True], t["run"][1:] != t["run"][:-1])))
+        ends = np.append(begins[1:], len(t["run"]))
+        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b in zip(begins[ends - begins > FEW], ends[ends - begins > FEW], strict=True):
+            u, v = _spread(t, np.arange(a, b), near)
+            us.append(u)
+            vs.append(v)
+        few = np.repeat(ends - begins <= FEW, ends - begins)
+        for shift in range(1, min(FEW, len(t["run"]))):
+            at = np.flatnonzero((t["run"][shift:] == t["run"][:-shift]) & few[shift:])
+            if not len(at):
                 break
-            at = np.flatnonzero(same)
             # a partition with a threshold links probes with index rows, any other all rows
-            one, two = t["role"][at], t["role"][at + shift]
-            ok = (one != two) | ~probed[t["part"][at]]
-            at = at[ok & (np.bitwise_count(fp[at] ^ fp[at + shift]) <= radius) & (fp[at] != fp[at + shift])]
+            at = at[(t["role"][at] != t["role"][at + shift]) | ~probed[t["part"][at]]]
+            at = at[near(at, at + shift)]
             us.append(at)
             vs.append(at + shift)
-        return (np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return np.concatenate(us), np.concatenate(vs)
 
     def forest(t: dict[str, np.ndarray]) -> pa.RecordBatch:
         u, v = links(t)
@@ -215,7 +255,7 @@ def _verify(radius: int, probing: list[bool], node: str = "fp"):
         return pa.RecordBatch.from_arrays([pa.array(ids[order[child]]), pa.array(ids[above])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["part", "sig", "i", "j", "fp", "role"] + ["node"] * (node != "fp")
+        names = ["part", "sig", "i", "j", "fp", "role"] + (["node", "e1", "e2"] if far is not None else [])
         held = {k: np.zeros(0, np.int64) for k in names}
 
         def numbered(t: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -236,29 +276,28 @@ def _verify(radius: int, probing: list[bool], node: str = "fp"):
     return run
 
 
-def links(distinct: DataFrame, radius: int) -> DataFrame:
+def links(distinct: DataFrame, radius: int, seeds: int = 1, far: int | None = None) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column ``fp``): a spanning forest of each probed signature's links.
 
     Every pair within the radius is joined by a path of such edges, each of them itself within the radius' closure;
     no signature, however common, is capped: one with over CHUNK rows is cut into chunks and each pair of chunks
-    is its own small unit of work. With columns ``seed`` and ``node``, only fingerprints of one seed are compared
-    and the edges join nodes; the layout is planned once, on seed 0.
+    is its own small unit of work. With ``far``, distinct has also the columns ``seed`` (0 to ``seeds`` - 1), ``node``
+    and two more fingerprints ``e1`` and ``e2``: only fingerprints of one seed are compared, linked rows also differ in
+    at most ``far`` bits of e1 and e2, and the edges join nodes; the layout is planned once, on seed 0.
     """
-    several = "seed" in distinct.columns
-    total = distinct.count() // (SEEDS if several else 1)
-    first = distinct.where("seed = 0") if several else distinct
+    also = ["node", "e1", "e2"] if far is not None else []
+    total = distinct.count() // seeds
+    first = distinct.where("seed = 0") if also else distinct
     sample = first.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).select("fp").toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     layout = plan(sample, total, radius)
-    node = ["node"] if several else []
-    rows = keep(distinct.mapInArrow(_signatures(layout, several), "part int, sig long, fp long, role int" + ", node long" * several), "signatures")
+    rows = keep(distinct.mapInArrow(_signatures(layout, also), "part int, sig long, fp long, role int" + "".join(f", {c} long" for c in also)), "signatures")
     sizes = rows.groupBy("part", "sig").agg(F.count("*").alias("n"), F.count_if(F.col("role") == 0).alias("own")).where("n > 1 AND own > 0")
     dealt = rows.join(sizes, ["part", "sig"]).withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp", "role"), F.col("chunks")).cast("int"))
     others = F.sequence(F.lit(0), F.col("chunks") - 1)
-    dealt = dealt.select("part", "sig", "fp", "role", *node, F.explode(F.transform(others, lambda o: F.struct(F.least(o, "mine").alias("i"), F.greatest(o, "mine").alias("j")))).alias("c"))
-    dealt = dealt.select("part", "sig", "c.i", "c.j", "fp", "role", *node).repartition("part", "sig", "i", "j").sortWithinPartitions("part", "sig", "i", "j")
-    probing = [t > 0 for _, t in layout] * (SEEDS if several else 1)
-    return dealt.mapInArrow(_verify(radius, probing, "node" if several else "fp"), "a long, b long")
+    dealt = dealt.select("part", "sig", "fp", "role", *also, F.explode(F.transform(others, lambda o: F.struct(F.least(o, "mine").alias("i"), F.greatest(o, "mine").alias("j")))).alias("c"))
+    dealt = dealt.select("part", "sig", "c.i", "c.j", "fp", "role", *also).repartition("part", "sig", "i", "j").sortWithinPartitions("part", "sig", "i", "j")
+    return dealt.mapInArrow(_verify(radius, [t > 0 for _, t in layout] * seeds, far), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -277,144 +316,3 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col:
     ids = keep(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
     member = keep(rooted.join(ids, "root").select("fp", "component_id"), "members")
     return marked.join(member, "fp").select("doc_id", "fp", "component_id")
-
-
-# -- verified copies ------------------------------------------------------------------------------------------
-
-
-def shingles(text: bytes | None, shingle: int) -> np.ndarray:
-    """The distinct XXH64 hashes of a text's shingles, sorted; a text of fewer words is one shingle, no words none."""
-    words = words_of(text.lower()) if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    if len(words) <= shingle:
-        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate(([0], ends[: -shingle])).tolist()
-    stops = (ends[shingle - 1 :] - 1).tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts)))
-
-
-def seeded(hashes: np.ndarray) -> np.ndarray:
-    """SEEDS independent fingerprints of a shingle set: majorities of the hashes mixed with each seed."""
-    ones = np.zeros((SEEDS, 8, 8), np.int64)
-    salts = mix(np.arange(1, SEEDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
-    for at in range(0, len(hashes), 255 << 6):
-        part = hashes[None, at : at + (255 << 6)]
-        x = mix(part ^ salts)
-        if x.shape[1] > 255:
-            x = np.pad(x, ((0, 0), (0, -x.shape[1] % 255)))
-        x = x.reshape(SEEDS, -1, min(255, x.shape[1]))
-        for k in range(8):  # eight counters of a byte each, which 255 rows cannot overflow
-            sums = ((x >> np.uint64(k)) & np.uint64(0x0101010101010101)).sum(axis=2, dtype=np.uint64)
-            ones[:, :, k] += sums.view(np.uint8).reshape(SEEDS, -1, 8).sum(axis=1, dtype=np.int64)
-    return np.packbits(2 * ones > len(hashes), axis=2, bitorder="little").reshape(SEEDS, 8).view(np.uint64)[:, 0]
-
-
-def _signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, h, key, fps) for every row; equal shingle sets have equal keys, h is a hash of the text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_batches(batches):
-            sets = [shingles(t, shingle) for t in texts]
-            keys = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            fps = pa.array(np.concatenate([seeded(s) for s in sets]).view(np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * SEEDS), fps)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(keys), lists], names=["doc_id", "h", "key", "fps"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, h long, key long, fps array<long>")
-
-
-def _exact(shingle: int, alike: float):
-    """Runs of equal (root, i, j) come sorted; yields a spanning forest of each run's links by exact similarity.
-
-    In a run of one chunk all pairs are compared, in one of two chunks those across; pairs already joined are not.
-    """
-
-    def links(keys: list[int], mine: list[int], sets: list[np.ndarray], across: bool) -> Iterator[tuple[int, int]]:
-        root = list(range(len(keys)))
-
-        def find(a: int) -> int:
-            while root[a] != a:
-                root[a] = root[root[a]]
-                a = root[a]
-            return a
-
-        for a in range(len(keys)):
-            for b in range(a):
-                if (across and mine[a] == mine[b]) or find(a) == find(b):
-                    continue
-                low, high = sorted((len(sets[a]), len(sets[b])))
-                if low < alike * high:
-                    continue
-                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                if both >= alike * (low + high - both) - 1e-9:
-                    root[find(a)] = find(b)
-                    yield keys[a], keys[b]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(at: tuple, held: list[tuple]) -> pa.RecordBatch:
-            found = list(links(*map(list, zip(*held, strict=True)), across=at[1] != at[2])) if held else []
-            return pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-        now: tuple = ()
-        held: list[tuple] = []
-        for batch, texts in text_batches(batches):
-            for *at, key, mine, text in zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j", "key", "mine")), texts, strict=True):
-                if tuple(at) != now:
-                    if held:
-                        yield out(now, held)
-                    now, held = tuple(at), []
-                held.append((key, mine, shingles(text, shingle)))
-        if held:
-            yield out(now, held)
-
-    return run
-
-
-def verified(clusters: DataFrame, shingle: int, alike: float) -> DataFrame:
-    """Edges (a, b) between keys of one cluster (columns root, key, text) whose shingle sets have a Jaccard of ``alike`` or more.
-
-    The edges span each cluster's groups of linked keys. No cluster is capped: one with over TEXTS texts is cut
-    into chunks and each pair of chunks is its own unit of work.
-    """
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
-    dealt = clusters.join(sizes, "root").withColumn("chunks", F.ceil(F.col("n") / TEXTS).cast("int"))
-    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
-    others = F.sequence(F.lit(0), F.col("chunks") - 1)
-    dealt = dealt.select("root", "key", "mine", "text", F.explode(F.transform(others, lambda o: F.struct(F.least(o, "mine").alias("i"), F.greatest(o, "mine").alias("j")))).alias("c"))
-    dealt = dealt.select("root", "c.i", "c.j", "key", "mine", "text").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-    return dealt.mapInArrow(_exact(shingle, alike), "a long, b long")
-
-
-def copies(docs: DataFrame, shingle: int = 5, radius: int = 8, alike: float = 0.8) -> DataFrame:
-    """The first document (``doc_id``, ``h`` a hash of its text) of each group of copies; docs have an id each.
-
-    Candidates are the shingle sets within ``radius`` bits of each other by any of SEEDS fingerprints. Those that
-    a path of candidates joins are compared by their exact Jaccard similarity; links of ``alike`` or more join.
-    """
-    signed = keep(_signed(docs, shingle), "signed")
-    sets = keep(signed.groupBy("key").agg(F.min(F.struct("doc_id", "h")).alias("rep"), F.first("fps").alias("fps")).select("key", "rep.doc_id", "rep.h", "fps"), "sets")
-    prints = sets.select("key", F.posexplode("fps").alias("seed", "fp"))
-    least = keep(prints.groupBy("seed", "fp").agg(F.min("key").alias("node")), "distinct")
-    same = prints.join(least, ["seed", "fp"]).where("key <> node").select(F.col("key").alias("a"), F.col("node").alias("b"))
-    edges = keep(links(least, radius), "candidates").unionByName(same)
-    clusters = keep(classes(edges).withColumnRenamed("node", "key").join(sets.drop("fps"), "key"), "clusters")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.col("text").cast("string").alias("text"))
-    texts = keep(texts.join(clusters, ["doc_id", "h"]).select("root", "key", "text").dropDuplicates(["key"]), "texts")
-    roots = keep(classes(verified(texts, shingle, alike)), "roots")
-    rooted = sets.join(roots, F.col("key") == F.col("node"), "left").select(F.coalesce("root", "key").alias("root"), "doc_id", "h")
-    return rooted.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("first")).select("first.doc_id", "first.h")
-
-
-def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 8, alike: float = 0.8) -> DataFrame:
-    """One row of docs for each group of copies (see ``copies``), with all columns: that of the smallest doc_id.
-
-    Of several rows with that id one stays. Rows without an id stay: nothing says which of them came first.
-    """
-    firsts = copies(docs.where("doc_id IS NOT NULL"), shingle, radius, alike).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"))
-    stay = docs.join(keep(firsts, "firsts"), (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__h"))).drop("__id", "__h").dropDuplicates(["doc_id"])
-    return stay.unionByName(docs.where("doc_id IS NULL"))
