@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import packing, quality, recompress, rules, simhash
+from venuegrid.llm import copies, packing, quality, recompress, rules
 from venuegrid.llm.common import scratch_dir
 
 
@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: 5-word shingles, Jaccard similarity of 0.8 or more."""
-    return simhash.keep_one(docs, shingle=5, radius=8, alike=0.8)
+    return copies.keep_one(docs, shingle=5, radius=8, alike=0.8)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
