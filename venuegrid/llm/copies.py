@@ -30,6 +30,8 @@ SEEDS = 8
 FAR = 42
 #: Texts compared together, and bytes of their shingle sets; larger clusters are cut into chunks.
 TEXTS, BYTES = 256, 16 << 20
+#: Leaders are compared again while one in so many has joined another.
+LEFT = 10
 #: Shingles whose membership matrix is held at once.
 SLAB = 8192
 
@@ -197,7 +199,7 @@ def verified(clusters: DataFrame, alike: float) -> DataFrame:
         leaders = keep(_in_chunks(grouped.where("key = part").select("root", "key", "hashes"), turn), "leaders")
         found = keep(_compare(leaders.withColumns(alone), alike), "links")
         edges = keep(edges.unionByName(found), "links")
-        if found.isEmpty() or leaders.where("chunks > 1").isEmpty():
+        if found.count() * LEFT < leaders.count() or leaders.where("chunks > 1").isEmpty():
             break
     return edges.unionByName(_outside(keep(_grouped(large, edges), "grouped"), alike))
 

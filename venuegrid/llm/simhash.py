@@ -30,6 +30,8 @@ SAMPLE = 2048
 CHUNK = 16384
 #: Signatures of up to so many rows are compared side by side, larger ones each from link to link, so many rows at once.
 FEW, BLOCK = 64, 64
+#: Links of one row, on average of a block, up to which its group is not followed.
+MANY = 8
 #: Cost of one shuffled signature row, counted in verified pairs.
 ROW_COST = 300.0
 SEED = 42
@@ -172,39 +174,64 @@ def _signatures(layout: list[tuple[list[int], int]], also: list[str]):
 # -- probing --------------------------------------------------------------------------------------------------
 
 
-def _near(t: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, radius: int, far: int | None) -> np.ndarray:
-    """Whether rows a and b (index arrays that broadcast) are different and close enough to be linked."""
+def _near(t: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, radius: int, far: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows a against rows b, or pair by pair if ``b`` is as long and flat: the places (i, j) of those close enough to be linked."""
     fp = t["fp"].view(np.uint64)
     apart = np.bitwise_count(fp[a] ^ fp[b])
-    ok = (apart <= radius) & (apart > 0)
-    if far is None or not ok.any():
-        return ok
-    one, two = t["e1"].view(np.uint64), t["e2"].view(np.uint64)
-    return ok & (np.bitwise_count(one[a] ^ one[b]).astype(int) + np.bitwise_count(two[a] ^ two[b]) <= far)
+    # one comparison says both "over 0" and "at most radius", as bytes wrap around
+    at = np.flatnonzero(apart - np.uint8(1) < radius)
+    i, j = np.divmod(at, apart.shape[1]) if apart.ndim == 2 else (at, at)
+    if far is not None and len(i):
+        one, two = t["e1"].view(np.uint64), t["e2"].view(np.uint64)
+        x, y = a.ravel()[i], b.ravel()[j]
+        ok = np.bitwise_count(one[x] ^ one[y]).astype(int) + np.bitwise_count(two[x] ^ two[y]) <= far
+        i, j = i[ok], j[ok]
+    return i, j
 
 
 def _spread(t: dict[str, np.ndarray], rows: np.ndarray, near) -> tuple[np.ndarray, np.ndarray]:
     """Links that span the groups of one signature: group by group, from the rows reached to those not reached yet.
 
-    Rows of one large group of near copies are reached from its first few, so they never meet in all their pairs.
+    Index rows meet index rows and probes, probes index rows alone. Rows of one large group of near copies are reached
+    from its first few, so they never meet in all their pairs.
     """
-    us, vs, reached = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros(0, np.int64)
-    left = rows[np.unique(t["fp"][rows], return_index=True)[1]]
-    while len(left):
-        if len(reached):
-            block, reached = reached[:BLOCK], reached[BLOCK:]
+    us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    rows = rows[np.lexsort((t["role"][rows], t["fp"][rows]))]
+    rows = rows[np.concatenate(([True], t["fp"][rows][1:] != t["fp"][rows][:-1]))]  # an index row before its own probe
+    left = [rows[t["role"][rows] == 0], rows[t["role"][rows] != 0]]
+    reached = [rows[:0], rows[:0]]
+
+    def meet(block: np.ndarray, side: int) -> None:
+        i, j = near(block[:, None], left[side][None, :])
+        new, at = np.unique(j, return_index=True)
+        us.append(block[i[at]])
+        vs.append(left[side][new])
+        reached[side] = np.concatenate([reached[side], left[side][new]])
+        left[side] = np.delete(left[side], new)
+
+    while len(left[0]):
+        if len(reached[0]):
+            block, reached[0] = reached[0][:BLOCK], reached[0][BLOCK:]
+            meet(block, 0)
+            meet(block, 1)
+        elif len(reached[1]):
+            block, reached[1] = reached[1][:BLOCK], reached[1][BLOCK:]
+            meet(block, 0)
         else:
-            some = left[:BLOCK]
-            meets = near(some[:, None], left[None, :]).any(axis=1)
-            k = int(meets.argmax()) if meets.any() else len(some)  # the rows before k meet none that is left
-            block, left = some[k : k + 1], left[k + 1 :] if k < len(some) else left[k:]
-            if not len(block):
-                continue
-        hit = near(block[:, None], left[None, :])
-        new = hit.any(axis=0)
-        us.append(block[hit[:, new].argmax(axis=0)])
-        vs.append(left[new])
-        reached, left = np.concatenate([reached, left[new]]), left[~new]
+            some = left[0][:BLOCK]
+            found = [near(some[:, None], side[None, :]) for side in left]
+            hits = np.bincount(np.concatenate([i for i, _ in found]), minlength=len(some))
+            if hits.sum() <= MANY * len(some):  # few links: they are all kept, and the block is done with
+                for side, (i, j) in zip(left, found, strict=True):
+                    us.append(some[i])
+                    vs.append(side[j])
+                left[0] = left[0][len(some) :]
+            else:
+                k = int(hits.argmax())
+                reached[0], left[0] = some[k : k + 1], np.delete(left[0], k)
+    while len(reached[0]):  # index rows reached last may meet probes
+        block, reached[0] = reached[0][:BLOCK], reached[0][BLOCK:]
+        meet(block, 1)
     return np.concatenate(us), np.concatenate(vs)
 
 
@@ -228,7 +255,7 @@ def _verify(radius: int, probing: list[bool], far: int | None = None):
                 break
             # a partition with a threshold links probes with index rows, any other all rows
             at = at[(t["role"][at] != t["role"][at + shift]) | ~probed[t["part"][at]]]
-            at = at[near(at, at + shift)]
+            at = at[near(at, at + shift)[0]]
             us.append(at)
             vs.append(at + shift)
         return np.concatenate(us), np.concatenate(vs)
