@@ -21,6 +21,7 @@ SPECIAL = "JOURS SPÉCIAUX ET FÉRIÉS"
 ATTENTION_1 = "ATTENTION: L'établissement 1 (attendu) semble définitivement fermé, alors que l'établissement 2 (prédit) est ouvert."
 ATTENTION_2 = "ATTENTION: L'établissement 1 (attendu) est ouvert, alors que l'établissement 2 (prédit) semble définitivement fermé."
 
+# What counts as a day-and-time token, and as a date; both decide which rules are lost.
 _TOKEN = r"([A-Z][a-z](?:\[[^\]]+\])?(?:[-,][A-Z][a-z])*)\s+([0-9:,-]+(?:\s*-\s*[0-9:]+)*)"
 _DATE = r"\b\d{4}\s+[A-Za-z]{3}\s+\d{1,2}\b"
 _SLOTS = "array<struct<debut: string, fin: string, occurence: array<int>>>"
@@ -89,19 +90,21 @@ def _segment(text: Column) -> Column:
 def parse_osm(text: Column) -> Column:
     """An ``opening_hours`` string as a typed schedule.
 
-    Fields: ``closed`` (the whole text says closed), ``week`` (seven days from Monday: source_found, ouvert,
-    creneaux), ``ph_found`` and ``ph_mode`` from the last PH rule, ``special`` (date to status). A rule holding a
+    Fields: ``closed`` (the whole text says closed; then every day is), ``week`` (seven days from Monday:
+    source_found, ouvert, creneaux), ``ph_found`` and ``ph_mode`` from the last PH rule in either case, ``special``
+    (date to status). A rule holding a
     date is wholly a date rule: a range of dates is dropped, else its first date counts. Blank or null text has no rules.
     """
     rules = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ";"), lambda r: F.trim(r)), lambda r: r != "")
     closed = F.lower(F.trim(F.coalesce(text, F.lit("")))) == "closed"
-    weekly = F.filter(rules, lambda r: ~r.startswith("PH") & ~r.rlike(_DATE) & ~closed)
-    ph = F.filter(rules, lambda r: r.startswith("PH"))
-    dated = F.filter(rules, lambda r: ~r.startswith("PH") & r.rlike(_DATE) & ~r.rlike(_DATE + r"\s*-"))
+    holiday = lambda r: F.upper(r).startswith("PH")
+    weekly = F.filter(rules, lambda r: ~holiday(r) & ~r.rlike(_DATE) & ~closed)
+    ph = F.filter(rules, holiday)
+    dated = F.filter(rules, lambda r: ~holiday(r) & r.rlike(_DATE) & ~r.rlike(_DATE + r"\s*-"))
     segments = F.filter(F.transform(F.flatten(F.transform(weekly, _segments)), _segment), lambda s: s.isNotNull())
 
     def day(k: Column, parts: Column) -> Column:
-        none = F.struct(F.lit(False).alias("source_found"), F.lit(False).alias("ouvert"), _no_slots().alias("creneaux"))
+        none = F.struct(closed.alias("source_found"), F.lit(False).alias("ouvert"), _no_slots().alias("creneaux"))
 
         def step(acc: Column, s: Column) -> Column:
             shut = F.struct(F.lit(True).alias("source_found"), F.lit(False).alias("ouvert"), _no_slots().alias("creneaux"))
@@ -229,8 +232,7 @@ def special_diff(a: Column, b: Column) -> Column:
 def compare(a: Column, b: Column) -> Column:
     """identical and differences of two schedules from ``parse_osm``: special dates first, then the week."""
     shut = lambda s: s["closed"] | (~F.exists(s["week"], lambda d: d["ouvert"] | (F.size(d["creneaux"]) > 0)) & (F.size(s["special"]) == 0))
-    dates = lambda s: F.map_from_entries(F.transform(_last_wins(s["special"]), lambda x: F.struct(x["date"], x["status"])))
-    seen = lambda s: F.struct(shut(s).alias("shut"), dates(s).alias("dates"), s["week"].alias("week"))
+    seen = lambda s: F.struct(shut(s).alias("shut"), dates_of(s["special"]).alias("dates"), s["week"].alias("week"))
 
     def found(p: Column) -> Column:
         x, y = p["a"], p["b"]
@@ -248,6 +250,17 @@ def compare(a: Column, b: Column) -> Column:
     return let(text, lambda t: F.struct((t == "").alias("identical"), F.when(t == "", SAME).otherwise(t).alias("differences")))
 
 
+def sorted_slots(day: Column) -> Column:
+    """A day's slots by start, then occurrence (none first), then end."""
+    keyed = F.transform(day["creneaux"], lambda s: F.struct(s["debut"].alias("debut"), F.coalesce(F.array_sort(s["occurence"]), F.array().cast("array<int>")).alias("by"), s["fin"].alias("fin"), s["occurence"].alias("occurence")))
+    return F.transform(F.array_sort(keyed), lambda s: F.struct(s["debut"].alias("debut"), s["fin"].alias("fin"), s["occurence"].alias("occurence"))).cast(_SLOTS)
+
+
+def dates_of(special: Column) -> Column:
+    """Special dates as a map of date to status; of one date's entries the last wins."""
+    return let(_last_wins(special), lambda some: F.map_from_entries(F.transform(some, lambda x: F.struct(x["date"], x["status"]))))
+
+
 def _last_wins(special: Column) -> Column:
     return F.filter(special, lambda x, i: ~F.exists(F.slice(special, i + 2, F.size(special)), lambda y: y["date"] == x["date"]))
 

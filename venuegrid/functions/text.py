@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 # Characters replaced in page text.
 CHARACTERS = {
     "«": '"', "»": '"', "“": '"', "”": '"', "‘": "'", "’": "'", "–": "-", "—": "-",
     "\u00a0": " ", "\u2009": " ", "\u200b": "", "*": " ", "_": " ", "`": " ", "+": " ", "\\": " ",
 }
-_IMAGE_LINK = r"\[!\[[^\]]*\]\([^)]*\)\]\([^)]*(?: \"[^\"]*\")?\)"
-_IMAGE = r"!\[[^\]]*\]\([^)]*\)"
-_LINK = r"\[([^\]]*)\]\([^)]*(?: \"[^\"]*\")?\)"
-_BARE = r"<(https?://[^>]+)>"
-_FORMAT_ONLY = r"^[\s#\-\"=_(\[\]).]+$"
+#: Reference phrases at most.
+PHRASES = 200
+# What the parts of links look like: a text in brackets, and a target in parentheses, which may have a quoted title.
+_TEXT, _TARGET = r"\[[^\]]*\]", r"\([^)]*\)"
+_LINKS = [rf"\[!{_TEXT}{_TARGET}\]{_TARGET}", rf"!{_TEXT}{_TARGET}", rf"{_TEXT}{_TARGET}", r"<https?://[^>]+>"]
+#: Characters that mark up and say nothing by themselves.
+_MARKS = " \t\x0B\f\r#-\"=_([]).\u001c\u001d\u001e\u001f"
 
 
 def let(value: Column, body) -> Column:
@@ -29,14 +33,14 @@ def strip(text: Column) -> Column:
 
 def remove_links(text: Column) -> Column:
     """Linked images, images, links and bare links go, their text too."""
-    for pattern in (_IMAGE_LINK, _IMAGE, _LINK, _BARE):
+    for pattern in _LINKS:
         text = F.regexp_replace(text, pattern, "")
     return text
 
 
 def drop_format_lines(text: Column) -> Column:
     """Lines made of formatting characters go; empty lines stay."""
-    lines = F.filter(F.split(text, "\n", -1), lambda x: (x == "") | ~x.rlike(_FORMAT_ONLY))
+    lines = F.filter(F.split(text, "\n", -1), lambda x: (x == "") | (F.translate(x, _MARKS, "") != ""))
     return F.array_join(lines, "\n")
 
 
@@ -57,18 +61,21 @@ def collapse_newlines(text: Column) -> Column:
 
 
 def dedupe_lines(text: Column) -> Column:
-    """A line equal to the last non-blank one goes; at most one blank stays between lines, none at the ends."""
-    start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit("").alias("last"), F.lit(False).alias("gap"))
+    """A line equal to the last non-blank one goes; at most one blank stays between lines, none at the ends.
 
-    def step(acc: Column, line: Column) -> Column:
-        bare = strip(line)
-        blank = bare == ""
-        again = bare == acc["last"]
-        some = F.size(acc["kept"]) > 0
-        kept = F.when(blank | again, acc["kept"]).otherwise(F.concat(acc["kept"], F.when(acc["gap"] & some, F.array(F.lit(""), line)).otherwise(F.array(line))))
-        return F.struct(kept.alias("kept"), F.when(blank, acc["last"]).otherwise(bare).alias("last"), F.when(blank, F.lit(True)).when(again, acc["gap"]).otherwise(F.lit(False)).alias("gap"))
+    Non-blank lines carry their place among all lines and among each other: between two that stay there was a blank
+    line where the one grew by more than the other. Every line is looked at a bounded number of times.
+    """
+    tagged = F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("i"), strip(x).alias("bare"), x.alias("line")))
+    said = let(tagged, lambda all_: F.filter(all_, lambda x: x["bare"] != ""))
+    numbered = F.transform(said, lambda x, o: F.struct(x["i"].alias("i"), o.alias("o"), x["bare"].alias("bare"), x["line"].alias("line")))
+    stay = let(numbered, lambda all_: F.filter(all_, lambda x, o: (o == 0) | (x["bare"] != F.get(all_, o - 1)["bare"])))
+
+    def shown(left: Column) -> Column:
+        gap = lambda x, k: (x["i"] - F.get(left, k - 1)["i"]) > (x["o"] - F.get(left, k - 1)["o"])
+        return F.array_join(F.transform(left, lambda x, k: F.when((k > 0) & gap(x, k), F.concat(F.lit("\n"), x["line"])).otherwise(x["line"])), "\n")
 
-    return F.aggregate(F.split(text, "\n", -1), start, step, lambda acc: F.array_join(acc["kept"], "\n"))
+    return let(stay, shown)
 
 
 def clean(text: Column, table: dict[str, str] = CHARACTERS) -> Column:
@@ -109,23 +116,28 @@ def merge_ranges(rows: DataFrame, keys: list[str], start: str = "start", end: st
 
 
 def chunks(sizes: Column, chunk_size: int = 100, overlap: int = 15) -> Column:
-    """Greedy packing of block sizes: arrays of block numbers; a full chunk hands its last share of blocks on."""
-    size_, share = chunk_size or 100, overlap or 15
-    start = F.struct(F.array().cast("array<array<int>>").alias("done"), F.array().cast("array<int>").alias("open"), F.lit(0).cast("long").alias("size"))
-    numbered = F.transform(sizes, lambda s, i: F.struct(i.alias("i"), s.cast("long").alias("s")))
+    """Greedy packing of block sizes: arrays of block numbers; a full chunk hands its last share of blocks on.
+
+    Chunks are runs of neighbouring blocks, so a pass over the sizes that keeps where the open one begins is enough.
+    """
+    most, share = chunk_size or 100, overlap or 15
 
-    def step(acc: Column, x: Column) -> Column:
-        full = (acc["size"] + x["s"] > size_) & (F.size(acc["open"]) > 0)
-        many = F.floor(F.lit(share) / 100 * F.size(acc["open"])).cast("int")
-        carried = F.when(many > 0, F.slice(acc["open"], F.size(acc["open"]) - many + 1, many)).otherwise(F.array().cast("array<int>"))
-        held = F.aggregate(carried, F.lit(0).cast("long"), lambda a, k: a + F.element_at(sizes, k + 1).cast("long"))
-        return F.struct(
-            F.when(full, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"]).alias("done"),
-            F.concat(F.when(full, carried).otherwise(acc["open"]), F.array(x["i"])).alias("open"),
-            (F.when(full, held).otherwise(acc["size"]) + x["s"]).alias("size"),
-        )
+    @pandas_udf("array<struct<first: int, last: int>>")
+    def runs(of: pd.Series) -> pd.Series:
+        def one(found) -> list[tuple[int, int]]:
+            out, first, held = [], 0, 0
+            for i, size in enumerate(found if found is not None else ()):
+                if held + size > most and i > first:
+                    out.append((first, i - 1))
+                    kept = int(share / 100 * (i - first))
+                    first = i - kept
+                    held = int(sum(found[first:i]))
+                held += int(size)
+            return [*out, (first, len(found) - 1)] if found is not None and len(found) else []
 
-    return F.aggregate(numbered, start, step, lambda acc: F.when(F.size(acc["open"]) > 0, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"]))
+        return of.map(one)
+
+    return F.transform(runs(sizes), lambda r: F.sequence(r["first"], r["last"]))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -136,11 +148,79 @@ def dot(a: Column, b: Column) -> Column:
 def relevant_chunks(chunked: DataFrame, phrases: DataFrame, threshold: float, vector: str = "vector") -> DataFrame:
     """Chunks whose greatest dot product with any phrase vector reaches the threshold, with ``similarity``.
 
-    phrases is a short stated list; its vectors go along with every row as one array.
+    phrases is a short stated list, PHRASES at most (else ValueError); its vectors go along with every row.
     """
-    listed = [r[0] for r in phrases.select("vector").collect()]
+    listed = [r[0] for r in phrases.select("vector").limit(PHRASES + 1).collect()]
+    if len(listed) > PHRASES:
+        raise ValueError(f"more than {PHRASES} phrases")
     if not listed:
         return chunked.withColumn("similarity", F.lit(None).cast("double")).where(F.lit(False))
     refs = F.array(*(F.array(*map(F.lit, map(float, v))) for v in listed))
     best = F.array_max(F.transform(refs, lambda r: dot(F.col(vector), r)))
     return chunked.withColumn("similarity", best).where(F.col("similarity") >= threshold)
+
+
+def phrase_list(text: str) -> list[str]:
+    """Reference phrases of a setting: cut at ``;;``, without outer space and empty ones."""
+    return [p.strip() for p in text.split(";;") if p.strip()]
+
+
+def filter_pages(
+    rows: DataFrame, phrases: DataFrame, embed, key: str = "doc_id", text: str = "text", least: int = 0, chunk_size: int = 100, overlap: int = 15, threshold: float = 0.0, around: int = 1
+) -> DataFrame:
+    """``key`` and ``filtered``: of each text the parts near the reference phrases, with ``around`` lines on both sides.
+
+    Texts shorter than ``least`` stay as they are. Lines form blocks, blocks chunks; ``embed`` turns a chunk's content
+    into a vector, and the lines of chunks like any phrase (vectors in ``phrases``) are merged, widened and merged
+    again; parts are joined by a blank line. A text without such a chunk, blocks or any text gives an empty one. Keys
+    are to be unique.
+    """
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = rows.select(key, body.alias("__text"))
+    long = rows.where(F.length("__text") >= least)
+    listed = F.array_sort(F.collect_list(F.struct("start_line", "end_line", "content")))
+    found = blocks(long, "__text", (key,)).groupBy(key).agg(listed.alias("blocks"))
+    found = found.withColumn("chunks", chunks(F.transform("blocks", lambda b: F.length(b["content"])), chunk_size, overlap))
+    at = lambda i: F.get("blocks", i)
+    chunked = found.select(key, "blocks", F.explode("chunks").alias("of"))
+    chunked = chunked.select(key, F.array_join(F.transform("of", lambda i: at(i)["content"]), "\n").alias("content"), F.transform("of", lambda i: F.struct(at(i)["start_line"].alias("start"), at(i)["end_line"].alias("end"))).alias("lines"))
+    near = relevant_chunks(chunked.where(strip(F.col("content")) != "").withColumn("vector", embed("content")), phrases, threshold)
+    merged = merge_ranges(near.select(key, F.explode("lines").alias("l")).select(key, "l.start", "l.end"), [key])
+    lines_ = long.select(key, F.split("__text", "\n", -1).alias("lines"))
+    sized = merged.join(lines_.select(key, F.size("lines").alias("n")), key)
+    wide = sized.select(key, F.greatest(F.lit(0), F.col("start") - around).alias("start"), F.least(F.col("n") - 1, F.col("end") + around).alias("end"))
+    parts = merge_ranges(wide, [key]).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("parts"))
+    part = lambda p: F.array_join(F.slice("lines", p["start"] + 1, p["end"] - p["start"] + 1), "\n")
+    kept = lines_.join(parts, key, "left").select(key, F.coalesce(F.array_join(F.transform("parts", part), "\n\n"), F.lit("")).alias("filtered"))
+    return kept.unionByName(rows.where(F.length("__text") < least).select(key, F.col("__text").alias("filtered")))
+
+
+def preview(text: Column, most: int) -> Column:
+    """The first ``most`` characters, and dots where there are more."""
+    return F.when(F.length(text) > most, F.concat(F.substring(text, 1, most), F.lit("..."))).otherwise(text)
+
+
+def payload(text: Column) -> Column:
+    """Base64 of JSON: of the text itself if it is JSON, else of the text as a JSON string; null for null."""
+    quoted = F.regexp_replace(F.to_json(F.struct(text.alias("t"))), r'^\{"t":|\}$', "")
+    return F.base64(F.encode(F.when(F.try_parse_json(text).isNotNull(), text).otherwise(quoted), "UTF-8"))
+
+
+def cleaning_counters(rows: DataFrame, before: str, after: str, table: dict[str, str] = CHARACTERS) -> DataFrame:
+    """Texts processed, texts cleaned to something, and characters of ``table`` that were in the texts without links and marks."""
+    body = drop_format_lines(remove_links(F.coalesce(F.col(before), F.lit(""))))
+    kinds = "".join(k for k in table if len(k) == 1)
+    replaced = F.length(body) - F.length(F.translate(body, kinds, ""))
+    return rows.agg(
+        F.count_if(F.col(before) != "").cast("long").alias("texts_processed"), F.count_if((F.col(before) != "") & (F.col(after) != "")).cast("long").alias("texts_successful"), F.coalesce(F.sum(replaced), F.lit(0)).cast("long").alias("chars_replaced"),
+    )
+
+
+def valid_url(url: Column) -> Column:
+    """Whether a URL has a scheme and a host."""
+    return F.coalesce(url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+"), F.lit(False))
+
+
+def file_name(url: Column) -> Column:
+    """What follows the last slash of a URL's path."""
+    return F.regexp_extract(F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", ""), r"([^/?#]*)(?:[?#].*)?$", 1)

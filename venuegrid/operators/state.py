@@ -110,6 +110,30 @@ def add_error(old: Column, kind: str, message: Column, stamp: Column) -> Column:
     return F.when(message.isNull() | (message == ""), old).when(F.coalesce(old, F.lit("")).contains(F.concat(F.lit(f"] {kind}: "), message)), old).otherwise(chain)
 
 
+def added(old: Column, more: Column) -> Column:
+    """A running sum's new value; nulls count as nothing."""
+    return F.coalesce(old, F.lit(0.0)) + F.coalesce(more, F.lit(0.0))
+
+
+def settled(rows: DataFrame) -> DataFrame:
+    """rows written once, for deltas that calls to the outside made: they must not be made again when a delta is read twice."""
+    return kept(rows, "settled")
+
+
+def outcome(category: Column, message: Column) -> Column:
+    """What an error of a category leads to: ``solution`` for the log, and ``value``, which stands for the result (null: the default)."""
+    said = F.lower(message)
+    solution = (
+        F.when((category == "llm") & said.contains("api key"), "Clé API invalide")
+        .when((category == "llm") & said.contains("rate limit"), "Limite de taux atteinte")
+        .when((category == "llm") & said.contains("timeout"), "Timeout LLM")
+        .when(category == "parsing", "Erreur de parsing des données")
+        .when(category == "validation", "Données invalides")
+    )
+    value = F.when((category == "llm") & (solution == "Timeout LLM"), "Erreur Timeout LLM").when(category == "validation", F.to_json(F.struct(F.lit("Validation failed").alias("error"), message.alias("details"))))
+    return F.struct(solution.alias("solution"), value.alias("value"))
+
+
 def error_summary(chain: Column) -> Column:
     """How many errors a chain has and its first with the number of others."""
     parts = F.filter(F.split(F.coalesce(chain, F.lit("")), r" \| "), lambda x: x != "")

@@ -2,13 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Report statuses in display order.
 STATUS_ORDER = ["success", "schedule_diff", "compare_error", "extraction_error", "access_error"]
 STATUS_NAMES = {"success": "Succès", "schedule_diff": "Différences horaires", "compare_error": "Erreurs de comparaison", "extraction_error": "Erreurs d'extraction", "access_error": "Erreurs d'accès"}
 
+# Sections of the statistics: title, and per item its column, label, unit and decimals.
+SECTIONS = {
+    "header": ("Statistiques du pipeline", {"execution_id": ("execution_id", "ID d'exécution", "", None), "timestamp": ("timestamp", "Horodatage", "", None)}),
+    "urls": ("URLs", {
+        "total": ("total", "Total des URLs", "", None), "successful": ("successful", "URLs réussies", "", None), "failed": ("failed", "URLs échouées", "", None), "success_rate": ("success_rate", "Taux de réussite", "%", 1),
+        "avg_content_length": ("avg_content_length", "Taille moyenne du contenu", " caractères", 0), "http_errors": ("http_errors", "Erreurs HTTP", "", None), "timeout_errors": ("timeout_errors", "Erreurs de timeout", "", None),
+    }),
+    "markdown": ("Markdown", {
+        "processed": ("processed", "Documents traités", "", None), "cleaned": ("cleaned", "Documents nettoyés", "", None), "filtered": ("filtered", "Documents filtrés", "", None),
+        "avg_filtered_length": ("avg_filtered_length", "Taille moyenne après filtrage", " caractères", 0), "chars_cleaned": ("chars_cleaned", "Caractères supprimés lors du nettoyage", "", None),
+    }),
+    "llm": ("LLM", {
+        "attempted": ("attempted", "Extractions tentées", "", None), "successful_json": ("json_ok", "Extractions JSON réussies", "", None), "successful_osm": ("osm_ok", "Extractions OSM réussies", "", None), "failed": ("failed", "Extractions échouées", "", None),
+        "success_rate": ("success_rate", "Taux de réussite", "%", 1), "avg_schedule_length": ("avg_osm_length", "Taille moyenne des horaires", " caractères", 0), "total_co2_emissions": ("co2_g", "Émissions totales de CO2", "g", 3),
+    }),
+    "comparisons": ("Comparaisons", {
+        "total": ("total", "Total des comparaisons", "", None), "identical": ("identical", "Horaires identiques", "", None), "different": ("different", "Horaires différents", "", None), "not_compared": ("not_compared", "Non comparés", "", None),
+        "accuracy_rate": ("accuracy_rate", "Taux de précision", "%", 1),
+    }),
+    "global": ("Global", {
+        "total_records": ("total_records", "Total des enregistrements", "", None), "records_with_errors": ("records_with_errors", "Enregistrements avec erreurs", "", None), "execution_date": ("execution_date", "Date d'exécution", "", None),
+        "llm_model": ("llm_model", "Modèle LLM", "", None), "llm_provider": ("llm_provider", "Fournisseur LLM", "", None), "total_co2_emissions": ("total_co2_emissions", "Émissions totales de CO2", "g", 3),
+    }),
+}
+
 
 def count_of(condition: Column, name: str) -> Column:
     return F.count_if(condition).cast("long").alias(name)
@@ -75,8 +102,56 @@ def status_counts(rows: DataFrame) -> DataFrame:
     """Counts and shares of the statuses present, with their place in the report."""
     at = F.array_position(F.array(*map(F.lit, STATUS_ORDER)), F.col("status")).cast("int")
     counts = rows.groupBy("status").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.join(F.broadcast(total)).select("status", at.alias("place"), "n", F.round(100.0 * F.col("n") / F.col("total"), 1).alias("share"))
+    total = F.sum("n").over(Window.partitionBy())  # a row per status
+    return counts.select("status", at.alias("place"), "n", F.round(100.0 * F.col("n") / total, 1).alias("share"))
+
+
+def outcome_counts(rows: DataFrame) -> DataFrame:
+    """Counters of the whole report from the column status: total, and comparisons done, identical, different, not done."""
+    same, other = F.count_if(F.col("status") == "success"), F.count_if(F.col("status") == "schedule_diff")
+    n = F.count("*")
+    return rows.agg(n.alias("total_urls"), (same + other).alias("comparisons_done"), same.alias("comparisons_identical"), other.alias("comparisons_different"), (n - same - other).alias("comparisons_not_done"))
+
+
+def global_stats(executions: DataFrame, results: DataFrame) -> DataFrame:
+    """One row: records, records with errors, the latest execution's date, model and provider, and all emissions in grams."""
+    last = lambda c: F.max_by(c, F.struct("date_execution", "id_execution"))
+    runs = executions.agg(F.max("date_execution").alias("execution_date"), last("llm_modele").alias("llm_model"), last("llm_fournisseur").alias("llm_provider"), F.round(F.coalesce(F.sum("llm_consommation_execution"), F.lit(0.0)) * 1000, 4).alias("total_co2_emissions"))
+    rows = results.agg(F.count("*").alias("total_records"), count_of(F.coalesce(F.col("erreurs_pipeline"), F.lit("")) != "", "records_with_errors"))
+    # two rows of one: each side has exactly one
+    return rows.withColumn("one", F.lit(1)).join(runs.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+def item_rows(section: str, stats: DataFrame) -> DataFrame:
+    """A one-row frame of statistics in long form: section, title, item, label, value, formatted_value, unit."""
+    title, items = SECTIONS[section]
+    made = []
+    for item, (column, label, unit, digits) in items.items():
+        value = F.col(column)
+        number = stats.schema[column].dataType.typeName() in ("double", "float", "long", "integer")
+        shown = F.concat(F.format_string(f"%.{digits}f", F.bround(value.cast("double"), digits)), F.lit(unit)) if digits is not None and number else F.concat(value.cast("string"), F.lit(unit))
+        made.append(F.struct(F.lit(section).alias("section"), F.lit(title).alias("title"), F.lit(item).alias("item"), F.lit(label).alias("label"), value.cast("string").alias("value"), F.coalesce(shown, F.lit("N/A")).alias("formatted_value"), F.lit(unit).alias("unit")))
+    return stats.select(F.inline(F.array(*made)))
+
+
+def sections(executions: DataFrame, results: DataFrame, stamp: str) -> DataFrame:
+    """All sections of the statistics in long form: header, URLs, Markdown, extraction, comparison and global."""
+    header = results.sparkSession.range(1).select(F.lit("global").alias("execution_id"), F.lit(stamp).alias("timestamp"))
+    each = {"header": header, "urls": url_stats(results), "markdown": text_stats(results), "llm": extraction_stats(results), "comparisons": comparison_stats(results), "global": global_stats(executions, results)}
+    rows = [item_rows(name, frame) for name, frame in each.items()]
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def custom_text(template: str, rows: list) -> str:
+    """A template with ``{section.item}`` replaced by the formatted and ``{section.item_value}`` by the bare value.
+
+    rows are those of ``sections``, a few dozen. Places that name nothing stay as they are.
+    """
+    said = {f"{r['section']}.{r['item']}": r["formatted_value"] for r in rows} | {f"{r['section']}.{r['item']}_value": str(r["value"]) for r in rows}
+    return re.sub(r"\{([a-z_]+\.[a-z0-9_]+)\}", lambda m: said.get(m[1], m[0]), template)
 
 
 def counts_by(rows: DataFrame, key: str, first: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from venuegrid.functions import hours, text
+from venuegrid.functions import documents, hours, text
 from venuegrid.operators import state, stats
 from venuegrid.plans.views import RESULTS_SQL, results, table, venues
 from venuegrid.sources.providers import html_to_text
@@ -467,7 +467,7 @@ def future_dates(spark: SparkSession, d: str) -> DataFrame:
     """dates of a map strictly after a given day."""
     days = table(spark, d, "orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")).distinct()
     maps = days.groupBy("o_custkey").agg(F.map_from_entries(F.collect_list(F.struct("day", F.lit("ferme")))).alias("m"))
-    kept = F.map_filter("m", lambda k, v: F.try_to_date(k, "yyyy-M-d") > F.lit("1998-06-15").cast("date"))
+    kept = documents.future_only(F.col("m"), F.lit("1998-06-15").cast("date"))
     return maps.select("o_custkey", F.size(kept).cast("long").alias("n")).where("n > 0")
 
 
@@ -479,15 +479,21 @@ def holiday_overlay(spark: SparkSession, d: str) -> DataFrame:
     days = table(spark, d, "orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")).distinct()
     maps = days.groupBy("o_custkey").agg(F.map_from_entries(F.collect_list(F.struct("day", F.lit("ouvert")))).alias("m"))
     holidays = F.create_map(*(F.lit(x) for h in listed for x in (h, "ferme")))
-    merged = F.map_concat(F.map_filter(holidays, lambda k, v: ~F.map_contains_key(F.col("m"), k)), "m")
+    merged = documents.with_holidays(F.col("m"), holidays, F.lit("Bibliothèque"))
     return maps.select("o_custkey", F.explode(F.map_filter(merged, lambda k, v: k.isin(listed))).alias("day", "status"))
 
 
-@query("SELECT event_id, CAST(CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 3 END AS INTEGER) AS n FROM events")
+@query("""SELECT event_id, CAST(CASE event_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 2 THEN 1 + event_id % 5 ELSE 1 + event_id % 3 END AS INTEGER) AS n FROM events""")
 def atomic_diffs(spark: SparkSession, d: str) -> DataFrame:
-    """Single changes in a difference text."""
-    k = F.col("event_id") % 3
-    said = F.when(k == 0, "").when(k == 1, "lundi: ouvert → fermé | créneaux: supprimés: 09:00-12:00").otherwise("lundi: créneaux: ajoutés: 09:00-12:00, 14:00-18:00 | supprimés: 10:00-11:00")
+    """Single changes in a difference text, of varied length."""
+    k = F.col("event_id")
+    slots = lambda n: F.array_join(F.transform(F.sequence(F.lit(0), n), lambda i: F.concat(F.lpad((i + 6).cast("string"), 2, "0"), F.lit(":00-20:00"))), ", ")
+    said = (
+        F.when(k % 4 == 0, "")
+        .when(k % 4 == 1, "lundi: ouvert → fermé | créneaux: supprimés: 09:00-12:00")
+        .when(k % 4 == 2, F.concat(F.lit("lundi: créneaux: ajoutés: "), slots((k % 5).cast("int"))))
+        .otherwise(F.array_join(F.array_repeat(F.lit("ligne"), (k % 3 + 1).cast("int")), "\n"))
+    )
     return table(spark, d, "events").select("event_id", hours.atomic_differences(said).cast("int").alias("n"))
 
 

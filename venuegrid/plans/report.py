@@ -1,15 +1,26 @@
-"""An HTML report from small aggregates."""
+"""The report: classified rows, counts, and an HTML page from small aggregates."""
 
 from __future__ import annotations
 
 from html import escape
 from string import Template
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from venuegrid.functions import text
 from venuegrid.operators import state, stats
 
-PAGE = Template("<!DOCTYPE html><html lang='fr'><head><meta charset='utf-8'><title>$title</title></head><body><h1>$title</h1><p>$total</p><table>$rows</table></body></html>")
+PAGE = Template("<!DOCTYPE html><html lang='fr'><head><meta charset='utf-8'><title>$title</title></head><body><h1>$title</h1><p>$total</p><table>$rows</table>$groups</body></html>")
+#: Rows of one status that the page shows; the report table itself holds all.
+SHOWN = 200
+# Columns of a report row, by the name they have in the tables, and messages of statuses.
+COLUMNS = {
+    "type_lieu": "type_lieu", "identifiant": "identifiant", "nom": "nom", "url": "url", "horaires_data_gl": "horaires_data_gl", "statut": "statut_url", "message": "message_url", "markdown_brut": "markdown_brut",
+    "markdown_nettoye": "markdown_nettoye", "markdown_filtre": "markdown_filtre", "llm_horaires_json": "llm_horaires_json", "llm_horaires_osm": "llm_horaires_osm", "code_http": "code_http",
+    "horaires_identiques": "horaires_identiques", "differences_horaires": "differences_horaires", "erreurs_pipeline": "erreurs_pipeline", "llm_consommation_requete": "llm_consommation_requete",
+}
+NO_ACCESS, NO_EXTRACTION, NO_COMPARISON = "Accès impossible", "Extraction échouée", "Comparaison impossible"
 
 
 def reported(results: DataFrame, venues: DataFrame) -> DataFrame:
@@ -17,8 +28,44 @@ def reported(results: DataFrame, venues: DataFrame) -> DataFrame:
     return state.with_venue(results, venues).withColumn("status", stats.report_status()).orderBy("identifiant", state.ID)
 
 
+def message(status: Column, said: Column, errors: Column) -> Column:
+    """What a row's message says more of its error, by status: the first error, or a stand-in, where the message is silent."""
+    silent = F.coalesce(said, F.lit("")).isin("", "-")
+    chain = F.coalesce(errors, F.lit(""))
+    first = F.substring_index(chain, " | ", 1)
+    access = F.when(~silent, said).when(chain != "", F.substring_index(chain, "\n", 1)).otherwise(NO_ACCESS)
+    told = (chain != "") & ~F.coalesce(said, F.lit("")).startswith("Erreur")
+    extraction = F.when(told, F.when((first != "") & (F.length(first) < 100), first).otherwise(NO_EXTRACTION)).when(silent, NO_EXTRACTION).otherwise(said)
+    return F.when(status == "access_error", access).when(status == "extraction_error", extraction).when((status == "compare_error") & silent, NO_COMPARISON).otherwise(said)
+
+
+def rows(results: DataFrame, venues: DataFrame) -> DataFrame:
+    """The report table: the columns of a report row, its status, place, enriched message, error summary, payload and previews."""
+    found = state.with_venue(results, venues).withColumn("status", stats.report_status())
+    place = F.array_position(F.array(*map(F.lit, stats.STATUS_ORDER)), F.col("status")).cast("int")
+    errors = state.error_summary(F.col("erreurs_pipeline"))
+    known = {c: F.col(of) for c, of in COLUMNS.items()}
+    known["llm_consommation_requete"] = F.col("llm_consommation_requete") * 1000
+    known["message"] = message(F.col("status"), F.col("message_url"), F.col("erreurs_pipeline"))
+    return found.select(
+        *(c.alias(name) for name, c in known.items()), "status", place.alias("place"), errors["errors"].alias("nombre_erreurs"), errors["summary"].alias("erreurs_resume"),
+        text.payload(F.col("llm_horaires_json")).alias("horaires_base64"), text.preview(F.col("llm_horaires_osm"), 60).alias("apercu_horaires"), text.preview(F.col("differences_horaires"), 80).alias("apercu_differences"),
+    )
+
+
+def groups(report: DataFrame) -> DataFrame:
+    """The report table by status in display order and venue: its groups with their rows, however many those are."""
+    return report.orderBy("place", "identifiant")
+
+
 def render(results: DataFrame, venues: DataFrame, title: str = "Rapport") -> str:
-    """The summary page; only the counts by status reach the driver."""
-    counts = sorted(stats.status_counts(reported(results, venues)).collect(), key=lambda r: r["place"])
-    rows = "".join(f"<tr><td>{escape(stats.STATUS_NAMES[r['status']])}</td><td>{r['n']}</td><td>{r['share']} %</td></tr>" for r in counts)
-    return PAGE.substitute(title=escape(title), total=sum(r["n"] for r in counts), rows=rows)
+    """The page: counts by status, and of each status' rows the first SHOWN; no more than these reach the driver."""
+    table = rows(results, venues)
+    counts = sorted(stats.status_counts(table).collect(), key=lambda r: r["place"])
+    lines = "".join(f"<tr><td>{escape(stats.STATUS_NAMES[r['status']])}</td><td>{r['n']}</td><td>{r['share']} %</td></tr>" for r in counts)
+    parts = []
+    for r in counts:
+        some = table.where(F.col("status") == r["status"]).select("identifiant", "nom", "message", "apercu_horaires", "apercu_differences").orderBy("identifiant").limit(SHOWN).collect()
+        cells = "".join("<tr>" + "".join(f"<td>{escape(str(c or ''))}</td>" for c in row) + "</tr>" for row in some)
+        parts.append(f"<h2>{escape(stats.STATUS_NAMES[r['status']])}</h2><table>{cells}</table>")
+    return PAGE.substitute(title=escape(title), total=sum(r["n"] for r in counts), rows=lines, groups="".join(parts))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import socket
+import time
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -67,15 +69,37 @@ def checked_url(url: Column) -> Column:
 
 
 Fetch = Callable[[str], tuple[str, int, str, str]]
-
-
-def fetch(rows: DataFrame, provider: Fetch, url: str = "url") -> DataFrame:
+#: Tries for one page, and seconds between two.
+TRIES, DELAY = 3, 5.0
+
+
+def answer(provider: Fetch, url: str, tries: int = TRIES, delay: float = DELAY) -> tuple[str, int, str, str]:
+    """Status, code, message and html of one page; a provider that raises is asked again, and never ends the task.
+
+    The last error decides: a host without an address is ``erreur``, a time-out ``warning``, any other ``critical``. An
+    ``ok`` with another code than 200 becomes ``warning``.
+    """
+    error: Exception = RuntimeError("Toutes les tentatives ont échoué")
+    for turn in range(tries):
+        if turn:
+            time.sleep(delay)
+        try:
+            status, code, message, html = provider(url)
+            return ("warning" if status == "ok" and code != 200 else status), code, message, html
+        except Exception as e:
+            error = e
+    if isinstance(error, socket.gaierror) or "ERR_NAME_NOT_RESOLVED" in str(error):
+        return "erreur", 0, "Domaine non résolu (DNS)", ""
+    return ("warning" if isinstance(error, TimeoutError) else "critical"), 0, str(error), ""
+
+
+def fetch(rows: DataFrame, provider: Fetch, url: str = "url", tries: int = TRIES, delay: float = DELAY) -> DataFrame:
     """rows with statut_url, code_http, message_url and html; urls that fail the guards never reach the provider."""
     bad = checked_url(F.col(url))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            got = [(("erreur", 0, why, "") if why else provider(u)) for u, why in zip(frame[url], frame["__bad"], strict=True)]
+            got = [(("erreur", 0, why, "") if why else answer(provider, u, tries, delay)) for u, why in zip(frame[url], frame["__bad"], strict=True)]
             yield frame.drop(columns="__bad").assign(**{c: [g[k] for g in got] for k, c in enumerate(("statut_url", "code_http", "message_url", "html"))})
 
     kinds = ", ".join([*(f"`{n}` {t}" for n, t in rows.dtypes), "statut_url string, code_http int, message_url string, html string"])

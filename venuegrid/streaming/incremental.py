@@ -24,9 +24,11 @@ def clean_stream(arrivals: DataFrame, store: Store, checkpoint: str) -> Streamin
     """
 
     def take(batch: DataFrame, _: int) -> None:
-        stored = store.read("resultats_extraction")
-        fresh = batch.join(stored.select(ID), ID, "left_anti").dropDuplicates([ID])
-        store.write("resultats_extraction", apply_delta(stored.unionByName(fresh), cleaned(fresh), ["markdown_nettoye"]))
+        touched = [r[0] for r in batch.select("id_execution").distinct().collect()]  # executions, whose parts alone are rewritten
+        if touched:
+            stored = store.read("resultats_extraction", touched)
+            fresh = batch.join(stored.select(ID), ID, "left_anti").dropDuplicates([ID])
+            store.rewrite("resultats_extraction", apply_delta(stored.unionByName(fresh), cleaned(fresh), ["markdown_nettoye"]), touched)
 
     return arrivals.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
