@@ -115,8 +115,9 @@ class Store:
             rows.write.parquet(at)
             return {"": at}
         rows.where(F.col(by).isin(values)).withColumn("part", F.col(by)).write.partitionBy("part").parquet(at)
-        there = [r[0] for r in self.spark.read.parquet(at).select("part").distinct().collect()] if values else []
-        return {str(v): f"{at}/part={v}" for v in there}
+        made = self._read_or_none(lambda: self.spark.read.parquet(at))  # none if there were no rows
+        there = made.select("part").distinct().collect() if made is not None else []
+        return {str(r[0]): f"{at}/part={r[0]}" for r in there}
 
     def create_database(self) -> None:
         """Every state table that does not exist yet, empty."""
