@@ -1,9 +1,11 @@
 """Exact top-k inner-product search by pivot-table elimination.
 
-Every distinct vector carries its distances to PIVOTS fixed vectors and the origin. For a query q and a candidate
-c, the greatest |d(q, p) - d(c, p)| over the pivots p is a lower bound on d(q, c), and so
-(|q|^2 + |c|^2 - bound^2) / 2 is an upper bound on their inner product. Candidates are evaluated in the order of
-that bound until no remaining one can enter any open top list; the result is exact.
+Every distinct vector carries its distances to the origin and to many fixed vectors, the pivots. By the triangle
+inequality each pivot p gives a lower bound |d(q, p) - d(c, p)| on the distance of a query q and a candidate c. All
+pivots together give the greatest that the table allows: the distances fix a vector's foot in the span of the pivots
+and its height over it, and two vectors are no nearer than their feet, and heights on the same side, are. That is an
+upper bound on the inner product: that of the feet plus the product of the heights. Each query evaluates candidates in
+the order of its own bounds until no remaining one can enter its top list, so the result is exact.
 
 Blocks of queries meet streams of candidates: rows are dealt by (query block, candidate stream), each task holds
 one block of queries with its running top lists and takes candidates CHUNK at a time. Equal vectors are one
@@ -21,10 +23,10 @@ from pyspark.sql import functions as F
 
 from venuegrid.llm.common import keep
 
-#: Pivots beside the origin, chosen farthest-first from the SAMPLE vectors with the smallest hashes.
-PIVOTS, SAMPLE = 16, 1024
-#: Candidates bounded at once, queries bounded at once, candidates evaluated between two looks at the bounds.
-CHUNK, BATCH, STEP = 8192, 128, 512
+#: Pivots beside the origin, each the one of the SAMPLE vectors with the smallest hashes that is farthest from the span of those before.
+PIVOTS, SAMPLE = 56, 1024
+#: Candidates bounded at once, queries bounded at once, candidates of a query evaluated between two looks at its bounds.
+CHUNK, BATCH, STEP = 8192, 128, 64
 #: Rows of a block of queries and of a stream of candidates: at least, at most.
 QUERIES, STREAM = (1024, 16384), (16384, 1 << 20)
 #: Above this, products of norms are too large for exact doubles and integer arithmetic is used.
@@ -46,14 +48,33 @@ def _pivots(distinct: DataFrame) -> dict[int, np.ndarray]:
     found = {}
     for dim, vectors in by.items():
         x = np.stack(vectors)
-        chosen, far = [np.zeros(dim)], np.linalg.norm(x, axis=1)
-        while len(chosen) <= PIVOTS and far.max(initial=0) > 0:
-            chosen.append(x[int(far.argmax())])
-            far = np.minimum(far, np.linalg.norm(x - chosen[-1], axis=1))
+        rest, chosen = x.copy(), [np.zeros(dim)]
+        least = 1e-6 * float(np.linalg.norm(x, axis=1).max(initial=0))
+        while len(chosen) <= min(PIVOTS, dim):
+            height = np.linalg.norm(rest, axis=1)
+            at = int(height.argmax())
+            if height[at] <= least:
+                break
+            chosen.append(x[at])
+            axis = rest[at] / height[at]
+            rest -= np.outer(rest @ axis, axis)
         found[dim] = np.stack(chosen)
     return found
 
 
+class Feet:
+    """From distances to the origin and the pivots to the foot in the pivots' span, and the height over it."""
+
+    def __init__(self, pivots: np.ndarray) -> None:
+        self.square = (pivots[1:] ** 2).sum(axis=1)
+        self.back = np.linalg.inv(np.linalg.qr(pivots[1:].T)[1]) if len(pivots) > 1 else np.zeros((0, 0))
+
+    def __call__(self, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own = far[:, 0] ** 2
+        foot = ((own[:, None] + self.square - far[:, 1:] ** 2) / 2) @ self.back
+        return foot, np.sqrt(np.maximum(0.0, own - (foot**2).sum(axis=1)))
+
+
 def _table(pivots: dict[int, np.ndarray]):
     """Adds ``far``: each vector's distances to the pivots of its dimension (to the origin alone if it has none)."""
 
@@ -69,39 +90,38 @@ def _table(pivots: dict[int, np.ndarray]):
 
 
 class Tops:
-    """Running top lists of one block of queries."""
+    """Running top lists of one block of queries; ``met`` and ``evaluated`` count pairs."""
 
-    def __init__(self, raw: list[bytes], far: list[bytes], k: int) -> None:
-        self.k, self.dim, n = k, len(raw[0]) // 8, len(raw)
+    def __init__(self, raw: list[bytes], far: list[bytes], k: int, feet: Feet) -> None:
+        self.k, self.dim, n, self.feet = k, len(raw[0]) // 8, len(raw), feet
         self.q = np.frombuffer(b"".join(raw), "<i8").reshape(n, self.dim)
-        self.far = np.frombuffer(b"".join(far)).reshape(n, -1)
-        self.norm = self.far[:, 0]
+        table = np.frombuffer(b"".join(far)).reshape(n, -1)
+        self.norm = table[:, 0]
+        self.foot, self.height = feet(table)
         self.score = np.full((n, k), -np.iinfo(np.int64).max)
         self.first = np.full((n, k), np.iinfo(np.int64).max)
         self.ids = np.full((n, k), None, object)
-        self.order = np.argsort(self.far[:, 1:].argmin(axis=1) if self.far.shape[1] > 1 else np.zeros(n), kind="stable")
+        self.met = self.evaluated = 0
 
     def meet(self, raw: list[bytes], far: list[bytes], first: np.ndarray, ids: np.ndarray) -> None:
-        c, cf = np.frombuffer(b"".join(raw), "<i8").reshape(len(raw), self.dim), np.frombuffer(b"".join(far)).reshape(len(raw), -1)
-        exact = float(self.norm.max()) * float(cf[:, 0].max()) < EXACT
+        c, table = np.frombuffer(b"".join(raw), "<i8").reshape(len(raw), self.dim), np.frombuffer(b"".join(far)).reshape(len(raw), -1)
+        foot, height = self.feet(table)
+        exact = float(self.norm.max()) * float(table[:, 0].max()) < EXACT
         ct, qt = (c.astype(float), self.q.astype(float)) if exact else (c, self.q)
-        for at in range(0, len(self.order), BATCH):
-            rows = self.order[at : at + BATCH]
-            qf = self.far[rows]
-            low = np.zeros((len(rows), len(c)))
-            for p in range(qf.shape[1]):
-                np.maximum(low, np.abs(qf[:, p, None] - cf[None, :, p]), out=low)
-            most = self.norm[rows, None] ** 2 + cf[None, :, 0] ** 2
-            bound = (most - low * low) / 2 + 1e-9 * most + 0.5  # room for rounding
-            turn = np.argsort(-bound.max(axis=0), kind="stable")
-            left = np.maximum.accumulate(bound[:, turn][:, ::-1], axis=1)[:, ::-1]  # best bound from here on
-            for step in range(0, len(turn), STEP):
-                open_ = np.flatnonzero(left[:, step] >= self.score[rows, -1])
-                if not len(open_):
-                    break
-                some = turn[step : step + STEP]
-                got = qt[rows[open_]] @ ct[some].T
-                self._enter(rows[open_], got.astype(np.int64), first[some], ids[some])
+        for at in range(0, len(self.q), BATCH):
+            rows = np.arange(at, min(at + BATCH, len(self.q)))
+            most = self.norm[rows, None] ** 2 + table[None, :, 0] ** 2
+            bound = self.foot[rows] @ foot.T + self.height[rows, None] * height[None, :] + 1e-9 * most + 0.5  # room for rounding
+            self.met += bound.size
+            for row, b in zip(rows.tolist(), bound, strict=True):
+                open_ = np.flatnonzero(b >= self.score[row, -1])
+                turn = open_[np.argsort(-b[open_], kind="stable")]
+                for step in range(0, len(turn), STEP):
+                    some = turn[step : step + STEP]
+                    if b[some[0]] < self.score[row, -1]:
+                        break  # neither this nor any later one can enter
+                    self.evaluated += len(some)
+                    self._enter(np.array([row]), (ct[some] @ qt[row])[None, :].astype(np.int64), first[some], ids[some])
 
     def _enter(self, rows: np.ndarray, got: np.ndarray, first: np.ndarray, ids: np.ndarray) -> None:
         better = (got >= self.score[rows, -1:]).any(axis=1)
@@ -115,7 +135,7 @@ class Tops:
             self.score[r], self.first[r], self.ids[r] = score[best], firsts[best], np.concatenate([self.ids[r], ids[at]])[best]
 
 
-def _search(k: int):
+def _search(k: int, pivots: dict[int, np.ndarray]):
     def result(block: list[bytes], tops: Tops) -> Iterator[pa.RecordBatch]:
         held = tops.ids != None  # noqa: E711
         query, _ = np.nonzero(held)
@@ -153,7 +173,8 @@ def _search(k: int):
                     held[1].extend(part.column("far").to_pylist())
                     continue
                 if tops is None and held[0]:
-                    block, tops = held[0], Tops(*held, k)
+                    dim = len(held[0][0]) // 8
+                    block, tops = held[0], Tops(*held, k, Feet(pivots.get(dim, np.zeros((1, dim)))))
                 if tops is not None:
                     parts.append([part.column(c).to_pylist() for c in ("raw", "far", "ids")])
                     if sum(len(p[0]) for p in parts) >= CHUNK:
@@ -170,8 +191,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
 
     Vectors are quantised first; those that are null or hold null or non-finite components, and rows without an
     id, take no part. A query never finds its own id. Ties go to the smaller vec_id; fewer than k rows give all.
-    Repeated rows of one id and vector count once; vectors meet only vectors of their own dimension. An empty
-    table gives an empty result; other columns are not read.
+    Repeated rows of one id and vector count once; vectors meet only vectors of their own dimension. Scores are signed
+    64-bit numbers: quantised vectors whose norms have a product over 2**63 wrap around. An empty table gives an empty
+    result; other columns are not read.
     """
     rows = vectors.withColumn("__q", is_query).select(F.col(id_col).cast("long").alias("vec_id"), quantise(F.col(vector_col), scale).alias("v"), F.coalesce("__q", F.lit(False)).alias("is_query"))
     rows = keep(rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()), "vectors")
@@ -184,7 +206,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     asked = rows.where("is_query").select("v").distinct().withColumn("asked", F.lit(True))
     distinct = distinct.join(asked, "v", "left").select("v", "ids", F.coalesce("asked", F.lit(False)).alias("asked"))
     distinct = keep(distinct.mapInArrow(_packed, "raw binary, dim int, ids array<long>, asked boolean"), "distinct")
-    table = keep(distinct.mapInArrow(_table(_pivots(distinct)), "raw binary, dim int, ids array<long>, asked boolean, far binary"), "pivots")
+    pivots = _pivots(distinct)
+    table = keep(distinct.mapInArrow(_table(pivots), "raw binary, dim int, ids array<long>, asked boolean, far binary"), "pivots")
     total, n_asked = table.agg(F.count("*"), F.count_if("asked")).first()
     blocks = -(-n_asked // min(max(QUERIES[0], -(-n_asked // 16)), QUERIES[1])) or 1
     streams = -(-total // min(max(STREAM[0], -(-total // 16)), STREAM[1])) or 1
@@ -193,7 +216,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     answering = table.withColumns({"sb": F.pmod(F.xxhash64("raw", F.lit(1)), F.lit(streams)).cast("int"), "role": F.lit(1)}).withColumn("qb", every(blocks))
     columns = ["dim", "qb", "sb", "role", "raw", "far", "ids"]
     dealt = asking.select(*columns).unionByName(answering.select(*columns)).repartition("dim", "qb", "sb").sortWithinPartitions("dim", "qb", "sb", "role")
-    found = dealt.mapInArrow(_search(k + 1), "raw binary, score long, ids array<long>")
+    found = dealt.mapInArrow(_search(k + 1, pivots), "raw binary, score long, ids array<long>")
     best = Window.partitionBy("raw").orderBy(F.desc("score"), F.col("ids")[0])
     found = keep(found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("raw", "score", F.explode("ids").alias("vec_id")), "found")
     queries = keep(rows.where("is_query").distinct().mapInArrow(_query_keys, "query_id long, raw binary"), "queries")
