@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import licences, packing, pieces, quality, recompress, rules, sharding, simhash, topk, urls
+from venuegrid.llm import licences, oracles, packing, pieces, quality, recompress, rules, sharding, simhash, topk, urls
 from venuegrid.llm.common import table
 
 QUERIES: dict = {}
@@ -46,7 +46,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and distances from the language references for all documents."""
-    return rules.judge(table(spark, sf_dir, "documents"))
+    found = rules.judge(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.round(c, 6) for c in ("char_distance", "common_distance")})
+
+
+ORACLE["op9_quality_rules"] = oracles.quality_rules()
 
 
 @query
@@ -71,15 +75,7 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-ORACLE["op1_topk"] = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS c FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (
-  SELECT q.vec_id AS query_id, o.vec_id, CAST(list_inner_product(CAST(q.c AS DOUBLE[]), CAST(o.c AS DOUBLE[])) AS BIGINT) AS score
-  FROM v q JOIN v o ON q.vec_id <> o.vec_id WHERE q.vec_id % 20 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
+ORACLE["op1_topk"] = oracles.TOPK
 
 
 @query
@@ -88,6 +84,9 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+ORACLE["op10_licenses"] = oracles.licence_scan()
+
+
 @query
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every whole text and whether they decode to it."""
