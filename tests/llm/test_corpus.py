@@ -180,7 +180,9 @@ def test_plan_spends_the_radius():
         assert len(bits) == len(set(bits))
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [0, 30, 200_000])
+def test_components(spark, monkeypatch, small):
+    monkeypatch.setattr(components, "SMALL", small)
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3), (300, 200)] + [(1000, k) for k in range(1001, 1060)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100, 200: 200, 300: 200} | {k: 1000 for k in range(1000, 1060)}

@@ -317,9 +317,10 @@ def links(distinct: DataFrame, radius: int, seeds: int = 1, far: int | None = No
     first = distinct.where("seed = 0") if also else distinct
     sample = first.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).select("fp").toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     layout = plan(sample, total, radius)
-    rows = keep(distinct.mapInArrow(_signatures(layout, also), "part int, sig long, fp long, role int" + "".join(f", {c} long" for c in also)), "signatures")
+    # signatures are made twice, once to count them: that is cheaper than to write them
+    rows = distinct.mapInArrow(_signatures(layout, also), "part int, sig long, fp long, role int" + "".join(f", {c} long" for c in also))
     sizes = rows.groupBy("part", "sig").agg(F.count("*").alias("n"), F.count_if(F.col("role") == 0).alias("own")).where("n > 1 AND own > 0")
-    dealt = rows.join(sizes, ["part", "sig"]).withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
+    dealt = rows.join(keep(sizes.select("part", "sig", "n"), "sizes"), ["part", "sig"]).withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp", "role"), F.col("chunks")).cast("int"))
     others = F.sequence(F.lit(0), F.col("chunks") - 1)
     dealt = dealt.select("part", "sig", "fp", "role", *also, F.explode(F.transform(others, lambda o: F.struct(F.least(o, "mine").alias("i"), F.greatest(o, "mine").alias("j")))).alias("c"))
