@@ -316,7 +316,14 @@ def dedupe_lines(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.size(F.filter(F.split(t, "\n"), lambda x: text.strip(x) != "")).cast("long").alias("kept"))
 
 
-@query()
+@query(r"""WITH a AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\[!\[[^\]]*\]\([^)]*\)\]\([^)]*\)', '', 'g'), '!\[[^\]]*\]\([^)]*\)', '', 'g'), '\[[^\]]*\]\([^)]*\)', '', 'g'), '<https?://[^>]+>', '', 'g') AS t FROM documents),
+b AS (SELECT doc_id, array_to_string(list_filter(string_split(t, chr(10)), lambda x: x = '' OR NOT regexp_full_match(x, '[\s#\-"=_(\[\]).]+')), chr(10)) AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(translate(t, '«»“”‘’–—' || chr(160) || chr(8201) || '*_`+\' || chr(8203), repeat(chr(34), 4) || repeat(chr(39), 2) || '--       '), '(\r\n|\n|\r){3,}', chr(10) || chr(10), 'g') AS t FROM b),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM c), n AS (SELECT *, regexp_replace(line, '^\s+|\s+$', '', 'g') AS bare FROM l),
+o AS (SELECT *, row_number() OVER w AS o, lag(bare) OVER w AS before FROM n WHERE bare <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+k AS (SELECT *, i - lag(i) OVER w > o - lag(o) OVER w AS gap FROM o WHERE before IS NULL OR before <> bare WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+t AS (SELECT doc_id, regexp_replace(string_agg(CASE WHEN gap THEN chr(10) || line ELSE line END, chr(10) ORDER BY i), '^\s+|\s+$', '', 'g') AS t FROM k GROUP BY 1)
+SELECT d.doc_id, coalesce(t, '') AS cleaned FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id""")
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
     """The whole cleaning chain."""
     return table(spark, d, "documents").select("doc_id", text.clean(F.col("text")).alias("cleaned"))
@@ -340,7 +347,12 @@ def blocks(spark: SparkSession, d: str) -> DataFrame:
     return text.blocks(table(spark, d, "documents"))
 
 
-@query()
+@query("""WITH RECURSIVE s AS (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda x: length(x)) AS z FROM documents),
+r AS (SELECT doc_id, z, 1 AS i, 1 AS first, CAST(0 AS BIGINT) AS held, CAST(NULL AS INTEGER) AS a, CAST(NULL AS INTEGER) AS b FROM s UNION ALL
+  SELECT doc_id, z, i + 1, begins, CAST((CASE WHEN closes THEN coalesce(list_sum(list_slice(z, begins, i - 1)), 0) ELSE held END) + z[i] AS BIGINT), CASE WHEN closes THEN first END, CASE WHEN closes THEN i - 1 END
+  FROM (SELECT *, CASE WHEN closes THEN i - CAST(floor(15 / 100 * (i - first)) AS INTEGER) ELSE first END AS begins FROM (SELECT *, held + z[i] > 200 AND i > first AS closes FROM r WHERE i <= len(z)))),
+c AS (SELECT doc_id, a, b FROM r WHERE a IS NOT NULL UNION ALL SELECT doc_id, first, i - 1 FROM r WHERE i = len(z) + 1)
+SELECT doc_id, list(CAST(range(a - 1, b) AS INTEGER[]) ORDER BY a, b) AS chunks FROM c GROUP BY 1""")
 def chunk_packing(spark: SparkSession, d: str) -> DataFrame:
     """Lines packed greedily into chunks with overlap."""
     sizes = F.transform(F.split("text", "\n"), lambda x: F.length(x))
