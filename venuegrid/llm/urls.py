@@ -14,7 +14,6 @@ class, however many URLs there are; the automaton goes into the plan as two lite
 
 from __future__ import annotations
 
-from collections import defaultdict
 from math import log
 
 from pyspark.sql import Column, DataFrame, Window
