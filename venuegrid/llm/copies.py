@@ -12,7 +12,7 @@ largest group with all others. For a cluster of true copies that is next to noth
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ LEFT = 10
 #: Shingles whose membership matrix is held at once.
 SLAB = 8192
 
+Near = Callable[[list[np.ndarray]], np.ndarray]
+
 
 def shingles(text: bytes | None, shingle: int) -> np.ndarray:
     """The distinct XXH64 hashes of a text's shingles, sorted; a text of fewer words is one shingle, no words none."""
@@ -133,7 +135,7 @@ def _groups(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _exact(alike: float):
+def _exact(near: Near):
     """Runs of equal (root, i, j) come sorted; yields an edge from each text to the first of its component in the run.
 
     Texts of different ``side`` are compared, or all where every side is null.
@@ -141,7 +143,7 @@ def _exact(alike: float):
 
     def out(held: list[tuple]) -> pa.RecordBatch:
         keys = np.array([k for k, _, _ in held], np.int64)
-        linked = _alike([np.frombuffer(h, np.uint64) for _, _, h in held], alike)
+        linked = near([np.frombuffer(h, np.uint64) for _, _, h in held])
         if held[0][1] is not None:
             side = np.array([s for _, s, _ in held])
             linked &= side[:, None] != side[None, :]
@@ -165,10 +167,10 @@ def _exact(alike: float):
     return run
 
 
-def _compare(dealt: DataFrame, alike: float) -> DataFrame:
+def _compare(dealt: DataFrame, near: Near) -> DataFrame:
     """Edges of runs of dealt (root, i, j, key, side, hashes)."""
     runs = dealt.select("root", "i", "j", "key", "side", "hashes").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-    return runs.mapInArrow(_exact(alike), "a long, b long")
+    return runs.mapInArrow(_exact(near), "a long, b long")
 
 
 def _in_chunks(members: DataFrame, salt: int) -> DataFrame:
@@ -183,25 +185,26 @@ def _every(n: str | Column) -> Column:
     return F.explode(F.sequence(F.lit(0), F.col(n) - 1 if isinstance(n, str) else n - 1))
 
 
-def verified(clusters: DataFrame, alike: float) -> DataFrame:
-    """Edges (a, b) that span the groups of texts in one cluster (columns root, key, hashes) with a Jaccard of ``alike`` or more.
+def verified(clusters: DataFrame, near: Near) -> DataFrame:
+    """Edges (a, b) that span the groups of texts in one cluster (columns root, key, hashes) that ``near`` links.
 
+    ``near`` takes sorted sets and tells of each two whether they link.
     Any two texts of a cluster are compared or are in one group already; nothing is capped.
     """
     alone = {"j": F.lit(0), "side": F.lit(None).cast("int")}
     dealt = keep(_in_chunks(clusters, 0), "dealt")
-    edges = keep(_compare(dealt.withColumns(alone), alike), "links")
+    edges = keep(_compare(dealt.withColumns(alone), near), "links")
     large = dealt.where("chunks > 1").drop("i")
     if large.isEmpty():
         return edges
     for turn in range(1, 64):
         grouped = keep(_grouped(large, edges), "grouped")
         leaders = keep(_in_chunks(grouped.where("key = part").select("root", "key", "hashes"), turn), "leaders")
-        found = keep(_compare(leaders.withColumns(alone), alike), "links")
+        found = keep(_compare(leaders.withColumns(alone), near), "links")
         edges = keep(edges.unionByName(found), "links")
         if found.count() * LEFT < leaders.count() or leaders.where("chunks > 1").isEmpty():
             break
-    return edges.unionByName(_outside(keep(_grouped(large, edges), "grouped"), alike))
+    return edges.unionByName(_outside(keep(_grouped(large, edges), "grouped"), near))
 
 
 def _grouped(large: DataFrame, edges: DataFrame) -> DataFrame:
@@ -210,7 +213,7 @@ def _grouped(large: DataFrame, edges: DataFrame) -> DataFrame:
     return large.join(found.select(F.col("node").alias("key"), F.col("root").alias("part")), "key", "left").withColumn("part", F.coalesce("part", "key"))
 
 
-def _outside(grouped: DataFrame, alike: float) -> DataFrame:
+def _outside(grouped: DataFrame, near: Near) -> DataFrame:
     """Edges from texts outside the largest group of their cluster to texts of its other groups."""
     parts = grouped.groupBy("root", "part").agg(F.count("*").alias("n"), F.sum(F.length("hashes")).alias("bytes"))
     most = F.max(F.struct("n", "part"))["part"]
@@ -221,7 +224,7 @@ def _outside(grouped: DataFrame, alike: float) -> DataFrame:
     # side 0 is a block of texts outside the largest group, side 1 a chunk of all texts
     one = members.where("part <> most").select("root", block.alias("i"), _every("chunks").alias("j"), "key", F.lit(0).alias("side"), "hashes")
     two = members.select("root", _every("blocks").alias("i"), F.col("mine").alias("j"), "key", F.lit(1).alias("side"), "hashes")
-    return _compare(one.unionByName(two), alike)
+    return _compare(one.unionByName(two), near)
 
 
 # -- groups of copies -------------------------------------------------------------------------------------------
@@ -247,7 +250,7 @@ def copies(docs: DataFrame, shingle: int = 5, radius: int = 8, alike: float = 0.
     of = clusters.select("root", "key", F.col("doc_id").alias("id"), F.col("h").alias("__h"))
     texts = _texts(docs).join(of, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("__h"))).select("root", "key", "text").dropDuplicates(["key"])
     hashes = keep(texts.mapInArrow(_shingled(shingle), "root long, key long, hashes binary"), "hashes")
-    roots = keep(classes(verified(hashes, alike)), "roots")
+    roots = keep(classes(verified(hashes, lambda s: _alike(s, alike))), "roots")
     rooted = sets.join(roots, F.col("key") == F.col("node"), "left").select(F.coalesce("root", "key").alias("root"), "doc_id", "h")
     return rooted.groupBy("root").agg(F.min(rank).alias("first")).select("first.doc_id", "first.h")
 

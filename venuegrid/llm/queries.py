@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.llm import licences, oracles, packing, pieces, quality, recompress, rules, sharding, simhash, topk, urls
+from venuegrid.llm import jaccard, licences, oracles, packing, pieces, quality, recompress, resample, rules, sharding, simhash, topk, trie, urls
 from venuegrid.llm.common import table
 
 QUERIES: dict = {}
@@ -91,3 +91,21 @@ ORACLE["op10_licenses"] = oracles.licence_scan()
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every whole text and whether they decode to it."""
     return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of 3-word shingle sets and components of links at a Jaccard similarity of 0.9 or more."""
+    return jaccard.join(table(spark, sf_dir, "documents"), shingle=3, num=90, den=100)
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), every=20, most=4)
+
+
+@query
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark, and the ranks of the five in a hundred drawn."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), buckets=10_000, least_words=20, share=(5, 100), seed=42)
