@@ -82,8 +82,8 @@ def test_keep_one_at_a_similarity(spark, monkeypatch):
     assert len(left) - (pairs + 11) <= 2
 
 
-def near(sets):
-    return copies._alike(sets, 0.8)
+def near():
+    return lambda sets: copies._alike(sets, 0.8)  # a function made here travels to the workers by value
 
 
 def sets_of(spark, rows):
@@ -94,7 +94,7 @@ def sets_of(spark, rows):
 
 def test_verified_drops_false_candidates(spark):
     rows = [(1, 1, "a b c d e f g h"), (1, 2, "A b c d e f g h"), (1, 3, "a b c d e f x y"), (2, 4, "a b c d e f g h")]
-    got = copies.verified(sets_of(spark, rows), near).collect()
+    got = copies.verified(sets_of(spark, rows), near()).collect()
     assert [{r.a, r.b} for r in got] == [{1, 2}]
 
 
@@ -114,7 +114,7 @@ def test_large_clusters_lose_no_link(spark, monkeypatch):
     texts += [" ".join(star[:k] + ["x"] + star[k + 1 :]) for k in range(5, 95, 3)]
     texts += [" ".join(words(rng, 40)) for _ in range(30)]
     rng.shuffle(texts)
-    edges = copies.verified(sets_of(spark, [(7, k, t) for k, t in enumerate(texts)]), near).collect()
+    edges = copies.verified(sets_of(spark, [(7, k, t) for k, t in enumerate(texts)]), near()).collect()
     root = list(range(len(texts)))
 
     def find(a):

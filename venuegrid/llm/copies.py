@@ -175,7 +175,12 @@ def _compare(dealt: DataFrame, near: Near) -> DataFrame:
 
 def _in_chunks(members: DataFrame, salt: int) -> DataFrame:
     """members with ``chunks``, how many their cluster needs, and ``i``, the one a text is dealt to; single texts go."""
-    sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.length("hashes")).alias("bytes")).where("n > 1")
+    return chunked(members, F.length("hashes"), salt)
+
+
+def chunked(members: DataFrame, size: Column, salt: int = 0) -> DataFrame:
+    """As ``_in_chunks``, of rows (root, key) whose sets have ``size`` bytes."""
+    sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).where("n > 1")
     chunks = F.greatest(F.ceil(F.col("n") / TEXTS), F.ceil(F.col("bytes") / BYTES)).cast("int")
     dealt = members.join(sizes.select("root", chunks.alias("chunks")), "root")
     return dealt.withColumn("i", F.pmod(F.xxhash64("key", F.lit(salt)), F.col("chunks")).cast("int"))
@@ -185,14 +190,15 @@ def _every(n: str | Column) -> Column:
     return F.explode(F.sequence(F.lit(0), F.col(n) - 1 if isinstance(n, str) else n - 1))
 
 
-def verified(clusters: DataFrame, near: Near) -> DataFrame:
+def verified(clusters: DataFrame, near: Near, dealt: bool = False) -> DataFrame:
     """Edges (a, b) that span the groups of texts in one cluster (columns root, key, hashes) that ``near`` links.
 
-    ``near`` takes sorted sets and tells of each two whether they link.
-    Any two texts of a cluster are compared or are in one group already; nothing is capped.
+    ``near`` takes sorted sets and tells of each two whether they link. Any two texts of a cluster are compared or are in
+    one group already; nothing is capped. With ``dealt`` clusters is a written table that has ``chunks`` and ``i`` (see
+    ``chunked``).
     """
     alone = {"j": F.lit(0), "side": F.lit(None).cast("int")}
-    dealt = keep(_in_chunks(clusters, 0), "dealt")
+    dealt = clusters if dealt else keep(_in_chunks(clusters, 0), "dealt")
     edges = keep(_compare(dealt.withColumns(alone), near), "links")
     large = dealt.where("chunks > 1").drop("i")
     if large.isEmpty():

@@ -1,12 +1,12 @@
 """Exact n-gram Jaccard join: a blocked sparse product of the incidence matrix of texts by n-grams.
 
-Rows of the matrix are distinct shingle sets, columns are shingles. Two sets whose similarity reaches ``num / den``
-differ in at most H = (|a| + |b|) * (den - num) / (den + num) shingles, and neither is larger than den / num times
-the other. So sizes are cut into levels, and within a level the columns into H + 1 + SPARE blocks: sets that link agree
-on at least 1 + SPARE whole blocks. A set is filed under each of its blocks' contents; equal entries make sets
-candidates, and what a path of candidates joins is multiplied out, tile by tile of rows and slab by slab of columns.
-Overlap counts add up over the slabs; a pair is discarded as soon as its count and what is left of the smaller set
-cannot reach the bound that the two sizes demand, and a tile with no pair left stops.
+Rows of the matrix are shingle sets, columns are shingles. Two sets whose similarity reaches ``num / den`` differ in at
+most H = (|a| + |b|) * (den - num) / (den + num) shingles, and neither is larger than den / num times the other. So
+sizes are cut into levels, and within a level the columns into H + 1 + SPARE blocks: sets that link agree on at least
+1 + SPARE whole blocks. A set is filed under each of its blocks' contents; equal entries make sets candidates, and
+what a path of candidates joins is multiplied out, tile by tile of rows and slab by slab of columns. Overlap counts
+add up over the slabs; a pair is discarded as soon as its count and what is left of the smaller set cannot reach the
+bound that the two sizes demand, and a tile with no pair left stops.
 """
 
 from __future__ import annotations
@@ -21,38 +21,51 @@ from pyspark.sql import functions as F
 
 from venuegrid.llm.common import keep, mix, text_batches
 from venuegrid.llm.components import classes
-from venuegrid.llm.copies import shingles, verified
+from venuegrid.llm.copies import chunked, shingles, verified
 
 #: Agreeing blocks more than the one that must agree; up to so many of a set's blocks may be empty and are not filed.
 SPARE = 1
+#: A level's greatest size over its least. Broader levels file fewer sets twice, but all of them under more blocks.
+BROAD = 1.4
 #: Rows of a tile, and columns of a slab.
 TILE, SLAB = 64, 4096
 
 
 class Levels:
-    """Size levels of a similarity num / den: sets that link lie in one level or in two neighbouring ones."""
+    """Size levels of a similarity num / den.
+
+    Level i holds the sizes from its cut to the next; cuts are some BROAD apart. Whatever links with a set of level i and
+    is not smaller lies in level i too, or above it by less than den / num: such sizes are filed under both levels.
+    """
 
     def __init__(self, num: int, den: int) -> None:
         self.num, self.den, self.cuts = num, den, [1]
 
-    def _next(self) -> None:
-        self.cuts.append(self.cuts[-1] * self.den // self.num + 1)
+    def _reach(self, size: int) -> int:
+        """The greatest size that links with ``size``."""
+        return size * self.den // self.num
+
+    def _grow(self, n: int) -> None:
+        while len(self.cuts) <= n:
+            self.cuts.append(max(self._reach(self.cuts[-1]) + 1, int(self.cuts[-1] * BROAD)))
 
-    def of(self, size: int) -> int:
+    def of(self, size: int) -> list[int]:
+        """The levels that a set is filed under."""
         while self.cuts[-1] <= size:
-            self._next()
-        return int(np.searchsorted(self.cuts, size, side="right")) - 1
+            self._grow(len(self.cuts))
+        top = int(np.searchsorted(self.cuts, size, side="right")) - 1
+        return [top, top - 1] if top and size <= self._reach(self.cuts[top] - 1) else [top]
 
     def blocks(self, level: int) -> int:
         """Into how many blocks a level's columns are cut; 0 where only equal sets can link."""
-        while len(self.cuts) < level + 3:
-            self._next()
-        differ = (self.cuts[level + 1] + self.cuts[level + 2] - 2) * (self.den - self.num) // (self.den + self.num)
+        self._grow(level + 1)
+        most = self.cuts[level + 1] - 1
+        differ = (most + self._reach(most)) * (self.den - self.num) // (self.den + self.num)
         return differ + 1 + SPARE if differ else 0
 
 
 def entries(hashes: np.ndarray, levels: Levels) -> np.ndarray:
-    """What a set (sorted hashes) is filed under: the contents of its column blocks in its own level and the one below.
+    """What a set (sorted hashes) is filed under: the contents of its column blocks in each of its levels.
 
     Blocks are equal ranges of the hash, so a block's content is a run of the sorted set and its sum a difference of
     two running sums. Empty blocks are filed only where a set has more than SPARE of them: sets that agree on no other
@@ -61,8 +74,8 @@ def entries(hashes: np.ndarray, levels: Levels) -> np.ndarray:
     if not len(hashes):
         return np.zeros(0, np.uint64)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashes + np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64)))
-    top, out = levels.of(len(hashes)), []
-    for level in {max(top - 1, 0), top}:
+    out = []
+    for level in levels.of(len(hashes)):
         n = levels.blocks(level)
         if n:
             edges = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
@@ -89,6 +102,47 @@ def _signed(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, h long, same binary, n long, filed array<long>")
 
 
+# -- candidates -----------------------------------------------------------------------------------------------
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distinct pairs of different ends, a row each."""
+    return np.unique(np.stack([a, b], axis=1)[a != b], axis=0)
+
+
+def _filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(entry, a, b): of the sets of a batch under one entry the first, with b = -1, and an edge from each other one to it.
+
+    However many sets share an entry, a batch sends on one row of it. Edges go along under a number of their own.
+    """
+    for batch in batches:
+        lists = batch.column("filed")
+        entry = lists.flatten().to_numpy()
+        key = np.repeat(batch.column("key").to_numpy(), lists.value_lengths().to_numpy())
+        order = np.lexsort((key, entry))
+        entry, key = entry[order], key[order]
+        new = np.concatenate(([True], entry[1:] != entry[:-1])) if len(entry) else np.zeros(0, bool)
+        first = key[new][np.cumsum(new) - 1] if len(entry) else key
+        edges = _pairs(key, first)
+        columns = [np.concatenate([entry[new], mix(edges[:, 0].view(np.uint64)).view(np.int64)]), np.concatenate([key[new], edges[:, 0]]), np.concatenate([np.full(int(new.sum()), -1), edges[:, 1]])]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["entry", "a", "b"])
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by entry; yields an edge from each set to the first one under its entry, and the edges that came along."""
+    held = np.zeros((0, 2), np.int64)  # entry and first set of the run that may go on
+    for batch in batches:
+        entry, a, b = (batch.column(c).to_numpy() for c in ("entry", "a", "b"))
+        known, own = b >= 0, b < 0
+        entry, keys = np.concatenate([held[:, 0], entry[own]]), np.concatenate([held[:, 1], a[own]])
+        new = np.concatenate(([True], entry[1:] != entry[:-1])) if len(entry) else np.zeros(0, bool)
+        first = keys[new][np.cumsum(new) - 1] if len(entry) else keys
+        edges = np.concatenate([_pairs(keys, first), np.stack([a[known], b[known]], axis=1)])
+        if len(entry):
+            held = np.array([[entry[-1], first[-1]]], np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(edges[:, k])) for k in (0, 1)], names=["a", "b"])
+
+
 # -- the product -----------------------------------------------------------------------------------------------
 
 
@@ -134,10 +188,12 @@ def _slab(rows: list[np.ndarray], low: int) -> np.ndarray:
 
 
 def _hashed(shingle: int):
+    names = ["root", "key", "chunks", "i"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches):
             sets = pa.array([shingles(t, shingle).tobytes() for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("root"), batch.column("key"), sets], names=["root", "key", "hashes"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), sets], names=[*names, "hashes"])
 
     return run
 
@@ -152,21 +208,22 @@ def join(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100, id_co
     empty result.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("h"), F.col(text_col).cast("string").alias("text"))
-    signed = keep(_signed(texts, shingle, num, den), "signed")
+    signed = keep(_signed(texts, shingle, num, den).withColumn("key", F.monotonically_increasing_id()), "signed")
+    filed = signed.where(F.size("filed") > 0).select("key", "filed").mapInArrow(_filed, "entry long, a long, b long")
+    clusters = classes(filed.repartition("entry").sortWithinPartitions("entry").mapInArrow(_stars, "a long, b long")).withColumnRenamed("node", "key")
+    # equal sets of a cluster are one from here on; a cluster of one set needs no comparison
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    sets = signed.where("n > 0").groupBy("same").agg(F.min(rank).alias("rep"), F.first("filed").alias("filed"))
-    sets = keep(sets.select(F.monotonically_increasing_id().alias("key"), "same", "rep.doc_id", "rep.h", "filed"), "sets")
-    # entries are made twice, once to count them: that is cheaper than to write them
-    filed = sets.select("key", F.explode("filed").alias("entry"))
-    shared = filed.groupBy("entry").agg(F.min("key").alias("node"), F.count("*").alias("n")).where("n > 1")
-    edges = filed.join(keep(shared.select("entry", "node"), "shared"), "entry").where("key <> node").select(F.col("key").alias("a"), F.col("node").alias("b"))
-    clusters = classes(edges).withColumnRenamed("node", "key").join(sets.select("key", "doc_id", "h"), "key")
-    of = keep(clusters.select("root", "key", F.col("doc_id").alias("id"), F.col("h").alias("of")), "clusters")
-    members = texts.join(of, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("of"))).select("root", "key", "text").dropDuplicates(["key"])
-    hashes = keep(members.mapInArrow(_hashed(shingle), "root long, key long, hashes binary"), "hashes")
-    roots = keep(classes(verified(hashes, lambda s: product(s, num, den))), "roots")
-    rooted = keep(sets.join(roots, F.col("key") == F.col("node"), "left").select("same", "doc_id", F.coalesce("root", "key").alias("root")), "rooted")
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    known = keep(rooted.join(least, "root").select("same", "component_id"), "known")
-    linked = signed.where("n > 0").join(known, "same").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return linked.unionByName(signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    sets = clusters.join(signed.select("key", "same", "n", "doc_id", "h"), "key").groupBy("root", "same").agg(F.min(rank).alias("rep"), F.first("n").alias("n"))
+    sets = keep(sets.select("root", "same", "n", "rep.doc_id", "rep.h", F.monotonically_increasing_id().alias("key")), "sets")
+    dealt = keep(chunked(sets, 8 * F.col("n")).select("root", "same", "key", "chunks", "i", F.col("doc_id").alias("id"), F.col("h").alias("of")), "dealt")
+    members = texts.join(dealt.drop("same"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("of"))).select("root", "key", "chunks", "i", "text").dropDuplicates(["key"])
+    hashes = keep(members.mapInArrow(_hashed(shingle), "root long, key long, chunks int, i int, hashes binary"), "hashes")
+    roots = classes(verified(hashes, lambda s: product(s, num, den), dealt=True)).withColumnRenamed("node", "key")
+    linked = keep(dealt.select("same", "key").join(roots, "key").select("same", "root"), "linked")
+    least = keep(signed.where("n > 0").groupBy("same").agg(F.min("doc_id").alias("least")), "least")
+    joined = least.join(linked, "same")
+    components = keep(joined.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    alone = least.join(linked, "same", "left_anti").select("same", F.col("least").alias("component_id"))
+    known = keep(joined.join(components, "root").select("same", "component_id").unionByName(alone), "known")
+    found = signed.where("n > 0").join(known, "same").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return found.unionByName(signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
