@@ -216,7 +216,8 @@ def join(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100, id_co
     sets = clusters.join(signed.select("key", "same", "n", "doc_id", "h"), "key").groupBy("root", "same").agg(F.min(rank).alias("rep"), F.first("n").alias("n"))
     sets = keep(sets.select("root", "same", "n", "rep.doc_id", "rep.h", F.monotonically_increasing_id().alias("key")), "sets")
     dealt = keep(chunked(sets, 8 * F.col("n")).select("root", "same", "key", "chunks", "i", F.col("doc_id").alias("id"), F.col("h").alias("of")), "dealt")
-    members = texts.join(dealt.drop("same"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("of"))).select("root", "key", "chunks", "i", "text").dropDuplicates(["key"])
+    # members grow with the corpus, so they are never broadcast
+    members = texts.join(dealt.drop("same").hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("of"))).select("root", "key", "chunks", "i", "text").dropDuplicates(["key"])
     hashes = keep(members.mapInArrow(_hashed(shingle), "root long, key long, chunks int, i int, hashes binary"), "hashes")
     roots = classes(verified(hashes, lambda s: product(s, num, den), dealt=True)).withColumnRenamed("node", "key")
     linked = keep(dealt.select("same", "key").join(roots, "key").select("same", "root"), "linked")
