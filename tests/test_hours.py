@@ -94,3 +94,43 @@ def test_compare(spark):
 def test_atomic(spark):
     given = ["", "lundi: ouvert → fermé | créneaux: supprimés: 09:00-12:00", "a\nb", "ajoutés: 1-2, 3-4 | supprimés: 5-6"]
     assert values(spark, hours.atomic_differences, given) == [0, 2, 2, 3]
+
+
+AUGUST = "2025-08-31"
+DATES = {
+    "25 decembre 2023": "2023 Dec 25", "1er janvier 2024": "2024 Jan 01", "2024-03-15": "2024 Mar 15", "invalid date": None, "2024-3-5": "2024 Mar 05", "2024/03/15": "2024 Mar 15",
+    "fév. 2024": "2024 Feb 29", "12 fév. 2024": "2024 Feb 12", "14 juil": "2025 Jul 14", "May 5": "2025 May 05", "5 May 24": "2024 May 05", "May 5, 96": "1996 May 05", "May 24": "2025 May 24", "May 2024": "2024 May 31",
+    "sept 2024": "2024 Sep 30", "feb": "2025 Feb 28", "1st jan 2024": "2024 Jan 01", "on the 5th of May 2024 (public holiday)": "2024 May 05", "Fermé le lundi 5 mai 2025 toute la journée": "2025 May 05",
+    "25 décembre 2023 de 10h30 à 12 h, puis 14:00": "2023 Dec 25", "mar. 3 juin 2025": "2025 Jun 03", "marseille mairie": None, "25/12/2024": "2024 Dec 25", "03/04/2024": "2024 Mar 04", "15.03.2024": "2024 Mar 15",
+    "12.03.2024": "2024 Dec 03", "5-6-24": "2024 May 06", "25-6-24": "2024 Jun 25", "20240315": "2024 Mar 15", "2024-03": "2024 Mar 31", "03-2024": "2024 Mar 31", "25/12": "2025 Dec 25", "1/13": "2025 Jan 13",
+    "2024": "2024 Aug 31", "12": "2025 Aug 12", "monday": "2025 Sep 01", "Sunday": "2025 Aug 31", "lundi": None, "monday 5 may": "2025 May 05", "31 February 2024": None, "2024-13-05": None, "10:30": None, "10h": None, "": None, None: None,
+    "  14   JUILLET  2025 ": "2025 Jul 14", "3 halles et 4 salles": None, "00 mai 2024": None,
+}
+
+
+def test_dates_in_free_text(spark):
+    rows = spark.createDataFrame([(t,) for t in DATES], "t string").coalesce(1)
+    got = rows.select("t", hours.print_date(F.col("t"), F.lit(AUGUST).cast("date")).alias("d")).collect()
+    assert {r.t: r.d for r in got} == DATES
+
+
+def test_dates_as_a_public_parser_reads_them(spark):
+    """Texts in which a common lenient parser finds a date, after month names are translated, give the same one."""
+    import datetime
+
+    parser = pytest.importorskip("dateutil.parser")
+    months = dict(zip(["janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août", "septembre", "octobre", "novembre", "décembre"], hours.ENGLISH_MONTHS, strict=True))
+    made = [f"{d}{sep}{m}{sep}{y}" for d, y in ((1, 2024), (28, 1999), (30, 2030)) for m in months for sep in (" ", "  ")]
+    made += [f"{p}{d:02}/{m:02}/{y}" for p in ("", "le ") for d, m, y in ((1, 2, 2024), (11, 12, 2025), (25, 6, 2023), (12, 12, 2012))] + [f"{m} {d}, 2024" for m in months for d in (3, 17)]
+    today = datetime.datetime(2025, 8, 31)
+
+    def expected(text):
+        for french, english in months.items():
+            text = text.replace(french, english)
+        try:
+            return parser.parse(text, fuzzy=True, default=today).strftime("%Y %b %d")
+        except ValueError:  # a day that its month lacks
+            return None
+
+    rows = spark.createDataFrame([(t,) for t in made], "t string").select("t", hours.print_date(F.col("t"), F.lit(AUGUST).cast("date")).alias("d"))
+    assert {r.t: r.d for r in rows.collect()} == {t: expected(t) for t in made}

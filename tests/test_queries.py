@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+import venuegrid.plans.schedules  # noqa: F401  registers its queries with the catalog
 from venuegrid.plans import catalog
 
 D = "/root/testdata/sf0.001"
@@ -17,6 +18,11 @@ def duck():
     return con
 
 
+def plain(value):
+    """Arrays of either engine as lists."""
+    return [plain(x) for x in value] if hasattr(value, "tolist") or isinstance(value, list) else value
+
+
 @pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query(spark, duck, name):
     got = catalog.QUERIES[name](spark, D).toPandas()
@@ -26,5 +32,5 @@ def test_query(spark, duck, name):
     want = duck.execute(catalog.ORACLE[name]).df()
     cols = sorted(want.columns)
     assert cols == sorted(got.columns)
-    order = lambda f: f[cols].astype(str).sort_values(cols).reset_index(drop=True)
+    order = lambda f: f[cols].map(plain).astype(str).sort_values(cols).reset_index(drop=True)
     assert order(want).equals(order(got))

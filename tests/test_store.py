@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from venuegrid.functions import text
 from venuegrid.operators import state, stats
 from venuegrid.plans import pipeline
-from venuegrid.plans.prompt import prompt
+from venuegrid.plans.prompt import Texts, prompt
 from venuegrid.plans.settings import Settings, chosen
 from venuegrid.schema import RESULTS
 from venuegrid.sources import csvfiles, providers
@@ -55,6 +55,21 @@ def test_only_touched_parts_are_rewritten(spark, tmp_path):
         store.write(name, rows_of(spark), "fail")
 
 
+def test_the_newest_commit_is_found_by_few_looks(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "db"))
+    empty = spark.createDataFrame([], store.read("executions").schema)
+    for _ in range(11):
+        store.write("executions", empty)
+    looks = []
+    at = Store._commit_at
+    monkeypatch.setattr(Store, "_commit_at", lambda self, name, n: looks.append(n) or at(self, name, n))
+    assert Store(spark, store.root)._current("executions")[0] == 11 and len(looks) < 10
+    looks.clear()
+    assert store._current("executions")[0] == 11 and len(looks) == 2  # one for a newer one, one to read
+    Store(spark, store.root).write("executions", empty)
+    assert store._current("executions")[0] == 12  # written by another one
+
+
 def test_lost_commits_are_no_empty_table(spark, tmp_path):
     store = Store(spark, str(tmp_path / "db"))
     store.write("executions", spark.createDataFrame([], store.read("executions").schema))
@@ -131,4 +146,6 @@ def test_settings_and_texts(spark):
     rows = [{"section": "urls", "item": "total", "value": 3, "formatted_value": "3"}, {"section": "urls", "item": "success_rate", "value": 66.667, "formatted_value": "66.7%"}]
     assert stats.custom_text("{urls.total} ({urls.success_rate}, {urls.success_rate_value}) {urls.none}", rows) == "3 (66.7%, 66.667) {urls.none}"
     messages = json.loads(spark.range(1).select(prompt(F.lit("mairie"), F.lit(None).cast("string"), F.lit("{year} x"), F.lit(2025), "{}")).first()[0])
-    assert [m["role"] for m in messages] == ["system", "user"] and "sans année est 2025." in messages[0]["content"] and '"Non renseigné"' in messages[1]["content"] and "```markdown\n{year} x\n```" in messages[1]["content"]
+    assert [m["role"] for m in messages] == ["system", "user"] and "sans année est de 2025." in messages[0]["content"] and "Établissement : Non renseigné\n" in messages[1]["content"] and "<<<\n{year} x\n>>>" in messages[1]["content"]
+    own = Texts(system="{year}!", asked="{name}/{kind}/{text}", with_schema="|{schema}")
+    assert [m["content"] for m in json.loads(spark.range(1).select(prompt(F.lit("k"), F.lit("n"), F.lit(None).cast("string"), F.lit(1), "s", own)).first()[0])] == ["1!", "n/k/Aucun contenu disponible|s"]

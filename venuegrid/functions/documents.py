@@ -80,19 +80,22 @@ def print_document(document: Column) -> Column:
     period is closed, and that has no public holidays, is ``off``.
     """
     def shown(name: Column, text: Column) -> Column:
-        entries = F.map_entries(special(text))
         off = lambda v: F.when(F.lower(v).isin("ferme", "fermé", "closed"), "off").when(v == "ouvert", "open").otherwise(v)
-        dated = F.array_join(F.transform(entries, lambda e: F.concat(F.coalesce(hours.print_date(e["key"]), F.when(name == "jours_feries", "PH").otherwise(e["key"])), F.lit(" "), off(e["value"]))), "; ")
+        dated = lambda entries: F.array_join(F.transform(entries, lambda e: F.concat(F.coalesce(hours.print_date(e["key"]), F.when(name == "jours_feries", "PH").otherwise(e["key"])), F.lit(" "), off(e["value"]))), "; ")
         condition = F.coalesce(F.get_json_object(text, "$.condition"), F.when(name == "jours_feries", "PH"))
         mode = F.get_json_object(text, "$.mode")
         bare = F.when(mode == "ferme", F.concat(condition, F.lit(" off"))).when(mode == "ouvert", F.concat(condition, F.lit(" open")))
-        return F.when(name.isin(SPECIALS), F.when(F.size(entries) > 0, dated).otherwise(bare)).otherwise(hours.print_week(week(text)))
+        listed = let(F.map_entries(special(text)), lambda entries: F.when(F.size(entries) > 0, dated(entries)).otherwise(bare))
+        return F.when(name.isin(SPECIALS), listed).otherwise(hours.print_week(week(text)))
 
-    sourced = F.filter(F.map_entries(periods(document)), lambda e: F.coalesce(F.get_json_object(e["value"], "$.source_found").try_cast("boolean"), F.lit(False)))
-    each = F.filter(F.transform(sourced, lambda e: F.struct(e["key"].alias("name"), shown(e["key"], e["value"]).alias("osm"))), lambda x: F.coalesce(x["osm"], F.lit("")) != "")
-    joined = let(each, lambda es: F.when((F.size(es) > 0) & F.forall(es, lambda x: (x["osm"] == "off") & ~x["name"].contains("jours_feries")), "off").otherwise(F.array_join(F.transform(es, lambda x: F.concat(x["name"], F.lit(": "), x["osm"])), "; ")))
-    blank = document.isNull() | (F.trim(document) == "") | document.startswith("Erreur")
-    return F.when(blank, "").when(F.try_parse_json(document).isNull(), "Erreur Conversion OSM: JSON invalide").otherwise(joined)
+    def printed(json: Column) -> Column:
+        sourced = F.filter(F.map_entries(periods(json)), lambda e: _found(e["value"]))
+        each = F.filter(F.transform(sourced, lambda e: F.struct(e["key"].alias("name"), shown(e["key"], e["value"]).alias("osm"))), lambda x: F.coalesce(x["osm"], F.lit("")) != "")
+        joined = let(each, lambda es: F.when((F.size(es) > 0) & F.forall(es, lambda x: (x["osm"] == "off") & ~x["name"].contains("jours_feries")), "off").otherwise(F.array_join(F.transform(es, lambda x: F.concat(x["name"], F.lit(": "), x["osm"])), "; ")))
+        blank = json.isNull() | (F.trim(json) == "") | json.startswith("Erreur")
+        return F.when(blank, "").when(F.try_parse_json(json).isNull(), "Erreur Conversion OSM: JSON invalide").otherwise(joined)
+
+    return let(document, printed)
 
 
 def future_only(dates: Column, today: Column) -> Column:
@@ -110,16 +113,20 @@ def comparison_problem(reference: Column, extracted: Column) -> Column:
     """Why two documents cannot be compared, or null; the first reason that holds."""
     blank = lambda c: c.isNull() | (F.trim(c) == "")
     bad = lambda c: F.try_parse_json(c).isNull()
-    found = F.get_json_object(extracted, "$.extraction_info.source_found").try_cast("boolean")
-    notes = F.coalesce(F.get_json_object(extracted, "$.extraction_info.notes"), F.lit(NO_SOURCE))
-    return (
-        F.when(blank(reference), NO_REFERENCE)
-        .when(reference.startswith("Erreur conversion:"), F.concat(F.lit("Erreur dans les données GL: "), reference))
-        .when(bad(reference), "Erreur parsing JSON data.grandlyon.com")
-        .when(blank(extracted), NO_EXTRACT)
-        .when(bad(extracted), "Erreur parsing JSON LLM")
-        .when(~F.coalesce(found, F.lit(True)), F.concat(F.lit("Comparaison impossible: "), notes))
-    )
+
+    def reason(r: Column, x: Column) -> Column:
+        found = F.get_json_object(x, "$.extraction_info.source_found").try_cast("boolean")
+        notes = F.coalesce(F.get_json_object(x, "$.extraction_info.notes"), F.lit(NO_SOURCE))
+        return (
+            F.when(blank(r), NO_REFERENCE)
+            .when(r.startswith("Erreur conversion:"), F.concat(F.lit("Erreur dans les données GL: "), r))
+            .when(bad(r), "Erreur parsing JSON data.grandlyon.com")
+            .when(blank(x), NO_EXTRACT)
+            .when(bad(x), "Erreur parsing JSON LLM")
+            .when(~F.coalesce(found, F.lit(True)), F.concat(F.lit("Comparaison impossible: "), notes))
+        )
+
+    return let(reference, lambda r: let(extracted, lambda x: reason(r, x)))
 
 
 # -- the document of five periods ----------------------------------------------------------------------------------
@@ -158,7 +165,7 @@ def document(osm: Column, metadata: Column | None = None) -> Column:
         # the metadata struct is of the caller's making, so it joins as text
         return F.concat(F.lit('{"horaires_ouverture":{"metadata":'), about, F.lit(',"periodes":'), F.to_json(periods_), F.lit(',"extraction_info":'), F.to_json(info), F.lit("}}"))
 
-    return F.when(osm != "", let(hours.parse_osm(osm), built))
+    return let(osm, lambda o: F.when(o != "", let(hours.parse_osm(o), built)))
 
 
 def _found(json: Column) -> Column:
@@ -200,7 +207,7 @@ def permanently_closed(document: Column) -> Column:
 
 def overlay(first: Column, then: Column) -> Column:
     """Both maps' entries; those of ``then`` win."""
-    return F.map_concat(F.map_filter(first, lambda k, v: ~F.map_contains_key(then, k)), then)
+    return let(then, lambda new: F.map_concat(F.map_filter(first, lambda k, v: ~F.map_contains_key(new, k)), new))
 
 
 def _dates(document: Column) -> Column:
@@ -219,13 +226,17 @@ def special_changes(a: Column, b: Column) -> Column:
     day = lambda v: F.when(v.startswith("{"), _day(v)).otherwise(shut)
     word = lambda v: ~v.startswith("{")
 
-    def said(d: Column) -> Column:
+    def said(a: Column, b: Column, d: Column) -> Column:
         x, y = a[d], b[d]
         added, gone = F.concat(F.lit("ajouté ("), hours.day_diff(shut, day(y)), F.lit(")")), F.concat(F.lit("supprimé ("), hours.day_diff(day(x), shut), F.lit(")"))
         both = F.when(word(x) & word(y), F.when(x != y, F.concat(x, F.lit(" → "), y))).otherwise(F.nullif(hours.day_diff(day(x), day(y)), F.lit("")))
         return F.concat(d, F.lit(": "), F.when(x.isNull(), added).when(y.isNull(), gone).otherwise(both))
 
-    return F.concat_ws(" | ", F.filter(F.transform(F.array_sort(F.array_union(F.map_keys(a), F.map_keys(b))), said), lambda x: x.isNotNull()))
+    def listed(a: Column, b: Column) -> Column:
+        every = F.transform(F.array_sort(F.array_union(F.map_keys(a), F.map_keys(b))), lambda d: said(a, b, d))
+        return F.concat_ws(" | ", F.filter(every, lambda x: x.isNotNull()))
+
+    return let(a, lambda one: let(b, lambda two: listed(one, two)))
 
 
 def compare(a: Column, b: Column) -> Column:
@@ -245,7 +256,7 @@ def compare(a: Column, b: Column) -> Column:
         return F.when(x["shut"] & y["shut"], "").otherwise(lines)
 
     side = lambda d: F.struct(permanently_closed(d).alias("shut"), _dates(d).alias("dates"), periods(d).alias("periods"))
-    text = let(F.transform(F.array(a, b), side), lambda two: found({"a": two[0], "b": two[1]}))
+    text = let(F.transform(F.array(a, b), side), lambda two: let(two[0], lambda x: let(two[1], lambda y: found({"a": x, "b": y}))))
     return let(text, lambda t: F.struct((t == "").alias("identical"), F.when(t == "", hours.SAME).otherwise(t).alias("differences")))
 
 
@@ -256,15 +267,18 @@ def score(predicted: Column, truth: Column) -> Column:
     """
     blank = lambda c: F.coalesce(c, F.lit("")) == ""
 
-    def judged(c: Column) -> Column:
-        same = blank(predicted) & blank(truth)
-        error = ~same & (blank(predicted) | blank(truth))
+    def judged(p: Column, t: Column, c: Column) -> Column:
+        same = blank(p) & blank(t)
+        error = ~same & (blank(p) | blank(t))
         status = F.when(same | (~error & c["identical"]), IDENTICAL).when(error, ERROR).otherwise(DIFFERENT)
         text = F.when(same, "").when(error, NOT_CONVERTED).otherwise(c["differences"])
         count = F.when(same, 0).when(error, 1).otherwise(hours.atomic_differences(c["differences"]))
         return F.struct(status.alias("status"), count.cast("int").alias("diff_count"), text.alias("differences"))
 
-    return let(let(F.transform(F.array(truth, predicted), lambda osm: document(osm)), lambda two: compare(two[0], two[1])), judged)
+    def compared(two: Column) -> Column:
+        return let(F.transform(two, lambda osm: document(osm)), lambda docs: let(compare(docs[0], docs[1]), lambda c: judged(two[1], two[0], c)))
+
+    return let(F.array(truth, predicted), compared)
 
 
 # -- extraction ------------------------------------------------------------------------------------------------
@@ -281,44 +295,58 @@ def refreshed(json: Column, venue_type: Column, holidays: Column, today: Column)
     ``{}`` for text that is empty or no JSON. ``holidays`` is a map of date to name (see ``holiday_dates``).
     """
     many = "map<string,variant>"
-    closes = F.lower(venue_type).isin(HOLIDAY_TYPES) & (F.size(holidays) > 0)
     entry = lambda v: F.try_variant_get(v, "$", many)
     new = F.struct(
         F.lit(True).alias("source_found"), F.lit("Jours fériés").alias("label"), F.lit("PH").alias("condition"), F.lit("ferme").alias("mode"), F.from_json(F.lit("{}"), "map<string,string>").alias("horaires_specifiques"), F.lit(HOLIDAY_NOTE).alias("description")
     )
 
-    def dated(name: Column, period: Column) -> Column:
+    def dated(name: Column, period: Column, days: Column, closes: Column) -> Column:
+        def joined(kept: Column) -> Column:
+            missing = F.transform_values(F.map_filter(days, lambda k, v: ~F.map_contains_key(kept, k)), lambda k, v: F.parse_json(F.lit('"ferme"')))
+            return F.when(closes & (name == "jours_feries"), F.map_concat(kept, missing)).otherwise(kept)
+
         dates = F.coalesce(F.try_variant_get(period["horaires_specifiques"], "$", many), F.from_json(F.lit("{}"), many))
         kept = F.map_filter(dates, lambda k, v: F.coalesce(F.try_to_date(k, "yyyy-M-d") > today, F.lit(False)))
-        missing = F.transform_values(F.map_filter(holidays, lambda k, v: ~F.map_contains_key(kept, k)), lambda k, v: F.parse_json(F.lit('"ferme"')))
-        full = F.when(closes & (name == "jours_feries"), F.map_concat(kept, missing)).otherwise(kept)
         has = F.map_contains_key(period, "horaires_specifiques") | (closes & (name == "jours_feries"))
-        return F.when(has, overlay(period, F.create_map(F.lit("horaires_specifiques"), F.parse_json(F.to_json(full))))).otherwise(period)
+        return F.when(has, overlay(period, F.create_map(F.lit("horaires_specifiques"), F.parse_json(F.to_json(let(kept, joined)))))).otherwise(period)
+
+    def listed(found: Column, days: Column, closes: Column) -> Column:
+        more = F.when(closes & ~F.map_contains_key(found, "jours_feries"), F.map_concat(found, F.create_map(F.lit("jours_feries"), F.parse_json(F.to_json(new))))).otherwise(found)
+        return F.transform_values(more, lambda k, v: let(entry(v), lambda p: F.coalesce(F.parse_json(F.to_json(dated(k, p, days, closes))), v)))
 
-    def rewritten(top: Column) -> Column:
-        inner = F.coalesce(entry(top["horaires_ouverture"]), F.from_json(F.lit("{}"), many))
-        listed = F.coalesce(F.try_variant_get(inner["periodes"], "$", many), F.from_json(F.lit("{}"), many))
-        listed = F.when(closes & ~F.map_contains_key(listed, "jours_feries"), F.map_concat(listed, F.create_map(F.lit("jours_feries"), F.parse_json(F.to_json(new))))).otherwise(listed)
-        each = F.transform_values(listed, lambda k, v: F.coalesce(F.parse_json(F.to_json(dated(k, entry(v)))), v))
+    def within(inner: Column, days: Column, closes: Column) -> Column:
+        found = F.coalesce(F.try_variant_get(inner["periodes"], "$", many), F.from_json(F.lit("{}"), many))
+        each = let(found, lambda p: listed(p, days, closes))
         changed = F.map_contains_key(inner, "periodes") | closes
-        inner = F.when(changed, overlay(inner, F.create_map(F.lit("periodes"), F.parse_json(F.to_json(each))))).otherwise(inner)
+        return F.when(changed, overlay(inner, F.create_map(F.lit("periodes"), F.parse_json(F.to_json(each))))).otherwise(inner)
+
+    def rewritten(top: Column, days: Column, closes: Column) -> Column:
+        inner = let(F.coalesce(entry(top["horaires_ouverture"]), F.from_json(F.lit("{}"), many)), lambda i: within(i, days, closes))
         whole = F.map_contains_key(top, "horaires_ouverture") | closes
         return F.to_json(F.when(whole, overlay(top, F.create_map(F.lit("horaires_ouverture"), F.parse_json(F.to_json(inner))))).otherwise(top))
 
+    def given(top: Column) -> Column:
+        closes = lambda days: F.lower(venue_type).isin(HOLIDAY_TYPES) & (F.size(days) > 0)
+        return F.when(top.isNotNull(), let(holidays, lambda days: let(closes(days), lambda c: rewritten(top, days, c))))
+
     parsed = F.try_variant_get(F.try_parse_json(json), "$", many)
-    return F.coalesce(let(parsed, lambda top: F.when(top.isNotNull(), rewritten(top))), F.lit("{}"))
+    return F.coalesce(let(parsed, given), F.lit("{}"))
 
 
 def outcome(content: Column, failure: Column, venue_type: Column, holidays: Column, today: Column) -> Column:
     """``json`` and ``osm`` of a model's answer; a failed call, an empty or an error answer puts its error in both."""
-    wrong = (
-        F.when(failure.isNotNull(), F.concat(F.lit("Erreur LLM: "), failure))
-        .when(content.isNull(), "Erreur LLM: reçu 'None' - réponse vide")
-        .when(content == "", "Erreur LLM: reçu '' - réponse inattendue")
-        .when(content.startswith("Erreur"), content)
-    )
-    good = let(refreshed(content, venue_type, holidays, today), lambda j: F.struct(j.alias("json"), print_document(j).alias("osm")))
-    return F.when(wrong.isNotNull(), F.struct(wrong.alias("json"), wrong.alias("osm"))).otherwise(good)
+
+    def settled(text: Column) -> Column:
+        wrong = (
+            F.when(failure.isNotNull(), F.concat(F.lit("Erreur LLM: "), failure))
+            .when(text.isNull(), "Erreur LLM: reçu 'None' - réponse vide")
+            .when(text == "", "Erreur LLM: reçu '' - réponse inattendue")
+            .when(text.startswith("Erreur"), text)
+        )
+        good = let(refreshed(text, venue_type, holidays, today), lambda j: F.struct(j.alias("json"), print_document(j).alias("osm")))
+        return let(wrong, lambda w: F.when(w.isNotNull(), F.struct(w.alias("json"), w.alias("osm"))).otherwise(good))
+
+    return let(content, settled)
 
 
 def outcome_errors(chain: Column, result: Column, stamp: Column) -> Column:

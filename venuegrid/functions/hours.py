@@ -16,6 +16,10 @@ FRENCH_MONTHS = {
     "juillet": 7, "juil": 7, "août": 8, "aout": 8, "septembre": 9, "sep": 9, "sept": 9, "octobre": 10, "oct": 10, "novembre": 11, "nov": 11,
     "décembre": 12, "déc": 12, "decembre": 12, "dec": 12,
 }
+ENGLISH_MONTHS = [
+    "january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december",
+]
+ENGLISH_DAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
 SAME = "Aucune différence détectée."
 SPECIAL = "JOURS SPÉCIAUX ET FÉRIÉS"
 ATTENTION_1 = "ATTENTION: L'établissement 1 (attendu) semble définitivement fermé, alors que l'établissement 2 (prédit) est ouvert."
@@ -72,19 +76,22 @@ def _segments(rule: Column) -> Column:
     Tokens are fenced by a control character; splitting there leaves gaps and tokens in turn. A gap that starts
     with a comma is skipped; another is cut where a comma comes before a day name.
     """
-    pieces = F.split(F.regexp_replace(rule, _TOKEN, "\u0001$0\u0001"), "\u0001", -1)
     cut = lambda g: F.transform(F.split(g, r",(?=\s*[A-Z][a-z])"), lambda s: F.regexp_replace(F.trim(s), r"\s*,\s*", ", "))
-    gap = lambda g: F.when((g == "") | (g.startswith(",") & (F.size(pieces) > 1)), F.array().cast("array<string>")).otherwise(cut(g))
-    return F.flatten(F.transform(pieces, lambda p, i: F.when(i % 2 == 1, F.array(p)).otherwise(gap(F.trim(p)))))
+
+    def each(pieces: Column) -> Column:
+        gap = lambda g: F.when((g == "") | (g.startswith(",") & (F.size(pieces) > 1)), F.array().cast("array<string>")).otherwise(cut(g))
+        return F.flatten(F.transform(pieces, lambda p, i: F.when(i % 2 == 1, F.array(p)).otherwise(let(F.trim(p), gap))))
+
+    return let(F.split(F.regexp_replace(rule, _TOKEN, "\u0001$0\u0001"), "\u0001", -1), each)
 
 
 def _segment(text: Column) -> Column:
-    days, rest = F.regexp_extract(text, r"^(\S+)\s", 1), F.trim(F.regexp_extract(text, r"^\S+\s+(.*)$", 1))
-    off = F.lower(rest).isin("off", "closed")
-    return F.when(
-        (days != "") & (rest != ""),
-        F.struct(parse_days(days).alias("days"), off.alias("off"), F.when(off, _no_slots()).otherwise(parse_slots(rest, parse_occurrence(days))).alias("slots")),
-    )
+    def built(days: Column, rest: Column) -> Column:
+        off = F.lower(rest).isin("off", "closed")
+        slots = F.when(off, _no_slots()).otherwise(let(parse_occurrence(days), lambda o: parse_slots(rest, o)))
+        return F.when((days != "") & (rest != ""), F.struct(parse_days(days).alias("days"), off.alias("off"), slots.alias("slots")))
+
+    return let(F.regexp_extract(text, r"^(\S+)\s", 1), lambda d: let(F.trim(F.regexp_extract(text, r"^\S+\s+(.*)$", 1)), lambda r: built(d, r)))
 
 
 def parse_osm(text: Column) -> Column:
@@ -95,32 +102,36 @@ def parse_osm(text: Column) -> Column:
     (date to status). A rule holding a
     date is wholly a date rule: a range of dates is dropped, else its first date counts. Blank or null text has no rules.
     """
-    rules = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ";"), lambda r: F.trim(r)), lambda r: r != "")
-    closed = F.lower(F.trim(F.coalesce(text, F.lit("")))) == "closed"
     holiday = lambda r: F.upper(r).startswith("PH")
-    weekly = F.filter(rules, lambda r: ~holiday(r) & ~r.rlike(_DATE) & ~closed)
-    ph = F.filter(rules, holiday)
-    dated = F.filter(rules, lambda r: ~holiday(r) & r.rlike(_DATE) & ~r.rlike(_DATE + r"\s*-"))
-    segments = F.filter(F.transform(F.flatten(F.transform(weekly, _segments)), _segment), lambda s: s.isNotNull())
 
     def day(k: Column, parts: Column) -> Column:
-        none = F.struct(closed.alias("source_found"), F.lit(False).alias("ouvert"), _no_slots().alias("creneaux"))
+        """A day by the segments that name it: what follows the last one that says off, or nothing."""
+        mine = F.filter(parts, lambda s: F.array_contains(s["days"], k))
+
+        def said(of: Column) -> Column:
+            last = F.size(of) - F.coalesce(F.array_position(F.transform(F.reverse(of), lambda s: s["off"]), True), F.lit(0)).cast("int")
+            after = F.when(F.exists(of, lambda s: s["off"]), F.slice(of, last + 2, F.size(of))).otherwise(of)
+            return let(after, lambda x: F.struct((F.size(of) > 0).alias("source_found"), (F.size(x) > 0).alias("ouvert"), F.flatten(F.transform(x, lambda s: s["slots"])).cast(_SLOTS).alias("creneaux")))
 
-        def step(acc: Column, s: Column) -> Column:
-            shut = F.struct(F.lit(True).alias("source_found"), F.lit(False).alias("ouvert"), _no_slots().alias("creneaux"))
-            more = F.struct(F.lit(True).alias("source_found"), F.lit(True).alias("ouvert"), F.concat(acc["creneaux"], s["slots"]).alias("creneaux"))
-            return F.when(~F.array_contains(s["days"], k), acc).when(s["off"], shut).otherwise(more)
+        return let(mine, said)
 
-        return F.aggregate(parts, none, step)
+    def read(rules: Column, closed: Column) -> Column:
+        weekly = F.filter(rules, lambda r: ~holiday(r) & ~r.rlike(_DATE))
+        dated = F.filter(rules, lambda r: ~holiday(r) & r.rlike(_DATE) & ~r.rlike(_DATE + r"\s*-"))
+        segments = F.filter(F.transform(F.flatten(F.transform(weekly, _segments)), _segment), lambda s: s.isNotNull())
+        shut = F.struct(F.lit(True).alias("source_found"), F.lit(False).alias("ouvert"), _no_slots().alias("creneaux"))
+        week = let(segments, lambda parts: F.transform(F.array(*map(F.lit, range(7))), lambda k: F.when(closed, shut).otherwise(day(k, parts))))
+        ph = F.filter(rules, holiday)
+        mode = lambda last: F.when(F.lower(last).contains("open"), "ouvert").otherwise("ferme")
+        return let(ph, lambda found: F.struct(
+            closed.alias("closed"), week.alias("week"), (F.size(found) > 0).alias("ph_found"), mode(F.try_element_at(found, F.lit(-1))).alias("ph_mode"), F.filter(F.transform(dated, _special), lambda s: s.isNotNull()).alias("special"),
+        ))
 
-    last = F.try_element_at(ph, F.lit(-1))
-    return F.struct(
-        closed.alias("closed"),
-        let(segments, lambda parts: F.transform(F.array(*map(F.lit, range(7))), lambda k: day(k, parts))).alias("week"),
-        (F.size(ph) > 0).alias("ph_found"),
-        F.when(F.lower(last).contains("open"), "ouvert").otherwise("ferme").alias("ph_mode"),
-        F.filter(F.transform(dated, _special), lambda s: s.isNotNull()).alias("special"),
-    )
+    def cut(t: Column) -> Column:
+        rules = F.filter(F.transform(F.split(t, ";"), lambda r: F.trim(r)), lambda r: r != "")
+        return let(rules, lambda r: let(F.lower(F.trim(t)) == "closed", lambda closed: read(r, closed)))
+
+    return let(F.coalesce(text, F.lit("")), cut)
 
 
 def _special(rule: Column) -> Column:
@@ -169,12 +180,15 @@ def print_week(week: Column) -> Column:
 
     def of_day(d: Column) -> Column:
         good = F.filter(d["creneaux"], lambda s: valid_time(s["debut"]) & valid_time(s["fin"]))
-        slots = F.transform(good, lambda s: entry(F.when(F.size(s["occurence"]) > 0, F.array_join(F.transform(s["occurence"], lambda x: x.cast("string")), ",")).otherwise(""), F.concat(s["debut"], F.lit("-"), s["fin"])))
+        said = F.transform(good, lambda s: entry(F.when(F.size(s["occurence"]) > 0, F.array_join(F.transform(s["occurence"], lambda x: x.cast("string")), ",")).otherwise(""), F.concat(s["debut"], F.lit("-"), s["fin"])))
         whole = lambda what: F.array(entry(F.lit(""), F.lit(what)))
-        return F.when(~d["source_found"], F.array().cast("array<struct<occ: string, what: string>>")).when(F.size(slots) > 0, slots).when(d["ouvert"], whole("open")).otherwise(whole("off"))
+        shown = lambda slots: F.when(F.size(slots) > 0, slots).when(d["ouvert"], whole("open")).otherwise(whole("off"))
+        return F.when(~d["source_found"], F.array().cast("array<struct<occ: string, what: string>>")).otherwise(let(said, shown))
 
     def shown(entries: Column) -> Column:
-        keys = F.array_distinct(F.flatten(entries))
+        return let(F.array_distinct(F.flatten(entries)), lambda keys: grouped(entries, keys))
+
+    def grouped(entries: Column, keys: Column) -> Column:
         open_ = F.filter(keys, lambda k: k["what"] != "off")
 
         def days(k: Column) -> Column:
@@ -188,14 +202,93 @@ def print_week(week: Column) -> Column:
     return let(F.transform(week, of_day), shown)
 
 
-def print_date(text: Column) -> Column:
-    """An ISO or French date as ``YYYY Mon DD``; null if it is neither."""
-    iso = F.try_to_date(text, "yyyy-M-d")
-    bare = F.lower(strip(text))
-    month = F.create_map(*(F.lit(x) for p in FRENCH_MONTHS.items() for x in p))[F.regexp_extract(bare, r"^\d{1,2}(?:er)?\s+(\p{L}+)\.?\s+\d{4}$", 1)]
-    french = F.try_to_date(F.concat_ws("-", F.regexp_extract(bare, r"(\d{4})$", 1), month.cast("string"), F.regexp_extract(bare, r"^(\d{1,2})", 1)), "yyyy-M-d")
-    found = F.coalesce(iso, F.when(month.isNotNull(), french))
-    return F.concat(F.year(found).cast("string"), F.lit(" "), F.element_at(F.array(*map(F.lit, MONTHS)), F.month(found)), F.lit(" "), F.lpad(F.day(found).cast("string"), 2, "0"))
+# Parts of a text that are times of day, what a date is made of, and what stands between its parts.
+_TIME = r"\d{1,2}\s*(?:h(?!\p{L})|:)\s*(?:\d{1,2})?"
+_WORD = r"(\d+|\p{L}+)"
+_BETWEEN = ["er", "st", "nd", "rd", "th", "e", "of", "de", "the", "le"]
+_ISO, _MONTH_OF = r"(?<!\d)(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})(?!\d)", r"(?<!\d)(\d{4})[-/.](\d{1,2})(?!\d)"
+_SHORT, _COMPACT = r"(?<!\d)(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})(?!\d)", r"(?<!\d)(\d{4})(\d{2})(\d{2})(?!\d)"
+_OF_YEAR, _OF_MONTH, _YEAR, _DAY = r"(?<!\d)(\d{1,2})[-/.](\d{4})(?!\d)", r"(?<!\d)(\d{1,2})/(\d{1,2})(?!\d)", r"(?<!\d)([12]\d{3})(?!\d)", r"^(\d{1,2})$"
+_YMD = "struct<y: int, m: int, d: int>"
+
+
+def _month_numbers() -> Column:
+    names = dict(FRENCH_MONTHS) | {"sept": 9}
+    for k, name in enumerate(ENGLISH_MONTHS):
+        names |= {name: k + 1, name[:3]: k + 1}
+    return F.create_map(*(F.lit(x) for p in names.items() for x in p))
+
+
+def _named_date(words: Column, year: Column) -> Column:
+    """Year, month and day around the last month name among a text's words; null without one.
+
+    The day is the number of at most two digits before the name, else the one after it. The year is the first number of
+    four digits, else the number of two after the others, in the century nearest to ``year``.
+    """
+    small = lambda w: F.when(w.rlike(r"^\d{1,2}$"), w.try_cast("int"))
+    at = lambda i: small(F.get(words, i))
+
+    def near(k: Column, month: Column) -> Column:
+        before, after, next_ = at(k - 1), at(k + 1), at(k + 2)
+        four = F.get(F.filter(words, lambda w: w.rlike(r"^\d{4}$")), F.lit(0)).try_cast("int")
+        two = F.when(before.isNotNull(), after).otherwise(next_)
+        full = F.coalesce(four, _century(two, year))
+        return F.struct(full.alias("y"), month.alias("m"), F.coalesce(before, after).alias("d")).cast(_YMD)
+
+    months = F.transform(words, lambda w, i: F.struct(i.cast("int").alias("at"), _month_numbers()[w].alias("month")))
+    return let(F.try_element_at(F.filter(months, lambda m: m["month"].isNotNull()), F.lit(-1)), lambda m: F.when(m.isNotNull(), near(m["at"], m["month"])))
+
+
+def _century(two: Column, year: Column) -> Column:
+    """A year of two digits within fifty years of ``year``; longer ones stay."""
+    near = year - F.pmod(year, F.lit(100)) + two
+    return F.when(two > 99, two).when(near >= year + 50, near - 100).when(near < year - 50, near + 100).otherwise(near)
+
+
+def find_date(text: Column, today: Column | None = None) -> Column:
+    """The date that a text names, or null.
+
+    Looked for in this order: year-month-day; a French or English month name or abbreviation with the numbers near it;
+    day, month and year in numbers; eight digits; year and month; month and day; a year; a text that is but a day. Of
+    two numbers that could both be the month the first one is. Words around it, week days and times of day do not
+    matter. What is lacking comes from ``today`` (the current date): its year, month, or day (at most the month's
+    last). A text with an English week day alone is the next such day. A day that its month lacks is no date.
+    """
+    now = F.current_date() if today is None else today
+    number = lambda t, pattern, k: F.regexp_extract(t, pattern, k).try_cast("int")
+    none = F.lit(None).cast("int")
+
+    def ymd(t: Column, pattern: str, y=none, m=none, d=none) -> Column:
+        return F.when(t.rlike(pattern), F.struct(y.alias("y"), m.alias("m"), d.alias("d")).cast(_YMD))
+
+    def month_first(t: Column, pattern: str, y: Column) -> Column:
+        a, b = number(t, pattern, 1), number(t, pattern, 2)
+        return ymd(t, pattern, y, F.when(a > 12, b).otherwise(a), F.when(a > 12, a).otherwise(b))
+
+    def found(t: Column, year: Column) -> Column:
+        words = F.filter(F.regexp_extract_all(t, F.lit(_WORD), 1), lambda w: ~w.isin(_BETWEEN))
+        return F.coalesce(
+            ymd(t, _ISO, *(number(t, _ISO, k) for k in (1, 2, 3))), let(words, lambda w: _named_date(w, year)), month_first(t, _SHORT, _century(number(t, _SHORT, 3), year)),
+            ymd(t, _COMPACT, *(number(t, _COMPACT, k) for k in (1, 2, 3))), ymd(t, _MONTH_OF, number(t, _MONTH_OF, 1), number(t, _MONTH_OF, 2)), ymd(t, _OF_YEAR, number(t, _OF_YEAR, 2), number(t, _OF_YEAR, 1)),
+            month_first(t, _OF_MONTH, none), ymd(t, _YEAR, number(t, _YEAR, 1)), ymd(t, _DAY, d=number(t, _DAY, 1)),
+        )
+
+    def dated(p: Column, day: Column) -> Column:
+        y, m = F.coalesce(p["y"], F.year(day)), F.coalesce(p["m"], F.month(day))
+        on = lambda d: F.try_to_date(F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), m.cast("string"), d.cast("string")), "yyyy-M-d")
+        return F.when(p["d"].isNotNull(), on(p["d"])).otherwise(F.least(F.date_add(on(F.lit(1)), F.day(day) - 1), F.last_day(on(F.lit(1)))))
+
+    def read(t: Column, day: Column) -> Column:
+        coming = F.coalesce(*(F.when(t.rlike(rf"\b{name}\b|\b{name[:3]}\b"), F.next_day(F.date_sub(day, 1), name[:3])) for name in ENGLISH_DAYS))
+        return let(found(t, F.year(day)), lambda p: F.when(p.isNotNull(), dated(p, day)).otherwise(coming))
+
+    return let(now, lambda day: let(strip(F.regexp_replace(F.lower(text), _TIME, " ")), lambda t: read(t, day)))
+
+
+def print_date(text: Column, today: Column | None = None) -> Column:
+    """The date that a text names (see ``find_date``) as ``YYYY Mon DD``, or null."""
+    shown = lambda d: F.concat(F.lpad(F.year(d).cast("string"), 4, "0"), F.lit(" "), F.element_at(F.array(*map(F.lit, MONTHS)), F.month(d)), F.lit(" "), F.lpad(F.day(d).cast("string"), 2, "0"))
+    return let(find_date(text, today), shown)
 
 
 # -- differences ----------------------------------------------------------------------------------------------

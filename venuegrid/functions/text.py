@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from venuegrid.operators.scan import ISLAND, islands
+
 # Characters replaced in page text.
 CHARACTERS = {
     "«": '"', "»": '"', "“": '"', "”": '"', "‘": "'", "’": "'", "–": "-", "—": "-",
@@ -98,21 +100,46 @@ def lines(rows: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id"
     return rows.select(*keys, F.posexplode(F.split(text, "\n", -1)).alias("i", "line")).withColumn("kind", line_type(F.col("line")))
 
 
+def block_array(text: Column) -> Column:
+    """Maximal runs of neighbouring non-blank lines of one kind: an array of start_line, end_line, kind and content."""
+    tagged = lambda t: F.transform(F.split(t, "\n", -1), lambda x, i: F.struct(i.cast("int").alias("i"), line_type(x).alias("kind"), x.alias("line")))
+
+    def found(lines_: Column) -> Column:
+        differs = lambda x, i: F.coalesce(F.get(lines_, i)["kind"] != x["kind"], F.lit(True))
+        said = lambda x: x["kind"] != "empty"
+        firsts = F.filter(lines_, lambda x, i: said(x) & differs(x, i - 1))
+        lasts = F.filter(lines_, lambda x, i: said(x) & differs(x, i + 1))
+        content = lambda a, b: F.array_join(F.transform(F.slice(lines_, a["i"] + 1, b["i"] - a["i"] + 1), lambda x: x["line"]), "\n")
+        return F.zip_with(firsts, lasts, lambda a, b: F.struct(a["i"].alias("start_line"), b["i"].alias("end_line"), a["kind"].alias("kind"), content(a, b).alias("content")))
+
+    return let(tagged(text), found)
+
+
 def blocks(rows: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Maximal runs of neighbouring non-blank lines of one kind: start_line, end_line, kind, content."""
-    order = Window.partitionBy(*keys).orderBy("i")
-    found = lines(rows, text, keys).withColumn("new", (F.col("kind") != F.lag("kind", 1, "empty").over(order)).cast("int"))
-    found = found.withColumn("block", F.sum("new").over(order)).where(F.col("kind") != "empty")
-    return found.groupBy(*keys, "block").agg(F.min("i").alias("start_line"), F.max("i").alias("end_line"), F.first("kind").alias("kind"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]), "\n").alias("content")).drop("block")
+    """One row per block (see ``block_array``): the keys, start_line, end_line, kind, content. Nothing is shuffled."""
+    return rows.select(*keys, F.inline(block_array(F.col(text))))
 
 
 def merge_ranges(rows: DataFrame, keys: list[str], start: str = "start", end: str = "end", gap: int = 1) -> DataFrame:
-    """Union of closed ranges per key; ranges at most ``gap`` apart become one."""
-    order = Window.partitionBy(*keys).orderBy(start, end)
-    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(F.col(start) <= before + gap, 0).otherwise(1)
-    marked = rows.withColumn("__new", new).withColumn("__island", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy(*keys, "__island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__island")
+    """Union of closed ranges per key; ranges at most ``gap`` apart become one. A key with many ranges is cut into buckets."""
+    found = islands(rows.select(*keys, start, end), keys, [start, end], F.col(end), lambda far: F.col(start) > far + gap)
+    return found.groupBy(*keys, ISLAND).agg(F.min(start).alias(start), F.max(end).alias(end)).drop(ISLAND)
+
+
+def merge_spans(spans: Column, gap: int = 1) -> Column:
+    """Union of one row's closed spans, structs of start and end that both grow from one to the next, as in ``merge_ranges``."""
+
+    def joined(of: Column) -> Column:
+        firsts = F.filter(of, lambda x, i: F.coalesce(x["start"] > F.get(of, i - 1)["end"] + gap, F.lit(True)))
+        lasts = F.filter(of, lambda x, i: F.coalesce(F.get(of, i + 1)["start"] > x["end"] + gap, F.lit(True)))
+        return F.zip_with(firsts, lasts, lambda a, b: F.struct(a["start"].alias("start"), b["end"].alias("end")))
+
+    return let(spans, joined)
+
+
+def widen_spans(spans: Column, around: int, last: Column) -> Column:
+    """Spans with ``around`` more on both sides, between 0 and ``last``."""
+    return F.transform(spans, lambda x: F.struct(F.greatest(F.lit(0), x["start"] - around).alias("start"), F.least(last, x["end"] + around).alias("end")))
 
 
 def chunks(sizes: Column, chunk_size: int = 100, overlap: int = 15) -> Column:
@@ -178,20 +205,19 @@ def filter_pages(
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = rows.select(key, body.alias("__text"))
     long = rows.where(F.length("__text") >= least)
-    listed = F.array_sort(F.collect_list(F.struct("start_line", "end_line", "content")))
-    found = blocks(long, "__text", (key,)).groupBy(key).agg(listed.alias("blocks"))
+    found = long.select(key, block_array(F.col("__text")).alias("blocks"))
     found = found.withColumn("chunks", chunks(F.transform("blocks", lambda b: F.length(b["content"])), chunk_size, overlap))
+    # an outer explode: for an inner one the optimiser infers a filter on the chunks, which no Python function may be part of
+    chunked = found.select(key, "blocks", F.explode_outer("chunks").alias("of")).where("of IS NOT NULL")
     at = lambda i: F.get("blocks", i)
-    chunked = found.select(key, "blocks", F.explode("chunks").alias("of"))
     chunked = chunked.select(key, F.array_join(F.transform("of", lambda i: at(i)["content"]), "\n").alias("content"), F.transform("of", lambda i: F.struct(at(i)["start_line"].alias("start"), at(i)["end_line"].alias("end"))).alias("lines"))
     near = relevant_chunks(chunked.where(strip(F.col("content")) != "").withColumn("vector", embed("content")), phrases, threshold)
-    merged = merge_ranges(near.select(key, F.explode("lines").alias("l")).select(key, "l.start", "l.end"), [key])
-    lines_ = long.select(key, F.split("__text", "\n", -1).alias("lines"))
-    sized = merged.join(lines_.select(key, F.size("lines").alias("n")), key)
-    wide = sized.select(key, F.greatest(F.lit(0), F.col("start") - around).alias("start"), F.least(F.col("n") - 1, F.col("end") + around).alias("end"))
-    parts = merge_ranges(wide, [key]).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("parts"))
+    spans = near.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("spans"))
+    lines_ = F.split("__text", "\n", -1)
+    joined = long.join(spans, key, "left").select(key, "spans", lines_.alias("lines"))
+    parts = merge_spans(widen_spans(merge_spans(F.col("spans")), around, F.size("lines") - 1))
     part = lambda p: F.array_join(F.slice("lines", p["start"] + 1, p["end"] - p["start"] + 1), "\n")
-    kept = lines_.join(parts, key, "left").select(key, F.coalesce(F.array_join(F.transform("parts", part), "\n\n"), F.lit("")).alias("filtered"))
+    kept = joined.select(key, F.coalesce(F.array_join(F.transform(parts, part), "\n\n"), F.lit("")).alias("filtered"))
     return kept.unionByName(rows.where(F.length("__text") < least).select(key, F.col("__text").alias("filtered")))
 
 
@@ -206,11 +232,15 @@ def payload(text: Column) -> Column:
     return F.base64(F.encode(F.when(F.try_parse_json(text).isNotNull(), text).otherwise(quoted), "UTF-8"))
 
 
+def replaced_characters(text: Column, table: dict[str, str] = CHARACTERS) -> Column:
+    """How many characters of ``table`` a text has once links and marks are gone."""
+    kinds = "".join(k for k in table if len(k) == 1)
+    return let(drop_format_lines(remove_links(F.coalesce(text, F.lit("")))), lambda body: F.length(body) - F.length(F.translate(body, kinds, "")))
+
+
 def cleaning_counters(rows: DataFrame, before: str, after: str, table: dict[str, str] = CHARACTERS) -> DataFrame:
     """Texts processed, texts cleaned to something, and characters of ``table`` that were in the texts without links and marks."""
-    body = drop_format_lines(remove_links(F.coalesce(F.col(before), F.lit(""))))
-    kinds = "".join(k for k in table if len(k) == 1)
-    replaced = F.length(body) - F.length(F.translate(body, kinds, ""))
+    replaced = replaced_characters(F.col(before), table)
     return rows.agg(
         F.count_if(F.col(before) != "").cast("long").alias("texts_processed"), F.count_if((F.col(before) != "") & (F.col(after) != "")).cast("long").alias("texts_successful"), F.coalesce(F.sum(replaced), F.lit(0)).cast("long").alias("chars_replaced"),
     )

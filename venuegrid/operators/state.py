@@ -51,6 +51,11 @@ def with_venue(results: DataFrame, venues: DataFrame) -> DataFrame:
     return results.join(venues, F.col("lieu_id") == F.col("identifiant"))
 
 
+def best_text() -> Column:
+    """A result's most refined text: filtered, else cleaned, else raw."""
+    return F.coalesce(*(F.nullif(F.col(c), F.lit("")) for c in ("markdown_filtre", "markdown_nettoye")), "markdown_brut")
+
+
 def missing_step() -> Column:
     """The first step an incomplete result lacks: url, llm or osm; null if complete."""
     ok, json, osm = F.col("statut_url") == "ok", F.col("llm_horaires_json"), F.col("llm_horaires_osm")

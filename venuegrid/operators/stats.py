@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from venuegrid.operators.scan import ISLAND, islands
+
 # Report statuses in display order.
 STATUS_ORDER = ["success", "schedule_diff", "compare_error", "extraction_error", "access_error"]
 STATUS_NAMES = {"success": "Succès", "schedule_diff": "Différences horaires", "compare_error": "Erreurs de comparaison", "extraction_error": "Erreurs d'extraction", "access_error": "Erreurs d'accès"}
@@ -46,42 +48,104 @@ def percent(part: str, whole: str, name: str, digits: int = 4) -> Column:
     return F.round(F.coalesce(F.try_divide(100.0 * F.col(part), F.col(whole)), F.lit(0.0)), digits).alias(name)
 
 
+# Every statistic of the results is made from these sums and counts, so those of parts can be added up.
+
+
+def _url_parts() -> dict[str, Column]:
+    ok = F.col("statut_url") == "ok"
+    size = F.when(ok, F.length("markdown_brut"))
+    return {
+        "url_total": F.count("*"), "url_ok": F.count_if(ok), "url_failed": F.count_if(F.col("statut_url") != "ok"), "url_chars": F.sum(size), "url_sized": F.count(size),
+        "url_http": F.count_if(F.col("code_http") >= 400), "url_timeout": F.count_if(F.col("code_http") == 0),
+    }
+
+
+def _text_parts() -> dict[str, Column]:
+    brut, nettoye, filtre = F.col("markdown_brut"), F.col("markdown_nettoye"), F.col("markdown_filtre")
+    size = F.when(filtre != "", F.length(filtre))
+    lost = F.sum(F.when(brut.isNotNull() & nettoye.isNotNull(), F.length(brut) - F.length(nettoye)))
+    return {"text_processed": F.count_if(brut != ""), "text_cleaned": F.count_if(nettoye != ""), "text_filtered": F.count_if(filtre != ""), "text_chars": F.sum(size), "text_sized": F.count(size), "text_lost": lost}
+
+
+def _extraction_parts() -> dict[str, Column]:
+    json, osm = F.col("llm_horaires_json"), F.col("llm_horaires_osm")
+    good = (osm != "") & ~osm.ilike("Erreur%")
+    size = F.when(good, F.length(osm))
+    return {
+        "llm_attempted": F.count_if(json != ""), "llm_json": F.count_if((json != "") & ~json.ilike("Erreur%")), "llm_osm": F.count_if(good), "llm_chars": F.sum(size), "llm_sized": F.count(size),
+        "llm_kg": F.sum("llm_consommation_requete"),
+    }
+
+
+def _comparison_parts() -> dict[str, Column]:
+    same = F.col("horaires_identiques")
+    return {"cmp_total": F.count("*"), "cmp_same": F.count_if(same), "cmp_other": F.count_if(~same), "cmp_none": F.count_if(same.isNull())}
+
+
+def _record_parts() -> dict[str, Column]:
+    return {"all_total": F.count("*"), "all_errors": F.count_if(F.coalesce(F.col("erreurs_pipeline"), F.lit("")) != "")}
+
+
+def _mean(of: str) -> Column:
+    """A rounded mean from its sum and count; null of nothing."""
+    return F.round(F.try_divide(F.col(f"{of}_chars"), F.col(f"{of}_sized")), 4)
+
+
+def _sums(results: DataFrame, parts: dict[str, Column], keys: tuple[str, ...] = ()) -> DataFrame:
+    return results.groupBy(*keys).agg(*(c.alias(name) for name, c in parts.items()))
+
+
+def _long(name: str, to: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0)).cast("long").alias(to)
+
+
+def _url_shown(sums: DataFrame) -> DataFrame:
+    named = sums.select(_long("url_total", "total"), _long("url_ok", "successful"), _long("url_failed", "failed"), _mean("url").alias("avg_content_length"), _long("url_http", "http_errors"), _long("url_timeout", "timeout_errors"))
+    return named.select("*", percent("successful", "total", "success_rate"))
+
+
+def _text_shown(sums: DataFrame) -> DataFrame:
+    return sums.select(_long("text_processed", "processed"), _long("text_cleaned", "cleaned"), _long("text_filtered", "filtered"), _mean("text").alias("avg_filtered_length"), _long("text_lost", "chars_cleaned"))
+
+
+def _extraction_shown(sums: DataFrame) -> DataFrame:
+    named = sums.select(_long("llm_attempted", "attempted"), _long("llm_json", "json_ok"), _long("llm_osm", "osm_ok"), _mean("llm").alias("avg_osm_length"), F.round(F.col("llm_kg") * 1000, 4).alias("co2_g"))
+    return named.select("*", (F.col("attempted") - F.col("osm_ok")).alias("failed"), percent("osm_ok", "attempted", "success_rate"))
+
+
+def _comparison_shown(sums: DataFrame) -> DataFrame:
+    named = sums.select(_long("cmp_total", "total"), _long("cmp_same", "identical"), _long("cmp_other", "different"), _long("cmp_none", "not_compared"))
+    return named.withColumn("compared", F.col("identical") + F.col("different")).select("total", "identical", "different", "not_compared", percent("identical", "compared", "accuracy_rate"))
+
+
 def url_stats(results: DataFrame) -> DataFrame:
     """Fetch outcomes in one pass."""
-    ok = F.col("statut_url") == "ok"
-    agg = results.agg(
-        F.count("*").alias("total"), count_of(ok, "successful"), count_of(F.col("statut_url") != "ok", "failed"),
-        F.round(F.avg(F.when(ok, F.length("markdown_brut"))), 4).alias("avg_content_length"), count_of(F.col("code_http") >= 400, "http_errors"), count_of(F.col("code_http") == 0, "timeout_errors"),
-    )
-    return agg.select("*", percent("successful", "total", "success_rate"))
+    return _url_shown(_sums(results, _url_parts()))
 
 
 def text_stats(results: DataFrame) -> DataFrame:
     """Cleaning and filtering volumes in one pass."""
-    brut, nettoye, filtre = F.col("markdown_brut"), F.col("markdown_nettoye"), F.col("markdown_filtre")
-    both = brut.isNotNull() & nettoye.isNotNull()
-    return results.agg(
-        count_of(brut != "", "processed"), count_of(nettoye != "", "cleaned"), count_of(filtre != "", "filtered"),
-        F.round(F.avg(F.when(filtre != "", F.length(filtre))), 4).alias("avg_filtered_length"), F.coalesce(F.sum(F.when(both, F.length(brut) - F.length(nettoye))), F.lit(0)).cast("long").alias("chars_cleaned"),
-    )
+    return _text_shown(_sums(results, _text_parts()))
 
 
 def extraction_stats(results: DataFrame) -> DataFrame:
     """Extraction outcomes and emissions in one pass."""
-    json, osm = F.col("llm_horaires_json"), F.col("llm_horaires_osm")
-    good = (osm != "") & ~osm.ilike("Erreur%")
-    agg = results.agg(
-        count_of(json != "", "attempted"), count_of((json != "") & ~json.ilike("Erreur%"), "json_ok"), count_of(good, "osm_ok"),
-        F.round(F.avg(F.when(good, F.length(osm))), 4).alias("avg_osm_length"), F.round(F.sum("llm_consommation_requete") * 1000, 4).alias("co2_g"),
-    )
-    return agg.select("*", (F.col("attempted") - F.col("osm_ok")).alias("failed"), percent("osm_ok", "attempted", "success_rate"))
+    return _extraction_shown(_sums(results, _extraction_parts()))
 
 
 def comparison_stats(results: DataFrame) -> DataFrame:
     """Comparison outcomes in one pass; the flag has three values."""
-    same = F.col("horaires_identiques")
-    agg = results.agg(F.count("*").alias("total"), count_of(same, "identical"), count_of(~same, "different"), count_of(same.isNull(), "not_compared"))
-    return agg.withColumn("compared", F.col("identical") + F.col("different")).select("total", "identical", "different", "not_compared", percent("identical", "compared", "accuracy_rate"))
+    return _comparison_shown(_sums(results, _comparison_parts()))
+
+
+def partial_stats(results: DataFrame) -> DataFrame:
+    """One row per execution: the sums and counts behind all statistics of its results."""
+    return _sums(results, _url_parts() | _text_parts() | _extraction_parts() | _comparison_parts() | _record_parts(), ("id_execution",))
+
+
+def merged_stats(partials: DataFrame) -> DataFrame:
+    """The sums and counts of all executions, in one row, from the rows of ``partial_stats``."""
+    return partials.agg(*(F.sum(c).alias(c) for c in partials.columns if c != "id_execution"))
 
 
 def latest(executions: DataFrame, date: str, columns: list[str]) -> DataFrame:
@@ -115,9 +179,13 @@ def outcome_counts(rows: DataFrame) -> DataFrame:
 
 def global_stats(executions: DataFrame, results: DataFrame) -> DataFrame:
     """One row: records, records with errors, the latest execution's date, model and provider, and all emissions in grams."""
+    return _global_shown(executions, _sums(results, _record_parts()))
+
+
+def _global_shown(executions: DataFrame, sums: DataFrame) -> DataFrame:
     last = lambda c: F.max_by(c, F.struct("date_execution", "id_execution"))
     runs = executions.agg(F.max("date_execution").alias("execution_date"), last("llm_modele").alias("llm_model"), last("llm_fournisseur").alias("llm_provider"), F.round(F.coalesce(F.sum("llm_consommation_execution"), F.lit(0.0)) * 1000, 4).alias("total_co2_emissions"))
-    rows = results.agg(F.count("*").alias("total_records"), count_of(F.coalesce(F.col("erreurs_pipeline"), F.lit("")) != "", "records_with_errors"))
+    rows = sums.select(_long("all_total", "total_records"), _long("all_errors", "records_with_errors"))
     # two rows of one: each side has exactly one
     return rows.withColumn("one", F.lit(1)).join(runs.withColumn("one", F.lit(1)), "one").drop("one")
 
@@ -136,8 +204,14 @@ def item_rows(section: str, stats: DataFrame) -> DataFrame:
 
 def sections(executions: DataFrame, results: DataFrame, stamp: str) -> DataFrame:
     """All sections of the statistics in long form: header, URLs, Markdown, extraction, comparison and global."""
-    header = results.sparkSession.range(1).select(F.lit("global").alias("execution_id"), F.lit(stamp).alias("timestamp"))
-    each = {"header": header, "urls": url_stats(results), "markdown": text_stats(results), "llm": extraction_stats(results), "comparisons": comparison_stats(results), "global": global_stats(executions, results)}
+    every = _url_parts() | _text_parts() | _extraction_parts() | _comparison_parts() | _record_parts()
+    return sections_of(executions, _sums(results, every), stamp)
+
+
+def sections_of(executions: DataFrame, sums: DataFrame, stamp: str) -> DataFrame:
+    """As ``sections``, from one row of sums and counts (see ``merged_stats``)."""
+    header = sums.sparkSession.range(1).select(F.lit("global").alias("execution_id"), F.lit(stamp).alias("timestamp"))
+    each = {"header": header, "urls": _url_shown(sums), "markdown": _text_shown(sums), "llm": _extraction_shown(sums), "comparisons": _comparison_shown(sums), "global": _global_shown(executions, sums)}
     rows = [item_rows(name, frame) for name, frame in each.items()]
     out = rows[0]
     for more in rows[1:]:
@@ -159,12 +233,38 @@ def counts_by(rows: DataFrame, key: str, first: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n"), F.min(first).alias("first_seen"))
 
 
+def by_execution(results: DataFrame) -> DataFrame:
+    """Emissions in grams and results of each execution."""
+    return results.groupBy("id_execution").agg(F.round(F.sum("llm_consommation_requete") * 1000, 4).alias("co2_g"), F.count("*").alias("n"))
+
+
+def error_counts(errors: DataFrame) -> DataFrame:
+    """Errors by ``category`` and ``severity``."""
+    return errors.groupBy("category", "severity").agg(F.count("*").alias("n"))
+
+
+def last_errors(errors: DataFrame, order: list[str], n: int = 5) -> DataFrame:
+    """The ``n`` latest errors."""
+    return errors.orderBy(*(F.desc(c) for c in order)).limit(n)
+
+
+def sessions(events: DataFrame, keys: list[str], at: str, order: list[str], pause: str) -> DataFrame:
+    """Runs of a key's events at most ``pause`` apart: the keys, ``first``, ``last`` and ``n``; no key is left to one task."""
+    found = islands(events.select(*keys, at, *order), keys, [at, *order], F.col(at), lambda far: F.col(at) > far + F.expr(f"INTERVAL {pause}"))
+    return found.groupBy(*keys, ISLAND).agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("n")).drop(ISLAND)
+
+
 def evaluation(scores: DataFrame) -> DataFrame:
     """Accuracy, differences and their mean over differing items (columns: status, diff_count)."""
     differing = F.when(F.col("status") == "Différent", F.col("diff_count"))
     return scores.agg(F.count("*").alias("total"), F.round(100.0 * F.avg((F.col("status") == "Identique").cast("int")), 4).alias("accuracy"), F.sum("diff_count").cast("long").alias("differences"), F.round(F.coalesce(F.avg(differing), F.lit(0.0)), 4).alias("mean_differences"))
 
 
+def difference_histogram(scores: DataFrame) -> DataFrame:
+    """How many differing items have each count of differences (columns: status, diff_count)."""
+    return scores.where(F.col("status") == "Différent").groupBy("diff_count").agg(F.count("*").alias("n"))
+
+
 def formatted(value: float | None, digits: int = 1, unit: str = "") -> str:
     """A statistic for display; N/A if there is none."""
     return "N/A" if value is None else f"{value:.{digits}f}{unit}"

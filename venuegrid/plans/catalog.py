@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from venuegrid.functions import documents, hours, text
 from venuegrid.operators import state, stats
+from venuegrid.plans import report
 from venuegrid.plans.views import RESULTS_SQL, results, table, venues
 from venuegrid.sources.providers import html_to_text
 from venuegrid.streaming.incremental import event_counts
@@ -74,7 +75,7 @@ def latest_execution(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT id_execution, round(sum(llm_consommation_requete) * 1000, 4) AS co2_g, count(*) AS n FROM results GROUP BY 1", True)
 def execution_emissions(spark: SparkSession, d: str) -> DataFrame:
     """Emissions and comparisons by execution."""
-    return results(spark, d).groupBy("id_execution").agg(F.round(F.sum("llm_consommation_requete") * 1000, 4).alias("co2_g"), F.count("*").alias("n"))
+    return stats.by_execution(results(spark, d))
 
 
 STATUS_SQL = """rows AS (SELECT r.*, v.type_lieu, v.horaires_data_gl, CASE WHEN horaires_identiques THEN 'success' WHEN NOT horaires_identiques THEN 'schedule_diff'
@@ -112,13 +113,15 @@ def http_counts(spark: SparkSession, d: str) -> DataFrame:
     return stats.counts_by(results(spark, d), "code_http", "id_resultats_extraction")
 
 
-@query(f""", {STATUS_SQL} SELECT id_resultats_extraction, CASE WHEN horaires_identiques IS NULL THEN 'Non comparé' WHEN horaires_identiques THEN 'IDENTIQUE - Aucune différence détectée'
-ELSE 'DIFFÉRENT - ' || type_lieu END AS label, round(llm_consommation_requete * 1000, 4) AS co2_g FROM rows""", True)
+@query(f""", {STATUS_SQL}, t AS (SELECT *, CASE id_resultats_extraction % 5 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'LUNDI: ' || id_resultats_extraction END AS d, CASE WHEN id_resultats_extraction % 7 = 0 THEN 'URL: x' ELSE '' END AS e FROM rows)
+SELECT id_resultats_extraction, CASE WHEN horaires_identiques THEN 'IDENTIQUE - Aucune différence détectée' WHEN NOT horaires_identiques THEN 'DIFFÉRENT - ' || coalesce(d, '')
+WHEN e <> '' THEN 'Non comparé - ' || e WHEN d <> '' THEN d ELSE 'Non comparé' END AS label, round(llm_consommation_requete * 1000, 4) AS co2_g FROM t""", True)
 def comparison_labels(spark: SparkSession, d: str) -> DataFrame:
     """comparison labels and grams of CO2."""
-    same = F.col("horaires_identiques")
-    label = F.when(same.isNull(), "Non comparé").when(same, "IDENTIQUE - Aucune différence détectée").otherwise(F.concat(F.lit("DIFFÉRENT - "), "type_lieu"))
-    return _reported(spark, d).select("id_resultats_extraction", label.alias("label"), F.round(F.col("llm_consommation_requete") * 1000, 4).alias("co2_g"))
+    k = F.col("id_resultats_extraction")
+    told = F.when(k % 5 == 0, "").when(k % 5 > 1, F.concat(F.lit("LUNDI: "), k.cast("string")))
+    label = report.comparison_label(F.col("horaires_identiques"), told, F.when(k % 7 == 0, "URL: x").otherwise(""))
+    return _reported(spark, d).select("id_resultats_extraction", label.alias("label"), F.round(report.grams(F.col("llm_consommation_requete")), 4).alias("co2_g"))
 
 
 @query("""SELECT count(*) AS total, round(100.0 * avg(CASE WHEN status = 'Identique' THEN 1 ELSE 0 END), 4) AS accuracy, CAST(sum(diff_count) AS BIGINT) AS differences,
@@ -139,28 +142,28 @@ def _scores(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT 1 + event_id % 5 AS diff_count, count(*) AS n FROM events WHERE event_type NOT IN ('view', 'error') GROUP BY 1")
 def diff_histogram(spark: SparkSession, d: str) -> DataFrame:
     """Histogram of difference counts."""
-    return _scores(spark, d).where("status = 'Différent'").groupBy("diff_count").agg(F.count("*").alias("n"))
+    return stats.difference_histogram(_scores(spark, d))
 
 
 @query("SELECT event_type AS category, CASE WHEN value < 50 THEN 'low' WHEN value < 150 THEN 'medium' ELSE 'high' END AS severity, count(*) AS n FROM events GROUP BY 1, 2")
 def error_summary(spark: SparkSession, d: str) -> DataFrame:
     """Errors by category and severity."""
     severity = F.when(F.col("value") < 50, "low").when(F.col("value") < 150, "medium").otherwise("high")
-    return table(spark, d, "events").groupBy(F.col("event_type").alias("category"), severity.alias("severity")).agg(F.count("*").alias("n"))
+    return stats.error_counts(table(spark, d, "events").select(F.col("event_type").alias("category"), severity.alias("severity")))
 
 
 @query("SELECT event_id, user_id, value FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id DESC LIMIT 5")
 def recent_errors(spark: SparkSession, d: str) -> DataFrame:
     """The five latest errors."""
-    return table(spark, d, "events").where("event_type = 'error'").orderBy(F.desc("ts"), F.desc("event_id")).limit(5).select("event_id", "user_id", "value")
+    return stats.last_errors(table(spark, d, "events").where("event_type = 'error'"), ["ts", "event_id"]).select("event_id", "user_id", "value")
 
 
 @query("""SELECT 'urls' AS section, item, CAST(v AS DOUBLE) AS value FROM (SELECT count(*) AS total, count(*) FILTER (statut_url = 'ok') AS successful, count(*) FILTER (code_http >= 400) AS http_errors FROM results)
 UNPIVOT (v FOR item IN (total, successful, http_errors))""", True)
 def stats_long(spark: SparkSession, d: str) -> DataFrame:
     """Statistics in long form."""
-    one = stats.url_stats(results(spark, d))
-    return one.select(F.lit("urls").alias("section"), F.expr("stack(3, 'total', double(total), 'successful', double(successful), 'http_errors', double(http_errors)) AS (item, value)"))
+    rows = stats.item_rows("urls", stats.url_stats(results(spark, d)))
+    return rows.where(F.col("item").isin("total", "successful", "http_errors")).select("section", "item", F.col("value").cast("double").alias("value"))
 
 
 # -- state -----------------------------------------------------------------------------------------------------
@@ -273,7 +276,7 @@ def url_guards(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT id_resultats_extraction, coalesce(nullif(markdown_filtre, ''), nullif(markdown_nettoye, ''), markdown_brut) AS best FROM results", True)
 def best_text(spark: SparkSession, d: str) -> DataFrame:
     """the most refined text of each result."""
-    return results(spark, d).select("id_resultats_extraction", F.coalesce(F.nullif(F.col("markdown_filtre"), F.lit("")), F.nullif(F.col("markdown_nettoye"), F.lit("")), "markdown_brut").alias("best"))
+    return results(spark, d).select("id_resultats_extraction", state.best_text().alias("best"))
 
 
 # -- text ------------------------------------------------------------------------------------------------------
@@ -378,17 +381,15 @@ def merge_ranges(spark: SparkSession, d: str) -> DataFrame:
 @query(f'SELECT user_id, greatest(start - 3, 0) AS start, least("end" + 3, 199) AS "end" FROM ({RANGES})')
 def expand_ranges(spark: SparkSession, d: str) -> DataFrame:
     """Ranges widened and clamped."""
-    return _ranges(spark, d).select("user_id", F.greatest(F.col("start") - 3, F.lit(0)).alias("start"), F.least(F.col("end") + 3, F.lit(199)).alias("end"))
+    span = F.struct("start", "end")
+    return _ranges(spark, d).select("user_id", F.inline(text.widen_spans(F.array(span), 3, F.lit(199))))
 
 
 @query("""WITH g AS (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM g) SELECT user_id, min(ts) AS first, max(ts) AS last, count(*) AS n FROM s GROUP BY user_id, session""")
 def sessionise(spark: SparkSession, d: str) -> DataFrame:
     """Runs of events less than six hours apart."""
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    near = F.col("ts") <= F.lag("ts").over(order) + F.expr("INTERVAL 6 HOURS")
-    marked = table(spark, d, "events").withColumn("new", F.when(near, 0).otherwise(1))
-    return marked.withColumn("session", F.sum("new").over(order)).groupBy("user_id", "session").agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count("*").alias("n")).drop("session")
+    return stats.sessions(table(spark, d, "events"), ["user_id"], "ts", ["event_id"], "6 hours")
 
 
 @query("""SELECT e.vec_id, round(max(list_inner_product(CAST(e.embedding AS DOUBLE[]), CAST(p.embedding AS DOUBLE[]))), 6) AS similarity FROM embeddings e, embeddings p WHERE p.vec_id < 5
@@ -400,12 +401,34 @@ def relevant_chunks(spark: SparkSession, d: str) -> DataFrame:
     return found.select("vec_id", F.round("similarity", 6).alias("similarity"))
 
 
-@query()
+BREAKS_SQL = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+regexp_replace(html, '<p>([^<]*(?:<(?:br|/?b|/a|a [^>]*)>[^<]*)*)</article>', '<p>\1</p></article>', 'g'),
+'(?s)<head>.*?</head>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '[ \t\r\n\f]+', ' ', 'g'), '<li>', chr(2) || chr(5), 'g'), '</?(p|h1)>', chr(3), 'g'), '<br>', chr(4), 'g'),
+'</?(nav|ul|li|div|article|footer|body|html)( [^>]*)?>', chr(2), 'g'), '<[^>]*>', '', 'g'), ' +', ' ', 'g'), ' *([\x02-\x05]) *', '\1', 'g')"""
+
+
+@query(rf"""WITH b AS (SELECT page_id, {BREAKS_SQL} AS t FROM pages),
+l AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(t, '[\x02\x04]*\x03[\x02-\x04]*', chr(10) || chr(10), 'g'), '[\x02\x04]+\x04[\x02\x04]*', chr(10) || chr(10), 'g'), '[\x02\x04]+', chr(10), 'g') AS t FROM b)
+SELECT page_id, replace(replace(replace(replace(replace(replace(replace(trim(t, chr(10) || ' '), chr(5), '  * '), '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS text FROM l""")
 def html_text(spark: SparkSession, d: str) -> DataFrame:
-    """Visible text of pages."""
+    """Visible text of pages, laid out."""
     return table(spark, d, "pages").select("page_id", html_to_text("html").alias("text"))
 
 
+@query(r"""WITH c AS (SELECT page_id, split_part(url, '://', 1) AS scheme, regexp_extract(url, '://([^/?#]*)', 1) AS host, CAST(page_id AS VARCHAR) AS id, CAST(length(html) AS VARCHAR) AS size FROM pages),
+w AS (SELECT *, CAST(greatest(length(id), length(size), 4) AS INTEGER) AS first, CAST(greatest(length(scheme), 5) AS INTEGER) AS second FROM c)
+SELECT page_id, rpad('Page', first, ' ') || '  Adresse' || chr(10) || rpad(id, first, ' ') || '  ' || rpad(scheme, second, ' ') || '  ' || host || chr(10) || rpad(size, first, ' ') || '  ' || rpad('durée', second, ' ') || '  & suite' AS text, 2 AS tabular FROM w""")
+def html_tables(spark: SparkSession, d: str) -> DataFrame:
+    """A table of each page's facts, in aligned columns, and how many of its lines read as tabular."""
+    cell = lambda *parts: F.concat(F.lit("<td>"), *(F.lit(p) if isinstance(p, str) else p for p in parts), F.lit("</td>"))
+    first = F.concat(cell(F.col("page_id").cast("string")), cell(F.substring_index("url", "://", 1)), cell(F.regexp_extract("url", "://([^/?#]*)", 1)))
+    second = F.concat(F.lit("<tr>"), cell(F.length("html").cast("string")), cell(" <b>dur&eacute;e</b>"), cell("&amp;\n suite"))
+    made = F.concat(F.lit("<table><thead><tr><th>Page<th colspan='2'>Adresse</thead><tbody><tr>"), first, second, F.lit("</table>"))
+    found = table(spark, d, "pages").select("page_id", html_to_text(made).alias("text"))
+    tabular = F.size(F.filter(F.split("text", "\n"), lambda x: text.line_type(x) == "tabular"))
+    return found.select("page_id", "text", tabular.cast("int").alias("tabular"))
+
+
 # -- hours -----------------------------------------------------------------------------------------------------
 
 WEEKDAYS = "['Mo','Tu','We','Th','Fr','Sa','Su']"

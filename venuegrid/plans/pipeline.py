@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from venuegrid.functions import documents, text
-from venuegrid.operators import state
+from venuegrid.operators import state, stats
 from venuegrid.plans.prompt import prompt
 from venuegrid.schema import EXECUTIONS, RESULTS, VENUES
 from venuegrid.sources.providers import Fetch, fetch, hash_embedding, html_to_text
 from venuegrid.sources.tables import Store
 from venuegrid.streaming.incremental import cleaned
 
-RESULTS_TABLE = "resultats_extraction"
+RESULTS_TABLE, STATS_TABLE = "resultats_extraction", "statistiques"
+#: Days that a year's calendar can have.
+CALENDAR = 366
 #: Reference phrases of the offline run; a deployment states its own.
 PHRASES = "horaires d'ouverture;;ouvert fermé du lundi au dimanche;;Mo-Fr 09:00-12:00"
 
@@ -53,28 +55,60 @@ def setup(store: Store, listed: DataFrame, references: DataFrame | list[DataFram
     left = [r[0] for r in results.where(state.missing_step().isNotNull()).select("id_execution").distinct().collect()]  # executions
     touched = store.read(RESULTS_TABLE, left) if left else results.where("false")
     store.rewrite(RESULTS_TABLE, state.reassign(touched, F.lit(execution)).unionByName(fresh), [*left, execution])
+    refresh_stats(store, [*left, execution])
     return execution
 
 
-def _apply(store: Store, delta: DataFrame, columns: list[str]) -> None:
-    """Put a delta with the column id_execution into the parts of the results that it touches."""
-    touched = [r[0] for r in delta.select("id_execution").distinct().collect()]  # executions
+def _apply(store: Store, delta: DataFrame, columns: list[str]) -> list[int]:
+    """Put a delta with the column id_execution into the parts of the results that it touches: these executions."""
+    touched = [r[0] for r in delta.select("id_execution").distinct().collect()]
     if touched:
         store.rewrite(RESULTS_TABLE, state.apply_delta(store.read(RESULTS_TABLE, touched), delta, columns), touched)
+    return touched
 
 
-def fetch_pages(store: Store, execution: int, provider: Fetch, tries: int = 3, delay: float = 5.0) -> None:
-    """Fetch pending urls and keep their visible text; a failure joins the error chain."""
+def counted(delta: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """delta written once, and aggregates over its rows from the very job that writes it."""
+    seen = Observation()
+    written = state.settled(delta.observe(seen, *(c.cast("long").alias(name) for name, c in counts.items())))
+    return written, {name: value or 0 for name, value in seen.get.items()}
+
+
+def refresh_stats(store: Store, executions: list[int]) -> None:
+    """Recompute the partial statistics of some executions; the other parts of the results are not read."""
+    if not executions:
+        return
+    fresh = stats.partial_stats(store.read(RESULTS_TABLE, executions))
+    if store.exists(STATS_TABLE):
+        store.rewrite(STATS_TABLE, fresh, executions)
+    else:
+        store.write(STATS_TABLE, fresh)
+
+
+def report_stats(store: Store, stamp: str) -> DataFrame:
+    """The statistics' sections from the executions' partial statistics alone."""
+    return stats.sections_of(store.read("executions"), stats.merged_stats(store.read(STATS_TABLE)), stamp)
+
+
+def fetch_pages(store: Store, execution: int, provider: Fetch, tries: int = 3, delay: float = 5.0) -> dict[str, int]:
+    """Fetch pending urls and keep their visible text; a failure joins the error chain. How many were asked, and how many failed."""
     due = state.pending_urls(store.read(RESULTS_TABLE, [execution]), store.read("lieux"), F.lit(execution)).select(state.ID, "id_execution", "url", "erreurs_pipeline")
     got = fetch(due, provider, tries=tries, delay=delay).withColumn("markdown_brut", html_to_text("html"))
     failed = F.when(F.col("statut_url") != "ok", F.col("message_url"))
     got = got.withColumn("erreurs_pipeline", state.add_error(F.col("erreurs_pipeline"), "URL", failed, F.current_timestamp()))
-    _apply(store, state.settled(got), ["statut_url", "code_http", "message_url", "markdown_brut", "erreurs_pipeline"])
+    delta, counts = counted(got, asked=F.count("*"), failed=F.count_if(failed.isNotNull()))
+    refresh_stats(store, _apply(store, delta, ["statut_url", "code_http", "message_url", "markdown_brut", "erreurs_pipeline"]))
+    return counts
 
 
-def clean_pages(store: Store) -> None:
-    """Clean fetched text."""
-    _apply(store, cleaned(store.read(RESULTS_TABLE)), ["markdown_nettoye"])
+def clean_pages(store: Store) -> dict[str, int]:
+    """Clean fetched text; how many texts there were, how many are not empty after, and how many characters were replaced."""
+    due = cleaned(store.read(RESULTS_TABLE)).withColumn("replaced", text.replaced_characters(F.col("markdown_brut")))
+    delta, counts = counted(
+        due, texts_processed=F.count_if(F.col("markdown_brut") != ""), texts_successful=F.count_if((F.col("markdown_brut") != "") & (F.col("markdown_nettoye") != "")), chars_replaced=F.sum("replaced")
+    )
+    refresh_stats(store, _apply(store, delta, ["markdown_nettoye"]))
+    return counts
 
 
 def filter_pages(store: Store, execution: int, phrases: str = PHRASES, embed=hash_embedding, threshold: float = 0.0, around: int = 1) -> None:
@@ -82,7 +116,8 @@ def filter_pages(store: Store, execution: int, phrases: str = PHRASES, embed=has
     due = state.pending_filtering(store.read(RESULTS_TABLE, [execution]), F.lit(execution))
     listed = store.spark.createDataFrame([(p,) for p in text.phrase_list(phrases)], "phrase string").select(embed("phrase").alias("vector"))
     near = text.filter_pages(due, listed, embed, state.ID, "markdown_nettoye", threshold=threshold, around=around)
-    _apply(store, due.select(state.ID, "id_execution").join(near, state.ID).withColumnRenamed("filtered", "markdown_filtre"), ["markdown_filtre"])
+    delta = due.select(state.ID, "id_execution").join(near, state.ID).withColumnRenamed("filtered", "markdown_filtre")
+    refresh_stats(store, _apply(store, delta, ["markdown_filtre"]))
 
 
 Extractor = Callable[[Column], Column]
@@ -98,14 +133,14 @@ def extract(store: Store, execution: int, extractor: Extractor, holidays: tuple[
     day = F.current_date() if today is None else today
     calendars = [_calendar(c) for c in holidays] if holidays else [F.from_json(F.lit("{}"), "map<string,string>")] * 2
     coming = documents.holiday_dates(*calendars, day)
-    best = F.coalesce(*(F.nullif(F.col(c), F.lit("")) for c in ("markdown_filtre", "markdown_nettoye", "markdown_brut")), F.lit(""))
+    best = F.coalesce(state.best_text(), F.lit(""))
     got = due.withColumn("answer", extractor(best)).withColumn("prompt_message", prompt(F.col("type_lieu"), F.col("nom"), best, F.year(day)))
     got = state.settled(got.withColumn("found", documents.outcome(F.col("answer.content"), F.col("answer.failure"), F.col("type_lieu"), coming, day)))
     delta = got.select(
         state.ID, "id_execution", "prompt_message", F.col("found.json").alias("llm_horaires_json"), F.col("found.osm").alias("llm_horaires_osm"),
         state.added(F.col("llm_consommation_requete"), F.col("answer.co2")).alias("llm_consommation_requete"), documents.outcome_errors(F.col("erreurs_pipeline"), F.col("found"), F.current_timestamp()).alias("erreurs_pipeline"),
     )
-    _apply(store, delta, [c for c in delta.columns if c not in (state.ID, "id_execution")])
+    refresh_stats(store, _apply(store, delta, [c for c in delta.columns if c not in (state.ID, "id_execution")]))
     used = store.read(RESULTS_TABLE, [execution]).agg(F.sum("llm_consommation_requete")).first()[0] or 0.0
     executions = store.read("executions")
     total = F.when(F.col("id_execution") == execution, F.lit(used)).otherwise(F.col("llm_consommation_execution"))
@@ -113,9 +148,11 @@ def extract(store: Store, execution: int, extractor: Extractor, holidays: tuple[
 
 
 def _calendar(days: DataFrame) -> Column:
-    """A year's holidays, a few dozen rows, as a map literal."""
-    rows = days.select("day", "name").limit(400).collect()
-    return F.create_map(*(F.lit(x) for r in rows for x in r)) if rows else F.from_json(F.lit("{}"), "map<string,string>")
+    """A year's holidays as a map literal: a day once, with the least of its names. More than CALENDAR days are an error."""
+    rows = days.groupBy("day").agg(F.min("name").alias("name")).limit(CALENDAR + 1).collect()
+    if len(rows) > CALENDAR:
+        raise ValueError(f"a year's calendar has more than {CALENDAR} days")
+    return F.create_map(*(F.lit(x) for r in sorted(rows) for x in r)) if rows else F.from_json(F.lit("{}"), "map<string,string>")
 
 
 def compare(store: Store) -> None:
@@ -128,7 +165,7 @@ def compare(store: Store) -> None:
         state.ID, "id_execution", F.when(F.col("problem").isNull(), F.col("c.identical")).alias("horaires_identiques"), F.coalesce("problem", "c.differences").alias("differences_horaires"),
         state.add_error(F.col("erreurs_pipeline"), "COMPARAISON", F.col("problem"), F.current_timestamp()).alias("erreurs_pipeline"),
     )
-    _apply(store, delta, ["horaires_identiques", "differences_horaires", "erreurs_pipeline"])
+    refresh_stats(store, _apply(store, delta, ["horaires_identiques", "differences_horaires", "erreurs_pipeline"]))
 
 
 def first_hours(found: Column) -> Column:

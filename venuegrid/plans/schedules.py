@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.functions import documents, hours, text
+from venuegrid.functions import documents, hours, sql, text
 from venuegrid.operators import state, stats
-from venuegrid.plans import report
-from venuegrid.plans.catalog import query
+from venuegrid.plans import pipeline, report
+from venuegrid.plans.catalog import LINES_SQL, query
 from venuegrid.plans.prompt import prompt
 from venuegrid.plans.views import results, table, venues
-from venuegrid.sources.providers import hash_embedding
 from venuegrid.sources.tables import Store, shared_folder
 
 # -- schedule documents ----------------------------------------------------------------------------------------
@@ -61,16 +60,23 @@ def document_round_trip(spark: SparkSession, d: str) -> DataFrame:
 JOURS_SQL = "['lundi', 'mardi', 'mercredi', 'jeudi', 'vendredi']"
 
 
-@query(f"""WITH p AS (SELECT p_partkey, p_partkey % 5 AS k, lpad(CAST(p_size % 4 + 7 AS VARCHAR), 2, '0') || ':00-12:00' AS s FROM part)
+DIFFERENCES_SQL = f"""WITH p AS (SELECT p_partkey, p_partkey % 5 AS k, lpad(CAST(p_size % 4 + 7 AS VARCHAR), 2, '0') || ':00-12:00' AS s FROM part)
 SELECT p_partkey, k = 0 AS identical, CASE k WHEN 0 THEN '{hours.SAME}' WHEN 1 THEN 'HORS_VACANCES_SCOLAIRES: vendredi: ouvert → fermé | créneaux: supprimés: ' || s
 WHEN 2 THEN '{hours.SPECIAL}: 2025-05-01: ajouté ()' WHEN 3 THEN '{hours.ATTENTION_2.replace("'", "''")}' || chr(10) || 'HORS_VACANCES_SCOLAIRES: ' || array_to_string(list_transform({JOURS_SQL}, lambda j: j || ': ouvert → fermé | créneaux: supprimés: ' || s), ' | ')
-ELSE 'HORS_VACANCES_SCOLAIRES: ' || array_to_string(list_transform({JOURS_SQL}, lambda j: j || ': créneaux: ajoutés: 14:00-18:00'), ' | ') END AS differences FROM p""")
-def document_differences(spark: SparkSession, d: str) -> DataFrame:
-    """Differences of whole documents of five kinds."""
+ELSE 'HORS_VACANCES_SCOLAIRES: ' || array_to_string(list_transform({JOURS_SQL}, lambda j: j || ': créneaux: ajoutés: 14:00-18:00'), ' | ') END AS differences FROM p"""
+
+
+def _part_pairs(spark: SparkSession, d: str) -> DataFrame:
     k, span = F.col("p_partkey") % 5, F.concat(F.lpad((F.col("p_size") % 4 + 7).cast("string"), 2, "0"), F.lit(":00-12:00"))
     said = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
     other = F.when(k == 0, said("Mo,Tu,We,Th,Fr ", span)).when(k == 1, said("Mo-Th ", span)).when(k == 2, said("Mo-Fr ", span, "; 2025 May 01 closed")).when(k == 3, F.lit("closed")).otherwise(said("Mo-Fr ", span, ",14:00-18:00"))
-    both = table(spark, d, "part").select("p_partkey", documents.document(said("Mo-Fr ", span)).alias("a"), documents.document(other).alias("b"))
+    return table(spark, d, "part").select("p_partkey", said("Mo-Fr ", span).alias("a"), other.alias("b"))
+
+
+@query(DIFFERENCES_SQL)
+def document_differences(spark: SparkSession, d: str) -> DataFrame:
+    """Differences of whole documents of five kinds."""
+    both = _part_pairs(spark, d).select("p_partkey", documents.document(F.col("a")).alias("a"), documents.document(F.col("b")).alias("b"))
     return both.select("p_partkey", documents.compare(F.col("a"), F.col("b")).alias("c")).select("p_partkey", "c.*")
 
 
@@ -97,29 +103,102 @@ def sorted_slots(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", F.array_join(F.transform(hours.sorted_slots(F.col("day")), hours.slot_text), ",").alias("slots"), documents.has_source(F.col("period")).alias("sourced"))
 
 
+# -- SQL functions, dates in words ------------------------------------------------------------------------------
+
+
+def _registered(spark: SparkSession, d: str) -> None:
+    sql.register(spark)
+    _notated(spark, d).createOrReplaceTempView("notated_orders")
+
+
+@query(f"""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Mo-Fr ' || {SPAN} || '; Sa 10:15-12:45' WHEN 1 THEN 'Mo[1,3] ' || {SPAN} WHEN 2 THEN 'We-Su ' || {SPAN} || '; We-Su 20:00-22:00' WHEN 3 THEN 'off' END AS semaine,
+o_orderkey % 5 IN (0, 1) AS feries, CASE WHEN o_orderkey % 5 = 2 THEN '2024-12-25' END AS date FROM orders""")
+def sql_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """§2.11: notations parsed and printed by SQL functions that the optimiser inlines."""
+    _registered(spark, d)
+    return spark.sql("SELECT o_orderkey, osm_format(p.week) AS semaine, p.ph_found AS feries, p.special[0].date AS date FROM (SELECT o_orderkey, osm_parse(osm) AS p FROM notated_orders)")
+
+
+@query(DIFFERENCES_SQL)
+def sql_schedule_diff(spark: SparkSession, d: str) -> DataFrame:
+    """§2.11: differences of two notations in SQL."""
+    sql.register(spark)
+    _part_pairs(spark, d).createOrReplaceTempView("notated_parts")
+    return spark.sql("SELECT p_partkey, c.identical, c.differences FROM (SELECT p_partkey, schedule_diff(a, b) AS c FROM notated_parts)")
+
+
+@query(f"""WITH o AS (SELECT o_orderkey, o_orderkey % 5 AS k, {OPENS} || ':00' AS a, {CLOSES} || ':30' AS b FROM orders)
+SELECT o_orderkey, CAST(day AS INTEGER) AS day, a AS debut, b AS fin, CASE k WHEN 1 THEN '1,3' ELSE '' END AS occurence FROM o, range(7) t(day) WHERE (k = 0 AND day < 5) OR (k = 1 AND day = 0) OR (k = 2 AND day > 1)
+UNION ALL SELECT o_orderkey, 5, '10:15', '12:45', '' FROM o WHERE k = 0 UNION ALL SELECT o_orderkey, CAST(day AS INTEGER), '20:00', '22:00', '' FROM o, range(2, 7) t(day) WHERE k = 2""")
+def osm_slot_rows(spark: SparkSession, d: str) -> DataFrame:
+    """§2.11: the slots of notations as rows, by a table function in a lateral join."""
+    _registered(spark, d)
+    return spark.sql("SELECT o_orderkey, s.day, s.debut, s.fin, array_join(transform(coalesce(s.occurence, array()), x -> CAST(x AS string)), ',') AS occurence FROM notated_orders, LATERAL osm_slots(osm) AS s")
+
+
+MONTHS_SQL = "['janvier', 'février', 'mars', 'avril', 'mai', 'juin', 'juillet', 'août', 'septembre', 'octobre', 'novembre', 'décembre']"
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 4 AND strftime(o_orderdate, '%m-%d') = '02-29' THEN NULL WHEN o_orderkey % 7 = 6 THEN NULL
+WHEN o_orderkey % 7 = 4 THEN '1998' || strftime(o_orderdate, ' %b %d') ELSE strftime(o_orderdate, '%Y %b %d') END AS printed FROM orders""")
+def free_dates(spark: SparkSession, d: str) -> DataFrame:
+    """Dates in words, numbers and mixtures, with other words around them, of seven kinds."""
+    at, k = F.col("o_orderdate"), F.col("o_orderkey") % 7
+    french = F.element_at(F.array(*(F.lit(m) for m in ("janvier", "Févr. février", "mars", "avril", "mai", "juin", "juil.", "AOÛT", "sept.", "octobre", "novembre", "déc."))), F.month(at))
+    english = F.date_format(at, "MMMM")
+    day, year = F.day(at).cast("string"), F.year(at).cast("string")
+    said = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    text_ = (
+        F.when(k == 0, said("Fermé le lundi ", day, " ", french, " ", year, " de 10h30 à 12:00"))
+        .when(k == 1, said("closed ", english, " ", day, "th, ", year))
+        .when(k == 2, F.date_format(at, "MM/dd/yyyy"))
+        .when(k == 3, said(day, " ", english, " ", F.date_format(at, "yy")))
+        .when(k == 4, said("le ", day, " ", french))
+        .when(k == 5, F.date_format(at, "yyyyMMdd"))
+        .otherwise("ouvert de 10:00 à 12h")
+    )
+    return table(spark, d, "orders").select("o_orderkey", hours.print_date(text_, F.lit("1998-03-31").cast("date")).alias("printed"))
+
+
 # -- filtering, prompts ----------------------------------------------------------------------------------------
 
 
-@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
-b AS (SELECT *, trim(regexp_replace(line, '\s', '', 'g')) <> '' AS said FROM l),
-n AS (SELECT *, said OR coalesce(lag(said) OVER w, false) OR coalesce(lead(said) OVER w, false) AS near FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-g AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 1 THEN chr(10) || line ELSE line END AS shown FROM n WHERE near),
+#: Letters whose shares in a text are its vector in the query below, and the least inner product of a part that stays.
+LETTERS, NEAR = "aeiou", 0.049
+
+
+def _letter_shares(text_: Column | str) -> Column:
+    content = F.lower(F.col(text_) if isinstance(text_, str) else text_)
+    return F.transform(F.array(*map(F.lit, LETTERS)), lambda c: (F.length(content) - F.length(F.replace(content, c, F.lit("")))).cast("double") / F.length(content))
+
+
+SHARES_SQL = f"list_transform({list(LETTERS)}, lambda c: CAST(length(lower(content)) - length(replace(lower(content), c, '')) AS DOUBLE) / length(content))"
+
+
+@query(rf"""WITH {LINES_SQL}, b AS (SELECT *, CASE WHEN kind <> coalesce(lag(kind) OVER w, 'empty') THEN 1 ELSE 0 END AS new FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS block FROM b),
+c AS (SELECT doc_id, min(i) AS a, max(i) AS z, string_agg(line, chr(10) ORDER BY i) AS content FROM s WHERE kind <> 'empty' GROUP BY doc_id, block),
+p AS (SELECT {SHARES_SQL} AS q FROM (SELECT unnest(['horaires', 'ouvert le lundi']) AS content)), v AS (SELECT doc_id, a, z, {SHARES_SQL} AS e FROM c),
+h AS (SELECT DISTINCT doc_id, unnest(range(greatest(a - 1, 0), z + 2)) AS i FROM v, p WHERE e[1] * q[1] + e[2] * q[2] + e[3] * q[3] + e[4] * q[4] + e[5] * q[5] >= {NEAR}),
+g AS (SELECT k.doc_id, k.i, CASE WHEN k.i - lag(k.i) OVER (PARTITION BY k.doc_id ORDER BY k.i) > 1 THEN chr(10) || line ELSE line END AS shown FROM h JOIN k ON h.doc_id = k.doc_id AND h.i = k.i),
 t AS (SELECT doc_id, string_agg(shown, chr(10) ORDER BY i) AS filtered FROM g GROUP BY 1)
 SELECT d.doc_id, length(coalesce(filtered, '')) AS size, md5(coalesce(filtered, '')) AS digest FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id""")
 def page_filter(spark: SparkSession, d: str) -> DataFrame:
-    """Texts filtered by an embedding, at a threshold that every chunk reaches."""
-    phrases = spark.createDataFrame([(p,) for p in text.phrase_list("horaires ;; ouvert le lundi;;")], "p string").select(hash_embedding("p").alias("vector"))
-    found = text.filter_pages(table(spark, d, "documents"), phrases, hash_embedding, threshold=-2.0)
+    """Of every text the blocks near a phrase by an embedding of letter shares, and the lines around them."""
+    phrases = spark.createDataFrame([(p,) for p in text.phrase_list("horaires ;; ouvert le lundi;;")], "p string").select(_letter_shares("p").alias("vector"))
+    found = text.filter_pages(table(spark, d, "documents"), phrases, _letter_shares, chunk_size=1, threshold=NEAR)
     return found.select("doc_id", F.length("filtered").cast("long").alias("size"), F.md5("filtered").alias("digest"))
 
 
-@query("""SELECT c_custkey, 'Extrait du Markdown qui suit les horaires et conditions d''ouverture pour la ' || c_mktsegment || ' nommée "' || c_name || '".' AS asks, 1998 AS year, c_custkey % 2 = 0 AS has_schema FROM customer""")
+@query("""SELECT c_custkey, 'Établissement : ' || c_name || chr(10) || 'Type : ' || c_mktsegment || chr(10) || chr(10) || 'Page :' || chr(10) || '<<<' || chr(10) || c_phone || chr(10) || '>>>' || chr(10) || chr(10)
+|| CASE WHEN c_custkey % 2 = 0 THEN 'Le document suit ce schéma :' || chr(10) || '{"a": 1}' || chr(10) ELSE 'Le document a cinq périodes, comme décrit.' END AS asked, 1998 AS year, 'system,user' AS roles FROM customer""")
 def prompts(spark: SparkSession, d: str) -> DataFrame:
     """The messages for a model."""
-    made = lambda schema: prompt(F.col("c_mktsegment"), F.col("c_name"), F.lit("x"), F.lit(1998), schema)
+    made = lambda schema: prompt(F.col("c_mktsegment"), F.col("c_name"), F.col("c_phone"), F.lit(1998), schema)
     rows = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, made('{"a": 1}')).otherwise(made(None)).alias("m"))
     user, system = F.get_json_object("m", "$[1].content"), F.get_json_object("m", "$[0].content")
-    return rows.select("c_custkey", F.substring_index(user, "\n", 1).alias("asks"), F.regexp_extract(system, r"sans année est (\d+)\.", 1).cast("int").alias("year"), user.contains("### Format de sortie JSON").alias("has_schema"))
+    roles = F.concat_ws(",", F.get_json_object("m", "$[0].role"), F.get_json_object("m", "$[1].role"))
+    return rows.select("c_custkey", user.alias("asked"), F.regexp_extract(system, r"sans année est de (\d+)\.", 1).cast("int").alias("year"), roles.alias("roles"))
 
 
 @query(r"""SELECT page_id, regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+') AS valid, regexp_extract(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', ''), '([^/?#]*)([?#].*)?$', 1) AS name FROM pages""")
@@ -152,6 +231,38 @@ def extraction_outcomes(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("event_id", json.alias("json"), F.col("r.osm").alias("osm"), errors.alias("errors"))
 
 
+@query("""SELECT event_id, CASE event_id % 5 WHEN 0 THEN '[10:20:30] LLM: Erreur a' || event_id WHEN 1 THEN '[10:20:30] LLM: Erreur a | [10:20:30] OSM: Erreur b' || event_id WHEN 2 THEN '[09:00:00] URL: x | [10:20:30] OSM: Erreur c'
+WHEN 3 THEN '[09:00:00] LLM: Erreur a' ELSE '' END AS errors FROM events""")
+def outcome_error_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """An answer's two errors join the chain, an equal one once, one that is there already not again."""
+    k, n = F.col("event_id") % 5, F.col("event_id").cast("string")
+    json = F.when(k == 0, F.concat(F.lit("Erreur a"), n)).when(k.isin(1, 3), "Erreur a").otherwise("{}")
+    osm = F.when(k == 0, F.concat(F.lit("Erreur a"), n)).when(k == 1, F.concat(F.lit("Erreur b"), n)).when(k == 2, "Erreur c").when(k == 3, "Erreur a").otherwise("Mo off")
+    chain = F.when(k == 2, "[09:00:00] URL: x").when(k == 3, "[09:00:00] LLM: Erreur a").otherwise("")
+    rows = table(spark, d, "events").select("event_id", chain.alias("chain"), F.struct(json.alias("json"), osm.alias("osm")).alias("r"))
+    return rows.select("event_id", documents.outcome_errors(F.col("chain"), F.col("r"), F.lit("2025-01-01 10:20:30").cast("timestamp")).alias("errors"))
+
+
+@query(f"""SELECT event_id, CASE event_id % 8 WHEN 0 THEN '{documents.NO_REFERENCE.replace("'", "''")}' WHEN 1 THEN 'Erreur dans les données GL: Erreur conversion: ' || event_id WHEN 2 THEN 'Erreur parsing JSON data.grandlyon.com'
+WHEN 3 THEN '{documents.NO_EXTRACT}' WHEN 4 THEN 'Erreur parsing JSON LLM' WHEN 5 THEN 'Comparaison impossible: note ' || event_id WHEN 6 THEN 'Comparaison impossible: {documents.NO_SOURCE}' END AS problem FROM events""")
+def comparison_problems(spark: SparkSession, d: str) -> DataFrame:
+    """Why two documents cannot be compared."""
+    k, n = F.col("event_id") % 8, F.col("event_id").cast("string")
+    info = lambda *more: F.to_json(F.struct(F.struct(F.lit(False).alias("source_found"), *more).alias("extraction_info")))
+    reference = F.when(k == 0, " ").when(k == 1, F.concat(F.lit("Erreur conversion: "), n)).when(k == 2, "{").otherwise("{}")
+    found = F.when(k == 3, "").when(k == 4, F.concat(n, F.lit("{"))).when(k == 5, info(F.concat(F.lit("note "), n).alias("notes"))).when(k == 6, info()).otherwise('{"extraction_info": {"source_found": true}}')
+    rows = table(spark, d, "events").select("event_id", reference.alias("a"), found.alias("b"))
+    return rows.select("event_id", documents.comparison_problem(F.col("a"), F.col("b")).alias("problem"))
+
+
+@query("""WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS identifiant, 'Mo ' || o_orderkey AS horaires, list_position(['P', 'O', 'F'], o_orderstatus) AS source FROM orders)
+SELECT identifiant, arg_max(horaires, row(source, horaires)) AS horaires_data_gl FROM r GROUP BY 1""")
+def last_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Reference hours of several sources; of a venue that many name the last source counts."""
+    of = lambda s: table(spark, d, "orders").where(F.col("o_orderstatus") == s).select(F.col("o_custkey").cast("string").alias("identifiant"), F.concat(F.lit("Mo "), F.col("o_orderkey").cast("string")).alias("horaires"))
+    return pipeline.last_source([of(s) for s in "POF"])
+
+
 @query("""WITH o AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, o_custkey % 3 AS k FROM orders)
 SELECT o_orderkey, array_to_string(list_sort(list_distinct(list_concat(CASE WHEN day > '1996-01-01' THEN [day] ELSE [] END, CASE WHEN k < 2 THEN ['1996-05-01', '1997-01-01', '1997-05-01'] ELSE [] END))), ',') AS dates,
 CASE WHEN day > '1996-01-01' THEN 'ouvert' END AS own FROM o""")
@@ -255,6 +366,25 @@ def stats_sections(spark: SparkSession, d: str) -> DataFrame:
     return rows.where(F.concat_ws(".", "section", "item").isin(wanted)).select("section", "item", "label", F.col("value").cast("double").alias("value"), "unit")
 
 
+@query("""WITH s AS (SELECT count(*) AS n, count(*) FILTER (statut_url = 'ok') AS good, avg(CASE WHEN statut_url = 'ok' THEN length(markdown_brut) END) AS size, sum(llm_consommation_requete) * 1000 AS co2 FROM results)
+SELECT 'urls.total' AS item, CAST(n AS VARCHAR) AS shown FROM s UNION ALL SELECT 'urls.success_rate', printf('%.1f%%', round_even(round(100.0 * good / n, 4), 1)) FROM s
+UNION ALL SELECT 'urls.avg_content_length', printf('%.0f caractères', round_even(round(size, 4), 0)) FROM s UNION ALL SELECT 'llm.total_co2_emissions', printf('%.3fg', round_even(round(co2, 4), 3)) FROM s""", True)
+def formatted_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics as they are shown, made from sums and counts by execution that are then added up."""
+    sums = stats.merged_stats(stats.partial_stats(results(spark, d).withColumn("erreurs_pipeline", F.lit(""))))
+    rows = stats.sections_of(_executions(spark, d), sums, "2025-01-01T00:00:00").withColumn("name", F.concat_ws(".", "section", "item"))
+    return rows.where(F.col("name").isin("urls.total", "urls.success_rate", "urls.avg_content_length", "llm.total_co2_emissions")).select(F.col("name").alias("item"), F.col("formatted_value").alias("shown"))
+
+
+@query(f""", {REPORTED_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY identifiant, id_resultats_extraction) - 1 AS i FROM s)
+SELECT status, CAST(i // 50 AS BIGINT) + 1 AS page, count(*) AS n, (SELECT CAST(ceil(count(*) / 50) AS BIGINT) FROM s o WHERE o.status = n.status) AS pages, min(identifiant) AS first, max(identifiant) AS last FROM n GROUP BY status, i // 50""", True)
+def report_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The full report in pages of 50 rows, all rows in display order."""
+    found = report.pages(_reported(spark, d), 50)
+    cell = lambda html: F.regexp_extract_all(html, F.lit("<tr><td>([^<]*)</td>"), 1)
+    return found.select("status", "page", "n", "pages", F.get(cell(F.col("html")), F.lit(0)).alias("first"), F.try_element_at(cell(F.col("html")), F.lit(-1)).alias("last"))
+
+
 # -- store -----------------------------------------------------------------------------------------------------
 
 
@@ -279,3 +409,25 @@ def positional_sql(spark: SparkSession, d: str) -> DataFrame:
     """SQL over the state tables with positional parameters."""
     return _store(spark, d).sql("SELECT llm_modele, count(*) AS n FROM executions WHERE id_execution > ? AND llm_fournisseur = ? GROUP BY llm_modele", 100, "2-HIGH")
 
+
+
+@query("""SELECT 'fail' AS policy, 'FileExistsError' AS said, count(*) AS n FROM orders UNION ALL SELECT 'skip', 'kept', count(*) FROM orders UNION ALL SELECT 'replace', 'new', count(*) FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT 'exists', 'true,false', 0""")
+def store_policies(spark: SparkSession, d: str) -> DataFrame:
+    """What becomes of a table that exists, and whether a table does."""
+    store, rows = _store(spark, d), _executions(spark, d)
+    even = store.read("executions").where("id_execution % 2 = 0")
+    try:
+        store.write("executions", even, "fail")
+        said = "written"
+    except FileExistsError as e:
+        said = type(e).__name__
+    tables = [("fail", said, store.read("executions"))]
+    store.write("executions", even, "skip")
+    tables.append(("skip", "kept", store.read("executions")))
+    store.write("executions", even, "replace")
+    tables.append(("replace", "new", store.read("executions")))
+    shown = [t.agg(F.count("*").alias("n")).select(F.lit(policy).alias("policy"), F.lit(what).alias("said"), "n") for policy, what, t in tables]
+    there = f"{store.exists('executions')},{store.exists('none')}".lower()
+    shown.append(rows.limit(1).select(F.lit("exists").alias("policy"), F.lit(there).alias("said"), F.lit(0).cast("long").alias("n")))
+    return shown[0].unionByName(shown[1]).unionByName(shown[2]).unionByName(shown[3])

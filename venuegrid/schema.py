@@ -31,7 +31,7 @@ RESULTS = T.StructType(
 )
 TABLES = {"lieux": VENUES, "executions": EXECUTIONS, "resultats_extraction": RESULTS}
 #: The column by which a table is cut into parts.
-PARTS = {"resultats_extraction": "id_execution"}
+PARTS = {"resultats_extraction": "id_execution", "statistiques": "id_execution"}
 #: A day: whether a source gave it, whether it is open, and its slots in order.
 SLOT = "struct<debut: string, fin: string, occurence: array<int>>"
 DAY = f"struct<source_found: boolean, ouvert: boolean, creneaux: array<{SLOT}>>"

@@ -41,6 +41,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        self.seen: dict[str, int] = {}  # the newest commit seen of each table
 
     def _read_or_none(self, read):
         try:
@@ -50,23 +51,31 @@ class Store:
                 return None
             raise
 
-    def _commits(self, name: str) -> DataFrame | None:
-        text = self._read_or_none(lambda: self.spark.read.text(f"{self.root}/{name}/commits/*"))
-        if text is None:
-            return None
-        cut = F.split("value", "\t", 3)
-        return text.select(cut[0].cast("long").alias("commit"), cut[1].alias("part"), cut[2].alias("at"))
+    def _commit_at(self, name: str, commit: int) -> DataFrame | None:
+        return self._read_or_none(lambda: self.spark.read.text(f"{self.root}/{name}/commits/{commit:012d}"))
+
+    def _newest(self, name: str) -> int:
+        """The newest commit's number, 0 before the first: numbers have no gaps, so a few looks at folders find it."""
+        low, step = self.seen.get(name, 0), 1
+        while self._commit_at(name, low + step) is not None:
+            low, step = low + step, step * 2
+        high = low + step
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if self._commit_at(name, middle) is not None else (low, middle)
+        self.seen[name] = low
+        return low
 
     def _current(self, name: str) -> tuple[int, dict[str, str]]:
-        """The newest commit's number and its snapshots by part; 0 and none before the first."""
-        commits = self._commits(name)
-        if commits is None:
+        """The newest commit's number and its snapshots by part; 0 and none before the first. No older commit is read."""
+        commit = self._newest(name)
+        listed = self._commit_at(name, commit) if commit else None
+        if listed is None:
             if self._read_or_none(lambda: self.spark.read.parquet(f"{self.root}/{name}/snapshot-*-2-*")) is not None:
                 raise FileNotFoundError(f"{self.root}/{name} has snapshots but its commits are lost")
             return 0, {}
-        newest = commits.agg(F.max("commit").alias("commit"))
-        rows = commits.join(F.broadcast(newest), "commit").collect()  # a row per part
-        return rows[0]["commit"], {r["part"]: r["at"] for r in rows if r["at"]}
+        rows = (r.value.split("\t", 2) for r in listed.collect())  # a row per part
+        return commit, {part: at for _, part, at in rows if at}
 
     def exists(self, name: str) -> bool:
         return self._current(name)[0] > 0
@@ -87,6 +96,7 @@ class Store:
     def _commit(self, name: str, commit: int, parts: dict[str, str]) -> None:
         rows = [(f"{commit}\t{part}\t{at}",) for part, at in parts.items()] or [(f"{commit}\t\t",)]
         self.spark.createDataFrame(rows, "value string").coalesce(1).write.text(f"{self.root}/{name}/commits/{commit:012d}")
+        self.seen[name] = commit
 
     def write(self, name: str, rows: DataFrame, if_exists: str = "replace") -> None:
         """if_exists: fail (FileExistsError), skip or replace; readers see the new table only once it is whole."""
