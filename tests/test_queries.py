@@ -1,6 +1,8 @@
 """Every venue query against its SQL at the smallest size."""
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 import venuegrid.plans.schedules  # noqa: F401  registers its queries with the catalog
@@ -19,8 +21,10 @@ def duck():
 
 
 def plain(value):
-    """Arrays of either engine as lists."""
-    return [plain(x) for x in value] if hasattr(value, "tolist") or isinstance(value, list) else value
+    """A value of either engine: arrays as lists, what is missing as None."""
+    if value is None or value is pd.NA:
+        return None
+    return [plain(x) for x in value] if isinstance(value, np.ndarray | list) else int(value) if isinstance(value, np.integer) else value
 
 
 @pytest.mark.parametrize("name", list(catalog.QUERIES))
@@ -32,5 +36,5 @@ def test_query(spark, duck, name):
     want = duck.execute(catalog.ORACLE[name]).df()
     cols = sorted(want.columns)
     assert cols == sorted(got.columns)
-    order = lambda f: f[cols].map(plain).astype(str).sort_values(cols).reset_index(drop=True)
+    order = lambda f: f[cols].astype(object).map(plain).astype(str).sort_values(cols).reset_index(drop=True)
     assert order(want).equals(order(got))

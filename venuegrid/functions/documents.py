@@ -28,6 +28,8 @@ NO_SOURCE = "Aucune source d'horaires trouvée par le LLM."
 HOLIDAY_TYPES = ["mairie", "bibliothèque"]
 
 _MAP = "map<string,string>"
+#: A day as JSON has it: an occurrence is a number or a list, flags may be texts.
+_DAY_JSON = "struct<source_found: string, ouvert: string, creneaux: array<struct<debut: string, fin: string, occurence: string>>>"
 
 
 def _as_map(json: Column) -> Column:
@@ -40,13 +42,17 @@ def periods(document: Column) -> Column:
 
 
 def _day(json: Column) -> Column:
-    slots = F.transform(
-        F.from_json(F.get_json_object(json, "$.creneaux"), "array<struct<debut: string, fin: string, occurence: string>>"),
-        lambda s: F.struct(s["debut"].alias("debut"), s["fin"].alias("fin"), F.coalesce(F.from_json(s["occurence"], "array<int>"), F.when(s["occurence"].rlike("^[0-9]+$"), F.array(s["occurence"].try_cast("int")))).alias("occurence")),
-    )
-    flag = lambda k, default: F.coalesce(F.get_json_object(json, f"$.{k}").try_cast("boolean"), F.lit(default))
-    good = F.filter(slots, lambda s: s["debut"].isNotNull() & s["fin"].isNotNull())
-    return F.struct(flag("source_found", True).alias("source_found"), flag("ouvert", False).alias("ouvert"), F.coalesce(good, F.array().cast("array<struct<debut: string, fin: string, occurence: array<int>>>")).alias("creneaux")).cast(DAY)
+    """A day's JSON typed, parsed in one go; slots that lack a time go."""
+    flag = lambda c, default: F.coalesce(c.try_cast("boolean"), F.lit(default))
+    numbers = lambda o: F.coalesce(F.from_json(o, "array<int>"), F.when(o.rlike("^[0-9]+$"), F.array(o.try_cast("int"))))
+
+    def typed(d: Column) -> Column:
+        good = F.filter(d["creneaux"], lambda s: s["debut"].isNotNull() & s["fin"].isNotNull())
+        slots = F.transform(good, lambda s: F.struct(s["debut"].alias("debut"), s["fin"].alias("fin"), F.when(s["occurence"].isNotNull(), numbers(s["occurence"])).alias("occurence")))
+        none = F.array().cast("array<struct<debut: string, fin: string, occurence: array<int>>>")
+        return F.struct(flag(d["source_found"], True).alias("source_found"), flag(d["ouvert"], False).alias("ouvert"), F.coalesce(slots, none).alias("creneaux"))
+
+    return let(F.from_json(json, _DAY_JSON), typed).cast(DAY)
 
 
 def week(period: Column) -> Column:

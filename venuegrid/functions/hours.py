@@ -213,7 +213,7 @@ _YMD = "struct<y: int, m: int, d: int>"
 
 
 def _month_numbers() -> Column:
-    names = dict(FRENCH_MONTHS) | {"sept": 9}
+    names = FRENCH_MONTHS | {"févr": 2, "fevr": 2, "juill": 7}  # abbreviations besides the fixed ones
     for k, name in enumerate(ENGLISH_MONTHS):
         names |= {name: k + 1, name[:3]: k + 1}
     return F.create_map(*(F.lit(x) for p in names.items() for x in p))

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuegrid.functions import documents, hours, sql, text
+from venuegrid.functions import documents, hours, sql, text, typed
 from venuegrid.operators import state, stats
 from venuegrid.plans import pipeline, report
 from venuegrid.plans.catalog import LINES_SQL, query
@@ -49,8 +49,18 @@ def schedule_document(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(f"""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Mo-Fr ' || {SPAN} || '; Sa 10:15-12:45' WHEN 1 THEN 'Mo[1,3] ' || {SPAN} WHEN 2 THEN 'We-Su ' || {SPAN} || '; We-Su 20:00-22:00' END AS semaine,
-CASE o_orderkey % 5 WHEN 0 THEN 'PH off' WHEN 1 THEN 'PH open' WHEN 2 THEN '2024 Dec 25 off' END AS feries, CASE o_orderkey % 5 WHEN 3 THEN 'off' END AS general FROM orders""")
+ROUND_TRIP_SQL = f"""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Mo-Fr ' || {SPAN} || '; Sa 10:15-12:45' WHEN 1 THEN 'Mo[1,3] ' || {SPAN} WHEN 2 THEN 'We-Su ' || {SPAN} || '; We-Su 20:00-22:00' END AS semaine,
+CASE o_orderkey % 5 WHEN 0 THEN 'PH off' WHEN 1 THEN 'PH open' WHEN 2 THEN '2024 Dec 25 off' END AS feries, CASE o_orderkey % 5 WHEN 3 THEN 'off' END AS general FROM orders"""
+
+
+@query(ROUND_TRIP_SQL)
+def typed_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """§1.3: notations to typed documents and back, by period; no JSON in between."""
+    back = _notated(spark, d).withColumn("osm", typed.to_osm(typed.from_osm(F.col("osm"))))
+    return back.select("o_orderkey", F.col("osm")["hors_vacances_scolaires"].alias("semaine"), F.col("osm")["jours_feries"].alias("feries"), F.col("osm")["general"].alias("general"))
+
+
+@query(ROUND_TRIP_SQL)
 def document_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Documents printed as OSM notation again, by period."""
     back = _notated(spark, d).withColumn("osm", documents.to_osm(documents.document(F.col("osm"))))
@@ -73,6 +83,13 @@ def _part_pairs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", said("Mo-Fr ", span).alias("a"), other.alias("b"))
 
 
+@query(DIFFERENCES_SQL)
+def typed_differences(spark: SparkSession, d: str) -> DataFrame:
+    """§1.3, C1-C7: differences of typed documents."""
+    both = _part_pairs(spark, d).select("p_partkey", typed.from_osm(F.col("a")).alias("a"), typed.from_osm(F.col("b")).alias("b"))
+    return both.select("p_partkey", typed.compare(F.col("a"), F.col("b")).alias("c")).select("p_partkey", "c.*")
+
+
 @query(DIFFERENCES_SQL)
 def document_differences(spark: SparkSession, d: str) -> DataFrame:
     """Differences of whole documents of five kinds."""
@@ -116,7 +133,7 @@ o_orderkey % 5 IN (0, 1) AS feries, CASE WHEN o_orderkey % 5 = 2 THEN '2024-12-2
 def sql_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """§2.11: notations parsed and printed by SQL functions that the optimiser inlines."""
     _registered(spark, d)
-    return spark.sql("SELECT o_orderkey, osm_format(p.week) AS semaine, p.ph_found AS feries, p.special[0].date AS date FROM (SELECT o_orderkey, osm_parse(osm) AS p FROM notated_orders)")
+    return spark.sql("SELECT o_orderkey, osm_format(p.week) AS semaine, p.ph_found AS feries, get(p.special, 0).date AS date FROM (SELECT o_orderkey, osm_parse(osm) AS p FROM notated_orders)")
 
 
 @query(DIFFERENCES_SQL)
@@ -144,7 +161,7 @@ WHEN o_orderkey % 7 = 4 THEN '1998' || strftime(o_orderdate, ' %b %d') ELSE strf
 def free_dates(spark: SparkSession, d: str) -> DataFrame:
     """Dates in words, numbers and mixtures, with other words around them, of seven kinds."""
     at, k = F.col("o_orderdate"), F.col("o_orderkey") % 7
-    french = F.element_at(F.array(*(F.lit(m) for m in ("janvier", "Févr. février", "mars", "avril", "mai", "juin", "juil.", "AOÛT", "sept.", "octobre", "novembre", "déc."))), F.month(at))
+    french = F.element_at(F.array(*(F.lit(m) for m in ("janvier", "Févr.", "mars", "avril", "mai", "juin", "juil.", "AOÛT", "sept.", "octobre", "novembre", "déc."))), F.month(at))
     english = F.date_format(at, "MMMM")
     day, year = F.day(at).cast("string"), F.year(at).cast("string")
     said = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
@@ -190,11 +207,11 @@ def page_filter(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", F.length("filtered").cast("long").alias("size"), F.md5("filtered").alias("digest"))
 
 
-@query("""SELECT c_custkey, 'Établissement : ' || c_name || chr(10) || 'Type : ' || c_mktsegment || chr(10) || chr(10) || 'Page :' || chr(10) || '<<<' || chr(10) || c_phone || chr(10) || '>>>' || chr(10) || chr(10)
+@query("""SELECT c_custkey, 'Établissement : ' || c_name || chr(10) || 'Type : ' || c_mktsegment || chr(10) || chr(10) || 'Page :' || chr(10) || '<<<' || chr(10) || c_nationkey || chr(10) || '>>>' || chr(10) || chr(10)
 || CASE WHEN c_custkey % 2 = 0 THEN 'Le document suit ce schéma :' || chr(10) || '{"a": 1}' || chr(10) ELSE 'Le document a cinq périodes, comme décrit.' END AS asked, 1998 AS year, 'system,user' AS roles FROM customer""")
 def prompts(spark: SparkSession, d: str) -> DataFrame:
     """The messages for a model."""
-    made = lambda schema: prompt(F.col("c_mktsegment"), F.col("c_name"), F.col("c_phone"), F.lit(1998), schema)
+    made = lambda schema: prompt(F.col("c_mktsegment"), F.col("c_name"), F.col("c_nationkey").cast("string"), F.lit(1998), schema)
     rows = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, made('{"a": 1}')).otherwise(made(None)).alias("m"))
     user, system = F.get_json_object("m", "$[1].content"), F.get_json_object("m", "$[0].content")
     roles = F.concat_ws(",", F.get_json_object("m", "$[0].role"), F.get_json_object("m", "$[1].role"))
@@ -225,7 +242,8 @@ def extraction_outcomes(spark: SparkSession, d: str) -> DataFrame:
     content = F.when(k == 2, "").when(k == 3, "Erreur HTTP 500").when(k == 4, "pas de JSON").when(k == 5, documents.document(F.lit("Mo 09:00-12:00")))
     failure = F.when(k == 0, F.concat(F.lit("quota "), F.col("event_id").cast("string")))
     none = F.from_json(F.lit("{}"), "map<string,string>")
-    rows = table(spark, d, "events").select("event_id", documents.outcome(content, failure, F.lit("parc"), none, F.lit("2025-01-01").cast("date")).alias("r"))
+    answers = table(spark, d, "events").select("event_id", content.alias("content"), failure.alias("failure"))
+    rows = answers.select("event_id", documents.outcome(F.col("content"), F.col("failure"), F.lit("parc"), none, F.lit("2025-01-01").cast("date")).alias("r"))
     errors = documents.outcome_errors(F.lit(""), F.col("r"), F.lit("2025-01-01 10:20:30").cast("timestamp"))
     json = F.when(F.col("r.json").startswith('{"horaires_ouverture"'), "document").otherwise(F.col("r.json"))
     return rows.select("event_id", json.alias("json"), F.col("r.osm").alias("osm"), errors.alias("errors"))
@@ -244,7 +262,7 @@ def outcome_error_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""SELECT event_id, CASE event_id % 8 WHEN 0 THEN '{documents.NO_REFERENCE.replace("'", "''")}' WHEN 1 THEN 'Erreur dans les données GL: Erreur conversion: ' || event_id WHEN 2 THEN 'Erreur parsing JSON data.grandlyon.com'
-WHEN 3 THEN '{documents.NO_EXTRACT}' WHEN 4 THEN 'Erreur parsing JSON LLM' WHEN 5 THEN 'Comparaison impossible: note ' || event_id WHEN 6 THEN 'Comparaison impossible: {documents.NO_SOURCE}' END AS problem FROM events""")
+WHEN 3 THEN '{documents.NO_EXTRACT.replace("'", "''")}' WHEN 4 THEN 'Erreur parsing JSON LLM' WHEN 5 THEN 'Comparaison impossible: note ' || event_id WHEN 6 THEN 'Comparaison impossible: {documents.NO_SOURCE.replace("'", "''")}' END AS problem FROM events""")
 def comparison_problems(spark: SparkSession, d: str) -> DataFrame:
     """Why two documents cannot be compared."""
     k, n = F.col("event_id") % 8, F.col("event_id").cast("string")
@@ -366,7 +384,7 @@ def stats_sections(spark: SparkSession, d: str) -> DataFrame:
     return rows.where(F.concat_ws(".", "section", "item").isin(wanted)).select("section", "item", "label", F.col("value").cast("double").alias("value"), "unit")
 
 
-@query("""WITH s AS (SELECT count(*) AS n, count(*) FILTER (statut_url = 'ok') AS good, avg(CASE WHEN statut_url = 'ok' THEN length(markdown_brut) END) AS size, sum(llm_consommation_requete) * 1000 AS co2 FROM results)
+@query(""", s AS (SELECT count(*) AS n, count(*) FILTER (statut_url = 'ok') AS good, avg(CASE WHEN statut_url = 'ok' THEN length(markdown_brut) END) AS size, sum(llm_consommation_requete) * 1000 AS co2 FROM results)
 SELECT 'urls.total' AS item, CAST(n AS VARCHAR) AS shown FROM s UNION ALL SELECT 'urls.success_rate', printf('%.1f%%', round_even(round(100.0 * good / n, 4), 1)) FROM s
 UNION ALL SELECT 'urls.avg_content_length', printf('%.0f caractères', round_even(round(size, 4), 0)) FROM s UNION ALL SELECT 'llm.total_co2_emissions', printf('%.3fg', round_even(round(co2, 4), 3)) FROM s""", True)
 def formatted_stats(spark: SparkSession, d: str) -> DataFrame:
