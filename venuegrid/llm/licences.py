@@ -1,8 +1,9 @@
 """Licence scans by canonical digest lookup.
 
-A text is brought to a canonical form: lower case, copyright lines removed, equivalent spellings unified,
-everything but letters and digits turned into single spaces. The SHA-256 of the whole form is hash-joined with
-the digests of the known licence texts; every line's form is likewise looked up among known notices.
+A text is brought to a canonical form: lower case, title and copyright lines at its head and copyright lines elsewhere
+removed, numbers and bullets of list items too, equivalent spellings unified, everything but letters and digits turned
+into single spaces, and the name in a non-endorsement clause made a common one. The SHA-256 of the whole form is
+hash-joined with the digests of the known licence texts; every line's form is likewise looked up among known notices.
 """
 
 from __future__ import annotations
@@ -40,20 +41,32 @@ Permission is granted to anyone to use this software for any purpose, including
 
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
 
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
 }
 #: Canonical digests of whole texts too long to hold here.
 DIGESTS = {
-    "Apache-2.0": "6074c3536c43b739207170b87d1681477d0f07374ed3d862ba461334cce848e3",
-    "CC0-1.0": "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
-    "GPL-1.0": "ec8a6b7d70e9f225b63d3962ed5b4721373f5535d7b967a06722b0d621f6892a",
-    "GPL-2.0": "331b500eb3c5ee796906547305df82fff4a35b3aa03c1d3ea84d32078292b2e6",
-    "GPL-3.0": "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68",
-    "LGPL-2.0": "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908",
-    "LGPL-2.1": "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891",
-    "LGPL-3.0": "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
-    "MPL-1.1": "3f0343dd4f3b064be36e0c6584737c9b7bb5c322721694563f9009e088ce96d1",
-    "MPL-2.0": "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a",
+    "Apache-2.0": "b8b4b7a1a3fc45a40c173b28ca0fcfde44b6289443f009fcb8d3cd6162c57d6e",
+    "Artistic-1.0-Perl": "b06eda62b7e0c69e6f8a5960610095b69349654af941a79eca834edcd5e64e49",
+    "CC0-1.0": "51c4bf27767d074bdefc84db7420b4c55e27827dac6d8de3ef0d37b2042fb6fa",
+    "GFDL-1.2": "66c938a4f3d2114cc3d60f4233a4f26e8c730064aa767788d4745dedea334da1",
+    "GFDL-1.3": "3c375c0e780727eaa9ddb17a7fa022a4b0b7ed527f12a3da106f47b622a3b3f1",
+    "GPL-1.0": "d12bf436716562844f9a1fa4b2d7f3d40b9a3958451bc802147a9b1f72b26449",
+    "GPL-2.0": "5fbaf82c679588b288227e6fa2348731ce4db7888a791bdf8a007da45db6d110",
+    "GPL-3.0": "1d853c80efe5ceb4de7b2f36ad97f5659946947afc9c6c75fa3fa50e20368ef2",
+    "LGPL-2.0": "4a1b1cb15d45262f049457ae26945909d0e5af93e2e3fb5de82c9f72ac6bebe2",
+    "LGPL-2.1": "f2755dc4b609b314faab32d30ca6d0466b60adc931cece2ea4f0b61f483bfc98",
+    "LGPL-3.0": "cb8c0f424bdd5c42a0b18285893829d988e9fb9a00d0cd604a59ebe8da7eeb45",
+    "MPL-1.1": "515864bf52691dd64fb39dffbada72bd2c710ec817092ccb757dd3d9b02c6255",
+    "MPL-2.0": "d2954ecddd82787482d526252c2595f628a7e2ccd8c32b969382705b61c7ed8d",
 }
 NOTICES = {
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "This project is licensed under the MIT License."],
@@ -69,9 +82,17 @@ NOTICES = {
 }
 SPELLINGS = {
     "licence": "license", "licences": "licenses", "licenced": "licensed", "sublicence": "sublicense", "acknowledgement": "acknowledgment", "authorise": "authorize", "authorised": "authorized",
-    "favour": "favor", "organisation": "organization", "modelling": "modeling", "programme": "program", "noncommercial": "non commercial", "copyright owner": "copyright holder", "per cent": "percent",
+    "favour": "favor", "organisation": "organization", "modelling": "modeling", "programme": "program", "noncommercial": "non commercial", "copyright owner": "copyright holder", "copyright owners": "copyright holders", "per cent": "percent",
 }
 _COPYRIGHT = r"(?m)^[ \t*#/;-]*(?:copyright\b|\(c\)|©)[^\n]*(?:\d{4}|\(c\)|©)[^\n]*$|^[ \t*#/;-]*all rights reserved\.?[ \t]*$"
+#: Names by which short licences are titled.
+_TITLES = r"(?:the )?(?:(?:mit|expat|isc|0bsd|zlib(?:/libpng)?|(?:new |modified |revised |simplified )?bsd|[0-3]-clause bsd|zero-clause bsd)\b[^\n]{0,50}licen[cs]e\b[^\n]{0,40}|licen[cs]e:? (?:mit|isc|0bsd|zlib|bsd)\b[^\n]{0,30}|bsd [0-3]-clause)"
+_HEAD_LINE = rf"[ \t\r*#/;=_-]*(?:copyright\b[^\n]*|\(c\)[^\n]*|©[^\n]*|all rights reserved\b[^\n]*|spdx-license-identifier:[^\n]*|{_TITLES}[ \t\r*#/;=_()-]*)?"
+#: What a licence file may begin with: title, copyright and empty lines.
+_HEAD = rf"\A(?:{_HEAD_LINE}\n){{0,40}}(?:{_HEAD_LINE}\z)?"
+_ITEMS = r"(?m)^[ \t]*(?:\(?\d{1,2}[.)]|\(?[a-z][.)]|[*•-])[ \t]+"
+#: In canonical form, whose name a clause protects.
+_NAMED, _ANYBODY = r"neither the names? of .{1,80}? nor the names of (?:its|the|other|any|their) contributors", "neither the name of the copyright holder nor the names of its contributors"
 
 
 def _tidy(text: Column) -> Column:
@@ -87,9 +108,15 @@ def _spelled(text: Column) -> Column:
     return F.when(text.rlike(r"\b(" + "|".join(SPELLINGS) + r")\b"), changed).otherwise(text)
 
 
+def _whole(lower: Column) -> Column:
+    """Canonical form of a lower-cased whole text."""
+    body = F.regexp_replace(F.regexp_replace(F.regexp_replace(lower, _HEAD, ""), _COPYRIGHT, " "), _ITEMS, " ")
+    return F.regexp_replace(_tidy(body), _NAMED, _ANYBODY)
+
+
 def canonical(text: Column) -> Column:
     """A whole text in canonical form."""
-    return _tidy(F.regexp_replace(F.lower(text), _COPYRIGHT, " "))
+    return _whole(F.lower(text))
 
 
 def known(spark, texts: dict[str, str] = TEXTS) -> DataFrame:
@@ -128,6 +155,6 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEXTS, notices: dict[str, list
     named = F.create_map(*(F.lit(x) for pair in said.items() for x in pair)) if said else F.create_map()
     found = F.array_sort(F.array_distinct(F.filter(F.transform(forms, lambda f: named[f]), lambda x: x.isNotNull())))
     none = F.array().cast("array<string>")
-    whole = F.sha2(_tidy(F.regexp_replace(F.col("__lower"), _COPYRIGHT, " ")), 256)
+    whole = F.sha2(_whole(F.col("__lower")), 256)
     marked = rows.select("doc_id", whole.alias("digest"), (F.when(F.size(lines) > 0, found).otherwise(none) if said else none).alias("notices"))
     return marked.join(F.broadcast(known(spark, texts)), "digest", "left").select("doc_id", "digest", "license", "notices")

@@ -34,7 +34,8 @@ def licence_scan() -> str:
     texts = ", ".join(f"({_text(name)}, {_text(text)})" for name, text in licences.TEXTS.items())
     digests = ", ".join(f"({_text(name)}, {_text(digest)})" for name, digest in licences.DIGESTS.items())
     notices = ", ".join(f"({_text(name)}, {_text(text)})" for name, listed in licences.NOTICES.items() for text in listed)
-    whole = _canonical(f"regexp_replace(lower(text), {_text(licences._COPYRIGHT)}, ' ', 'g')")
+    body = f"regexp_replace(regexp_replace(regexp_replace(lower(text), {_text(licences._HEAD)}, ''), {_text(licences._COPYRIGHT)}, ' ', 'g'), {_text(licences._ITEMS)}, ' ', 'g')"
+    whole = f"regexp_replace({_canonical(body)}, {_text(licences._NAMED)}, {_text(licences._ANYBODY)}, 'g')"
     return rf"""
 WITH k AS (SELECT min(license) AS license, digest FROM (
     SELECT col0 AS license, sha256({whole.replace("lower(text)", "lower(col1)")}) AS digest FROM (VALUES {texts}) UNION ALL SELECT col0, col1 FROM (VALUES {digests})) GROUP BY digest),
