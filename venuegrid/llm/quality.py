@@ -99,14 +99,19 @@ class Model:
         return np.divide(y, norm, out=np.zeros_like(y), where=norm > 0)
 
     def score(self, vectors: np.ndarray) -> np.ndarray:
-        """The weighted share of label 1 among each row's nearest; the overall share where nothing is similar."""
-        near = vectors @ self.vectors.T
+        """The weighted share of label 1 among each row's nearest; the overall share where nothing is similar.
+
+        Similarities count to five places, as products round differently from batch to batch; of equally similar
+        labelled documents those of the smaller ids are nearer.
+        """
+        near = np.round(vectors @ self.vectors.T, 5)
         k = min(NEIGHBOURS, near.shape[1])
-        at = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(near, at, axis=1), 0.0).astype(np.float64) ** 4
+        last = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k, None]
+        above, level = near > last, near == last
+        chosen = above | (level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+        weight = np.where(chosen, np.maximum(near, 0.0), 0.0).astype(np.float64) ** 4
         total = weight.sum(axis=1)
-        vote = (weight * self.labels[at]).sum(axis=1)
-        return np.round(np.divide(vote, total, out=np.full(len(total), self.labels.mean()), where=total > 1e-9), 6)
+        return np.round(np.divide(weight @ self.labels, total, out=np.full(len(total), self.labels.mean()), where=total > 1e-9), 6)
 
 
 def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, most_terms: int = TERMS) -> Model | None:
@@ -190,6 +195,8 @@ def held_out(doc_id: str = "doc_id"):
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, labelled: int = LABELLED, most_terms: int = TERMS) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score (0 to 1, higher: label 1 likelier), predicted.
 
+    Ties between neighbours go to the smaller id (see ``Model.score``).
+
     labels: doc_id, label. Only rows whose id is not held out are learned from, at most ``labelled`` of them (see
     ``learn``). Repeated rows each get their row; null texts score as empty ones; without labels every score is 0.5;
     an empty table gives an empty result.
