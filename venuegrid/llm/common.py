@@ -38,6 +38,17 @@ def keep(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, with underscores after those that the columns have already (case aside)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(sizes: list[int], most_rows: int = DOCS_AT_ONCE, most_bytes: int = BYTES_AT_ONCE) -> Iterator[tuple[int, int]]:
     """Cut a run of texts into spans of bounded row count and bytes (a longer single text stands alone)."""
     start = total = 0

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuegrid.llm.common import keep, mix, text_batches, words_of
+from venuegrid.llm.common import free_names, keep, mix, text_batches, words_of
 from venuegrid.llm.components import classes
 from venuegrid.llm.simhash import SEED, links
 
@@ -268,6 +268,7 @@ def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 8, alike: float =
     them stays where its group has no row with an id. Of rows with equal id and text one stays. Null and wordless
     texts are copies of each other. An empty table gives an empty result; the other columns are not looked at.
     """
-    firsts = copies(docs, shingle, radius, alike).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"))
-    stay = docs.join(keep(firsts, "firsts"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__h")))
-    return stay.dropDuplicates(["__id", "__h"]).select(*docs.columns)
+    id_, h = free_names(docs.columns, "__id", "__h")
+    firsts = copies(docs, shingle, radius, alike).select(F.col("doc_id").alias(id_), F.col("h").alias(h))
+    stay = docs.join(keep(firsts, "firsts"), F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(h)))
+    return stay.dropDuplicates([id_, h]).select(*docs.columns)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuegrid.llm.common import Numbers, keep, mix, text_batches, words_of
+from venuegrid.llm.common import Numbers, free_names, keep, mix, text_batches, words_of
 
 #: Rounds of naming; symbols of the last spell about three words and depend on about sixteen.
 ROUNDS = 4
@@ -292,6 +292,7 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     seen, changed = _find(docs, window, True)
     edits = seen.where("copy").select(*ROW, F.lit("").alias("new")).union(changed.select(*ROW, F.col("kept").alias("new"))).dropDuplicates(ROW)
-    edits = edits.select(F.col("doc_id").alias("__id"), F.col("uid").alias("__uid"), F.col("new").alias("__new"))
-    joined = docs.join(edits, (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__uid")), "left")
-    return joined.withColumn("text", F.coalesce("__new", "text")).select(*docs.columns)
+    id_, uid, new = free_names(docs.columns, "__id", "__uid", "__new")
+    edits = edits.select(F.col("doc_id").alias(id_), F.col("uid").alias(uid), F.col("new").alias(new))
+    joined = docs.join(edits, (F.col("doc_id").cast("long") == F.col(id_)) & (F.xxhash64("text") == F.col(uid)), "left")
+    return joined.withColumn("text", F.coalesce(new, "text")).select(*docs.columns)

@@ -13,7 +13,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuegrid.llm.common import keep
+from venuegrid.llm.common import free_names, keep
 
 SPACES = "[ \\t-\\r]+"
 WINDOW = 8
@@ -150,5 +150,6 @@ def keep_sound(docs: DataFrame) -> DataFrame:
     """The rows of docs that ``judge`` keeps, with all columns. Rows of equal id, lang and text share a verdict."""
     uid = F.xxhash64("doc_id", "lang", "text")
     named = docs.select(uid.alias("doc_id"), "lang", "text")
-    kept = judge(named).where("kept").select(F.col("doc_id").alias("__uid")).distinct()
-    return docs.withColumn("__uid", uid).join(kept, "__uid", "left_semi").drop("__uid")
+    (own,) = free_names(docs.columns, "__uid")
+    kept = judge(named).where("kept").select(F.col("doc_id").alias(own)).distinct()
+    return docs.withColumn(own, uid).join(kept, own, "left_semi").drop(own)
