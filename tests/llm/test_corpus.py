@@ -1,6 +1,7 @@
 """Corpus operators against brute force on small fixtures: nulls, empty and long texts, ties, repeated rows, clashing columns, empty tables."""
 
 import hashlib
+import pathlib
 import random
 import re
 import zlib
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from venuegrid.llm import components, licences, packing, pieces, quality, recompress, rules, simhash, topk
+from venuegrid.llm import components, copies, licences, packing, pieces, quality, recompress, rules, simhash, topk
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, uid int, key string, score string, shard string, `group` string, label string"
@@ -378,3 +379,89 @@ def test_licences_of_the_caller_and_by_digest(spark):
     assert got == {1: ["PD"], 2: ["O"]}
     found = {r.license for r in licences.known(spark).collect()}
     assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "MPL-2.0", "CC0-1.0", "MIT"} <= found
+
+
+TITLES = {
+    "MIT": ["MIT License", "The MIT License (MIT)", "# MIT License", "License: MIT", "Expat License"], "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"], "0BSD": ["Zero-Clause BSD License", "0BSD License"],
+    "Zlib": ["zlib License", "The zlib/libpng License"], "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License", 'BSD 2-Clause "Simplified" License'], "BSD-3-Clause": ["BSD 3-Clause License", "The New BSD License", "BSD 3-Clause"],
+}
+OWNERS = ["Copyright (c) 2023 Jane Doe", "Copyright Jane Doe and contributors", "© 2019-2024 Société Générale. All rights reserved.", "Copyright (C) 2001 A\nCopyright (C) 2002 B\nAll Rights Reserved.", "SPDX-License-Identifier: x\n(c) someone"]
+
+
+def test_whole_licence_files(spark):
+    """Files of every listed short licence: with and without title, owners, list marks, comment marks and line breaks of their own."""
+    made = []
+    for name, body in licences.TEXTS.items():
+        body = body.replace("COPYRIGHT HOLDERS", "COPYRIGHT OWNERS") if name == "BSD-2-Clause" else body
+        bullets = body.replace("\n1. ", "\n * ").replace("\n2. ", "\n * ").replace("\n3. ", "\n - ")
+        narrow = "\n".join(" ".join(body.split(" ")[k : k + 9]) for k in range(0, len(body.split(" ")), 9))
+        for title in [*TITLES[name], ""]:
+            for owner in [*OWNERS, ""]:
+                head = "\n\n".join(x for x in (title, owner) if x)
+                made += [(name, f"{head}\n\n{body}\n"), (name, f"\n{owner}\n{title}\n==========\n\n{bullets}"), (name, f"{head}\r\n\r\n{narrow}".replace("\n", "\n  "))]
+    clause = licences.TEXTS["BSD-3-Clause"].replace("the name of the copyright holder nor", "the name of Example Inc., Ltd. nor")
+    made.append(("BSD-3-Clause", f"Copyright 2008, Example Inc.\nAll rights reserved.\n\n{clause}"))
+    df = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(made)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licences.scan(df).collect()}
+    assert [(n, t) for k, (n, t) in enumerate(made) if got[k] != n] == []
+
+
+def test_what_is_no_licence_file(spark):
+    mit = licences.TEXTS["MIT"]
+    made = ["MIT License", "MIT License\nCopyright 2020 x", mit[:-1] + " more.", "Foreword.\n\n" + mit, mit + "\n\n" + licences.TEXTS["ISC"], "\n" * 30_000 + "x", "-" * 50_000 + "x", "(c) " * 20_000]
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    assert {r.license for r in licences.scan(df).collect()} == {None}
+
+
+@pytest.mark.parametrize(("file", "name"), [("Apache-2.0", "Apache-2.0"), ("GPL-3", "GPL-3.0"), ("GPL-2", "GPL-2.0"), ("LGPL-2.1", "LGPL-2.1"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0"), ("Artistic", "Artistic-1.0-Perl"), ("GFDL-1.3", "GFDL-1.3")])
+def test_long_licence_files(spark, file, name):
+    path = pathlib.Path("/usr/share/common-licenses", file)
+    if not path.exists():
+        pytest.skip("no such file here")
+    text = path.read_text(errors="replace")
+    rows = [(0, text), (1, "Copyright 2024 Someone\n\n" + text.upper()), (2, text + "\nand more")]
+    assert {r.doc_id: r.license for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0: name, 1: name, 2: None}
+
+
+# -- clashing names, ties, decoding -------------------------------------------------------------------------
+
+
+def test_clashing_column_names(spark):
+    rows = [(1, "a b c d e f g h " * 9, "en", 1, 2, 3, 4), (2, "a b c d e f g h " * 9, "en", 5, 6, 7, 8), (3, "x y", None, 9, 9, 9, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, __id int, __uid int, __new int, __h int")
+    cut = {tuple(r) for r in recompress.remove_repeats(docs, 50).collect()}
+    assert cut == {rows[0], (2, "", *rows[1][2:]), rows[2]}
+    assert {tuple(r) for r in copies.keep_one(docs).collect()} == {rows[0], rows[2]}
+    kept = rules.keep_sound(docs)
+    assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} <= set(rows)
+
+
+def test_ties_between_neighbours():
+    """Of equally similar labelled documents the first count, whatever else is in the batch."""
+    rng = np.random.default_rng(3)
+    vectors = np.repeat(np.eye(4, dtype=np.float32), 20, axis=0)
+    labels = (np.arange(80) % 20 < 15).astype(np.float64)
+    model = quality.Model(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.eye(4, dtype=np.float32), vectors, labels)
+    some = np.abs(rng.standard_normal((50, 4))).astype(np.float32)
+    some /= np.linalg.norm(some, axis=1, keepdims=True)
+    whole = model.score(some)
+    assert np.array_equal(whole, np.concatenate([model.score(some[k : k + 7]) for k in range(0, 50, 7)]))
+    near = np.round(some @ vectors.T, 5)
+    for row, got in zip(near, whole, strict=True):
+        at = sorted(range(80), key=lambda k: (-row[k], k))[: quality.NEIGHBOURS]
+        weight = row[at].astype(float) ** 4
+        assert abs(got - (weight * labels[at]).sum() / weight.sum()) < 2e-6
+
+
+def test_round_trip_is_computed():
+    """A vocabulary that spells one piece wrongly is found out by decoding, for exactly the texts that have it."""
+    path = PIECES
+    texts = ["the house", " two  spaces ", "", "a\nb", "é漢字 \u0001", "mark ▁ here", "no such word"]
+    encoder = pieces.Encoder(pieces.Vocabulary.load(path))
+    ids, true = encoder.encode([t.encode() for t in texts])
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    assert [i.tolist() for i in ids] == [library.encode(t) for t in texts]
+    assert true == [library.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)] and true.count(False) == 1
+    encoder.vocabulary.text[int(ids[0][-1])] = "HOUSE"
+    encoder.vocabulary.said = []
+    assert encoder.encode([t.encode() for t in texts])[1][0] is False
