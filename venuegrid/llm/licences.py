@@ -86,7 +86,7 @@ SPELLINGS = {
 }
 _COPYRIGHT = r"(?m)^[ \t*#/;-]*(?:copyright\b|\(c\)|©)[^\n]*(?:\d{4}|\(c\)|©)[^\n]*$|^[ \t*#/;-]*all rights reserved\.?[ \t]*$"
 #: Names by which short licences are titled.
-_TITLES = r"(?:the )?(?:(?:mit|expat|isc|0bsd|zlib(?:/libpng)?|(?:new |modified |revised |simplified )?bsd|[0-3]-clause bsd|zero-clause bsd)\b[^\n]{0,50}licen[cs]e\b[^\n]{0,40}|licen[cs]e:? (?:mit|isc|0bsd|zlib|bsd)\b[^\n]{0,30}|bsd [0-3]-clause)"
+_TITLES = r"(?:the )?(?:(?:mit|expat|isc|0bsd|zlib(?:/libpng)?|(?:new |modified |revised |simplified )?bsd|[0-3]-clause bsd|zero-clause bsd)\b[^\n]*licen[cs]e\b[^\n]*|licen[cs]e:? (?:mit|isc|0bsd|zlib|bsd)\b[^\n]*|bsd [0-3]-clause)"
 _HEAD_LINE = rf"[ \t\r*#/;=_-]*(?:copyright\b[^\n]*|\(c\)[^\n]*|©[^\n]*|all rights reserved\b[^\n]*|spdx-license-identifier:[^\n]*|{_TITLES}[ \t\r*#/;=_()-]*)?"
 #: What a licence file may begin with: title, copyright and empty lines.
 _HEAD = rf"\A(?:{_HEAD_LINE}\n){{0,40}}(?:{_HEAD_LINE}\z)?"
