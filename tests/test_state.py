@@ -7,7 +7,7 @@ from venuegrid.operators import state, stats
 from venuegrid.schema import RESULTS
 from venuegrid.sources import csvfiles, providers
 from venuegrid.sources.tables import Store
-from venuegrid.streaming.incremental import clean_stream, cleaned
+from venuegrid.streaming.incremental import absorb, clean_stream, cleaned
 
 
 def result(k, **values):
@@ -133,6 +133,7 @@ def test_store_and_stream(spark, tmp_path, rows):
     for _ in range(2):
         arrivals = spark.readStream.schema(RESULTS).parquet(str(tmp_path / "in"))
         clean_stream(arrivals, store, str(tmp_path / "ck")).awaitTermination(60)
+    assert absorb(store) == rows.select("id_execution").distinct().count() and absorb(store) == 0
     got = {r[state.ID]: r.markdown_nettoye for r in store.read("resultats_extraction").collect()}
     assert len(got) == 8 and got[2] == "raw" and got[1] == ""
     assert cleaned(store.read("resultats_extraction")).count() == 0
