@@ -449,3 +449,9 @@ def store_policies(spark: SparkSession, d: str) -> DataFrame:
     there = f"{store.exists('executions')},{store.exists('none')}".lower()
     shown.append(rows.limit(1).select(F.lit("exists").alias("policy"), F.lit(there).alias("said"), F.lit(0).cast("long").alias("n")))
     return shown[0].unionByName(shown[1]).unionByName(shown[2]).unionByName(shown[3])
+
+
+@query("SELECT o_orderpriority AS llm_fournisseur, count(*) AS n FROM orders WHERE o_orderkey % 7 = 3 AND o_orderkey <= 900 GROUP BY 1")
+def named_sql(spark: SparkSession, d: str) -> DataFrame:
+    """SQL over the state tables with named parameters."""
+    return _store(spark, d).sql("SELECT llm_fournisseur, count(*) AS n FROM executions WHERE llm_modele = :model AND id_execution <= :last GROUP BY llm_fournisseur", model="m3", last=900)

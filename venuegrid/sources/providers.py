@@ -8,6 +8,7 @@ import socket
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -133,13 +134,11 @@ def fetch(rows: DataFrame, provider: Fetch, url: str = "url", tries: int = TRIES
 @pandas_udf(T.ArrayType(T.FloatType()))
 def hash_embedding(text: pd.Series) -> pd.Series:
     """A deterministic offline embedding: signed counts of hashed words in 64 dimensions, at unit length."""
-
-    def one(t: str | None) -> list[float]:
-        v = [0.0] * 64
-        for w in (t or "").lower().split():
-            h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "big")
-            v[h % 64] += 1.0 if h >> 63 else -1.0
-        norm = sum(x * x for x in v) ** 0.5
-        return [x / norm for x in v] if norm else v
-
-    return text.map(one)
+    words = text.fillna("").str.lower().str.split()
+    at = np.repeat(np.arange(len(words)), words.str.len())
+    found, which = np.unique(np.array([w for ws in words for w in ws], object).astype(str), return_inverse=True) if len(at) else (np.zeros(0, str), np.zeros(0, int))
+    hashes = np.array([int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "big") for w in found], np.uint64)
+    counts = np.zeros((len(words), 64))
+    np.add.at(counts, (at, (hashes % np.uint64(64)).astype(int)[which]), np.where(hashes >> np.uint64(63), 1.0, -1.0)[which])
+    norm = np.linalg.norm(counts, axis=1, keepdims=True)
+    return pd.Series(list(np.divide(counts, norm, out=counts, where=norm > 0)), index=text.index)
