@@ -1,11 +1,11 @@
 """Exact top-k inner-product search by pivot-table elimination.
 
-Every distinct vector carries its distances to the origin and to many fixed vectors, the pivots. By the triangle
-inequality each pivot p gives a lower bound |d(q, p) - d(c, p)| on the distance of a query q and a candidate c. All
-pivots together give the greatest that the table allows: the distances fix a vector's foot in the span of the pivots
-and its height over it, and two vectors are no nearer than their feet, and heights on the same side, are. That is an
-upper bound on the inner product: that of the feet plus the product of the heights. Each query evaluates candidates in
-the order of its own bounds until no remaining one can enter its top list, so the result is exact.
+Every distinct vector carries its distances to the origin and to PIVOTS fixed vectors, the pivots. By the triangle
+inequality each pivot p gives a lower bound |d(q, p) - d(c, p)| on the distance of a query q and a candidate c; the
+greatest of them, with the norms, is an upper bound on the inner product. Candidates lie in cells, neighbours by their
+nearest pivot and distance to it, and a cell knows the range of its members' distances to every pivot: one bound holds
+for all of a cell, so cells are skipped without a look at their members. Each query opens cells, and evaluates the
+members of open ones, in the order of its own bounds until no remaining one can enter its top list: the result is exact.
 
 Blocks of queries meet streams of candidates: rows are dealt by (query block, candidate stream), each task holds
 one block of queries with its running top lists and takes candidates CHUNK at a time. Equal vectors are one
@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 
 from venuegrid.llm.common import keep
 
-#: Pivots beside the origin, each the one of the SAMPLE vectors with the smallest hashes that is farthest from the span of those before.
-PIVOTS, SAMPLE = 56, 1024
-#: Candidates bounded at once, queries bounded at once, candidates of a query evaluated between two looks at its bounds.
-CHUNK, BATCH, STEP = 8192, 128, 64
+#: Pivots beside the origin, each the one of the SAMPLE vectors with the smallest hashes that is farthest from those before.
+PIVOTS, SAMPLE = 64, 1024
+#: Pivots nearest to a query by which the members of an open cell are bounded.
+NEAREST = 8
+#: Candidates met at once, queries bounded at once, candidates of a cell, cells opened at once, candidates evaluated between two looks at the bounds.
+CHUNK, BATCH, CELL, OPEN, STEP = 8192, 128, 32, 8, 64
 #: Rows of a block of queries and of a stream of candidates: at least, at most.
 QUERIES, STREAM = (1024, 16384), (16384, 1 << 20)
 #: Above this, products of norms are too large for exact doubles and integer arithmetic is used.
@@ -48,33 +50,15 @@ def _pivots(distinct: DataFrame) -> dict[int, np.ndarray]:
     found = {}
     for dim, vectors in by.items():
         x = np.stack(vectors)
-        rest, chosen = x.copy(), [np.zeros(dim)]
-        least = 1e-6 * float(np.linalg.norm(x, axis=1).max(initial=0))
-        while len(chosen) <= min(PIVOTS, dim):
-            height = np.linalg.norm(rest, axis=1)
-            at = int(height.argmax())
-            if height[at] <= least:
-                break
-            chosen.append(x[at])
-            axis = rest[at] / height[at]
-            rest -= np.outer(rest @ axis, axis)
+        chosen = [np.zeros(dim)]
+        alone = np.linalg.norm(x, axis=1)
+        while len(chosen) <= PIVOTS and alone.max(initial=0) > 0:
+            chosen.append(x[int(alone.argmax())])
+            alone = np.minimum(alone, np.linalg.norm(x - chosen[-1], axis=1))
         found[dim] = np.stack(chosen)
     return found
 
 
-class Feet:
-    """From distances to the origin and the pivots to the foot in the pivots' span, and the height over it."""
-
-    def __init__(self, pivots: np.ndarray) -> None:
-        self.square = (pivots[1:] ** 2).sum(axis=1)
-        self.back = np.linalg.inv(np.linalg.qr(pivots[1:].T)[1]) if len(pivots) > 1 else np.zeros((0, 0))
-
-    def __call__(self, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        own = far[:, 0] ** 2
-        foot = ((own[:, None] + self.square - far[:, 1:] ** 2) / 2) @ self.back
-        return foot, np.sqrt(np.maximum(0.0, own - (foot**2).sum(axis=1)))
-
-
 def _table(pivots: dict[int, np.ndarray]):
     """Adds ``far``: each vector's distances to the pivots of its dimension (to the origin alone if it has none)."""
 
@@ -89,39 +73,76 @@ def _table(pivots: dict[int, np.ndarray]):
     return run
 
 
+def _bound(square: np.ndarray | float, norm: np.ndarray | float, apart: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The greatest inner product of a vector (norm and its square) with one of norm ``other`` that is at least ``apart`` away."""
+    return np.minimum((square + other**2 - apart**2) / 2, norm * other) + 1e-9 * (square + other**2) + 0.5  # room for rounding
+
+
+class Cells:
+    """Candidates in cells of neighbours, with the range of each cell's distances to every pivot."""
+
+    def __init__(self, table: np.ndarray) -> None:
+        near = table[:, 1:].argmin(axis=1) + 1 if table.shape[1] > 1 else np.zeros(len(table), int)
+        self.order = np.lexsort((table[np.arange(len(table)), near], near))
+        self.begins = np.arange(0, len(table), CELL)
+        self.low = np.minimum.reduceat(table[self.order], self.begins, axis=0)
+        self.high = np.maximum.reduceat(table[self.order], self.begins, axis=0)
+
+    def members(self, cells: np.ndarray) -> np.ndarray:
+        at = (self.begins[cells][:, None] + np.arange(CELL)).ravel()
+        return self.order[at[at < len(self.order)]]
+
+
 class Tops:
-    """Running top lists of one block of queries; ``met`` and ``evaluated`` count pairs."""
+    """Running top lists of one block of queries.
 
-    def __init__(self, raw: list[bytes], far: list[bytes], k: int, feet: Feet) -> None:
-        self.k, self.dim, n, self.feet = k, len(raw[0]) // 8, len(raw), feet
+    ``met`` counts pairs, ``evaluated`` those whose product was made, ``compared`` distances that bounds compared.
+    """
+
+    def __init__(self, raw: list[bytes], far: list[bytes], k: int) -> None:
+        self.k, self.dim, n = k, len(raw[0]) // 8, len(raw)
         self.q = np.frombuffer(b"".join(raw), "<i8").reshape(n, self.dim)
-        table = np.frombuffer(b"".join(far)).reshape(n, -1)
-        self.norm = table[:, 0]
-        self.foot, self.height = feet(table)
+        self.far = np.frombuffer(b"".join(far)).reshape(n, -1)
         self.score = np.full((n, k), -np.iinfo(np.int64).max)
         self.first = np.full((n, k), np.iinfo(np.int64).max)
         self.ids = np.full((n, k), None, object)
-        self.met = self.evaluated = 0
+        self.met = self.evaluated = self.compared = 0
 
     def meet(self, raw: list[bytes], far: list[bytes], first: np.ndarray, ids: np.ndarray) -> None:
         c, table = np.frombuffer(b"".join(raw), "<i8").reshape(len(raw), self.dim), np.frombuffer(b"".join(far)).reshape(len(raw), -1)
-        foot, height = self.feet(table)
-        exact = float(self.norm.max()) * float(table[:, 0].max()) < EXACT
+        cells = Cells(table)
+        exact = float(self.far[:, 0].max()) * float(table[:, 0].max()) < EXACT
         ct, qt = (c.astype(float), self.q.astype(float)) if exact else (c, self.q)
+        self.met += len(self.q) * len(c)
         for at in range(0, len(self.q), BATCH):
-            rows = np.arange(at, min(at + BATCH, len(self.q)))
-            most = self.norm[rows, None] ** 2 + table[None, :, 0] ** 2
-            bound = self.foot[rows] @ foot.T + self.height[rows, None] * height[None, :] + 1e-9 * most + 0.5  # room for rounding
-            self.met += bound.size
-            for row, b in zip(rows.tolist(), bound, strict=True):
-                open_ = np.flatnonzero(b >= self.score[row, -1])
-                turn = open_[np.argsort(-b[open_], kind="stable")]
-                for step in range(0, len(turn), STEP):
-                    some = turn[step : step + STEP]
-                    if b[some[0]] < self.score[row, -1]:
-                        break  # neither this nor any later one can enter
-                    self.evaluated += len(some)
-                    self._enter(np.array([row]), (ct[some] @ qt[row])[None, :].astype(np.int64), first[some], ids[some])
+            far_q = self.far[at : at + BATCH]
+            apart = np.maximum(cells.low[None] - far_q[:, None], far_q[:, None] - cells.high[None]).max(axis=2).clip(0)
+            bounds = _bound(far_q[:, :1] ** 2, far_q[:, :1], apart, cells.high[None, :, 0])
+            self.compared += 2 * far_q.size * len(cells.begins)
+            for row, bound in enumerate(bounds, at):
+                turn = np.argsort(-bound, kind="stable")
+                for some in range(0, len(turn), OPEN):
+                    opened = turn[some : some + OPEN]
+                    opened = opened[bound[opened] >= self.score[row, -1]]
+                    if not len(opened):
+                        break  # no member of this or any later cell can enter
+                    self._open(row, cells.members(opened), table, ct, qt, first, ids)
+
+    def _open(self, row: int, members: np.ndarray, table: np.ndarray, ct: np.ndarray, qt: np.ndarray, first: np.ndarray, ids: np.ndarray) -> None:
+        """Evaluate members of open cells in the order of their own bounds."""
+        own = self.far[row]
+        near = np.argsort(own, kind="stable")[:NEAREST]
+        bound = _bound(own[0] ** 2, own[0], np.abs(table[np.ix_(members, near)] - own[near]).max(axis=1), table[members, 0])
+        self.compared += len(members) * len(near)
+        turn = np.argsort(-bound, kind="stable")
+        for step in range(0, len(turn), STEP):
+            some = turn[step : step + STEP]
+            some = some[bound[some] >= self.score[row, -1]]
+            if not len(some):
+                break
+            at = members[some]
+            self.evaluated += len(at)
+            self._enter(np.array([row]), (ct[at] @ qt[row])[None, :].astype(np.int64), first[at], ids[at])
 
     def _enter(self, rows: np.ndarray, got: np.ndarray, first: np.ndarray, ids: np.ndarray) -> None:
         better = (got >= self.score[rows, -1:]).any(axis=1)
@@ -135,7 +156,7 @@ class Tops:
             self.score[r], self.first[r], self.ids[r] = score[best], firsts[best], np.concatenate([self.ids[r], ids[at]])[best]
 
 
-def _search(k: int, pivots: dict[int, np.ndarray]):
+def _search(k: int):
     def result(block: list[bytes], tops: Tops) -> Iterator[pa.RecordBatch]:
         held = tops.ids != None  # noqa: E711
         query, _ = np.nonzero(held)
@@ -173,8 +194,7 @@ def _search(k: int, pivots: dict[int, np.ndarray]):
                     held[1].extend(part.column("far").to_pylist())
                     continue
                 if tops is None and held[0]:
-                    dim = len(held[0][0]) // 8
-                    block, tops = held[0], Tops(*held, k, Feet(pivots.get(dim, np.zeros((1, dim)))))
+                    block, tops = held[0], Tops(*held, k)
                 if tops is not None:
                     parts.append([part.column(c).to_pylist() for c in ("raw", "far", "ids")])
                     if sum(len(p[0]) for p in parts) >= CHUNK:
@@ -216,7 +236,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     answering = table.withColumns({"sb": F.pmod(F.xxhash64("raw", F.lit(1)), F.lit(streams)).cast("int"), "role": F.lit(1)}).withColumn("qb", every(blocks))
     columns = ["dim", "qb", "sb", "role", "raw", "far", "ids"]
     dealt = asking.select(*columns).unionByName(answering.select(*columns)).repartition("dim", "qb", "sb").sortWithinPartitions("dim", "qb", "sb", "role")
-    found = dealt.mapInArrow(_search(k + 1, pivots), "raw binary, score long, ids array<long>")
+    found = dealt.mapInArrow(_search(k + 1), "raw binary, score long, ids array<long>")
     best = Window.partitionBy("raw").orderBy(F.desc("score"), F.col("ids")[0])
     found = keep(found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("raw", "score", F.explode("ids").alias("vec_id")), "found")
     queries = keep(rows.where("is_query").distinct().mapInArrow(_query_keys, "query_id long, raw binary"), "queries")
