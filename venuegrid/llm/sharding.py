@@ -1,10 +1,11 @@
 """Sharding of indivisible groups by best-fit-decreasing bin packing.
 
 Groups of equal text stay whole. They are packed largest first, each into the bin with the least remaining capacity
-that still holds it, found in a balanced tree of the bins by remaining capacity. Best fit puts groups of one size
-into the same bin until it is too full for the next, so it needs only how many groups of each size there are: Spark
-counts them, the packing runs over (size, count) pairs, and the groups of a size are then dealt to the bins by their
-number within that size. n groups of different sizes hold n * n / 2 bytes or more together, so the pairs are few.
+that still holds it, found in a balanced tree of the bins by remaining capacity. Groups under a PARTS-th of a shard are
+first put together, by a hash, in units of about that size, so that there are at most some PARTS units a shard, however
+many groups and sizes of groups there are. Best fit puts units of one size into the same bin until it is too full for
+the next, so it needs only how many units of each size there are: Spark counts them, the packing runs over (size, count)
+pairs, and the units of a size are then dealt to the bins by their number within that size.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from venuegrid.llm.common import keep
 
+#: Units of a shard at most, about: what the driver packs is bounded by PARTS times the shards.
+PARTS = 4096
 #: Rows that one slot-numbering unit is meant to hold.
 UNIT = 20_000
 
@@ -139,6 +142,15 @@ def numbered(rows: DataFrame, within: list[str], order: list[str], name: str) ->
     return placed.withColumn(name, (F.col("__first") + F.col("__place") - 1).cast("long")).drop("__units", "__unit", "__place", "__first")
 
 
+def units_of(groups: DataFrame, shards: int, parts: int = PARTS) -> DataFrame:
+    """groups (``__group``, ``__n`` bytes) with ``__small`` and ``__pack``: small groups share units, any other is one alone."""
+    total = groups.agg(F.sum("__n")).first()[0] or 0
+    small = F.col("__n") * shards * parts < total
+    held = groups.where(small).agg(F.sum("__n")).first()[0] or 0
+    units = max(1, -(-held * shards * parts // max(total, 1)))
+    return groups.withColumn("__small", small).withColumn("__pack", F.when(small, F.pmod(F.xxhash64("__group"), F.lit(units))).otherwise(F.col("__group")))
+
+
 def assign(rows: DataFrame, group: Column, size: Column, shards: int) -> DataFrame:
     """rows with a column ``shard``: groups stay whole and shard sizes come out near-equal.
 
@@ -147,15 +159,18 @@ def assign(rows: DataFrame, group: Column, size: Column, shards: int) -> DataFra
     """
     marked = rows.withColumn("__group", group).withColumn("__size", size)
     groups = keep(marked.groupBy("__group").agg(F.sum("__size").alias("__n")), "groups")
-    counts = [(r[0], r[1]) for r in groups.groupBy("__n").agg(F.count("*")).collect()]  # a row per distinct size
-    upto: dict[int, list[tuple[int, int]]] = {}  # by size: groups up to which number go to which bin
+    groups = units_of(groups, shards, PARTS)
+    units = keep(groups.groupBy("__small", "__pack").agg(F.sum("__n").alias("__n")), "packed")
+    counts = [(r[0], r[1]) for r in units.groupBy("__n").agg(F.count("*")).collect()]  # no more rows than units
+    upto: dict[int, list[tuple[int, int]]] = {}  # by size: units up to which number go to which bin
     for n, count, at in even_bins(counts, shards):
         cuts = upto.setdefault(n, [])
         cuts.append(((cuts[-1][0] if cuts else 0) + count, at))
     bins = rows.sparkSession.createDataFrame(list(upto.items()), "__n long, __bins array<struct<upto: long, at: int>>")
-    dealt = numbered(groups, ["__n"], ["__group"], "__number").join(bins, "__n")
+    dealt = numbered(units, ["__n"], ["__small", "__pack"], "__number").join(bins, "__n")
     first = F.filter("__bins", lambda b: b["upto"] > F.col("__number"))[0]["at"]
-    return marked.join(dealt.select("__group", first.alias("shard")), "__group").drop("__group", "__size")
+    placed = groups.join(dealt.select("__small", "__pack", first.alias("shard")), ["__small", "__pack"]).select("__group", "shard")
+    return marked.join(placed, "__group").drop("__group", "__size")
 
 
 def shard(docs: DataFrame, shards: int) -> DataFrame:
