@@ -95,16 +95,34 @@ def test_shards(spark, monkeypatch):
 
 
 def test_query(spark):
-    """The registered query packs every group of documents as a plain best fit of its capacity would, near-evenly."""
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    """The registered query packs the units of documents as a plain best fit of its capacity would, near-evenly."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     got = queries.QUERIES["op7_sharding"](spark, "/root/testdata/sf0.01").collect()
     check(rows, got, 24)
-    loads, groups = Counter(), Counter()
+    loads = Counter()
     for r in got:
         loads[r.shard] += r["size"]
-        groups[r.text_crc32, r["size"]] += r["size"]
     assert len(loads) == 24 and max(loads.values()) <= 1.01 * sum(loads.values()) / 24
-    assert any(sorted(plain_best_fit(list(groups.values()), c)) == sorted(loads.values()) for c in range(max(loads.values()), max(loads.values()) + 200))
+    groups = docs.groupBy(F.xxhash64(F.coalesce("text", F.lit(""))).alias("__group")).agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 8).cast("long").alias("__n"))
+    units = [r.n for r in sharding.units_of(groups, 24).groupBy("__small", "__pack").agg(F.sum("__n").alias("n")).collect()]
+    assert sum(units) == sum(loads.values())
+    assert any(sorted(plain_best_fit(units, c)) == sorted(loads.values()) for c in range(max(loads.values()), max(loads.values()) + 200))
+
+
+def test_many_sizes_reach_the_driver_as_few(spark, monkeypatch):
+    """Of 100,000 groups of different sizes the driver packs a bounded number of units, and shards come out even."""
+    monkeypatch.setattr(sharding, "PARTS", 64)
+    rows = spark.range(100_000).select(F.col("id").alias("g"), (F.col("id") * 7 + 11).alias("n"))
+    seen = []
+    pack = sharding.even_bins
+    monkeypatch.setattr(sharding, "even_bins", lambda sizes, bins: seen.append(len(sizes)) or pack(sizes, bins))
+    got = sharding.assign(rows, F.col("g"), F.col("n"), 8).groupBy("shard").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()
+    assert seen[0] <= 2 * 64 * 8 and sum(r.rows for r in got) == 100_000
+    mean = sum(r.n for r in got) / 8
+    assert len(got) == 8 and max(r.n for r in got) <= 1.03 * mean
+    large = sharding.units_of(rows.select(F.col("g").alias("__group"), F.col("n").alias("__n")), 8, 64)
+    assert large.where("NOT __small AND __pack <> __group").count() == 0
 
 
 def test_equal_rows_are_numbered_by_many_tasks(spark):
