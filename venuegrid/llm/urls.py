@@ -8,7 +8,7 @@ rule decides are blocked when their log-likelihood difference per character reac
 that next to no accepted URL reaches of those that the models were not fitted to.
 
 The contexts kept are the states of an automaton, so a URL is scored by one walk over its characters. A context
-needs a CONTEXTS-th part of its model's characters to be kept, so there are at most CONTEXTS of each length and
+needs a CONTEXTS-th part (a parameter) of its model's characters to be kept, so there are at most CONTEXTS of each length and
 class, however many URLs there are; the automaton goes into the plan as two literals, and scoring needs no shuffle.
 """
 
@@ -81,14 +81,14 @@ def _grams(codes: str) -> Column:
 Counts = dict[tuple[int, ...], dict[int, int]]
 
 
-def _counts(grams: DataFrame) -> tuple[Counts, Counts]:
+def _counts(grams: DataFrame, contexts: int) -> tuple[Counts, Counts]:
     """Per class (accepted, rejected), how often each character follows each context that is common enough.
 
-    grams: ``rejected``, ``gram``, ``n``. At most CONTEXTS contexts of each length and class, so a bounded number of
+    grams: ``rejected``, ``gram``, ``n``. At most ``contexts`` contexts of each length and class, so a bounded number of
     rows, come to the driver.
     """
     found: tuple[Counts, Counts] = ({}, {})
-    least = {r: -(-n // CONTEXTS) for r, n in grams.groupBy("rejected").agg(F.sum("n")).collect()}
+    least = {r: -(-n // contexts) for r, n in grams.groupBy("rejected").agg(F.sum("n")).collect()}
     enough = F.when(F.col("rejected"), least.get(True, 0)).otherwise(least.get(False, 0))
     same = Window.partitionBy("rejected", "context")  # SIZE rows at most
     for order in range(ORDER + 1):
@@ -159,12 +159,13 @@ def threshold(bins: list[tuple[int, int]], share: float = WRONG) -> float:
     return max(cut, 0) / 100
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]], label: Column | None = None) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str]], label: Column | None = None, contexts: int = CONTEXTS) -> DataFrame:
     """One row per row of pages (columns page_id, url): host, path, rule, verdict and score.
 
     The models see whole URLs, scheme, query and fragment included; rules see host and path only. ``label``, over the
     columns url, host and path, says ``block`` or ``allow`` of the URLs that teach the models (null: none); by default
-    it is what the rules say. Each distinct URL teaches once; one in HELD_OUT calibrates instead.
+    it is what the rules say. Each distinct URL teaches once; one in HELD_OUT calibrates instead. A context needs a
+    ``contexts``-th part of its model's characters to be kept, others back off to shorter ones: that bounds the models.
 
     A URL under a rule gets the rule's verdict. Any other is blocked if its score reaches the calibrated threshold;
     without labelled URLs of both kinds none is. Null urls, urls without ``://`` and empty ones have an empty host and
@@ -180,7 +181,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], label: Column | None =
     taught = rows.where(F.col("label").isin("block", "allow")).groupBy("h").agg(F.min_by("codes", "label").alias("codes"), (F.max("label") == "block").alias("rejected"))
     teaching = F.pmod("h", F.lit(HELD_OUT)) > 0
     grams = taught.where(teaching).select("rejected", F.explode(_grams("codes")).alias("gram"))
-    accepted, rejected = _counts(keep(grams.groupBy("rejected", "gram").agg(F.count("*").alias("n")), "grams"))
+    accepted, rejected = _counts(keep(grams.groupBy("rejected", "gram").agg(F.count("*").alias("n")), "grams"), contexts)
     if not accepted or not rejected:
         return rows.select("page_id", "host", "path", "rule", F.coalesce("said", F.lit("allow")).alias("verdict"), F.lit(0.0).alias("score"))
     walk = automaton(accepted, rejected)
