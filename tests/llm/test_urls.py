@@ -30,11 +30,11 @@ def plain_codes(url):
     return [place.get("0" if c in "0123456789" else c.lower() if c.isascii() else c, 0) for c in url]
 
 
-def plain_probability(codes_of, total, context, c):
+def plain_probability(codes_of, total, context, c, contexts=urls.CONTEXTS):
     """Witten-Bell with contexts of a share of all characters, from the counts of every context of up to ORDER."""
-    if context and sum(codes_of[context].values()) * urls.CONTEXTS < total:
-        return plain_probability(codes_of, total, context[1:], c)
-    lower = plain_probability(codes_of, total, context[1:], c) if context else 1 / urls.SIZE
+    if context and sum(codes_of[context].values()) * contexts < total:
+        return plain_probability(codes_of, total, context[1:], c, contexts)
+    lower = plain_probability(codes_of, total, context[1:], c, contexts) if context else 1 / urls.SIZE
     seen = codes_of[context]
     return (seen[c] + len(seen) * lower) / (sum(seen.values()) + len(seen))
 
@@ -108,3 +108,22 @@ def test_threshold():
     assert urls.threshold([(10, 90), (20, 9), (30, 1)], 0.01) == 0.21
     assert urls.threshold([(10, 90), (20, 10)], 0.1) == 0.11
     assert urls.threshold([(-30, 90), (-20, 10)], 0.01) == urls.threshold([]) == 0
+
+
+def test_more_contexts_say_little_more(spark):
+    """Held-out accepted URLs: what a model of ten times as many contexts adds in likelihood, and that judge takes the number."""
+    pages = [r.url for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").distinct().collect() if r.url]
+    allowed = sorted(u for u in pages if plain_rule(queries.URL_RULES, *plain_parts(u))[1] == "allow")
+    counts, totals = plain_models((0, u) for k, u in enumerate(allowed) if k % 5)
+
+    def likelihood(contexts):
+        """Nats a character, over held-out URLs."""
+        found = [log(plain_probability(counts[0], totals[0], tuple(codes[i - urls.ORDER : i]), codes[i], contexts)) for u in allowed[::50] for codes in [[0] * urls.ORDER + plain_codes(u)] for i in range(urls.ORDER, len(codes))]
+        return sum(found) / len(found)
+
+    usual, more = likelihood(urls.CONTEXTS), likelihood(10 * urls.CONTEXTS)
+    print(usual, more)
+    assert abs(more - usual) < 0.15
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(pages[:800])], "page_id long, url string")
+    few, many = (urls.judge(df, queries.URL_RULES, contexts=n).select("page_id", "score").collect() for n in (20, 2000))
+    assert len(few) == len(many) == 800 and {r.page_id: r.score for r in few} != {r.page_id: r.score for r in many}
