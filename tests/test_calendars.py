@@ -68,3 +68,27 @@ def test_a_single_file(spark, service):
     path, _, _ = service
     got = calendars.school_holidays(spark, f"{path}/Zone A/2023-2024.json", "2023-01-01", "2025-12-31")
     assert [r.description for r in got.collect()] == ["Noël Zone A", "Été"]
+
+
+def test_public_holidays(spark, tmp_path):
+    """One zone and year is one calendar; days prune years too."""
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    for zone in ("metropole", "alsace-moselle"):
+        (tmp_path / "data" / zone).mkdir(parents=True)
+        for year in (2024, 2025, 2026):
+            days = {f"{year}-01-01": "1er janvier", f"{year}-05-01": "1er mai"} | ({f"{year}-12-26": "2e jour de Noël"} if zone != "metropole" else {})
+            (tmp_path / "data" / zone / f"{year}.json").write_text(json.dumps(days))
+    noted = str(seen)
+
+    def load(path, zone, year, where):
+        open(f"{noted}/{zone} {year}", "w").close()
+        return calendars.folder_load(path, zone, year, where)
+
+    path = str(tmp_path / "data")
+    got = calendars.public_holidays(spark, path, "alsace-moselle", 2025, load=load)
+    assert [tuple(r) for r in got.collect()] == [("2025-01-01", "1er janvier"), ("2025-05-01", "1er mai"), ("2025-12-26", "2e jour de Noël")]
+    assert read(seen) == ["alsace-moselle 2025"]
+    rows = spark.read.format("public_holidays").load(path)
+    assert rows.where("day >= '2025-12-01' AND day < '2026-01-01'").count() == 1
+    assert read(seen) == ["alsace-moselle 2025", "metropole 2025"] and rows.count() == 15

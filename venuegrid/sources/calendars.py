@@ -33,6 +33,9 @@ SCHEMA = "description string, population string, start_date timestamp, end_date
 _COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 #: Rows that the source serves at most.
 SERVED = 100
+#: The same of public holidays; days are ISO texts.
+PUBLIC = "public_holidays"
+PUBLIC_SCHEMA = "day string, name string, zone string, year string"
 
 
 def holidays(spark: SparkSession, path: str) -> DataFrame:
@@ -41,7 +44,7 @@ def holidays(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("day", "name"))
 
 
-# -- school holidays ----------------------------------------------------------------------------------------------
+# -- calendars by zone and year -------------------------------------------------------------------------------------
 
 
 @dataclass
@@ -53,7 +56,7 @@ class Calendar(InputPartition):
     where: list[str] = field(default_factory=list)
 
     def span(self) -> tuple[datetime, datetime] | None:
-        """Before and after which the year's holidays begin and end; none for a name that is no school year."""
+        """Before and after which a school year's holidays begin and end; none for a name that is no school year."""
         first, _, last = self.year.partition("-")
         if not (first.isdecimal() and last.isdecimal()):
             return None
@@ -111,9 +114,15 @@ def _holds(row: dict, f: Filter) -> bool:
 def _can_hold(calendar: Calendar, f: Filter) -> bool:
     """Whether a calendar can have rows that pass a filter, by its zone and year alone."""
     (column,) = f.attribute
-    known = {"zones": calendar.zone, "annee_scolaire": calendar.year}
+    known = {"zones": calendar.zone, "annee_scolaire": calendar.year, "zone": calendar.zone, "year": calendar.year}
     if column in known:
         return not known[column] or _holds(known, f)
+    if column == "day" and calendar.year.isdecimal():
+        first, last = f"{calendar.year}-01-01", f"{calendar.year}-12-31"
+        if isinstance(f, EqualTo):
+            return first <= f.value <= last
+        if isinstance(f, GreaterThan | GreaterThanOrEqual | LessThan | LessThanOrEqual):  # the day of the year that passes most easily
+            return _holds({"day": last if isinstance(f, GreaterThan | GreaterThanOrEqual) else first}, f)
     span = calendar.span()
     if span and column.endswith("_date") and isinstance(f, GreaterThan | GreaterThanOrEqual):
         return span[1] >= _instant(f.value)
@@ -122,9 +131,21 @@ def _can_hold(calendar: Calendar, f: Filter) -> bool:
     return True
 
 
+def _school_rows(payload: dict, calendar: Calendar) -> Iterator[dict]:
+    for found in payload.get("results") or []:
+        yield {c: _instant(found.get(c)) if c.endswith("_date") else found.get(c) for c in _COLUMNS}
+
+
+def _public_rows(payload: dict, calendar: Calendar) -> Iterator[dict]:
+    for day, name in payload.items():
+        yield {"day": day, "name": name, "zone": calendar.zone or None, "year": calendar.year or day[:4]}
+
+
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, listing: Listing, load: Load) -> None:
-        self.path, self.listing, self.load = path, listing, load
+    """Reads calendars with their filters: those that a calendar as a whole fails keep it from being read."""
+
+    def __init__(self, path: str, listing: Listing, load: Load, rows: Callable[[dict, Calendar], Iterator[dict]]) -> None:
+        self.path, self.listing, self.load, self.rows = path, listing, load, rows
         self.filters: list[Filter] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802  the interface's name
@@ -143,14 +164,13 @@ class _Reader(DataSourceReader):
     def read(self, partition: Calendar) -> Iterator[tuple]:
         if partition.where == ["none"]:
             return
-        for found in json.loads(self.load(self.path, partition.zone, partition.year, partition.where)).get("results") or []:
-            row = {c: _instant(found.get(c)) if c.endswith("_date") else found.get(c) for c in _COLUMNS}
+        for row in self.rows(json.loads(self.load(self.path, partition.zone, partition.year, partition.where)), partition):
             if all(_holds(row, f) for f in self.filters):
-                yield tuple(row[c] for c in _COLUMNS)
+                yield tuple(row.values())
 
 
 def register(spark: SparkSession, listing: Listing = folder_listing, load: Load = folder_load) -> None:
-    """Make ``spark.read.format("school_holidays")`` known, with a service that lists and reads calendars."""
+    """Make ``spark.read.format`` know ``school_holidays`` and ``public_holidays``, with a service that lists and reads calendars."""
 
     class SchoolHolidays(DataSource):
         @classmethod
@@ -161,10 +181,29 @@ def register(spark: SparkSession, listing: Listing = folder_listing, load: Load
             return SCHEMA
 
         def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
-            return _Reader(self.options["path"], listing, load)
+            return _Reader(self.options["path"], listing, load, _school_rows)
+
+    class PublicHolidays(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return PUBLIC
+
+        def schema(self) -> str:
+            return PUBLIC_SCHEMA
+
+        def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
+            return _Reader(self.options["path"], listing, load, _public_rows)
 
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SchoolHolidays)
+    spark.dataSource.register(PublicHolidays)
+
+
+def public_holidays(spark: SparkSession, path: str, zone: str, year: int, listing: Listing = folder_listing, load: Load = folder_load) -> DataFrame:
+    """``day`` and ``name`` of one zone's public holidays of a year, in date order; no other calendar is read."""
+    register(spark, listing, load)
+    rows = spark.read.format(PUBLIC).load(path)
+    return rows.where((F.col("zone") == zone) & (F.col("year") == str(year))).select("day", "name").orderBy("day")
 
 
 def school_holidays(
