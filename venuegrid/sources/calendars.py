@@ -170,7 +170,11 @@ class _Reader(DataSourceReader):
 
 
 def register(spark: SparkSession, listing: Listing = folder_listing, load: Load = folder_load) -> None:
-    """Make ``spark.read.format`` know ``school_holidays`` and ``public_holidays``, with a service that lists and reads calendars."""
+    """Make ``spark.read.format`` know ``school_holidays`` and ``public_holidays``, with a service that lists and reads calendars.
+
+    Load a frame anew for every read: Spark 4.1 keeps the filters that went down for a loaded frame, and uses them again
+    where the same frame is then read without any.
+    """
 
     class SchoolHolidays(DataSource):
         @classmethod
