@@ -20,13 +20,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuegrid.llm.common import keep, text_batches, words_of
+from venuegrid.llm.common import keep, mix, text_batches, words_of
 from venuegrid.llm.components import classes
 
 BITS = 64
 #: Distinct fingerprints that steer the layout (those with the smallest hashes).
 SAMPLE = 2048
-#: Rows of one signature handled together; larger signatures are cut into pairs of chunks of this size.
+#: Rows of one signature handled together; larger signatures are parted by further bits, and what stays larger is cut into pairs of chunks of this size.
 CHUNK = 16384
 #: Signatures of up to so many rows are compared side by side, larger ones each from link to link, so many rows at once.
 FEW, BLOCK = 64, 64
@@ -171,6 +171,35 @@ def _signatures(layout: list[tuple[list[int], int]], also: list[str]):
     return run
 
 
+def _parted(layout: list[tuple[list[int], int]], radius: int, also: list[str]):
+    """Rows of large signatures filed anew, under the signature and each of radius + 1 parts of the bits outside its partition.
+
+    Two rows within the radius differ in at most that many of these bits, so they agree on one of the parts at least.
+    """
+    others = []
+    for group, _ in layout:
+        rest = [bit for bit in range(BITS) if bit not in set(group)]
+        others.append([part for part in (rest[k :: radius + 1] for k in range(radius + 1)) if part])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["fp", "role", *also]
+        for batch in batches:
+            partition = batch.column("part").to_numpy()
+            for p, parts in enumerate(others):
+                some = batch.filter(pa.array(partition % len(layout) == p))
+                if not some.num_rows:
+                    continue
+                fp, sig = some.column("fp").to_numpy().view(np.uint64), some.column("sig").to_numpy().view(np.uint64)
+                if len(parts) <= radius:  # too few bits are left to part by
+                    yield some.select(["part", "sig", *names])
+                    continue
+                for k, bits in enumerate(parts):
+                    new = mix(mix(sig + np.uint64(k + 1)) ^ _pick(fp, bits))
+                    yield pa.RecordBatch.from_arrays([some.column("part"), pa.array(new.view(np.int64)), *(some.column(c) for c in names)], names=["part", "sig", *names])
+
+    return run
+
+
 # -- probing --------------------------------------------------------------------------------------------------
 
 
@@ -307,8 +336,8 @@ def links(distinct: DataFrame, radius: int, seeds: int = 1, far: int | None = No
     """Edges (a, b) between distinct fingerprints (column ``fp``): a spanning forest of each probed signature's links.
 
     Every pair within the radius is joined by a path of such edges, each of them itself within the radius' closure;
-    no signature, however common, is capped: one with over CHUNK rows is cut into chunks and each pair of chunks
-    is its own small unit of work. With ``far``, distinct has also the columns ``seed`` (0 to ``seeds`` - 1), ``node``
+    no signature, however common, is capped: one with over CHUNK rows is parted by the bits outside its partition (see
+    ``_parted``), and where that leaves over CHUNK together, each pair of chunks of them is its own small unit of work. With ``far``, distinct has also the columns ``seed`` (0 to ``seeds`` - 1), ``node``
     and two more fingerprints ``e1`` and ``e2``: only fingerprints of one seed are compared, linked rows also differ in
     at most ``far`` bits of e1 and e2, and the edges join nodes; the layout is planned once, on seed 0.
     """
@@ -317,10 +346,16 @@ def links(distinct: DataFrame, radius: int, seeds: int = 1, far: int | None = No
     first = distinct.where("seed = 0") if also else distinct
     sample = first.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).select("fp").toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     layout = plan(sample, total, radius)
+    kinds = "part int, sig long, fp long, role int" + "".join(f", {c} long" for c in also)
     # signatures are made twice, once to count them: that is cheaper than to write them
-    rows = distinct.mapInArrow(_signatures(layout, also), "part int, sig long, fp long, role int" + "".join(f", {c} long" for c in also))
-    sizes = rows.groupBy("part", "sig").agg(F.count("*").alias("n"), F.count_if(F.col("role") == 0).alias("own")).where("n > 1 AND own > 0")
-    dealt = rows.join(keep(sizes.select("part", "sig", "n"), "sizes"), ["part", "sig"]).withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
+    rows = distinct.mapInArrow(_signatures(layout, also), kinds)
+    sizes = keep(_sizes(rows), "sizes")
+    dealt = rows.join(sizes.where(F.col("n") <= CHUNK), ["part", "sig"])
+    large = sizes.where(F.col("n") > CHUNK)
+    if not large.isEmpty():
+        parted = keep(rows.join(large.select("part", "sig"), ["part", "sig"]).mapInArrow(_parted(layout, radius, also), kinds), "parted")
+        dealt = dealt.unionByName(parted.join(keep(_sizes(parted), "sizes"), ["part", "sig"]))
+    dealt = dealt.withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp", "role"), F.col("chunks")).cast("int"))
     others = F.sequence(F.lit(0), F.col("chunks") - 1)
     dealt = dealt.select("part", "sig", "fp", "role", *also, F.explode(F.transform(others, lambda o: F.struct(F.least(o, "mine").alias("i"), F.greatest(o, "mine").alias("j")))).alias("c"))
@@ -328,6 +363,12 @@ def links(distinct: DataFrame, radius: int, seeds: int = 1, far: int | None = No
     return dealt.mapInArrow(_verify(radius, [t > 0 for _, t in layout] * seeds, far), "a long, b long")
 
 
+def _sizes(rows: DataFrame) -> DataFrame:
+    """Rows of each signature that has more than one, an index row among them."""
+    found = rows.groupBy("part", "sig").agg(F.count("*").alias("n"), F.count_if(F.col("role") == 0).alias("own"))
+    return found.where("n > 1 AND own > 0").select("part", "sig", "n")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``fp`` (signed long) and ``component_id``, the smallest doc_id reachable.
 
