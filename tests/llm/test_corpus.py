@@ -365,6 +365,30 @@ def test_pivots_eliminate(clusters, share):
     assert operations < share
 
 
+def test_unlike_fingerprints_of_one_signature(spark):
+    """50,000 fingerprints that share a partition's bits: parted by the others, no group is large, and no near pair is lost."""
+    rng = np.random.default_rng(8)
+    group = list(range(0, 64, 2))
+    same = sum(1 << bit for bit in group[:20])
+    other = rng.integers(0, 2**64, 50_000, dtype=np.uint64)
+    mask = np.uint64(sum(1 << bit for bit in group))
+    prints = (other & ~mask) | np.uint64(same)
+    near = prints[:300].copy()
+    for k in range(300):  # up to four bits away
+        for bit in rng.choice([b for b in range(64) if b not in group], int(rng.integers(1, 5)), replace=False):
+            near[k] ^= np.uint64(1 << int(bit))
+    every = np.concatenate([prints, near]).view(np.int64).tolist()
+    rows = spark.createDataFrame([(0, 77, f, 0) for f in every], "part int, sig long, fp long, role int")
+    parted = rows.mapInArrow(simhash._parted([(group, 0)], 4, []), "part int, sig long, fp long, role int").cache()
+    sizes = parted.groupBy("sig").count()
+    assert parted.count() == 5 * len(every) and sizes.agg(F.max("count")).first()[0] < simhash.CHUNK // 4
+    assert sizes.select(F.sum(F.col("count") * F.col("count"))).first()[0] < 0.15 * len(every) ** 2
+    by = defaultdict(set)
+    for r in parted.collect():
+        by[r.fp].add(r.sig)
+    assert all(by[int(a)] & by[int(b)] for a, b in zip(prints[:300].view(np.int64), near.view(np.int64), strict=True))
+
+
 # -- op10 -------------------------------------------------------------------------------------------------
 
 
