@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
@@ -221,12 +222,18 @@ def slots_of(text: str | None) -> Iterator[tuple[int, str, str, str, list[int] |
         yield from ((k, hours.JOURS[k], *s) for s in slots)
 
 
+@lru_cache(1 << 16)
+def _remembered(text: str | None) -> tuple:
+    """As ``slots_of``; notations repeat a lot."""
+    return tuple(slots_of(text))
+
+
 @udtf(returnType="day: int, jour: string, debut: string, fin: string, occurence: array<int>", useArrow=True)
 class osm_slots:  # noqa: N801  its name in SQL
     """The weekly slots of an ``opening_hours`` text, a row each; none for a null text or one without slots."""
 
     def eval(self, text: str) -> Iterator[tuple]:
-        yield from slots_of(text)
+        yield from _remembered(text)
 
 
 def register(spark: SparkSession) -> None:
