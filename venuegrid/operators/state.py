@@ -73,6 +73,12 @@ def new_venues(listed: DataFrame, results: DataFrame) -> DataFrame:
     return listed.join(results, F.col("identifiant") == F.col("lieu_id"), "left_anti").dropDuplicates(["identifiant"])
 
 
+def paired(expected: DataFrame, found: DataFrame, key: str, absent: dict[str, object]) -> DataFrame:
+    """Rows of both sides by key; columns that a side lacks for a key take the value stated in ``absent``."""
+    both = expected.join(found, key, "full")
+    return both.select(key, *(F.coalesce(c, F.lit(absent[c])).alias(c) if c in absent else F.col(c) for c in both.columns if c != key))
+
+
 def upsert(stored: DataFrame, batch: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
     """Insert or update by key: the batch's last row per key wins, by presence rather than by non-null values.
 

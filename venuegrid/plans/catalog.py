@@ -493,8 +493,7 @@ FULL JOIN (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus
 def schedule_full_join(spark: SparkSession, d: str) -> DataFrame:
     """Full outer pairing by key."""
     of = lambda s, n: table(spark, d, "orders").where(F.col("o_orderstatus") == s).groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias(n))
-    both = of("F", "expected").join(of("O", "found"), "k", "full")
-    return both.select("k", F.coalesce("expected", F.lit(0)).alias("expected"), F.coalesce("found", F.lit(0)).alias("found"))
+    return state.paired(of("F", "expected"), of("O", "found"), "k", {"expected": 0, "found": 0})
 
 
 @query("SELECT o_custkey, count(*) AS n FROM (SELECT DISTINCT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders) WHERE day > '1998-06-15' GROUP BY 1")

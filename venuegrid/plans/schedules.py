@@ -14,6 +14,7 @@ from venuegrid.plans.catalog import LINES_SQL, query
 from venuegrid.plans.prompt import prompt
 from venuegrid.plans.views import results, table, venues
 from venuegrid.sources.tables import Store, shared_folder
+from venuegrid.streaming import progress
 
 # -- schedule documents ----------------------------------------------------------------------------------------
 
@@ -455,3 +456,20 @@ def store_policies(spark: SparkSession, d: str) -> DataFrame:
 def named_sql(spark: SparkSession, d: str) -> DataFrame:
     """SQL over the state tables with named parameters."""
     return _store(spark, d).sql("SELECT llm_fournisseur, count(*) AS n FROM executions WHERE llm_modele = :model AND id_execution <= :last GROUP BY llm_fournisseur", model="m3", last=900)
+
+
+@query("""WITH e AS (SELECT event_id % 997 AS id, event_id AS seq, ts, event_id < 997 AS arrived, event_type = 'purchase' AS ok FROM events), ends AS (SELECT id, min(seq) FILTER (NOT arrived AND ok) AS fin FROM e GROUP BY 1),
+s AS (SELECT e.* FROM e JOIN ends ON e.id = ends.id WHERE fin IS NULL OR seq <= fin),
+r AS (SELECT id, max(seq) AS seq, CAST(count(*) FILTER (NOT arrived AND NOT ok) AS INTEGER) AS tries, count(*) FILTER (NOT arrived) AS answers, coalesce(bool_or(NOT arrived AND ok), false) AS good, max(ts) FILTER (NOT arrived AND NOT ok) AS failed FROM s GROUP BY 1)
+SELECT id, seq, tries, CASE WHEN answers = 0 THEN 'fetch' WHEN good THEN 'clean' WHEN tries >= 3 THEN 'failed' WHEN failed + INTERVAL 5 SECOND <= TIMESTAMP '2024-06-01 00:00:00' THEN 'retry' ELSE 'waiting' END AS step FROM r""")
+def results_by_step(spark: SparkSession, d: str) -> DataFrame:
+    """F1-F8 as state by key: where each result stands after all its events, as the stream of them leaves it."""
+    k, kind = F.col("event_id"), F.col("event_type")
+    arrived = k < 997
+    status = F.when(~arrived, F.when(kind == "purchase", "ok").otherwise("critical"))
+    none = F.lit(None).cast("string")
+    events = table(spark, d, "events").select(
+        (k % 997).alias(state.ID), k.alias("seq"), F.col("ts").alias("at"), F.when(arrived, "arrived").otherwise("answered").alias("kind"), F.lit(1).cast("long").alias("id_execution"), status.alias("statut_url"),
+        F.lit(0).alias("code_http"), none.alias("message_url"), none.alias("markdown_brut"),
+    )
+    return progress.settled(events, "2024-06-01 00:00:00").select(F.col(state.ID).alias("id"), "seq", "tries", "step")
