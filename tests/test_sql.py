@@ -42,6 +42,6 @@ def test_slots_as_rows(spark, texts):
 
 def test_bodies_are_inlined(spark, texts):
     plan = lambda q: spark.sql(q)._jdf.queryExecution().executedPlan().toString()
-    inlined = plan("SELECT osm_format(osm_parse(t).week), schedule_diff(t, t).identical FROM notations")
+    inlined = plan("SELECT osm_format(osm_parse(t).week) AS a, schedule_diff(t, t).identical AS b FROM notations")
     assert "EvalPython" not in inlined and "osm_parse" not in inlined and "transform(" in inlined
     assert "ArrowEvalPythonUDTF" in plan("SELECT s.* FROM notations, LATERAL osm_slots(t) AS s")
