@@ -51,7 +51,6 @@ class Vocabulary:
         self.text = {i: p for p, (i, _) in pieces.items()}
         self.of_byte = {i: b for b, i in byte_ids.items()}
         self.apart: dict[tuple[str, str], bool] = {}
-        self.said: list[bytes] = []  # what each id says, once something is decoded
 
     @classmethod
     def load(cls, path: str, kind: str = "bpe") -> Vocabulary:
@@ -172,19 +171,6 @@ class Vocabulary:
         return unmarked(self.spelled(ids))
 
 
-    def decoded(self, ids: np.ndarray) -> bytes:
-        """The text of ids as bytes; other than in ``decode``, byte pieces that make no character stay as they are."""
-        if not self.said:
-            top = max([*self.text, *self.of_byte, self.unknown]) + 1
-            self.said = [" ⁇ ".encode()] * top
-            for i, piece in self.text.items():
-                self.said[i] = piece.replace(MARK, " ").encode()
-            for i, byte in self.of_byte.items():
-                self.said[i] = bytes([byte])
-        out = b"".join(map(self.said.__getitem__, ids.tolist()))
-        return out[1:] if out.startswith(b" ") else out
-
-
 def unmarked(spelled: str) -> str:
     said = spelled.replace(MARK, " ")
     return said[1:] if said.startswith(" ") else said
@@ -202,8 +188,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.numbers, self.words = Numbers(), Ragged()
-        self.cores, self.parts = Numbers(), Ragged()
+        self.numbers, self.words, self.true = Numbers(), Ragged(), np.zeros(0, bool)
+        self.cores, self.parts, self.spelled = Numbers(), Ragged(), np.zeros(0, bool)
 
     def _units(self, text: bytes) -> list[bytes]:
         """Marked words, line ends apart where no piece has any."""
@@ -227,8 +213,10 @@ class Encoder:
             found[place[word]] = self.vocabulary.ids(parts)
         if new:
             self.parts.add(np.fromiter((i for ids in found for i in ids), np.uint32), np.array([len(ids) for ids in found], np.int64))
+            self.spelled = np.concatenate([self.spelled, [self.vocabulary.spelled(ids) == w for ids, w in zip(found, new, strict=True)]])
         if len(both):
             self.words.add(*self.parts.gather(both, 2))
+            self.true = np.concatenate([self.true, self.spelled[both].reshape(-1, 2).all(axis=1)])
 
     def encode(self, texts: list[bytes | None]) -> tuple[list[np.ndarray], list[bool]]:
         """The ids of each text, and whether decoding them gives it back."""
@@ -239,7 +227,8 @@ class Encoder:
         each = [np.fromiter(map(numbers.__getitem__, u), np.int64, len(u)) for u in units]
         self._learn()
         ids = [self.words.gather(at)[0].astype("<i4") for at in each]
-        return ids, [self.vocabulary.decoded(i) == (t or b"") for i, t in zip(ids, texts, strict=True)]
+        # the ids of a text are those of its words, so what they decode to is what the words' ids do; a mark comes back as a space
+        return ids, [bool(self.true[at].all()) and MARK.encode() not in (t or b"") for at, t in zip(each, texts, strict=True)]
 
 
 def _encode(path: str, kind: str):
@@ -262,8 +251,9 @@ def _encode(path: str, kind: str):
 def encode(docs: DataFrame, model: str, kind: str = "bpe") -> DataFrame:
     """One row per row of docs (doc_id, text): n_pieces, ids_crc32 (little-endian 32-bit ids), round_trip, ids.
 
-    ``round_trip`` says whether the ids, decoded, give the text back: they are decoded for every text. It fails for
-    texts that hold the mark itself, and for characters that a vocabulary without byte pieces does not know. Null and empty texts have no pieces. Repeated rows each get their row; other columns are not read; an
+    ``round_trip`` says whether the ids, decoded, give the text back: the ids of every distinct word are decoded and
+    compared with it, and a text comes back if all its words do. It fails for texts that hold the mark itself, and for
+    characters that a vocabulary without byte pieces does not know. Null and empty texts have no pieces. Repeated rows each get their row; other columns are not read; an
     empty table gives an empty result. Every task works on its own partition's words; nothing is shuffled.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
