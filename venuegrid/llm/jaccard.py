@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuegrid.llm.common import keep, mix, text_batches
+from venuegrid.llm.common import keep, mix, slices, text_batches
 from venuegrid.llm.components import classes
 from venuegrid.llm.copies import chunked, shingles, verified
 
@@ -113,19 +113,19 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(entry, a, b): of the sets of a batch under one entry the first, with b = -1, and an edge from each other one to it.
 
-    However many sets share an entry, a batch sends on one row of it. Edges go along under a number of their own.
+    However many sets share an entry, a slice of a batch sends on one row of it. Edges go along under a number of their own.
     """
     for batch in batches:
-        lists = batch.column("filed")
-        entry = lists.flatten().to_numpy()
-        key = np.repeat(batch.column("key").to_numpy(), lists.value_lengths().to_numpy())
-        order = np.lexsort((key, entry))
-        entry, key = entry[order], key[order]
-        new = np.concatenate(([True], entry[1:] != entry[:-1])) if len(entry) else np.zeros(0, bool)
-        first = key[new][np.cumsum(new) - 1] if len(entry) else key
-        edges = _pairs(key, first)
-        columns = [np.concatenate([entry[new], mix(edges[:, 0].view(np.uint64)).view(np.int64)]), np.concatenate([key[new], edges[:, 0]]), np.concatenate([np.full(int(new.sum()), -1), edges[:, 1]])]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["entry", "a", "b"])
+        sizes = batch.column("filed").value_lengths().to_numpy()
+        for start, stop in slices((8 * sizes).tolist(), batch.num_rows):  # long texts have many entries
+            key = np.repeat(batch.column("key").to_numpy()[start:stop], sizes[start:stop])
+            entry = batch.column("filed").slice(start, stop - start).flatten().to_numpy()
+            order = np.lexsort((key, entry))
+            entry, key = entry[order], key[order]
+            new = np.concatenate(([True], entry[1:] != entry[:-1]))
+            edges = _pairs(key, key[new][np.cumsum(new) - 1])
+            columns = [np.concatenate([entry[new], mix(edges[:, 0].view(np.uint64)).view(np.int64)]), np.concatenate([key[new], edges[:, 0]]), np.concatenate([np.full(int(new.sum()), -1), edges[:, 1]])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["entry", "a", "b"])
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
