@@ -4,8 +4,9 @@ Every distinct vector carries its distances to the origin and to PIVOTS fixed ve
 inequality each pivot p gives a lower bound |d(q, p) - d(c, p)| on the distance of a query q and a candidate c; the
 greatest of them, with the norms, is an upper bound on the inner product. Candidates lie in cells, neighbours by their
 nearest pivot and distance to it, and a cell knows the range of its members' distances to every pivot: one bound holds
-for all of a cell, so cells are skipped without a look at their members. Each query opens cells, and evaluates the
-members of open ones, in the order of its own bounds until no remaining one can enter its top list: the result is exact.
+for all of a cell, so cells are skipped without a look at their members. Each query opens cells in the order of its own
+bounds until no remaining one can hold a candidate for its top list: the result is exact. Queries open cells in rounds,
+twice as many in each, so that those that open the same cell share a product.
 
 Blocks of queries meet streams of candidates: rows are dealt by (query block, candidate stream), each task holds
 one block of queries with its running top lists and takes candidates CHUNK at a time. Equal vectors are one
@@ -25,10 +26,8 @@ from venuegrid.llm.common import keep
 
 #: Pivots beside the origin, each the one of the SAMPLE vectors with the smallest hashes that is farthest from those before.
 PIVOTS, SAMPLE = 64, 1024
-#: Pivots nearest to a query by which the members of an open cell are bounded.
-NEAREST = 8
-#: Candidates met at once, queries bounded at once, candidates of a cell, cells opened at once, candidates evaluated between two looks at the bounds.
-CHUNK, BATCH, CELL, OPEN, STEP = 8192, 128, 32, 8, 64
+#: Candidates met at once, queries bounded at once, candidates of a cell, cells that a query opens in its first round.
+CHUNK, BATCH, CELL, OPEN = 8192, 128, 32, 4
 #: Rows of a block of queries and of a stream of candidates: at least, at most.
 QUERIES, STREAM = (1024, 16384), (16384, 1 << 20)
 #: Above this, products of norms are too large for exact doubles and integer arithmetic is used.
@@ -88,10 +87,6 @@ class Cells:
         self.low = np.minimum.reduceat(table[self.order], self.begins, axis=0)
         self.high = np.maximum.reduceat(table[self.order], self.begins, axis=0)
 
-    def members(self, cells: np.ndarray) -> np.ndarray:
-        at = (self.begins[cells][:, None] + np.arange(CELL)).ravel()
-        return self.order[at[at < len(self.order)]]
-
 
 class Tops:
     """Running top lists of one block of queries.
@@ -112,43 +107,41 @@ class Tops:
         c, table = np.frombuffer(b"".join(raw), "<i8").reshape(len(raw), self.dim), np.frombuffer(b"".join(far)).reshape(len(raw), -1)
         cells = Cells(table)
         exact = float(self.far[:, 0].max()) * float(table[:, 0].max()) < EXACT
-        ct, qt = (c.astype(float), self.q.astype(float)) if exact else (c, self.q)
+        ct, qt = (c[cells.order].astype(float), self.q.astype(float)) if exact else (c[cells.order], self.q)
+        first, ids = first[cells.order], ids[cells.order]
         self.met += len(self.q) * len(c)
         for at in range(0, len(self.q), BATCH):
             far_q = self.far[at : at + BATCH]
             apart = np.maximum(cells.low[None] - far_q[:, None], far_q[:, None] - cells.high[None]).max(axis=2).clip(0)
             bounds = _bound(far_q[:, :1] ** 2, far_q[:, :1], apart, cells.high[None, :, 0])
             self.compared += 2 * far_q.size * len(cells.begins)
-            for row, bound in enumerate(bounds, at):
-                turn = np.argsort(-bound, kind="stable")
-                for some in range(0, len(turn), OPEN):
-                    opened = turn[some : some + OPEN]
-                    opened = opened[bound[opened] >= self.score[row, -1]]
-                    if not len(opened):
-                        break  # no member of this or any later cell can enter
-                    self._open(row, cells.members(opened), table, ct, qt, first, ids)
-
-    def _open(self, row: int, members: np.ndarray, table: np.ndarray, ct: np.ndarray, qt: np.ndarray, first: np.ndarray, ids: np.ndarray) -> None:
-        """Evaluate members of open cells in the order of their own bounds."""
-        own = self.far[row]
-        near = np.argsort(own, kind="stable")[:NEAREST]
-        bound = _bound(own[0] ** 2, own[0], np.abs(table[np.ix_(members, near)] - own[near]).max(axis=1), table[members, 0])
-        self.compared += len(members) * len(near)
-        turn = np.argsort(-bound, kind="stable")
-        for step in range(0, len(turn), STEP):
-            some = turn[step : step + STEP]
-            some = some[bound[some] >= self.score[row, -1]]
-            if not len(some):
-                break
-            at = members[some]
-            self.evaluated += len(at)
-            self._enter(np.array([row]), (ct[at] @ qt[row])[None, :].astype(np.int64), first[at], ids[at])
+            self._rounds(at, bounds, cells.begins, ct, qt, first, ids)
+
+    def _rounds(self, at: int, bounds: np.ndarray, begins: np.ndarray, ct: np.ndarray, qt: np.ndarray, first: np.ndarray, ids: np.ndarray) -> None:
+        """Queries from ``at`` on open cells in the order of their bounds until none that is left can hold a better candidate."""
+        turn = np.argsort(-bounds, axis=1, kind="stable")
+        rows, opened, more = np.arange(len(bounds)), 0, OPEN
+        while len(rows) and opened < turn.shape[1]:
+            some = turn[rows, opened : opened + more]
+            good = bounds[rows[:, None], some] >= self.score[at + rows, -1:]
+            rows, some, good = rows[good[:, 0]], some[good[:, 0]], good[good[:, 0]]  # bounds fall, so nobody comes back
+            query, cell = np.repeat(rows, good.sum(axis=1)), some[good]
+            order = np.argsort(cell, kind="stable")
+            query, cell = query[order], cell[order]
+            got = np.full((len(bounds), len(ct)), -np.iinfo(np.int64).max)
+            cuts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else []
+            for asking, k in zip(np.split(query, cuts[1:]), cell[cuts], strict=True) if len(cell) else ():
+                span = slice(begins[k], begins[k] + CELL)
+                got[asking, span] = qt[at + asking] @ ct[span].T
+                self.evaluated += len(asking) * len(ct[span])
+            self._enter(at + rows, got[rows], first, ids)
+            opened, more = opened + more, more * 2
 
     def _enter(self, rows: np.ndarray, got: np.ndarray, first: np.ndarray, ids: np.ndarray) -> None:
-        better = (got >= self.score[rows, -1:]).any(axis=1)
-        rows, got = rows[better], got[better]
-        for r, s in zip(rows, got, strict=True):
-            at = np.flatnonzero(s >= self.score[r, -1])
+        least = np.maximum(self.score[rows, -1], 1 - np.iinfo(np.int64).max)  # what was not evaluated never enters
+        better = (got >= least[:, None]).any(axis=1)
+        for r, s, low in zip(rows[better], got[better], least[better], strict=True):
+            at = np.flatnonzero(s >= low)
             if len(at) > self.k:
                 at = at[s[at] >= np.partition(s[at], len(at) - self.k)[len(at) - self.k]]
             score, firsts = np.concatenate([self.score[r], s[at]]), np.concatenate([self.first[r], first[at]])
