@@ -491,5 +491,5 @@ def test_round_trip_is_computed():
     assert [i.tolist() for i in ids] == [library.encode(t) for t in texts]
     assert true == [library.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)] and true.count(False) == 1
     encoder.vocabulary.text[int(ids[0][-1])] = "HOUSE"
-    encoder.vocabulary.said = []
+    encoder.forget()
     assert encoder.encode([t.encode() for t in texts])[1][0] is False
