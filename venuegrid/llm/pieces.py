@@ -154,6 +154,10 @@ class Vocabulary:
 
     def spelled(self, ids: list[int]) -> str:
         """What ids spell, marks included; runs of byte pieces become their characters, wrong ones U+FFFD."""
+        try:
+            return "".join([self.text[i] for i in ids])
+        except KeyError:  # a byte, or the unknown piece
+            pass
         out, held = [], bytearray()
         for i in ids:
             if i in self.of_byte:
