@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from venuegrid.functions import documents, hours, sql, text, typed
 from venuegrid.operators import state, stats
+from venuegrid.operators.distinct import once_each
 from venuegrid.plans import pipeline, report
 from venuegrid.plans.catalog import LINES_SQL, query
 from venuegrid.plans.prompt import prompt
@@ -94,8 +95,8 @@ def typed_differences(spark: SparkSession, d: str) -> DataFrame:
 @query(DIFFERENCES_SQL)
 def document_differences(spark: SparkSession, d: str) -> DataFrame:
     """Differences of whole documents of five kinds."""
-    both = _part_pairs(spark, d).select("p_partkey", documents.document(F.col("a")).alias("a"), documents.document(F.col("b")).alias("b"))
-    return both.select("p_partkey", documents.compare(F.col("a"), F.col("b")).alias("c")).select("p_partkey", "c.*")
+    made = lambda pairs: pairs.withColumns({"x": documents.document(F.col("a")), "y": documents.document(F.col("b"))}).select("a", "b", documents.compare(F.col("x"), F.col("y")).alias("c"))
+    return once_each(_part_pairs(spark, d), ["a", "b"], made).select("p_partkey", "c.*")
 
 
 @query(f"""SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'Identique' WHEN 1 THEN 'Différent' WHEN 2 THEN 'Erreur de comparaison' WHEN 3 THEN 'Identique' ELSE 'Différent' END AS status,
