@@ -38,6 +38,15 @@ def test_ranges_of_a_hot_key(spark, partitions):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
 
 
+def test_ties_between_scans(spark, monkeypatch):
+    """Rows that tie stay in one run, in whatever order the join between the two scans leaves them."""
+    carried, orders = scan._carried, [F.asc("n"), F.desc("n")]
+    monkeypatch.setattr(scan, "_carried", lambda *given: carried(*given).coalesce(1).sortWithinPartitions(orders.pop(0)))
+    rows = spark.createDataFrame([("k", 0, 1, 1), ("k", 10, 12, 1), ("k", 10, 12, 2), ("k", 10, 12, 3)], "k string, start long, end long, n int").coalesce(1)
+    found = scan.islands(rows, ["k"], ["start", "end"], F.col("end"), lambda far: F.col("start") > far + 1)
+    assert sorted((r.start, r[scan.ISLAND]) for r in found.collect()) == [(0, 1), (10, 2), (10, 2), (10, 2)]
+
+
 def test_no_task_scans_a_hot_key(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "16")

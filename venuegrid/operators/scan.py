@@ -31,14 +31,15 @@ def islands(rows: DataFrame, keys: list[str], order: list[str], reach: Column, b
 
     In the stated order, a row begins a run if ``begins`` says so of the greatest ``reach`` of all earlier rows of its
     key (null in the first row). Keys may be null. Rows are written once: the boundaries of buckets come from a sample
-    that every evaluation would draw anew.
+    that every evaluation would draw anew. So is each row's place, which settles ties of ``order`` alike in both scans.
     """
-    dealt = kept(rows.repartitionByRange(*keys, *order).withColumn("__bucket", F.spark_partition_id()), "dealt")
-    here = Window.partitionBy(*keys, "__bucket").orderBy(*order)
+    dealt = rows.repartitionByRange(*keys, *order).withColumn("__bucket", F.spark_partition_id()).withColumn("__place", F.monotonically_increasing_id())
+    dealt = kept(dealt, "dealt")
+    here = Window.partitionBy(*keys, "__bucket").orderBy(*order, "__place")
     earlier = here.rowsBetween(Window.unboundedPreceding, -1)
     reached = _carried(dealt.withColumn("__reach", reach), keys, F.col("__reach"), F.max, "__far")
     marked = reached.withColumn("__far", F.greatest("__far", F.max("__reach").over(earlier)))
     marked = marked.withColumn("__new", F.when(F.col("__far").isNull() | F.coalesce(begins(F.col("__far")), F.lit(True)), 1).otherwise(0))
     counted = _carried(marked.drop("__reach", "__far"), keys, F.col("__new"), F.sum, "__runs")
     run = F.coalesce("__runs", F.lit(0)) + F.sum("__new").over(here.rowsBetween(Window.unboundedPreceding, 0))
-    return counted.withColumn(ISLAND, run).drop("__bucket", "__new", "__runs")
+    return counted.withColumn(ISLAND, run).drop("__bucket", "__place", "__new", "__runs")
