@@ -10,6 +10,8 @@ from venuegrid.plans import catalog
 D = "/root/testdata/sf0.001"
 #: The query, and the distinct inputs that its rows hold.
 CASES = {
+    "sql_round_trip": 62,
+    "sql_schedule_diff": 20,
     "document_differences": 20,
 }
 

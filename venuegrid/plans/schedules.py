@@ -125,6 +125,17 @@ def sorted_slots(spark: SparkSession, d: str) -> DataFrame:
 # -- SQL functions, dates in words ------------------------------------------------------------------------------
 
 
+def _by_sql(spark: SparkSession, rows: DataFrame, inputs: list[str], query_: str) -> DataFrame:
+    """rows joined with what a query over the view ``notations`` of their distinct inputs gives."""
+    sql.register(spark)
+
+    def made(each: DataFrame) -> DataFrame:
+        each.createOrReplaceTempView("notations")
+        return spark.sql(query_)
+
+    return once_each(rows, inputs, made)
+
+
 def _registered(spark: SparkSession, d: str) -> None:
     sql.register(spark)
     _notated(spark, d).createOrReplaceTempView("notated_orders")
@@ -134,16 +145,15 @@ def _registered(spark: SparkSession, d: str) -> None:
 o_orderkey % 5 IN (0, 1) AS feries, CASE WHEN o_orderkey % 5 = 2 THEN '2024-12-25' END AS date FROM orders""")
 def sql_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """§2.11: notations parsed and printed by SQL functions that the optimiser inlines."""
-    _registered(spark, d)
-    return spark.sql("SELECT o_orderkey, osm_format(p.week) AS semaine, p.ph_found AS feries, get(p.special, 0).date AS date FROM (SELECT o_orderkey, osm_parse(osm) AS p FROM notated_orders)")
+    read = "SELECT osm, osm_format(p.week) AS semaine, p.ph_found AS feries, get(p.special, 0).date AS date FROM (SELECT osm, osm_parse(osm) AS p FROM notations)"
+    return _by_sql(spark, _notated(spark, d).select("o_orderkey", "osm"), ["osm"], read).drop("osm")
 
 
 @query(DIFFERENCES_SQL)
 def sql_schedule_diff(spark: SparkSession, d: str) -> DataFrame:
     """§2.11: differences of two notations in SQL."""
-    sql.register(spark)
-    _part_pairs(spark, d).createOrReplaceTempView("notated_parts")
-    return spark.sql("SELECT p_partkey, c.identical, c.differences FROM (SELECT p_partkey, schedule_diff(a, b) AS c FROM notated_parts)")
+    compared = "SELECT a, b, c.identical, c.differences FROM (SELECT a, b, schedule_diff(a, b) AS c FROM notations)"
+    return _by_sql(spark, _part_pairs(spark, d), ["a", "b"], compared).drop("a", "b")
 
 
 @query(f"""WITH o AS (SELECT o_orderkey, o_orderkey % 5 AS k, {OPENS} || ':00' AS a, {CLOSES} || ':30' AS b FROM orders)
