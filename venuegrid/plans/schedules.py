@@ -88,8 +88,8 @@ def _part_pairs(spark: SparkSession, d: str) -> DataFrame:
 @query(DIFFERENCES_SQL)
 def typed_differences(spark: SparkSession, d: str) -> DataFrame:
     """§1.3, C1-C7: differences of typed documents."""
-    both = _part_pairs(spark, d).select("p_partkey", typed.from_osm(F.col("a")).alias("a"), typed.from_osm(F.col("b")).alias("b"))
-    return both.select("p_partkey", typed.compare(F.col("a"), F.col("b")).alias("c")).select("p_partkey", "c.*")
+    made = lambda pairs: pairs.withColumns({"x": typed.from_osm(F.col("a")), "y": typed.from_osm(F.col("b"))}).select("a", "b", typed.compare(F.col("x"), F.col("y")).alias("c"))
+    return once_each(_part_pairs(spark, d), ["a", "b"], made).select("p_partkey", "c.*")
 
 
 @query(DIFFERENCES_SQL)
