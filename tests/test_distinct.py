@@ -10,6 +10,10 @@ from venuegrid.plans import catalog
 D = "/root/testdata/sf0.001"
 #: The query, and the distinct inputs that its rows hold.
 CASES = {
+    "document_round_trip": 62,
+    "typed_round_trip": 62,
+    "schedule_document": 62,
+    "evaluation_scores": 10,
     "typed_differences": 20,
     "sql_round_trip": 62,
     "sql_schedule_diff": 20,
