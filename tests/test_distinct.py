@@ -10,6 +10,7 @@ from venuegrid.plans import catalog
 D = "/root/testdata/sf0.001"
 #: The query, and the distinct inputs that its rows hold.
 CASES = {
+    "osm_slot_rows": 62,
     "document_round_trip": 62,
     "typed_round_trip": 62,
     "schedule_document": 62,

@@ -142,11 +142,6 @@ def _by_sql(spark: SparkSession, rows: DataFrame, inputs: list[str], query_: str
     return once_each(rows, inputs, made)
 
 
-def _registered(spark: SparkSession, d: str) -> None:
-    sql.register(spark)
-    _notated(spark, d).createOrReplaceTempView("notated_orders")
-
-
 @query(f"""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Mo-Fr ' || {SPAN} || '; Sa 10:15-12:45' WHEN 1 THEN 'Mo[1,3] ' || {SPAN} WHEN 2 THEN 'We-Su ' || {SPAN} || '; We-Su 20:00-22:00' WHEN 3 THEN 'off' END AS semaine,
 o_orderkey % 5 IN (0, 1) AS feries, CASE WHEN o_orderkey % 5 = 2 THEN '2024-12-25' END AS date FROM orders""")
 def sql_round_trip(spark: SparkSession, d: str) -> DataFrame:
@@ -167,8 +162,8 @@ SELECT o_orderkey, CAST(day AS INTEGER) AS day, a AS debut, b AS fin, CASE k WHE
 UNION ALL SELECT o_orderkey, 5, '10:15', '12:45', '' FROM o WHERE k = 0 UNION ALL SELECT o_orderkey, CAST(day AS INTEGER), '20:00', '22:00', '' FROM o, range(2, 7) t(day) WHERE k = 2""")
 def osm_slot_rows(spark: SparkSession, d: str) -> DataFrame:
     """§2.11: the slots of notations as rows, by a table function in a lateral join."""
-    _registered(spark, d)
-    return spark.sql("SELECT o_orderkey, s.day, s.debut, s.fin, array_join(transform(coalesce(s.occurence, array()), x -> CAST(x AS string)), ',') AS occurence FROM notated_orders, LATERAL osm_slots(osm) AS s")
+    slots = "SELECT osm, s.day, s.debut, s.fin, array_join(transform(coalesce(s.occurence, array()), x -> CAST(x AS string)), ',') AS occurence FROM notations, LATERAL osm_slots(osm) AS s"
+    return _by_sql(spark, _notated(spark, d).select("o_orderkey", "osm"), ["osm"], slots).drop("osm")
 
 
 MONTHS_SQL = "['janvier', 'février', 'mars', 'avril', 'mai', 'juin', 'juillet', 'août', 'septembre', 'octobre', 'novembre', 'décembre']"
