@@ -42,6 +42,11 @@ def test_layout(case):
     assert layout(html) == wanted
 
 
+def test_entities_cut_short():
+    """The old names count without their semicolon, as in browsers; this holds at a tag and at the end of a text."""
+    assert layout("<h1>a &amp</h1><p>b &lt 1 &copy") == "a &\n\nb < 1 ©"
+
+
 def test_long_tables_are_linear():
     rows = 20_000
     text = layout("<table>" + "<tr><td>a</td><td>b</td></tr>" * rows + "</table>")
